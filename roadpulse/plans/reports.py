@@ -82,7 +82,10 @@ def heatmap_pivot(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 def sensor_statistics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Per sensor: total vehicles, mean speed, mean congestion, alerts (alerts
     table, missing -> 0), first appearance; listed in first-appearance order."""
-    s = A.measure_sums(f, [cols.key], cols)
+    return _stats_from_sums(A.measure_sums(f, [cols.key], cols), alerts, cols)
+
+
+def _stats_from_sums(s: DataFrame, alerts: DataFrame, cols: Cols) -> DataFrame:
     per_alerts = alerts.groupBy(cols.key).agg(F.count(F.lit(1)).alias("critical_alerts"))
     out = left_fill(s, per_alerts, [cols.key], {"critical_alerts": 0})
     return out.select(
@@ -119,7 +122,10 @@ def hour_band_profile(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 def extent(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """One row: first/last event, rows, critical rows, distinct sensors and
     dates with data. Distinct counts run on the (sensor, date) aggregate."""
-    per = A.measure_sums(f, [cols.key, cols.date], cols)
+    return _extent_from_sums(A.measure_sums(f, [cols.key, cols.date], cols), cols)
+
+
+def _extent_from_sums(per: DataFrame, cols: Cols) -> DataFrame:
     return per.agg(
         F.min("first_event").alias("first_event"),
         F.max("last_event").alias("last_event"),
@@ -132,21 +138,45 @@ def extent(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 
 def summary_metrics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Long-format summary (section, sensor_id, metric, value): the text
-    summary's numbers as a table."""
-    e = extent(f, cols)
-    overall = e.select(
-        F.lit("overall").alias("section"), F.lit(None).cast("string").alias(cols.key),
-        F.expr("stack(4, 'total_records', CAST(total_records AS DOUBLE), "
-               "'total_alerts', CAST(total_alerts AS DOUBLE), "
-               "'sensors', CAST(sensors AS DOUBLE), "
-               "'dates_with_data', CAST(dates_with_data AS DOUBLE)) AS (metric, value)"))
-    st = sensor_statistics(f, alerts, cols)
-    per = st.select(
-        F.lit("sensor").alias("section"), F.col(cols.key),
-        F.expr("stack(4, 'total_vehicles', CAST(total_vehicles AS DOUBLE), "
-               "'avg_speed', avg_speed, 'avg_congestion', avg_congestion, "
-               "'critical_alerts', CAST(critical_alerts AS DOUBLE)) AS (metric, value)"))
-    return overall.unionByName(per)
+    summary's numbers as a table.
+
+    One pass: a (sensor, date) aggregate is rolled up to per-sensor rows
+    plus one grand-total row (grouping id 1), joined to alert counts, and
+    unpivoted with a single ``stack``. The fact table is scanned once.
+    """
+    per = A.measure_sums(f, [cols.key, cols.date], cols)
+    r = per.rollup(cols.key).agg(
+        F.grouping_id().alias("_g"),
+        F.sum("record_count").alias("total_records"),
+        F.sum("critical_count").alias("total_alerts"),
+        F.sum("vehicle_sum").alias("total_vehicles"),
+        F.sum("speed_sum").alias("speed_sum"),
+        F.sum("speed_n").alias("speed_n"),
+        F.sum("x100_sum").alias("x100_sum"),
+        F.sum("x100_n").alias("x100_n"),
+        F.count_distinct(cols.key).alias("sensors"),
+        F.count_distinct(cols.date).alias("dates_with_data"),
+    )
+    per_alerts = alerts.groupBy(cols.key).agg(F.count(F.lit(1)).alias("critical_alerts"))
+    j = r.join(per_alerts, [cols.key], "left")
+    overall = F.col("_g") == 1
+    d = lambda c: F.col(c).cast("double")
+    metrics = [
+        ("total_records", overall, d("total_records")),
+        ("total_alerts", overall, d("total_alerts")),
+        ("sensors", overall, d("sensors")),
+        ("dates_with_data", overall, d("dates_with_data")),
+        ("total_vehicles", ~overall, d("total_vehicles")),
+        ("avg_speed", ~overall, X.exact_mean("speed_sum", "speed_n")),
+        ("avg_congestion", ~overall, X.exact_mean("x100_sum", "x100_n", 100)),
+        ("critical_alerts", ~overall, F.coalesce(d("critical_alerts"), F.lit(0.0))),
+    ]
+    cells = F.explode(F.array(*[
+        F.when(cond, F.struct(F.lit(name).alias("metric"), value.alias("value"))) for name, cond, value in metrics]))
+    return (j.select(F.when(overall, F.lit("overall")).otherwise(F.lit("sensor")).alias("section"),
+                     F.when(~overall, F.col(cols.key)).alias(cols.key), cells.alias("_m"))
+             .filter(F.col("_m").isNotNull())
+             .select("section", cols.key, "_m.metric", "_m.value"))
 
 
 def hour_rollup(f: DataFrame, n: int = P.LATEST_HOURS, cols: Cols = DEFAULT) -> DataFrame:
