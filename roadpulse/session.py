@@ -47,20 +47,25 @@ def get_session(app: str = "roadpulse", master: str | None = None,
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder for checkpoints and intermediate tables under the cluster's
-    shared ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
-    The setting is read from the session. Only when it is unset (local tests)
+    Read from the session (``spark.checkpoint.dir`` or the context's
+    checkpoint dir). Only when neither is set and the master is local (tests)
     is a fresh local folder created and registered as the checkpoint dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="roadpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, "roadpulse", name) if "://" not in base else f"{base.rstrip('/')}/roadpulse/{name}"
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="roadpulse-ckpt-"))
+        base = sc.getCheckpointDir()
+    return base
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A folder for stream checkpoints and intermediate tables under the
+    shared checkpoint root."""
+    base = checkpoint_root(spark).rstrip("/")
+    return f"{base}/roadpulse/{name}"

@@ -92,3 +92,17 @@ def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
     end = F.lit(as_of_ts).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {int(days)} DAYS")
     return (F.col(cols.time) >= start) & (F.col(cols.time) < end)
+
+
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """Stored facts table (parquet partitioned by event_date, optionally by
+    batch_id from the streaming sink). Day filters prune partitions.
+    Congestion in integer hundredths is derived from the stored index."""
+    df = spark.read.parquet(path)
+    if DEFAULT.x100 not in df.columns:
+        df = df.withColumn(DEFAULT.x100, X.x100_from_index(DEFAULT.congestion))
+    return df
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

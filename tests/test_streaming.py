@@ -136,6 +136,8 @@ def test_stream_event_time_is_watermarkable(spark, tmp):
 
 
 def test_shared_dir_uses_session_setting(spark):
+    from roadpulse.session import checkpoint_root
     d = shared_dir(spark, "x")
-    assert d.endswith(os.path.join("roadpulse", "x"))
-    assert spark.conf.get("spark.checkpoint.dir") in d
+    assert d.endswith("/roadpulse/x")
+    assert d.startswith(checkpoint_root(spark).rstrip("/"))
+    assert shared_dir(spark, "x") == d
