@@ -228,3 +228,19 @@ WITH {HOURLY_SQL}, ranked AS (
 @register("daily_report", oracle=DAILY_REPORT_SQL + "\nSELECT * FROM report")
 def q_daily_report(spark, sf_dir):
     return daily_report(facts(spark, sf_dir))
+
+
+def intervention_count(report: DataFrame) -> DataFrame:
+    """Sensors needing intervention per report date (from a daily report)."""
+    return report.groupBy("report_date").agg(
+        F.count_if(F.col("requires_intervention")).alias("sensors_requiring_intervention"),
+        F.count(F.lit(1)).alias("sensors_reported"))
+
+
+@register("intervention_count", oracle=DAILY_REPORT_SQL + """
+SELECT report_date,
+       COUNT(*) FILTER (WHERE requires_intervention) AS sensors_requiring_intervention,
+       COUNT(*) AS sensors_reported
+FROM report GROUP BY report_date""")
+def q_intervention_count(spark, sf_dir):
+    return intervention_count(daily_report(facts(spark, sf_dir)))

@@ -237,3 +237,10 @@ SELECT report_date, sensor_id, peak_hour, peak_hour_vehicle_count, total_daily_v
 FROM report ORDER BY report_date DESC, sensor_id LIMIT {P.RECENT_REPORTS}""")
 def q_recent_daily_reports(spark, sf_dir):
     return recent_daily_reports(facts(spark, sf_dir))
+
+
+@register("latest_alerts", oracle=f"""
+SELECT event_id, sensor_id, event_time, vehicle_count, avg_speed, congestion_index
+FROM alerts ORDER BY event_time DESC, event_id DESC LIMIT {P.LATEST_EVENTS}""")
+def q_latest_alerts(spark, sf_dir):
+    return recent(alerts_of(facts(spark, sf_dir)), P.LATEST_EVENTS)

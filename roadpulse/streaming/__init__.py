@@ -1,4 +1,4 @@
 from roadpulse.streaming.pipeline import (  # noqa: F401
     dedup_events, enrich_stream, kafka_source, latest_status_stream, read_wire_files,
-    start_fact_sinks, start_windows, watermark_drops,
+    latest_windows, start_fact_sinks, start_windows, watermark_drops, window_update_sink,
 )

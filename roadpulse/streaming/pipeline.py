@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +26,8 @@ from roadpulse.schema import ALERT_COLUMNS, FACT_COLUMNS
 from roadpulse.sources.telemetry import enrich
 from roadpulse.sources.wire import decode_wire
 
+log = logging.getLogger("roadpulse.streaming")
+
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest", fail_on_data_loss: bool = False) -> DataFrame:
@@ -65,15 +69,24 @@ def dedup_events(enriched: DataFrame, delay: str = P.WATERMARK) -> DataFrame:
     return enriched.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
+BATCH_COUNTS: dict[int, dict] = {}
+
+
 def _write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: str) -> None:
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
         tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        # Row counts ride along with the write (no second job over the batch).
+        counts = Observation(f"facts_batch_{batch_id}")
         (tagged.select(*FACT_COLUMNS, "processing_time", "batch_id")
+               .observe(counts, F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.coalesce(F.col("traffic_status"), F.lit(False))).alias("critical"))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("event_date", "batch_id").parquet(facts_path))
+        BATCH_COUNTS[batch_id] = counts.get
+        log.info("batch %s: %s", batch_id, BATCH_COUNTS[batch_id])
         (tagged.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id")
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("event_date", "batch_id").parquet(alerts_path))
@@ -142,3 +155,28 @@ def watermark_drops(query: StreamingQuery) -> int:
             v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
             total += int(v or 0)
     return total
+
+
+WINDOW_KEY = ["window_start", "sensor_id"]
+
+
+def window_update_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch callback for update-mode windows: every emitted version of
+    a window is appended under partition (window_date, batch_id); replaying a
+    batch overwrites its own partition. Read with ``latest_windows``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("window_date", F.to_date("window_start"))
+              .withColumn("batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("window_date", "batch_id").parquet(path))
+    return write
+
+
+def latest_windows(spark: SparkSession, path: str) -> DataFrame:
+    """Current value of each (window, sensor): the version from the highest
+    batch id (grouped max_by, partially aggregated)."""
+    versions = spark.read.parquet(path)
+    values = [c for c in versions.columns if c not in (*WINDOW_KEY, "window_date", "batch_id")]
+    return (versions.groupBy(*WINDOW_KEY)
+                    .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
+                    .select(*WINDOW_KEY, "_v.*"))

@@ -141,3 +141,36 @@ def test_shared_dir_uses_session_setting(spark):
     assert d.endswith("/roadpulse/x")
     assert d.startswith(checkpoint_root(spark).rstrip("/"))
     assert shared_dir(spark, "x") == d
+
+
+def test_update_mode_log_gives_final_windows(spark, tmp):
+    from roadpulse.streaming import latest_windows, window_update_sink
+    src = os.path.join(tmp, "in")
+    batches = in_order_batches()
+    # a second reading for an early window arrives in the next file (within the watermark)
+    batches[1].insert(0, message("J1", BASE + dt.timedelta(minutes=19, seconds=30), 77, 20))
+    write_files(src, batches)
+    stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+    out = os.path.join(tmp, "wlog")
+    q = start_windows(stream, checkpoint=os.path.join(tmp, "ck"), output_mode="update",
+                      on_batch=window_update_sink(out), trigger={"availableNow": True})
+    run(q)
+    got = latest_windows(spark, out)
+    batch = enrich_stream(spark.read.text(src))
+    expected = window_measures(batch, "5 minutes")
+    cols = sorted(expected.columns)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, expected.select(*cols).collect()))
+    versions = spark.read.parquet(out).filter(F.col("window_start") == F.lit(BASE + dt.timedelta(minutes=15)))
+    assert versions.select("batch_id").distinct().count() >= 2
+
+
+def test_fact_sink_batch_counts(spark, tmp):
+    from roadpulse.streaming.pipeline import BATCH_COUNTS
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    BATCH_COUNTS.clear()
+    stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+    run(start_fact_sinks(stream, os.path.join(tmp, "f"), os.path.join(tmp, "a"), os.path.join(tmp, "ck"),
+                         trigger={"availableNow": True}))
+    assert sum(c["rows"] for c in BATCH_COUNTS.values()) == 60
+    assert sorted(BATCH_COUNTS) == [0, 1, 2]
