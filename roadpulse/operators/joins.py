@@ -1,4 +1,4 @@
-"""Joins with zero fill, dense hour grids and hourly resampling.
+"""Zero-fill joins and join-free gap filling (dense hour grids, hourly resampling).
 
 No join here is hinted to broadcast: every side is an aggregate whose size
 depends on the data (number of sensors, span of time), so the choice is left
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,21 +23,44 @@ def left_fill(left: DataFrame, right: DataFrame, on: Sequence[str], fill: dict[s
     return joined
 
 
-def hour_grid(keys: DataFrame, key_cols: Sequence[str], hours: int = 24,
-              hour_col: str = "hour_of_day") -> DataFrame:
-    """Every key x hour 0..hours-1, generated per key row (no cross join)."""
-    return keys.select(*key_cols, F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias(hour_col))
+def fill_gaps(agg: DataFrame, key_cols: Sequence[str], pos: str, fill: dict[str, object],
+              step: int | str = 1, lo=None, hi=None) -> DataFrame:
+    """Dense positions per key from an aggregate with one row per (key, pos).
+
+    Each row is expanded to itself plus the empty positions up to the next
+    row of its key (``lead``); the first row of a key also covers ``lo`` up to
+    itself and the last row covers up to ``hi`` (when given; otherwise a key
+    spans its own first to last position). Missing measures take ``fill``.
+    No join and no second pass over the input: the window runs on the
+    aggregate, whose rows per key are bounded by the output it produces.
+
+    ``step`` is an integer for integer positions or an interval string such
+    as ``"1 HOUR"`` for timestamps.
+    """
+    w = Window.partitionBy(*key_cols).orderBy(pos)
+    p = F.col(pos)
+    if isinstance(step, str):
+        delta = F.expr(f"INTERVAL {step}")
+        seq = lambda a, b: F.sequence(a, b, delta)
+    else:
+        delta = F.lit(step)
+        seq = lambda a, b: F.sequence(a, b, F.lit(step))
+    nxt, prv = F.lead(p).over(w), F.lag(p).over(w)
+    start = p if lo is None else F.when(prv.isNull(), F.lit(lo)).otherwise(p)
+    end = F.when(nxt.isNotNull(), nxt - delta).otherwise(p if hi is None else F.lit(hi))
+    bounded = agg.withColumn("_start", start).withColumn("_end", end)
+    spread = bounded.withColumn("_pos", F.explode(seq(F.col("_start"), F.col("_end"))))
+    measures = [c for c in agg.columns if c not in (*key_cols, pos)]
+    return spread.select(
+        *key_cols, F.col("_pos").alias(pos),
+        *[F.when(F.col("_pos") == p, F.col(m)).otherwise(F.lit(fill.get(m))).alias(m) for m in measures])
 
 
 def densify_hours(agg: DataFrame, key_cols: Sequence[str], fill: dict[str, object],
                   hours: int = 24, hour_col: str = "hour_of_day") -> DataFrame:
-    """Dense key x hour table from a per-(key, hour) aggregate; gaps -> fill.
-
-    The key list is taken from the aggregate itself (keys present), so the
-    grid grows with the output, never with the raw rows.
-    """
-    keys = agg.select(*key_cols).distinct()
-    return left_fill(hour_grid(keys, key_cols, hours, hour_col), agg, [*key_cols, hour_col], fill)
+    """Dense key x hour 0..hours-1 table from a per-(key, hour) aggregate;
+    keys are those present in the aggregate, gaps take ``fill``."""
+    return fill_gaps(agg, key_cols, hour_col, fill, 1, 0, hours - 1)
 
 
 def resample_hourly(df: DataFrame, key: str, time: str, measure: str,
@@ -47,7 +70,4 @@ def resample_hourly(df: DataFrame, key: str, time: str, measure: str,
     out_measure = out_measure or measure
     bucket = F.date_trunc("hour", F.col(time)).cast("timestamp_ntz")
     summed = df.groupBy(key, bucket.alias(out_time)).agg(F.sum(measure).cast("long").alias(out_measure))
-    span = summed.groupBy(key).agg(F.min(out_time).alias("_lo"), F.max(out_time).alias("_hi"))
-    grid = span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(out_time))
-    return left_fill(grid, summed, [key, out_time], {out_measure: 0}) \
-        .select(key, out_time, F.col(out_measure).cast("long").alias(out_measure))
+    return fill_gaps(summed, [key], out_time, {out_measure: 0}, "1 HOUR")
