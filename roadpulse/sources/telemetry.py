@@ -44,7 +44,8 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     sensor_id = "J" + (user_id % 20 + 1); event_time = ts;
     vehicle_count = floor(value) + 10; avg_speed = props.k % 58 + 3.
     """
-    k = F.from_json(F.col("props"), "k INT").getField("k")
+    # Extract one field as text, then cast (NULL when missing or not an integer).
+    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     return events.select(
         F.col("event_id"),
         F.concat(F.lit("J"), (F.col("user_id") % P.SENSOR_BUCKETS + 1).cast("string")).alias("sensor_id"),
