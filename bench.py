@@ -1,7 +1,8 @@
 """Benchmark: every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query runs its whole plan into the ``noop`` sink (no collect), one
-warm-up then the median of $BENCH_RUNS timed runs. Prints one JSON line.
+Each query runs its whole plan into the ``noop`` sink (no collect). One
+untimed warm-up round over all queries, then $BENCH_RUNS (default 5) timed
+rounds; each query's median is reported. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -21,23 +22,23 @@ from roadpulse.session import get_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_session("roadpulse-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
     registry.load_all()
     names = [n for n in registry.QUERIES if not only or n in only]
-    timings: dict[str, float] = {}
-    for name in names:
-        fn = registry.QUERIES[name]
-        samples = []
-        for i in range(runs + 1):
+    samples: dict[str, list[float]] = {n: [] for n in names}
+    # Round 0 warms the JVM (class loading, codegen, JIT) and is not timed;
+    # then every round runs each query once, so warm-up is spread evenly.
+    for rnd in range(runs + 1):
+        for name in names:
             t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(samples), 4)
+            registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            if rnd:
+                samples[name].append(time.perf_counter() - t0)
+    timings = {n: round(statistics.median(v), 4) for n, v in samples.items()}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",

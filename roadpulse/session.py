@@ -16,11 +16,17 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Static: a serving session runs dozens of distinct plans; keep their
+    # generated classes instead of recompiling (default cache: 100 entries).
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+STATIC_SQL = {"spark.sql.codegen.cache.maxEntries"}
+
+
 def get_session(app: str = "roadpulse", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
@@ -42,7 +48,7 @@ def get_session(app: str = "roadpulse", master: str | None = None,
     spark = builder.getOrCreate()
     # getOrCreate returns an existing session unchanged: apply SQL settings.
     for key, value in conf.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and key not in STATIC_SQL:
             spark.conf.set(key, value)
     return spark
 
