@@ -10,13 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-# Canonical telemetry view and derived facts/alerts, in SQL.
+# Canonical telemetry view and derived facts/alerts, in SQL. Dates are ISO
+# text, matching ``present`` on the Spark side.
 PRELUDE = """
 WITH telemetry AS (
     SELECT event_id,
@@ -31,7 +34,7 @@ WITH telemetry AS (
            CAST((200 * vehicle_count + avg_speed) // (2 * avg_speed) AS BIGINT) / 100 AS congestion_index,
            avg_speed < 10 AS traffic_status,
            CAST(hour(event_time) AS INTEGER) AS hour_of_day,
-           CAST(event_time AS DATE) AS event_date
+           strftime(event_time, '%Y-%m-%d') AS event_date
     FROM telemetry t
 ), alerts AS (
     SELECT * FROM facts WHERE traffic_status
@@ -61,11 +64,21 @@ def sql(body: str) -> str:
     return PRELUDE + "\n" + b
 
 
+def present(df: DataFrame) -> DataFrame:
+    """Output form of a registered query: DATE columns as ISO text
+    ('yyyy-MM-dd'), the way reports and exports show them; other types
+    unchanged. Operators themselves keep DATE (partitioning, pruning)."""
+    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+                       if isinstance(f.dataType, T.DateType) else F.col(f.name) for f in df.schema.fields])
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: present(fn(spark, sf_dir))
         if oracle is not None:
             ORACLE[name] = sql(oracle)
         return fn
