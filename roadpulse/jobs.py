@@ -5,6 +5,8 @@
   recommendations CSV.
 - ``reports``: whole-history peak-hour table (CSV), trailing-days export (CSV,
   partitioned), and the long-format summary metrics table.
+- ``dashboard``: the serving views (latest status, dense hourly stats, recent
+  alerts and reports, day summary, checks) as small tables.
 
 Paths are shared storage; checkpoints default to folders under
 ``spark.checkpoint.dir``.
@@ -64,6 +66,26 @@ def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str
     write_summary(reports.summary_metrics(facts, alerts), os.path.join(out, "summary_metrics"))
 
 
+def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, reports_path: str | None,
+                  out: str, day: dt.date = P.AS_OF_DATE) -> None:
+    """Materialise the dashboard's five views as small tables (re-run on a
+    timer instead of a request per browser poll)."""
+    from roadpulse.operators.quality import ingestion_checks
+    from roadpulse.plans import serving
+    facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
+    views = {
+        "current_status": serving.latest_status(facts),
+        "hourly_stats": serving.hour_grid(facts, day),
+        "critical_alerts": serving.recent(alerts, P.RECENT_ALERTS),
+        "stats_summary": serving.day_summary(facts, day),
+        "checks": ingestion_checks(facts, alerts),
+    }
+    if reports_path:
+        views["daily_reports"] = serving.stored_recent_reports(spark.read.parquet(reports_path))
+    for name, df in views.items():
+        df.write.mode("overwrite").parquet(os.path.join(out, name))
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     sub = ap.add_subparsers(dest="job", required=True)
@@ -86,6 +108,12 @@ def main(argv=None) -> None:
     r.add_argument("--out", required=True)
     r.add_argument("--as-of", type=dt.datetime.fromisoformat, default=P.AS_OF_TS)
     r.add_argument("--days", type=int, default=P.TRAILING_DAYS)
+    d = sub.add_parser("dashboard")
+    d.add_argument("--facts", required=True)
+    d.add_argument("--alerts", required=True)
+    d.add_argument("--reports")
+    d.add_argument("--out", required=True)
+    d.add_argument("--day", type=dt.date.fromisoformat, default=P.AS_OF_DATE)
     a = ap.parse_args(argv)
     spark = get_session(f"roadpulse-{a.job}")
     if a.job == "stream":
@@ -95,6 +123,8 @@ def main(argv=None) -> None:
             q.awaitTermination()
     elif a.job == "nightly":
         run_nightly(spark, a.facts, a.reports, a.csv, a.as_of)
+    elif a.job == "dashboard":
+        run_dashboard(spark, a.facts, a.alerts, a.reports, a.out, a.day)
     else:
         run_reports(spark, a.facts, a.alerts, a.out, a.as_of, a.days)
 

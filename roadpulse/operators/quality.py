@@ -72,3 +72,33 @@ def reconcile_alerts(facts: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT)
         F.coalesce("alert_rows", F.lit(0)).alias("alert_rows"),
         (F.coalesce("alert_rows", F.lit(0)) - F.coalesce("flagged_facts", F.lit(0))).alias("difference"),
     )
+
+
+def ingestion_checks(facts: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """Operational checks as rows (check_name, value, passed), in one aggregation
+    over facts and alerts together (a narrow union, no join):
+
+    - fact_rows > 0 (data is flowing)
+    - alert_rows (informational)
+    - sensors_reporting, hours_reporting (informational)
+    - flagged_minus_alerts == 0 (alerts table matches the critical flag)
+    """
+    tagged = (facts.select(F.lit(True).alias("_fact"), F.col(cols.key), F.col(cols.hour),
+                           F.coalesce(F.col(cols.flag), F.lit(False)).alias("_flag"))
+              .unionByName(alerts.select(F.lit(False).alias("_fact"), F.col(cols.key),
+                                         F.lit(None).cast("int").alias(cols.hour), F.lit(False).alias("_flag"))))
+    g = tagged.agg(
+        F.count_if(F.col("_fact")).alias("fact_rows"),
+        F.count_if(~F.col("_fact")).alias("alert_rows"),
+        F.count_distinct(F.when(F.col("_fact"), F.col(cols.key))).alias("sensors_reporting"),
+        F.count_distinct(F.when(F.col("_fact"), F.col(cols.hour))).alias("hours_reporting"),
+        F.count_if(F.col("_flag")).alias("flagged_rows"),
+    )
+    return g.select(F.expr(
+        "stack(5, "
+        "'fact_rows', fact_rows, fact_rows > 0, "
+        "'alert_rows', alert_rows, true, "
+        "'sensors_reporting', sensors_reporting, true, "
+        "'hours_reporting', hours_reporting, true, "
+        "'flagged_minus_alerts', flagged_rows - alert_rows, flagged_rows = alert_rows"
+        ") AS (check_name, value, passed)"))

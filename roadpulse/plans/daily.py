@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse import params as P
 from roadpulse.functions import exprs as X
 from roadpulse.operators import aggregates as A
 from roadpulse.operators import rules as R
@@ -169,25 +170,25 @@ def q_peak_hours(spark, sf_dir):
 
 
 # Rule predicate on a row of exact sums, and half-up fixed-point texts.
-RULE_SQL = """(CAST(x100_sum AS DOUBLE) / (x100_n * 100) > 5.0
-        OR critical_count > 10
-        OR CAST(speed_sum AS DOUBLE) / speed_n < 15)"""
+RULE_SQL = f"""(CAST(x100_sum AS DOUBLE) / (x100_n * 100) > {P.CONGESTION_LIMIT}
+        OR critical_count > {P.ALERT_LIMIT}
+        OR CAST(speed_sum AS DOUBLE) / speed_n < {P.LOW_SPEED_LIMIT})"""
 
-REASONS_SQL = """CASE WHEN concat_ws(' | ',
-            CASE WHEN CAST(x100_sum AS DOUBLE) / (x100_n * 100) > 5.0 THEN
+REASONS_SQL = f"""CASE WHEN concat_ws('{P.REASON_SEPARATOR}',
+            CASE WHEN CAST(x100_sum AS DOUBLE) / (x100_n * 100) > {P.CONGESTION_LIMIT} THEN
                  'High congestion index: ' || CAST((2 * x100_sum + x100_n) // (2 * x100_n) // 100 AS VARCHAR)
                  || '.' || lpad(CAST((2 * x100_sum + x100_n) // (2 * x100_n) % 100 AS VARCHAR), 2, '0') END,
-            CASE WHEN critical_count > 10 THEN 'Multiple alerts: ' || CAST(critical_count AS VARCHAR) END,
-            CASE WHEN CAST(speed_sum AS DOUBLE) / speed_n < 15 THEN
+            CASE WHEN critical_count > {P.ALERT_LIMIT} THEN 'Multiple alerts: ' || CAST(critical_count AS VARCHAR) END,
+            CASE WHEN CAST(speed_sum AS DOUBLE) / speed_n < {P.LOW_SPEED_LIMIT} THEN
                  'Low average speed: ' || CAST((20 * speed_sum + speed_n) // (2 * speed_n) // 10 AS VARCHAR)
                  || '.' || CAST((20 * speed_sum + speed_n) // (2 * speed_n) % 10 AS VARCHAR) || ' km/h' END) = ''
-       THEN 'Normal traffic flow'
-       ELSE concat_ws(' | ',
-            CASE WHEN CAST(x100_sum AS DOUBLE) / (x100_n * 100) > 5.0 THEN
+       THEN '{P.NORMAL_FLOW}'
+       ELSE concat_ws('{P.REASON_SEPARATOR}',
+            CASE WHEN CAST(x100_sum AS DOUBLE) / (x100_n * 100) > {P.CONGESTION_LIMIT} THEN
                  'High congestion index: ' || CAST((2 * x100_sum + x100_n) // (2 * x100_n) // 100 AS VARCHAR)
                  || '.' || lpad(CAST((2 * x100_sum + x100_n) // (2 * x100_n) % 100 AS VARCHAR), 2, '0') END,
-            CASE WHEN critical_count > 10 THEN 'Multiple alerts: ' || CAST(critical_count AS VARCHAR) END,
-            CASE WHEN CAST(speed_sum AS DOUBLE) / speed_n < 15 THEN
+            CASE WHEN critical_count > {P.ALERT_LIMIT} THEN 'Multiple alerts: ' || CAST(critical_count AS VARCHAR) END,
+            CASE WHEN CAST(speed_sum AS DOUBLE) / speed_n < {P.LOW_SPEED_LIMIT} THEN
                  'Low average speed: ' || CAST((20 * speed_sum + speed_n) // (2 * speed_n) // 10 AS VARCHAR)
                  || '.' || CAST((20 * speed_sum + speed_n) // (2 * speed_n) % 10 AS VARCHAR) || ' km/h' END)
        END"""

@@ -110,3 +110,23 @@ SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
 FROM facts GROUP BY 1, 2, sensor_id""")
 def q_tumbling_5min(spark, sf_dir):
     return A.window_measures(facts(spark, sf_dir), P.WINDOW)
+
+
+@register("ingestion_checks", oracle="""
+WITH g AS (
+    SELECT (SELECT COUNT(*) FROM facts) AS fact_rows,
+           (SELECT COUNT(*) FROM alerts) AS alert_rows,
+           (SELECT COUNT(DISTINCT sensor_id) FROM facts) AS sensors_reporting,
+           (SELECT COUNT(DISTINCT hour_of_day) FROM facts) AS hours_reporting,
+           (SELECT COUNT(*) FILTER (WHERE traffic_status) FROM facts) AS flagged_rows
+)
+SELECT m.check_name, m.value, m.passed
+FROM g, LATERAL (VALUES ('fact_rows', fact_rows, fact_rows > 0),
+                        ('alert_rows', alert_rows, true),
+                        ('sensors_reporting', sensors_reporting, true),
+                        ('hours_reporting', hours_reporting, true),
+                        ('flagged_minus_alerts', flagged_rows - alert_rows, flagged_rows = alert_rows))
+     AS m(check_name, value, passed)""")
+def q_ingestion_checks(spark, sf_dir):
+    f = facts(spark, sf_dir)
+    return Q.ingestion_checks(f, alerts_of(f))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadpulse import params as P
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -20,19 +22,19 @@ ORACLE: dict[str, str] = {}
 
 # Canonical telemetry view and derived facts/alerts, in SQL. Dates are ISO
 # text, matching ``present`` on the Spark side.
-PRELUDE = """
+PRELUDE = f"""
 WITH telemetry AS (
     SELECT event_id,
-           'J' || CAST(user_id % 20 + 1 AS VARCHAR) AS sensor_id,
+           'J' || CAST(user_id % {P.SENSOR_BUCKETS} + 1 AS VARCHAR) AS sensor_id,
            ts AS event_time,
-           CAST(floor(value) AS INTEGER) + 10 AS vehicle_count,
-           CAST(json_extract_string(props, '$.k') AS INTEGER) % 58 + 3 AS avg_speed
+           CAST(floor(value) AS INTEGER) + {P.COUNT_OFFSET} AS vehicle_count,
+           TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % {P.SPEED_MODULUS} + {P.SPEED_OFFSET} AS avg_speed
     FROM events
 ), facts AS (
     SELECT t.*,
            CAST((200 * vehicle_count + avg_speed) // (2 * avg_speed) AS BIGINT) AS congestion_x100,
            CAST((200 * vehicle_count + avg_speed) // (2 * avg_speed) AS BIGINT) / 100 AS congestion_index,
-           avg_speed < 10 AS traffic_status,
+           avg_speed < {P.CRITICAL_SPEED} AS traffic_status,
            CAST(hour(event_time) AS INTEGER) AS hour_of_day,
            strftime(event_time, '%Y-%m-%d') AS event_date
     FROM telemetry t

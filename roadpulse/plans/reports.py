@@ -107,13 +107,11 @@ def speed_band_by_sensor(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 
 def hour_band_profile(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Per sensor and hour band (rush / midday / night / normal)."""
-    s = A.measure_sums(f.withColumn("hour_band", X.hour_band(cols.hour)), [cols.key, "hour_band"], cols)
-    mult = (F.when(F.col("hour_band") == "rush", F.lit(1.8))
-             .when(F.col("hour_band") == "midday", F.lit(1.2))
-             .when(F.col("hour_band") == "night", F.lit(0.4))
-             .otherwise(F.lit(1.0)))
+    banded = f.withColumn("hour_band", X.hour_band(cols.hour)) \
+              .withColumn("multiplier", X.hour_band_multiplier(cols.hour))
+    s = A.measure_sums(banded, [cols.key, "hour_band", "multiplier"], cols)
     return s.select(
-        F.col(cols.key), F.col("hour_band"), mult.alias("multiplier"),
+        F.col(cols.key), F.col("hour_band"), F.col("multiplier"),
         F.col("record_count"), F.col("vehicle_sum").alias("total_vehicles"),
         A.avg_vehicles().alias("avg_vehicles"),
     )
@@ -243,7 +241,7 @@ WITH hs AS (
            CAST(t_speed_sum AS DOUBLE) / t_speed_n AS spd
     FROM peak p LEFT JOIN pa a USING (sensor_id) WHERE rn = 1
 ), r AS (
-    SELECT *, (cong > 5.0 OR alerts_n > 10 OR spd < 15) AS req FROM j
+    SELECT *, (cong > {P.CONGESTION_LIMIT} OR alerts_n > {P.ALERT_LIMIT} OR spd < {P.LOW_SPEED_LIMIT}) AS req FROM j
 )
 SELECT sensor_id,
        replace(sensor_id, '_', ' ') AS junction,
@@ -356,16 +354,17 @@ def q_speed_band_by_sensor(spark, sf_dir):
     return speed_band_by_sensor(facts(spark, sf_dir))
 
 
-@register("hour_band_profile", oracle="""
+_band_case = " ".join(f"WHEN hour_of_day IN {tuple(hours)} THEN '{name}'" for name, _m, hours in P.HOUR_BANDS)
+_mult_case = " ".join(f"WHEN '{name}' THEN {m}" for name, m, _h in P.HOUR_BANDS)
+
+
+@register("hour_band_profile", oracle=f"""
 WITH b AS (
-    SELECT *, CASE WHEN hour_of_day IN (7, 8, 9, 17, 18, 19) THEN 'rush'
-                   WHEN hour_of_day BETWEEN 10 AND 16 THEN 'midday'
-                   WHEN hour_of_day >= 22 OR hour_of_day <= 5 THEN 'night'
-                   ELSE 'normal' END AS hour_band
+    SELECT *, CASE {_band_case} ELSE '{P.DEFAULT_BAND[0]}' END AS hour_band
     FROM facts
 )
 SELECT sensor_id, hour_band,
-       CASE hour_band WHEN 'rush' THEN 1.8 WHEN 'midday' THEN 1.2 WHEN 'night' THEN 0.4 ELSE 1.0 END::DOUBLE AS multiplier,
+       CAST(CASE hour_band {_mult_case} ELSE {P.DEFAULT_BAND[1]} END AS DOUBLE) AS multiplier,
        COUNT(*) AS record_count,
        CAST(SUM(vehicle_count) AS BIGINT) AS total_vehicles,
        CAST(SUM(vehicle_count) AS DOUBLE) / COUNT(vehicle_count) AS avg_vehicles

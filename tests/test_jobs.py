@@ -41,3 +41,13 @@ def test_stream_nightly_reports(spark, tmp):
     sm = spark.read.parquet(os.path.join(out, "summary_metrics"))
     assert sm.filter((F.col("metric") == "total_records")).first().value == 60.0
     assert spark.read.option("header", True).csv(os.path.join(out, "trailing_export")).count() == 60
+
+    dash = os.path.join(tmp, "dash")
+    jobs.run_dashboard(spark, facts, alerts, reports_path, dash, day)
+    assert spark.read.parquet(os.path.join(dash, "current_status")).count() == 3
+    assert spark.read.parquet(os.path.join(dash, "hourly_stats")).count() == 3 * 24
+    assert spark.read.parquet(os.path.join(dash, "daily_reports")).count() == 3
+    summary = spark.read.parquet(os.path.join(dash, "stats_summary")).first()
+    assert summary.total_records == 60
+    checks = {r.check_name: r.passed for r in spark.read.parquet(os.path.join(dash, "checks")).collect()}
+    assert all(checks.values()) and len(checks) == 5
