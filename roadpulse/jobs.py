@@ -60,7 +60,8 @@ def run_nightly(spark: SparkSession, facts_path: str, reports_path: str, csv_pat
 def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str,
                 as_of_ts: dt.datetime = P.AS_OF_TS, days: int = P.TRAILING_DAYS) -> None:
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
-    export_csv(reports.peak_hour_analysis(facts, alerts), os.path.join(out, "peak_hour_analysis"))
+    export_csv(reports.analysis_table(reports.peak_hour_analysis(facts, alerts)),
+               os.path.join(out, "peak_hour_analysis"))
     export_csv(reports.trailing_days(facts, as_of_ts, days), os.path.join(out, "trailing_export"),
                partition_by="hour_of_day", order_by=["event_time"])
     write_summary(reports.summary_metrics(facts, alerts), os.path.join(out, "summary_metrics"))

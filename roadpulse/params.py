@@ -16,6 +16,9 @@ Fixed values (must equal the behaviour being reproduced; stated plainly):
 - reason texts, joined by " | ":
   "High congestion index: %.2f", "Multiple alerts: %d",
   "Low average speed: %.1f km/h"; none -> "Normal traffic flow"
+- peak-hour analysis table headers, in order: Junction, Peak Hour,
+  Peak Vehicles, Total Vehicles, Avg Speed (km/h), Avg Congestion Index,
+  Critical Alerts, Intervention Required, Recommendation
 - recommendation texts:
   "URGENT: Deploy traffic police immediately"
   "HIGH: Deploy traffic police during peak hours"
@@ -51,6 +54,9 @@ TIER_HIGH = "HIGH: Deploy traffic police during peak hours"
 TIER_MEDIUM = "MEDIUM: Monitor closely, consider deployment"
 TIER_LOW = "LOW: Continue monitoring"
 
+ANALYSIS_HEADERS = ("Junction", "Peak Hour", "Peak Vehicles", "Total Vehicles", "Avg Speed (km/h)",
+                    "Avg Congestion Index", "Critical Alerts", "Intervention Required", "Recommendation")
+
 # Hour bands: (name, multiplier, hours). Order is the evaluation order.
 HOUR_BANDS = (
     ("rush", 1.8, (7, 8, 9, 17, 18, 19)),

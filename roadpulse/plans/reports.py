@@ -63,6 +63,14 @@ def peak_hour_analysis(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) ->
     )
 
 
+def analysis_table(analysis: DataFrame) -> DataFrame:
+    """The peak-hour analysis with the published table's column headers, one
+    row per sensor in sensor order (for the CSV export)."""
+    cols = ["junction", "peak_hour", "peak_vehicles", "total_vehicles", "avg_speed",
+            "avg_congestion_index", "critical_alerts", "intervention_required", "recommendation"]
+    return analysis.orderBy("sensor_id").select(*[F.col(c).alias(h) for c, h in zip(cols, P.ANALYSIS_HEADERS)])
+
+
 def volume_by_hour(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     return f.groupBy(cols.hour, cols.key).agg(F.sum(cols.count).cast("long").alias("total_vehicles"))
 

@@ -27,19 +27,31 @@ BASE_CONF = {
 STATIC_SQL = {"spark.sql.codegen.cache.maxEntries"}
 
 
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(app: str = "roadpulse", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                rocksdb_state: bool = False) -> SparkSession:
     """Return a session configured for roadpulse.
 
     On a cluster, leave ``master`` unset and let spark-submit supply it;
     ``shuffle_partitions`` should then be sized so one shuffle partition
-    holds roughly 128-256 MB (AQE coalesces the rest).
+    holds roughly 128-256 MB (AQE coalesces the rest). ``rocksdb_state``
+    keeps streaming state in RocksDB instead of the executor heap.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if rocksdb_state:
+        # Streaming state off the JVM heap (many windows x sensors).
+        conf.update(ROCKSDB_STATE)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -174,3 +174,26 @@ def test_fact_sink_batch_counts(spark, tmp):
                          trigger={"availableNow": True}))
     assert sum(c["rows"] for c in BATCH_COUNTS.values()) == 60
     assert sorted(BATCH_COUNTS) == [0, 1, 2]
+
+
+def test_windows_with_rocksdb_state(spark, tmp):
+    from roadpulse.session import ROCKSDB_STATE
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    old = {k: spark.conf.get(k, None) for k in ROCKSDB_STATE}
+    for k, v in ROCKSDB_STATE.items():
+        spark.conf.set(k, v)
+    try:
+        stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+        out = os.path.join(tmp, "windows")
+        run(start_windows(stream, checkpoint=os.path.join(tmp, "ck"), path=out, trigger={"availableNow": True}))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    batch = enrich_stream(spark.read.text(src))
+    max_t = batch.agg(F.max("event_time")).first()[0]
+    expected = window_measures(batch, "5 minutes").filter(
+        F.col("window_end") <= F.lit(max_t - dt.timedelta(minutes=10)))
+    cols = sorted(expected.columns)
+    got = spark.read.parquet(out).select(*cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*cols).collect()))
