@@ -44,9 +44,9 @@ def test_critical_flag_is_strict(spark):
 
 
 def test_labels(spark):
-    r = one(spark, X.label(F.lit("J1_Galle_Road")), X.hour_label(F.lit(3)), X.hour_label(F.lit(3), padded=True),
+    r = one(spark, X.label(F.lit("J1_North_Gate")), X.hour_label(F.lit(3)), X.hour_label(F.lit(3), padded=True),
             X.yes_no(F.lit(True)), X.yes_no(F.lit(False)))
-    assert list(r) == ["J1 Galle Road", "3:00", "03:00", "YES", "NO"]
+    assert list(r) == ["J1 North Gate", "3:00", "03:00", "YES", "NO"]
 
 
 def test_hour_bands_cover_every_hour(spark):

@@ -50,9 +50,9 @@ def test_csv_exports(spark, telemetry, tmp):
 
 def test_analysis_csv_matches_published_layout(spark, telemetry, tmp):
     # Header and row format of the published peak-hour table.
-    f = telemetry([(1, "J1_Galle_Road", "2024-01-15 03:10:00", 100, 40),
-                   (2, "J1_Galle_Road", "2024-01-15 03:20:00", 50, 20),
-                   (3, "J1_Galle_Road", "2024-01-15 05:20:00", 20, 8)])
+    f = telemetry([(1, "J1_North_Gate", "2024-01-15 03:10:00", 100, 40),
+                   (2, "J1_North_Gate", "2024-01-15 03:20:00", 50, 20),
+                   (3, "J1_North_Gate", "2024-01-15 05:20:00", 20, 8)])
     path = os.path.join(tmp, "analysis")
     export_csv(reports.analysis_table(reports.peak_hour_analysis(f, alerts_of(f))), path)
     part = [p for p in os.listdir(path) if p.endswith(".csv")]
@@ -60,4 +60,4 @@ def test_analysis_csv_matches_published_layout(spark, telemetry, tmp):
     assert lines[0] == ("Junction,Peak Hour,Peak Vehicles,Total Vehicles,Avg Speed (km/h),"
                         "Avg Congestion Index,Critical Alerts,Intervention Required,Recommendation")
     # speed (40+20+8)/3 = 22.67 -> 22.7; congestion (250+250+250)/300 = 2.50; 1 alert
-    assert lines[1] == "J1 Galle Road,3:00,150,170,22.7,2.50,1,NO,LOW: Continue monitoring"
+    assert lines[1] == "J1 North Gate,3:00,150,170,22.7,2.50,1,NO,LOW: Continue monitoring"

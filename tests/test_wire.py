@@ -5,7 +5,7 @@ import datetime as dt
 from roadpulse.operators.quality import split_valid
 from roadpulse.sources.wire import decode_wire
 
-GOOD = '{"sensor_id":"J1_Galle_Road","timestamp":"2026-02-07T17:38:36.973711","vehicle_count":180,"avg_speed":9,"congestion_index":20.0}'
+GOOD = '{"sensor_id":"J1_North_Gate","timestamp":"2026-02-07T17:38:36.973711","vehicle_count":180,"avg_speed":9,"congestion_index":20.0}'
 
 
 def decode(spark, lines):
@@ -14,7 +14,7 @@ def decode(spark, lines):
 
 def test_good_message(spark):
     r = decode(spark, [GOOD]).first()
-    assert r.sensor_id == "J1_Galle_Road" and r.vehicle_count == 180 and r.avg_speed == 9
+    assert r.sensor_id == "J1_North_Gate" and r.vehicle_count == 180 and r.avg_speed == 9
     assert r.congestion_index == 20.0
     assert r.event_time == dt.datetime(2026, 2, 7, 17, 38, 36, 973711)
 
