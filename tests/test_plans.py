@@ -36,3 +36,53 @@ def test_scan_is_column_pruned(spark):
 def test_partial_aggregation_before_shuffle(spark, name):
     p = plan_text(QUERIES[name](spark, SF001))
     assert "partial_" in p
+
+
+# Operators a shuffle may sit on without moving raw rows: aggregates (the
+# partial side of a two-phase aggregation) and per-group limits/windows over
+# already aggregated input.
+REDUCING = ("HashAggregate", "SortAggregate", "ObjectHashAggregate", "WindowGroupLimit", "Window", "Expand")
+PASS_THROUGH = ("Project", "Filter", "WholeStageCodegen", "InputAdapter", "ColumnarToRow", "Sort",
+                "Generate", "Union", "BroadcastHashJoin", "SortMergeJoin")
+
+
+def _children(node):
+    kids = node.children()
+    return [kids.apply(i) for i in range(kids.size())]
+
+
+def _raw_feeds(node):
+    """True when rows reach ``node`` from a file scan with no aggregate or
+    window in between."""
+    name = node.nodeName()
+    if name.startswith("Scan") or "FileScan" in name or name.startswith("BatchScan"):
+        return True
+    if any(name.startswith(r) for r in REDUCING):
+        return False
+    if name.startswith("ShuffleExchange") or name.startswith("Exchange") or name.startswith("BroadcastExchange"):
+        return False  # checked on its own
+    return any(_raw_feeds(c) for c in _children(node))
+
+
+def _hash_exchanges(node, out):
+    """Hash-partitioned shuffles and broadcasts in a physical plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "ShuffleExchangeExec":
+        if node.outputPartitioning().getClass().getSimpleName() == "HashPartitioning":
+            out.append(node)
+    elif kind == "BroadcastExchangeExec":
+        out.append(node)
+    for c in _children(node):
+        _hash_exchanges(c, out)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_raw_rows_shuffled_by_key(spark, name):
+    """Every hash shuffle and every broadcast carries aggregated rows: a hot
+    key never ships its raw rows, and no raw table is broadcast."""
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    for ex in _hash_exchanges(plan, []):
+        assert not _raw_feeds(_children(ex)[0]), f"{name}: raw rows moved by {ex.nodeName()}"
