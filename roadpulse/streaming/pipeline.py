@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse import params as P
 from roadpulse.operators.aggregates import window_measures
+from roadpulse.operators.quality import with_reject_reason
 from roadpulse.schema import ALERT_COLUMNS, FACT_COLUMNS
 from roadpulse.sources.telemetry import enrich
 from roadpulse.sources.wire import decode_wire
@@ -30,14 +31,18 @@ log = logging.getLogger("roadpulse.streaming")
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "latest", fail_on_data_loss: bool = False) -> DataFrame:
-    """Subscribe to a topic (needs the spark-sql-kafka package on the classpath)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", str(fail_on_data_loss).lower())
-            .load())
+                 starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Subscribe to a topic (needs the spark-sql-kafka package on the classpath).
+    ``max_offsets_per_trigger`` bounds each micro-batch (and its state work)."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets)
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
 
 
 def read_wire_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -72,33 +77,53 @@ def dedup_events(enriched: DataFrame, delay: str = P.WATERMARK) -> DataFrame:
 BATCH_COUNTS: dict[int, dict] = {}
 
 
-def _write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: str) -> None:
+def quarantine_path_for(facts_path: str) -> str:
+    """Default quarantine table: a sibling of the facts table."""
+    return facts_path.rstrip("/") + "_quarantine"
+
+
+def _overwrite_batch(df: DataFrame, path: str, part: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(part, "batch_id").parquet(path))
+
+
+def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: str,
+                quarantine_path: str | None = None) -> None:
+    """One micro-batch: valid rows -> facts (all) and alerts (critical); rows
+    failing the NOT NULL / range checks -> quarantine with their reasons.
+    Every write replaces only this batch's partitions, so a replay is exact."""
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
-        tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        # Row counts ride along with the write (no second job over the batch).
+        tagged = with_reject_reason(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        valid = tagged.filter(F.col("reject_reason").isNull())
+        # Row counts ride along with the facts write (no second job over the batch).
         counts = Observation(f"facts_batch_{batch_id}")
-        (tagged.select(*FACT_COLUMNS, "processing_time", "batch_id")
-               .observe(counts, F.count(F.lit(1)).alias("rows"),
-                        F.count_if(F.coalesce(F.col("traffic_status"), F.lit(False))).alias("critical"))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("event_date", "batch_id").parquet(facts_path))
+        _overwrite_batch(valid.select(*FACT_COLUMNS, "processing_time", "batch_id")
+                              .observe(counts, F.count(F.lit(1)).alias("rows"),
+                                       F.count_if(F.coalesce(F.col("traffic_status"), F.lit(False)))
+                                        .alias("critical")),
+                         facts_path, "event_date")
         BATCH_COUNTS[batch_id] = counts.get
         log.info("batch %s: %s", batch_id, BATCH_COUNTS[batch_id])
-        (tagged.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id")
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("event_date", "batch_id").parquet(alerts_path))
+        _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id"),
+                         alerts_path, "event_date")
+        rejected = tagged.filter(F.col("reject_reason").isNotNull())
+        _overwrite_batch(rejected.withColumn("ingest_date", F.to_date("processing_time"))
+                                 .drop("event_date"),
+                         quarantine_path or quarantine_path_for(facts_path), "ingest_date")
     finally:
         batch.unpersist()
 
 
 def start_fact_sinks(enriched: DataFrame, facts_path: str, alerts_path: str, checkpoint: str,
-                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Append every event to the facts table and critical ones to the alerts table."""
+                     trigger: dict | None = None, name: str | None = None,
+                     quarantine_path: str | None = None) -> StreamingQuery:
+    """Append valid events to the facts table, critical ones to the alerts
+    table, and invalid ones (with reasons) to the quarantine table."""
     w = (enriched.writeStream
-         .foreachBatch(lambda df, bid: _write_batch(df, bid, facts_path, alerts_path))
+         .foreachBatch(lambda df, bid: write_batch(df, bid, facts_path, alerts_path, quarantine_path))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -117,21 +142,24 @@ def start_windows(enriched: DataFrame, checkpoint: str, path: str | None = None,
                   delay: str = P.WATERMARK, name: str | None = None) -> StreamingQuery:
     """Start the window aggregate.
 
-    ``append`` emits each window once, when the watermark passes its end,
-    to a parquet file sink (exactly-once). ``update`` emits changed windows
-    every batch to ``on_batch(df, batch_id)``, which should upsert on
+    ``append`` emits each window once, when the watermark passes its end, to
+    a parquet file sink partitioned by ``window_date`` (exactly-once).
+    ``update`` emits changed windows every batch to ``on_batch(df, batch_id)``
+    (for example ``window_update_sink``), which keys them on
     (window_start, sensor_id).
     """
     agg = windowed(enriched, duration, delay)
+    if on_batch is None:
+        if output_mode != "append" or path is None:
+            raise ValueError("a file sink needs append mode and a path; pass on_batch otherwise")
+        agg = agg.withColumn("window_date", F.to_date("window_start"))
     w = agg.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     if on_batch is not None:
         w = w.foreachBatch(on_batch)
     else:
-        if output_mode != "append" or path is None:
-            raise ValueError("a file sink needs append mode and a path; pass on_batch otherwise")
-        w = w.format("parquet").option("path", path)
+        w = w.format("parquet").option("path", path).partitionBy("window_date")
     w = w.trigger(**trigger) if trigger else w
     return w.start()
 

@@ -51,3 +51,14 @@ def test_stream_nightly_reports(spark, tmp):
     assert summary.total_records == 60
     checks = {r.check_name: r.passed for r in spark.read.parquet(os.path.join(dash, "checks")).collect()}
     assert all(checks.values()) and len(checks) == 5
+
+
+def test_backfill_ingest_is_rerunnable(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    facts, alerts, quarantine = (os.path.join(tmp, x) for x in ("facts", "alerts", "quarantine"))
+    for _ in range(2):
+        jobs.run_ingest(spark, src, facts, alerts, quarantine)
+    f = read_facts(spark, facts)
+    assert f.count() == 60 and f.select("batch_id").distinct().first()[0] == jobs.BACKFILL_BATCH
+    assert spark.read.parquet(alerts).count() == f.filter("traffic_status").count()

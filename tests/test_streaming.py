@@ -197,3 +197,22 @@ def test_windows_with_rocksdb_state(spark, tmp):
     cols = sorted(expected.columns)
     got = spark.read.parquet(out).select(*cols)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*cols).collect()))
+
+
+def test_invalid_messages_go_to_quarantine(spark, tmp):
+    src = os.path.join(tmp, "in")
+    batches = in_order_batches()
+    batches[1] += ["{broken json", json.dumps({"sensor_id": "J9", "timestamp": "not a time",
+                                               "vehicle_count": 5, "avg_speed": 30}),
+                   json.dumps({"sensor_id": "J9", "timestamp": "2024-01-15T10:30:00",
+                               "vehicle_count": 5, "avg_speed": 0})]
+    write_files(src, batches)
+    facts, alerts, quarantine = (os.path.join(tmp, x) for x in ("facts", "alerts", "quarantine"))
+    stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+    run(start_fact_sinks(stream, facts, alerts, os.path.join(tmp, "ck"), trigger={"availableNow": True},
+                         quarantine_path=quarantine))
+    assert spark.read.parquet(facts).count() == 60
+    q = spark.read.parquet(quarantine)
+    assert q.count() == 3
+    reasons = sorted(r.reject_reason for r in q.collect())
+    assert reasons[0] == "nonpositive_avg_speed" and "null_event_time" in reasons[1]
