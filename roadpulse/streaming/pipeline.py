@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import logging
+from collections import OrderedDict
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +59,8 @@ def enrich_stream(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
     Event time becomes TIMESTAMP (session time zone UTC) because watermarks
     reject TIMESTAMP_NTZ. ``processing_time`` is the batch's current time.
-    Rows without an event id get a deterministic one from the message hash.
+    Rows without an event id get a deterministic 64-bit one from the message
+    fields (a row identifier and tie-breaker; dedup uses the exact key).
     """
     keep = ("event_id",) if "event_id" in raw.columns else ()
     d = decode_wire(raw, value_col=value_col, keep=keep)
@@ -69,12 +71,19 @@ def enrich_stream(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return e.withColumn("processing_time", F.current_timestamp())
 
 
-def dedup_events(enriched: DataFrame, delay: str = P.WATERMARK) -> DataFrame:
-    """Drop replayed messages (same event_id) within the watermark delay."""
-    return enriched.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+def dedup_events(enriched: DataFrame, delay: str = P.WATERMARK,
+                 keys: tuple[str, ...] = ("sensor_id", "event_time")) -> DataFrame:
+    """Drop replayed messages within the watermark delay.
 
+    The default key is the reading's natural identity (one reading per
+    sensor and time), compared exactly; pass ("event_id",) when the source
+    assigns ids."""
+    return enriched.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
-BATCH_COUNTS: dict[int, dict] = {}
+
+# Observed row counts of the most recent micro-batches (bounded).
+BATCH_COUNTS: "OrderedDict[int, dict]" = OrderedDict()
+BATCH_COUNTS_KEPT = 1000
 
 
 def quarantine_path_for(facts_path: str) -> str:
@@ -106,6 +115,8 @@ def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: s
                                         .alias("critical")),
                          facts_path, "event_date")
         BATCH_COUNTS[batch_id] = counts.get
+        while len(BATCH_COUNTS) > BATCH_COUNTS_KEPT:
+            BATCH_COUNTS.popitem(last=False)
         log.info("batch %s: %s", batch_id, BATCH_COUNTS[batch_id])
         _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id"),
                          alerts_path, "event_date")

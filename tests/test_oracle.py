@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from roadpulse.oracle_check import compare, duck
+from tests.oracle_check import compare, duck
 from tests.conftest import SF0001, SF001
 
 QUERIES = entry.queries()
