@@ -125,20 +125,24 @@ def hour_band_profile(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     )
 
 
-def extent(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+def extent(f: DataFrame, cols: Cols = DEFAULT, approx_rsd: float | None = None) -> DataFrame:
     """One row: first/last event, rows, critical rows, distinct sensors and
-    dates with data. Distinct counts run on the (sensor, date) aggregate."""
-    return _extent_from_sums(A.measure_sums(f, [cols.key, cols.date], cols), cols)
+    dates with data. Distinct counts run on the (sensor, date) aggregate;
+    with ``approx_rsd`` they use HyperLogLog++ (bounded memory for very many
+    sensors) instead of exact counting."""
+    return _extent_from_sums(A.measure_sums(f, [cols.key, cols.date], cols), cols, approx_rsd)
 
 
-def _extent_from_sums(per: DataFrame, cols: Cols) -> DataFrame:
+def _extent_from_sums(per: DataFrame, cols: Cols, approx_rsd: float | None = None) -> DataFrame:
+    def distinct(c):
+        return F.approx_count_distinct(c, approx_rsd) if approx_rsd else F.count_distinct(c)
     return per.agg(
         F.min("first_event").alias("first_event"),
         F.max("last_event").alias("last_event"),
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("long").alias("total_records"),
         F.coalesce(F.sum("critical_count"), F.lit(0)).cast("long").alias("total_alerts"),
-        F.count_distinct(cols.key).alias("sensors"),
-        F.count_distinct(cols.date).alias("dates_with_data"),
+        distinct(cols.key).alias("sensors"),
+        distinct(cols.date).alias("dates_with_data"),
     )
 
 

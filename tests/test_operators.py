@@ -119,3 +119,11 @@ def test_window_measures_batch(spark, telemetry):
     assert len(w) == 2
     assert (w[0].record_count, w[0].max_vehicle_count, w[0].min_speed, w[0].avg_speed) == (2, 100, 5, 7.5)
     assert w[0].avg_congestion_index == (1000 + 1000) / 200
+
+
+def test_extent_exact_and_approx(spark, telemetry):
+    f = telemetry([(i, f"S{i % 7}", f"2024-01-{10 + i % 5} 0{i % 9}:00:00", 10, 30) for i in range(70)])
+    exact = reports.extent(f).first()
+    approx = reports.extent(f, approx_rsd=0.01).first()
+    assert (exact.sensors, exact.dates_with_data, exact.total_records) == (7, 5, 70)
+    assert (approx.sensors, approx.dates_with_data) == (7, 5)
