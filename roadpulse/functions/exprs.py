@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from roadpulse import params as P
 
 __all__ = [
-    "col_of", "congestion_x100", "congestion_from_x100", "x100_from_index",
+    "col_of", "idiv", "congestion_x100", "congestion_from_x100", "x100_from_index",
     "critical_flag", "hour_of_day", "event_date", "date_text", "label",
     "hour_label", "div_half_up", "fixed_text", "exact_mean", "yes_no",
     "status_glyph", "hour_band", "hour_band_multiplier", "speed_band",
@@ -27,13 +27,18 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def idiv(num: str | Column, den: str | Column) -> Column:
+    """Exact integral division of longs (SQL ``div``); callers guard den > 0."""
+    return F.call_function("div", col_of(num).cast("long"), col_of(den).cast("long"))
+
+
 def congestion_x100(count: str | Column, speed: str | Column) -> Column:
     """count / speed rounded half-up to 2 decimals, as integer hundredths.
 
-    floor((200*count + speed) / (2*speed)); zero or NULL speed gives NULL.
+    (200*count + speed) div (2*speed); zero or NULL speed gives NULL.
     """
     c, s = col_of(count).cast("long"), col_of(speed).cast("long")
-    return F.when(s > 0, F.floor((c * 200 + s) / (s * 2)).cast("long"))
+    return F.when(s > 0, idiv(c * 200 + s, s * 2))
 
 
 def congestion_from_x100(x100: str | Column) -> Column:
@@ -74,16 +79,17 @@ def hour_label(hour: str | Column, padded: bool = False) -> Column:
 
 
 def div_half_up(num: str | Column, den: str | Column) -> Column:
-    """num / den rounded half-up to an integer, for num >= 0 and den > 0."""
+    """num / den rounded half-up to an integer, for num >= 0 and den > 0
+    (exact integer arithmetic at any magnitude)."""
     n, d = col_of(num).cast("long"), col_of(den).cast("long")
-    return F.when(d > 0, F.floor((n * 2 + d) / (d * 2)).cast("long"))
+    return F.when(d > 0, idiv(n * 2 + d, d * 2))
 
 
 def fixed_text(num: str | Column, den: str | Column, digits: int) -> Column:
     """Text of num / den with ``digits`` decimals, rounded half-up (num >= 0)."""
     scale = 10 ** digits
     scaled = div_half_up(col_of(num).cast("long") * scale, den)
-    whole = F.floor(scaled / scale).cast("long").cast("string")
+    whole = idiv(scaled, F.lit(scale)).cast("string")
     if digits == 0:
         return whole
     frac = F.lpad((scaled % scale).cast("string"), digits, "0")

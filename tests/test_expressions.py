@@ -76,3 +76,13 @@ def test_iso_text_omits_zero_fraction(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 2, 7, 17, 38, 36),), (dt.datetime(2026, 2, 7, 1, 2, 3, 5),)],
                                "t timestamp_ntz")
     assert [r[0] for r in df.select(X.iso_text("t")).collect()] == ["2026-02-07T17:38:36", "2026-02-07T01:02:03.000005"]
+
+
+def test_integer_rounding_is_exact_for_large_sums(spark):
+    # Beyond 2**53 a double quotient loses digits; the helpers stay exact.
+    n, d = 10**17 + 7, 3
+    df = spark.createDataFrame([(n, d)], "n long, d long")
+    r = df.select(X.div_half_up("n", "d"), X.fixed_text("n", "d", 0), X.idiv("n", "d")).first()
+    assert r[0] == (2 * n + d) // (2 * d)
+    assert r[1] == str((2 * n + d) // (2 * d))
+    assert r[2] == n // d
