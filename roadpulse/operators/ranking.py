@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,19 +23,42 @@ def top_per_group(df: DataFrame, partition: Sequence[str], order: Sequence[Colum
     return out if rank_col else out.drop(name)
 
 
-def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
+_DEC = "decimal(38,0)"
+_ID_SHIFT = Decimal(2 ** 63)      # makes any bigint id non-negative
+_ID_SPAN = Decimal(10 ** 20)      # > 2**64: room for every shifted id
+
+
+def time_id_key(df: DataFrame, time: str, id_col: str) -> Column:
+    """One exact DECIMAL(38,0) ordering key for (time, id): microseconds since
+    the epoch * 10^20 + (id + 2^63). Orders rows like the pair, and fits 38
+    digits for any year up to 9999. For TIMESTAMP_NTZ the microseconds are
+    plain arithmetic (no time zone), so the order never depends on the
+    session clock."""
+    if dict(df.dtypes)[time] == "timestamp_ntz":
+        t = F.col(time)
+        micros = (F.unix_date(F.to_date(t)).cast("long") * 86_400_000_000
+                  + F.hour(t).cast("long") * 3_600_000_000
+                  + F.minute(t).cast("long") * 60_000_000
+                  + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long"))
+    else:
+        micros = F.unix_micros(F.col(time).cast("timestamp"))
+    return (micros.cast(_DEC) * F.lit(_ID_SPAN).cast(_DEC)
+            + (F.col(id_col).cast(_DEC) + F.lit(_ID_SHIFT).cast(_DEC)))
+
+
+def latest_per_key(df: DataFrame, key: str | Sequence[str], time: str, id_col: str,
                    values: Sequence[str]) -> DataFrame:
-    """Latest row per key by ``order`` (last element breaks ties).
+    """Latest row per key by (time, id) - the id breaks ties on time.
 
-    A grouped ``max_by`` rather than a window: partial aggregation keeps one
-    candidate per key and task, so a hot key never lands whole in one task.
+    Each value is ``max_by(value, key)`` over one exact, unique ordering key,
+    so all of them come from the same row. Every buffer is a fixed-width
+    type, so Spark runs a hash aggregate with partial aggregation: one
+    candidate per key and task crosses the shuffle, no sort of raw rows, and
+    a hot key never lands whole in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    packed = F.struct(*[F.col(c) for c in values])
-    by = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(*keys)
-              .agg(F.max_by(packed, by).alias("_latest"))
-              .select(*keys, "_latest.*"))
+    order = time_id_key(df, time, id_col)
+    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), order).alias(c) for c in values])
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -26,7 +26,7 @@ STATUS_COLUMNS = ["event_id", "event_time", "vehicle_count", "avg_speed", "conge
 
 def latest_status(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Latest reading per sensor (ties on time broken by the larger event id)."""
-    return latest_per_key(f, cols.key, [cols.time, cols.id], STATUS_COLUMNS)
+    return latest_per_key(f, cols.key, cols.time, cols.id, STATUS_COLUMNS)
 
 
 def hourly_traffic_summary(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:

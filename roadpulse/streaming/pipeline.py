@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse import params as P
 from roadpulse.operators.aggregates import window_measures
 from roadpulse.operators.quality import with_reject_reason
+from roadpulse.operators.ranking import latest_per_key
 from roadpulse.schema import ALERT_COLUMNS, FACT_COLUMNS
 from roadpulse.sources.telemetry import enrich
 from roadpulse.sources.wire import decode_wire
@@ -178,11 +179,9 @@ def start_windows(enriched: DataFrame, checkpoint: str, path: str | None = None,
 def latest_status_stream(enriched: DataFrame) -> DataFrame:
     """Latest reading per sensor as a streaming aggregate (update/complete
     mode). State is one row per sensor."""
-    packed = F.struct("event_id", "event_time", "vehicle_count", "avg_speed",
-                      "congestion_index", "traffic_status")
-    return (enriched.groupBy("sensor_id")
-                    .agg(F.max_by(packed, F.struct("event_time", "event_id")).alias("latest"))
-                    .select("sensor_id", "latest.*"))
+    return latest_per_key(enriched, "sensor_id", "event_time", "event_id",
+                          ["event_id", "event_time", "vehicle_count", "avg_speed",
+                           "congestion_index", "traffic_status"])
 
 
 def watermark_drops(query: StreamingQuery) -> int:

@@ -127,3 +127,16 @@ def test_extent_exact_and_approx(spark, telemetry):
     approx = reports.extent(f, approx_rsd=0.01).first()
     assert (exact.sensors, exact.dates_with_data, exact.total_records) == (7, 5, 70)
     assert (approx.sensors, approx.dates_with_data) == (7, 5)
+
+
+def test_latest_order_ignores_session_clock(spark, telemetry):
+    # Naive times inside a daylight-saving gap keep their wall-clock order
+    # whatever the session time zone is.
+    f = telemetry([(1, "A", "2024-03-10 02:30:00", 10, 40), (2, "A", "2024-03-10 03:15:00", 20, 40)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = serving.latest_status(f).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.event_id == 2

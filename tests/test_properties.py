@@ -104,3 +104,16 @@ def test_daily_report_equals_brute_force(spark, data):
         expected[key] = (peak, sum(c for c, _ in pr), sum(c for _, c, _ in rs), sum(1 for _, _, s in rs if s < 10),
                          cong > 5.0 or crit > 10 or spd < 15)
     assert got == expected
+
+
+stamps = st.lists(st.tuples(st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2200, 1, 1)),
+                            st.integers(-2**63, 2**63 - 1)), min_size=2, max_size=60)
+
+
+@settings(max_examples=10, deadline=None)
+@given(stamps)
+def test_time_id_key_orders_like_the_pair(spark, data):
+    from roadpulse.operators.ranking import time_id_key
+    df = spark.createDataFrame(data, "t timestamp_ntz, i long")
+    got = [(r.t, r.i) for r in df.withColumn("k", time_id_key(df, "t", "i")).orderBy("k").collect()]
+    assert got == sorted(data)
