@@ -26,7 +26,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from roadpulse import params as P  # noqa: E402
-from roadpulse.plans import daily, reports  # noqa: E402
+from roadpulse.operators.quality import ingestion_checks  # noqa: E402
+from roadpulse.plans import daily, reports, serving  # noqa: E402
 from roadpulse.session import get_session, shared_dir  # noqa: E402
 from roadpulse.sinks import export_csv, write_daily_report, write_summary  # noqa: E402
 from roadpulse.sources.telemetry import day_range, read_alerts, read_facts  # noqa: E402
@@ -86,8 +87,6 @@ def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, report
                   out: str, day: dt.date = P.AS_OF_DATE) -> None:
     """Materialise the dashboard's five views as small tables (re-run on a
     timer instead of a request per browser poll)."""
-    from roadpulse.operators.quality import ingestion_checks
-    from roadpulse.plans import serving
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
     views = {
         "current_status": serving.latest_status(facts),

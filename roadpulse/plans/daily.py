@@ -94,33 +94,46 @@ def intervention_report(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataF
     )
 
 
-def daily_report(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
-    """The stored daily report, one row per (report_date, sensor).
+def peak_rows_with_day_sums(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
+    """Per (date, sensor): the peak hour's exact sums plus the day's sums
+    (day_vehicles, day_speed_sum, day_speed_n, day_critical).
 
     Day totals come from window sums over the same (date, sensor) partition
     as the peak-hour ranking, so there is no second aggregation or join.
-    ``total_critical_alerts`` is the day's count; the peak hour's count is
-    kept as ``peak_hour_critical_alerts``.
     """
     h = hourly_sums(f, as_of, cols)
     part = Window.partitionBy(cols.date, cols.key)
-    ranked = (h.withColumn("_rn", F.row_number().over(part.orderBy(*_peak_order(cols))))
-               .withColumn("_day_vehicles", F.sum("vehicle_sum").over(part))
-               .withColumn("_day_speed_sum", F.sum("speed_sum").over(part))
-               .withColumn("_day_speed_n", F.sum("speed_n").over(part))
-               .withColumn("_day_critical", F.sum("critical_count").over(part))
-               .filter(F.col("_rn") == 1))
-    required = R.requires_intervention(A.avg_congestion(), F.col("critical_count"), A.avg_speed())
-    return ranked.select(
+    return (h.withColumn("_rn", F.row_number().over(part.orderBy(*_peak_order(cols))))
+             .withColumn("day_vehicles", F.sum("vehicle_sum").over(part))
+             .withColumn("day_speed_sum", F.sum("speed_sum").over(part))
+             .withColumn("day_speed_n", F.sum("speed_n").over(part))
+             .withColumn("day_critical", F.sum("critical_count").over(part))
+             .filter(F.col("_rn") == 1)
+             .drop("_rn"))
+
+
+def peak_hour_intervention() -> "F.Column":
+    """The intervention rule on a peak-hour row of exact sums."""
+    return R.requires_intervention(A.avg_congestion(), F.col("critical_count"), A.avg_speed())
+
+
+def daily_report(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
+    """The stored daily report, one row per (report_date, sensor).
+
+    ``total_critical_alerts`` is the day's count; the peak hour's count is
+    kept as ``peak_hour_critical_alerts``.
+    """
+    r = peak_rows_with_day_sums(f, as_of, cols)
+    return r.select(
         F.col(cols.date).alias("report_date"),
         F.col(cols.key),
         F.col(cols.hour).alias("peak_hour"),
         F.col("vehicle_sum").alias("peak_hour_vehicle_count"),
-        F.col("_day_vehicles").cast("long").alias("total_daily_vehicles"),
-        X.exact_mean("_day_speed_sum", "_day_speed_n").alias("avg_daily_speed"),
+        F.col("day_vehicles").cast("long").alias("total_daily_vehicles"),
+        X.exact_mean("day_speed_sum", "day_speed_n").alias("avg_daily_speed"),
         F.col("critical_count").alias("peak_hour_critical_alerts"),
-        F.col("_day_critical").cast("long").alias("total_critical_alerts"),
-        required.alias("requires_intervention"),
+        F.col("day_critical").cast("long").alias("total_critical_alerts"),
+        peak_hour_intervention().alias("requires_intervention"),
     )
 
 

@@ -89,10 +89,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so its queries register."""
-    from roadpulse.plans import daily  # noqa: F401
-    for mod in ("ingest", "reports", "serving"):
-        try:
-            __import__(f"roadpulse.plans.{mod}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"roadpulse.plans.{mod}":
-                raise
+    from roadpulse.plans import daily, ingest, reports, serving  # noqa: F401

@@ -6,7 +6,7 @@ The dashboard's four summary scans become one aggregate; its client-side
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import params as P
@@ -15,7 +15,7 @@ from roadpulse.operators import aggregates as A
 from roadpulse.operators.joins import densify_hours
 from roadpulse.operators.ranking import latest_per_key, top_n
 from roadpulse.plans import daily
-from roadpulse.plans.registry import SUMS, register
+from roadpulse.plans.registry import register
 from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, day_range, facts
 
 DAY_SQL = (f"event_time >= TIMESTAMP '{P.AS_OF_DATE.isoformat()} 00:00:00' "
@@ -96,23 +96,10 @@ def hour_grid(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame
                          hour_col=cols.hour)
 
 
-def report_with_sums(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
-    """Daily report plus the day's exact speed sums (for display rounding)."""
-    h = daily.hourly_sums(f, None, cols)
-    part = Window.partitionBy(cols.date, cols.key)
-    return (h.withColumn("_rn", F.row_number().over(part.orderBy(F.col("vehicle_sum").desc(), F.col(cols.hour))))
-             .withColumn("day_vehicles", F.sum("vehicle_sum").over(part))
-             .withColumn("day_speed_sum", F.sum("speed_sum").over(part))
-             .withColumn("day_speed_n", F.sum("speed_n").over(part))
-             .withColumn("day_critical", F.sum("critical_count").over(part))
-             .filter(F.col("_rn") == 1))
-
-
 def recent_daily_reports(f: DataFrame, n: int = P.RECENT_REPORTS, cols: Cols = DEFAULT) -> DataFrame:
-    """Latest n report rows by date (desc) then sensor; speed to 2 decimals."""
-    from roadpulse.operators import rules as R
-    r = report_with_sums(f, cols)
-    required = R.requires_intervention(A.avg_congestion(), F.col("critical_count"), A.avg_speed())
+    """Latest n report rows by date (desc) then sensor; the day's mean speed
+    rounded half-up to 2 decimals from its exact sums."""
+    r = daily.peak_rows_with_day_sums(f, None, cols)
     shaped = r.select(
         F.col(cols.date).alias("report_date"), F.col(cols.key),
         F.col(cols.hour).alias("peak_hour"),
@@ -120,7 +107,7 @@ def recent_daily_reports(f: DataFrame, n: int = P.RECENT_REPORTS, cols: Cols = D
         F.col("day_vehicles").cast("long").alias("total_daily_vehicles"),
         A.rounded_2dp("day_speed_sum", "day_speed_n").alias("avg_daily_speed"),
         F.col("day_critical").cast("long").alias("total_critical_alerts"),
-        required.alias("requires_intervention"),
+        daily.peak_hour_intervention().alias("requires_intervention"),
     )
     return top_n(shaped, [F.col("report_date").desc(), F.col(cols.key).asc()], n)
 
