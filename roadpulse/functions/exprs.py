@@ -19,7 +19,7 @@ __all__ = [
     "critical_flag", "hour_of_day", "event_date", "date_text", "label",
     "hour_label", "div_half_up", "fixed_text", "exact_mean", "yes_no",
     "status_glyph", "hour_band", "hour_band_multiplier", "speed_band",
-    "iso_text", "parse_event_time",
+    "iso_text", "ts_text", "parse_event_time",
 ]
 
 
@@ -135,10 +135,15 @@ def speed_band(mean_speed: str | Column, limits: tuple[int, int] = P.SPEED_BAND_
             .otherwise(F.lit(P.SPEED_BANDS[2])))
 
 
-def iso_text(ts: str | Column) -> Column:
+def ts_text(ts: str | Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss[.ffffff]' text of a timestamp (fraction omitted at 0 us)."""
+    return iso_text(ts, sep=" ")
+
+
+def iso_text(ts: str | Column, sep: str = "T") -> Column:
     """ISO-8601 text of a naive timestamp; the fraction is omitted at 0 us."""
     t = col_of(ts)
-    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    base = F.date_format(t, f"yyyy-MM-dd'{sep}'HH:mm:ss" if sep == "T" else f"yyyy-MM-dd{sep}HH:mm:ss")
     frac = F.date_format(t, "SSSSSS")
     return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
 

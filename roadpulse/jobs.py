@@ -29,7 +29,7 @@ from roadpulse import params as P  # noqa: E402
 from roadpulse.operators.quality import ingestion_checks  # noqa: E402
 from roadpulse.plans import daily, reports, serving  # noqa: E402
 from roadpulse.session import get_session, shared_dir  # noqa: E402
-from roadpulse.sinks import export_csv, write_daily_report, write_summary  # noqa: E402
+from roadpulse.sinks import export_csv, write_daily_report, write_summary, write_text_report  # noqa: E402
 from roadpulse.sources.telemetry import day_range, read_alerts, read_facts  # noqa: E402
 from roadpulse.streaming import enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_windows  # noqa: E402
 from roadpulse.streaming.pipeline import write_batch  # noqa: E402
@@ -81,6 +81,7 @@ def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str
     export_csv(reports.trailing_days(facts, as_of_ts, days), os.path.join(out, "trailing_export"),
                partition_by="hour_of_day", order_by=["event_time"])
     write_summary(reports.summary_metrics(facts, alerts), os.path.join(out, "summary_metrics"))
+    write_text_report(reports.summary_lines(facts, alerts), os.path.join(out, "summary_text"))
 
 
 def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, reports_path: str | None,

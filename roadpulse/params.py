@@ -19,6 +19,10 @@ Fixed values (must equal the behaviour being reproduced; stated plainly):
 - peak-hour analysis table headers, in order: Junction, Peak Hour,
   Peak Vehicles, Total Vehicles, Avg Speed (km/h), Avg Congestion Index,
   Critical Alerts, Intervention Required, Recommendation
+- text summary labels: "Report Period: ", "Total Records: ",
+  "Total Critical Alerts: ", and per sensor "  Total Vehicles: ",
+  "  Average Speed: " (then " km/h"), "  Average Congestion Index: ",
+  "  Critical Alerts: "
 - recommendation texts:
   "URGENT: Deploy traffic police immediately"
   "HIGH: Deploy traffic police during peak hours"
@@ -54,6 +58,14 @@ TIER_HIGH = "HIGH: Deploy traffic police during peak hours"
 TIER_MEDIUM = "MEDIUM: Monitor closely, consider deployment"
 TIER_LOW = "LOW: Continue monitoring"
 
+SUMMARY_PERIOD = "Report Period: "
+SUMMARY_RECORDS = "Total Records: "
+SUMMARY_ALERTS = "Total Critical Alerts: "
+SENSOR_VEHICLES = "  Total Vehicles: "
+SENSOR_SPEED = "  Average Speed: "
+SENSOR_CONGESTION = "  Average Congestion Index: "
+SENSOR_ALERTS = "  Critical Alerts: "
+
 ANALYSIS_HEADERS = ("Junction", "Peak Hour", "Peak Vehicles", "Total Vehicles", "Avg Speed (km/h)",
                     "Avg Congestion Index", "Critical Alerts", "Intervention Required", "Recommendation")
 

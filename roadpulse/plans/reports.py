@@ -146,40 +146,48 @@ def _extent_from_sums(per: DataFrame, cols: Cols, approx_rsd: float | None = Non
     )
 
 
-def summary_metrics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
-    """Long-format summary (section, sensor_id, metric, value): the text
-    summary's numbers as a table.
-
-    One pass: a (sensor, date) aggregate is rolled up to per-sensor rows
-    plus one grand-total row (grouping id 1), joined to alert counts, and
-    unpivoted with a single ``stack``. The fact table is scanned once.
-    """
+def _summary_rollup(f: DataFrame, alerts: DataFrame, cols: Cols) -> DataFrame:
+    """Per-sensor rows plus one grand-total row (``_g`` = 1) with everything
+    the summaries print, in one pass over the facts: a (sensor, date)
+    aggregate rolled up by sensor, joined (null-safe, on key and grouping
+    id) to alert counts rolled up the same way."""
     per = A.measure_sums(f, [cols.key, cols.date], cols)
     r = per.rollup(cols.key).agg(
         F.grouping_id().alias("_g"),
         F.sum("record_count").alias("total_records"),
-        F.sum("critical_count").alias("total_alerts"),
         F.sum("vehicle_sum").alias("total_vehicles"),
         F.sum("speed_sum").alias("speed_sum"),
         F.sum("speed_n").alias("speed_n"),
         F.sum("x100_sum").alias("x100_sum"),
         F.sum("x100_n").alias("x100_n"),
+        F.min("first_event").alias("first_seen"),
+        F.max("last_event").alias("last_seen"),
         F.count_distinct(cols.key).alias("sensors"),
         F.count_distinct(cols.date).alias("dates_with_data"),
     )
-    per_alerts = alerts.groupBy(cols.key).agg(F.count(F.lit(1)).alias("critical_alerts"))
-    j = r.join(per_alerts, [cols.key], "left")
+    pa = (alerts.groupBy(cols.key).agg(F.count(F.lit(1)).alias("n"))
+                .rollup(cols.key).agg(F.grouping_id().alias("_ag"), F.sum("n").alias("critical_alerts"))
+                .withColumnRenamed(cols.key, "_ak"))
+    j = r.join(pa, F.col(cols.key).eqNullSafe(F.col("_ak")) & (F.col("_g") == F.col("_ag")), "left")
+    return j.withColumn("critical_alerts", F.coalesce(F.col("critical_alerts"), F.lit(0)).cast("long"))
+
+
+def summary_metrics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """Long-format summary (section, sensor_id, metric, value): the text
+    summary's numbers as a table, unpivoted from ``_summary_rollup`` with a
+    single explode. The fact table is scanned once."""
+    j = _summary_rollup(f, alerts, cols)
     overall = F.col("_g") == 1
     d = lambda c: F.col(c).cast("double")
     metrics = [
         ("total_records", overall, d("total_records")),
-        ("total_alerts", overall, d("total_alerts")),
+        ("total_alerts", overall, d("critical_alerts")),
         ("sensors", overall, d("sensors")),
         ("dates_with_data", overall, d("dates_with_data")),
         ("total_vehicles", ~overall, d("total_vehicles")),
         ("avg_speed", ~overall, X.exact_mean("speed_sum", "speed_n")),
         ("avg_congestion", ~overall, X.exact_mean("x100_sum", "x100_n", 100)),
-        ("critical_alerts", ~overall, F.coalesce(d("critical_alerts"), F.lit(0.0))),
+        ("critical_alerts", ~overall, d("critical_alerts")),
     ]
     cells = F.explode(F.array(*[
         F.when(cond, F.struct(F.lit(name).alias("metric"), value.alias("value"))) for name, cond, value in metrics]))
@@ -189,6 +197,32 @@ def summary_metrics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> Da
              .select("section", cols.key, "_m.metric", "_m.value"))
 
 
+def summary_lines(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """The text summary as ordered lines (first_seen, sensor_id, line_no, line):
+    a header block (period, records, alerts), then one block per sensor in
+    first-appearance order. Numbers are exact: thousands separators on
+    integers, half-up means. Sort by the first three columns to print."""
+    j = _summary_rollup(f, alerts, cols)
+    overall = F.col("_g") == 1
+    count = lambda c: F.format_number(F.col(c), 0)
+    header = [
+        F.concat(F.lit(P.SUMMARY_PERIOD), X.ts_text("first_seen"), F.lit(" to "), X.ts_text("last_seen")),
+        F.concat(F.lit(P.SUMMARY_RECORDS), count("total_records")),
+        F.concat(F.lit(P.SUMMARY_ALERTS), count("critical_alerts")),
+    ]
+    block = [
+        F.concat(F.col(cols.key), F.lit(":")),
+        F.concat(F.lit(P.SENSOR_VEHICLES), count("total_vehicles")),
+        F.concat(F.lit(P.SENSOR_SPEED), X.fixed_text("speed_sum", "speed_n", 1), F.lit(" km/h")),
+        F.concat(F.lit(P.SENSOR_CONGESTION), X.fixed_text(F.col("x100_sum"), F.col("x100_n") * 100, 2)),
+        F.concat(F.lit(P.SENSOR_ALERTS), F.col("critical_alerts").cast("string")),
+    ]
+    lines = F.when(overall, F.array(*header)).otherwise(F.array(*block))
+    return j.select(F.when(~overall, F.col("first_seen")).alias("first_seen"),
+                    F.when(~overall, F.col(cols.key)).alias(cols.key),
+                    F.posexplode(lines).alias("line_no", "line"))
+
+
 def hour_rollup(f: DataFrame, n: int = P.LATEST_HOURS, cols: Cols = DEFAULT) -> DataFrame:
     """hour of day -> records and means over all sensors; the n latest hours."""
     s = A.measure_sums(f, [cols.hour], cols)
@@ -403,7 +437,7 @@ def q_dataset_extent(spark, sf_dir):
 )
 SELECT 'overall' AS section, CAST(NULL AS VARCHAR) AS sensor_id, m.metric, m.value
 FROM e, LATERAL (VALUES ('total_records', CAST(e.total_records AS DOUBLE)),
-                        ('total_alerts', CAST(e.total_alerts AS DOUBLE)),
+                        ('total_alerts', CAST((SELECT COUNT(*) FROM alerts) AS DOUBLE)),
                         ('sensors', CAST(e.sensors AS DOUBLE)),
                         ('dates_with_data', CAST(e.dates_with_data AS DOUBLE))) AS m(metric, value)
 UNION ALL
@@ -456,3 +490,36 @@ SELECT event_id, sensor_id, event_time, strftime(event_time, '%Y-%m-%d') AS date
 FROM facts ORDER BY event_time, event_id""")
 def q_history_scan(spark, sf_dir):
     return history_scan(facts(spark, sf_dir))
+
+
+_TS_SQL = ("CASE WHEN strftime({c}, '%f') = '000000' THEN strftime({c}, '%Y-%m-%d %H:%M:%S') "
+           "ELSE strftime({c}, '%Y-%m-%d %H:%M:%S.%f') END")
+
+
+@register("summary_text", oracle=f"""
+WITH s AS (
+    SELECT sensor_id, CAST(SUM(vehicle_count) AS BIGINT) AS v, SUM(avg_speed) AS ss, COUNT(avg_speed) AS sn,
+           SUM(congestion_x100) AS xs, COUNT(congestion_x100) AS xn, MIN(event_time) AS first_seen
+    FROM facts GROUP BY sensor_id
+), a AS (
+    SELECT sensor_id, COUNT(*) AS n FROM alerts GROUP BY sensor_id
+), st AS (
+    SELECT s.*, COALESCE(a.n, 0) AS alerts_n FROM s LEFT JOIN a USING (sensor_id)
+), e AS (
+    SELECT MIN(event_time) AS lo, MAX(event_time) AS hi, COUNT(*) AS n FROM facts
+)
+SELECT CAST(NULL AS TIMESTAMP) AS first_seen, CAST(NULL AS VARCHAR) AS sensor_id, 0 AS line_no,
+       '{P.SUMMARY_PERIOD}' || {_TS_SQL.format(c="lo")} || ' to ' || {_TS_SQL.format(c="hi")} AS line FROM e
+UNION ALL SELECT NULL, NULL, 1, '{P.SUMMARY_RECORDS}' || format('{{:,}}', n) FROM e
+UNION ALL SELECT NULL, NULL, 2, '{P.SUMMARY_ALERTS}' || format('{{:,}}', (SELECT COUNT(*) FROM alerts))
+UNION ALL SELECT first_seen, sensor_id, 0, sensor_id || ':' FROM st
+UNION ALL SELECT first_seen, sensor_id, 1, '{P.SENSOR_VEHICLES}' || format('{{:,}}', v) FROM st
+UNION ALL SELECT first_seen, sensor_id, 2, '{P.SENSOR_SPEED}'
+       || CAST((20 * ss + sn) // (2 * sn) // 10 AS VARCHAR) || '.'
+       || CAST((20 * ss + sn) // (2 * sn) % 10 AS VARCHAR) || ' km/h' FROM st
+UNION ALL SELECT first_seen, sensor_id, 3, '{P.SENSOR_CONGESTION}'
+       || CAST((2 * xs + xn) // (2 * xn) // 100 AS VARCHAR) || '.'
+       || lpad(CAST((2 * xs + xn) // (2 * xn) % 100 AS VARCHAR), 2, '0') FROM st
+UNION ALL SELECT first_seen, sensor_id, 4, '{P.SENSOR_ALERTS}' || CAST(alerts_n AS VARCHAR) FROM st""")
+def q_summary_text(spark, sf_dir):
+    return summary_lines(*_fa(spark, sf_dir))

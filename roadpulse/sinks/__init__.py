@@ -1,3 +1,3 @@
 from roadpulse.sinks.writers import (  # noqa: F401
-    export_csv, write_alerts, write_daily_report, write_facts, write_summary,
+    export_csv, write_alerts, write_daily_report, write_facts, write_summary, write_text_report,
 )

@@ -47,3 +47,11 @@ def export_csv(df: DataFrame, path: str, partition_by: str | None = None,
 def write_summary(metrics: DataFrame, path: str) -> None:
     """Long-format summary metrics table (section, sensor_id, metric, value)."""
     metrics.write.mode("overwrite").parquet(path)
+
+
+def write_text_report(lines: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Write report lines as text, in order, without collecting them: a range
+    sort spreads the lines over ordered part files (read them in name order)."""
+    order = order or ["first_seen", "sensor_id", "line_no"]
+    (lines.orderBy(*[F.col(c).asc_nulls_first() for c in order]).select("line")
+          .write.mode("overwrite").text(path))

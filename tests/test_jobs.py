@@ -41,6 +41,12 @@ def test_stream_nightly_reports(spark, tmp):
     sm = spark.read.parquet(os.path.join(out, "summary_metrics"))
     assert sm.filter((F.col("metric") == "total_records")).first().value == 60.0
     assert spark.read.option("header", True).csv(os.path.join(out, "trailing_export")).count() == 60
+    text_dir = os.path.join(out, "summary_text")
+    text = [ln.rstrip("\n") for p in sorted(os.listdir(text_dir)) if p.startswith("part-")
+            for ln in open(os.path.join(text_dir, p))]
+    assert text[0].startswith("Report Period: 2024-01-15 10:00:07 to ")
+    assert text[1] == "Total Records: 60"
+    assert text[3] == "J1:" and text[4].startswith("  Total Vehicles: ") and len(text) == 3 + 3 * 5
 
     dash = os.path.join(tmp, "dash")
     jobs.run_dashboard(spark, facts, alerts, reports_path, dash, day)
