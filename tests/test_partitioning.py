@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SF001
+from tests.oracle_check import canon
 
 QUERIES = entry.queries()
 
@@ -23,8 +24,7 @@ def split_dir(spark, tmp_path_factory):
 
 
 def rows(df):
-    cols = sorted(df.columns)
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return canon(df.columns, [tuple(r) for r in df.collect()])
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
