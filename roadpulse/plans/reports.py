@@ -63,12 +63,12 @@ def peak_hour_analysis(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) ->
     )
 
 
-def analysis_table(analysis: DataFrame) -> DataFrame:
+def analysis_table(analysis: DataFrame, key: str = DEFAULT.key) -> DataFrame:
     """The peak-hour analysis with the published table's column headers, one
     row per sensor in sensor order (for the CSV export)."""
-    cols = ["junction", "peak_hour", "peak_vehicles", "total_vehicles", "avg_speed",
-            "avg_congestion_index", "critical_alerts", "intervention_required", "recommendation"]
-    return analysis.orderBy("sensor_id").select(*[F.col(c).alias(h) for c, h in zip(cols, P.ANALYSIS_HEADERS)])
+    fields = ["junction", "peak_hour", "peak_vehicles", "total_vehicles", "avg_speed",
+              "avg_congestion_index", "critical_alerts", "intervention_required", "recommendation"]
+    return analysis.orderBy(key).select(*[F.col(c).alias(h) for c, h in zip(fields, P.ANALYSIS_HEADERS)])
 
 
 def volume_by_hour(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
@@ -240,22 +240,22 @@ def sensor_summary(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
                     F.col("critical_count"))
 
 
-SCAN_COLUMNS = ["event_id", "sensor_id", "event_time", "vehicle_count", "avg_speed",
-                "congestion_index", "traffic_status", "hour_of_day"]
+def scan_columns(cols: Cols = DEFAULT) -> list[str]:
+    return [cols.id, cols.key, cols.time, cols.count, cols.speed, cols.congestion, cols.flag, cols.hour]
 
 
 def trailing_days(f: DataFrame, as_of=P.AS_OF_TS, days: int = P.TRAILING_DAYS, cols: Cols = DEFAULT) -> DataFrame:
-    return f.filter(trailing_range(cols, as_of, days)).select(*SCAN_COLUMNS)
+    return f.filter(trailing_range(cols, as_of, days)).select(*scan_columns(cols))
 
 
 def day_scan(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
-    return f.filter(day_range(cols, day)).select(*SCAN_COLUMNS)
+    return f.filter(day_range(cols, day)).select(*scan_columns(cols))
 
 
 def history_scan(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Whole history, projected, in event-time order (order only for export)."""
-    return f.select("event_id", "sensor_id", "event_time", X.date_text(cols.time).alias("date"),
-                    "hour_of_day", "vehicle_count", "avg_speed", "congestion_index") \
+    return f.select(cols.id, cols.key, cols.time, X.date_text(cols.time).alias("date"),
+                    cols.hour, cols.count, cols.speed, cols.congestion) \
             .orderBy(cols.time, cols.id)
 
 

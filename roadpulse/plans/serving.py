@@ -21,12 +21,17 @@ from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, day_range, fac
 DAY_SQL = (f"event_time >= TIMESTAMP '{P.AS_OF_DATE.isoformat()} 00:00:00' "
            f"AND event_time < TIMESTAMP '{P.AS_OF_DATE.isoformat()} 00:00:00' + INTERVAL 1 DAY")
 
-STATUS_COLUMNS = ["event_id", "event_time", "vehicle_count", "avg_speed", "congestion_index", "traffic_status"]
+def status_columns(cols: Cols = DEFAULT) -> list[str]:
+    return [cols.id, cols.time, cols.count, cols.speed, cols.congestion, cols.flag]
+
+
+def view_columns(cols: Cols = DEFAULT) -> list[str]:
+    return [cols.id, cols.key, cols.time, cols.count, cols.speed, cols.congestion]
 
 
 def latest_status(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Latest reading per sensor (ties on time broken by the larger event id)."""
-    return latest_per_key(f, cols.key, cols.time, cols.id, STATUS_COLUMNS)
+    return latest_per_key(f, cols.key, cols.time, cols.id, status_columns(cols))
 
 
 def hourly_traffic_summary(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
@@ -80,12 +85,9 @@ def busiest_sensor(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> Data
     return top_n(per, [F.col("total_vehicles").desc(), F.col(cols.key).asc()], 1)
 
 
-ALERT_VIEW = ["event_id", "sensor_id", "event_time", "vehicle_count", "avg_speed", "congestion_index"]
-
-
 def recent(df: DataFrame, n: int, cols: Cols = DEFAULT) -> DataFrame:
     """Latest n rows by time (ties: larger event id first)."""
-    return top_n(df.select(*ALERT_VIEW), [F.col(cols.time).desc(), F.col(cols.id).desc()], n)
+    return top_n(df.select(*view_columns(cols)), [F.col(cols.time).desc(), F.col(cols.id).desc()], n)
 
 
 def hour_grid(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
