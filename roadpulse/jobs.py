@@ -19,6 +19,7 @@ import argparse
 import datetime as dt
 import os
 import sys
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -29,7 +30,10 @@ from roadpulse import params as P  # noqa: E402
 from roadpulse.operators.quality import ingestion_checks  # noqa: E402
 from roadpulse.plans import daily, reports, serving  # noqa: E402
 from roadpulse.session import get_session, shared_dir  # noqa: E402
-from roadpulse.sinks import export_csv, write_daily_report, write_summary, write_text_report  # noqa: E402
+from roadpulse.operators import aggregates as A  # noqa: E402
+from roadpulse.sinks import (  # noqa: E402
+    export_csv, write_daily_report, write_hourly_rollup, write_summary, write_text_report,
+)
 from roadpulse.sources.telemetry import day_range, read_alerts, read_facts  # noqa: E402
 from roadpulse.streaming import enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_windows  # noqa: E402
 from roadpulse.streaming.pipeline import write_batch  # noqa: E402
@@ -65,23 +69,45 @@ def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: s
 
 
 def run_nightly(spark: SparkSession, facts_path: str, reports_path: str, csv_path: str,
-                as_of: dt.date = P.AS_OF_DATE) -> None:
-    """Report one closed day: the scan is pruned to that day's partition."""
+                as_of: dt.date = P.AS_OF_DATE, rollup_path: str | None = None) -> None:
+    """Report one closed day. The day's facts (one pruned partition) are
+    summed per (sensor, hour) once; the report, the recommendations and the
+    optional hourly rollup upsert all derive from those sums."""
     facts = read_facts(spark, facts_path)
     facts = facts.filter((F.col("event_date") == F.lit(as_of)) & day_range(daily.DEFAULT, as_of))
-    write_daily_report(daily.daily_report(facts), reports_path)
-    export_csv(daily.intervention_report(facts), csv_path)
+    c = daily.DEFAULT
+    hourly = _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "nightly")
+    write_daily_report(daily.daily_report(hourly), reports_path)
+    export_csv(daily.intervention_report(hourly), csv_path)
+    if rollup_path:
+        write_hourly_rollup(hourly, rollup_path)
+
+
+def _materialise(spark: SparkSession, df, name: str):
+    """Write ``df`` once to a fresh folder under the shared checkpoint root and
+    read it back: later jobs reuse it and its lineage ends here."""
+    path = shared_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str,
-                as_of_ts: dt.datetime = P.AS_OF_TS, days: int = P.TRAILING_DAYS) -> None:
+                as_of_ts: dt.datetime = P.AS_OF_TS, days: int = P.TRAILING_DAYS,
+                rollup_path: str | None = None) -> None:
+    """Whole-history reports. The analysis table and both summaries read an
+    hourly rollup (the nightly job's, or one materialised here in a single
+    pass over the facts), so the facts are scanned once for all three; only
+    the raw trailing export reads the facts again (pruned to its days)."""
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
-    export_csv(reports.analysis_table(reports.peak_hour_analysis(facts, alerts)),
+    c = daily.DEFAULT
+    hourly = spark.read.parquet(rollup_path) if rollup_path else \
+        _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "reports")
+    export_csv(reports.analysis_table(reports.peak_hour_analysis(hourly, alerts)),
                os.path.join(out, "peak_hour_analysis"))
+    write_summary(reports.summary_metrics(hourly, alerts), os.path.join(out, "summary_metrics"))
+    write_text_report(reports.summary_lines(hourly, alerts), os.path.join(out, "summary_text"))
     export_csv(reports.trailing_days(facts, as_of_ts, days), os.path.join(out, "trailing_export"),
                partition_by="hour_of_day", order_by=["event_time"])
-    write_summary(reports.summary_metrics(facts, alerts), os.path.join(out, "summary_metrics"))
-    write_text_report(reports.summary_lines(facts, alerts), os.path.join(out, "summary_text"))
 
 
 def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, reports_path: str | None,
@@ -123,12 +149,14 @@ def main(argv=None) -> None:
     n.add_argument("--reports", required=True)
     n.add_argument("--csv", required=True)
     n.add_argument("--as-of", type=dt.date.fromisoformat, default=P.AS_OF_DATE)
+    n.add_argument("--rollup")
     r = sub.add_parser("reports")
     r.add_argument("--facts", required=True)
     r.add_argument("--alerts", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--as-of", type=dt.datetime.fromisoformat, default=P.AS_OF_TS)
     r.add_argument("--days", type=int, default=P.TRAILING_DAYS)
+    r.add_argument("--rollup")
     d = sub.add_parser("dashboard")
     d.add_argument("--facts", required=True)
     d.add_argument("--alerts", required=True)
@@ -145,11 +173,11 @@ def main(argv=None) -> None:
     elif a.job == "ingest":
         run_ingest(spark, a.source, a.facts, a.alerts, a.quarantine)
     elif a.job == "nightly":
-        run_nightly(spark, a.facts, a.reports, a.csv, a.as_of)
+        run_nightly(spark, a.facts, a.reports, a.csv, a.as_of, a.rollup)
     elif a.job == "dashboard":
         run_dashboard(spark, a.facts, a.alerts, a.reports, a.out, a.day)
     else:
-        run_reports(spark, a.facts, a.alerts, a.out, a.as_of, a.days)
+        run_reports(spark, a.facts, a.alerts, a.out, a.as_of, a.days, a.rollup)
 
 
 if __name__ == "__main__":

@@ -20,9 +20,27 @@ from roadpulse.functions import exprs as X
 from roadpulse.sources.telemetry import DEFAULT, Cols
 
 
+SUM_COLUMNS = ("record_count", "vehicle_sum", "vehicle_n", "vehicle_max", "speed_sum", "speed_n",
+               "speed_min", "x100_sum", "x100_n", "critical_count", "first_event", "last_event")
+
+
+def is_sums(df: DataFrame) -> bool:
+    """True for a table of ``measure_sums`` rows (for example a materialised
+    hourly rollup) rather than raw readings."""
+    return set(SUM_COLUMNS) <= set(df.columns)
+
+
 def measure_sums(df: DataFrame, keys: Sequence[str | Column], cols: Cols = DEFAULT) -> DataFrame:
     """groupBy(keys) -> record_count, vehicle_sum/_n/_max, speed_sum/_n/_min,
-    x100_sum/_n (congestion in hundredths), critical_count, first/last_event."""
+    x100_sum/_n (congestion in hundredths), critical_count, first/last_event.
+
+    Given a table that already holds these sums at a finer grain (a
+    materialised (sensor, date, hour) rollup), the sums are merged instead,
+    exactly, so every operator built on this runs from the rollup as well
+    as from raw facts.
+    """
+    if is_sums(df):
+        return rollup_sums(df, keys)
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.sum(cols.count).cast("long").alias("vehicle_sum"),

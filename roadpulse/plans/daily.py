@@ -18,7 +18,7 @@ from roadpulse.operators import aggregates as A
 from roadpulse.operators import rules as R
 from roadpulse.operators.ranking import top_per_group
 from roadpulse.plans.registry import SUMS, register
-from roadpulse.sources.telemetry import DEFAULT, Cols, day_range, facts
+from roadpulse.sources.telemetry import DEFAULT, Cols, facts, on_day
 
 HOURLY_SQL = f"""
 hourly AS (
@@ -28,7 +28,7 @@ hourly AS (
 
 
 def _restrict(f: DataFrame, as_of, cols: Cols) -> DataFrame:
-    return f if as_of is None else f.filter(day_range(cols, as_of))
+    return f if as_of is None else on_day(f, as_of, cols)
 
 
 def hourly_sums(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:

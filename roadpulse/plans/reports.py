@@ -72,7 +72,8 @@ def analysis_table(analysis: DataFrame, key: str = DEFAULT.key) -> DataFrame:
 
 
 def volume_by_hour(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
-    return f.groupBy(cols.hour, cols.key).agg(F.sum(cols.count).cast("long").alias("total_vehicles"))
+    return A.measure_sums(f, [cols.hour, cols.key], cols) \
+            .select(cols.hour, cols.key, F.col("vehicle_sum").alias("total_vehicles"))
 
 
 def volume_pivot(f: DataFrame, sensors=None, cols: Cols = DEFAULT) -> DataFrame:
@@ -107,8 +108,8 @@ def _stats_from_sums(s: DataFrame, alerts: DataFrame, cols: Cols) -> DataFrame:
 
 
 def speed_band_by_sensor(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
-    s = f.groupBy(cols.key).agg(F.sum(cols.speed).alias("_s"), F.count(cols.speed).alias("_n"))
-    mean = X.exact_mean("_s", "_n")
+    s = A.measure_sums(f, [cols.key], cols)
+    mean = X.exact_mean("speed_sum", "speed_n")
     return s.select(F.col(cols.key), mean.alias("avg_speed"), X.speed_band(mean).alias("speed_band")) \
             .orderBy("avg_speed", cols.key)
 

@@ -16,7 +16,7 @@ from roadpulse.operators.joins import densify_hours
 from roadpulse.operators.ranking import latest_per_key, top_n
 from roadpulse.plans import daily
 from roadpulse.plans.registry import register
-from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, day_range, facts
+from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, facts, on_day
 
 DAY_SQL = (f"event_time >= TIMESTAMP '{P.AS_OF_DATE.isoformat()} 00:00:00' "
            f"AND event_time < TIMESTAMP '{P.AS_OF_DATE.isoformat()} 00:00:00' + INTERVAL 1 DAY")
@@ -49,7 +49,7 @@ def hourly_traffic_summary(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 def hourly_stats_day(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
     """One day's (sensor, hour) means, rounded for display: integers half-up
     and congestion to 2 decimals."""
-    s = A.measure_sums(f.filter(day_range(cols, day)), [cols.key, cols.hour], cols)
+    s = A.measure_sums(on_day(f, day, cols), [cols.key, cols.hour], cols)
     return s.select(
         F.col(cols.key), F.col(cols.hour),
         A.rounded_int("vehicle_sum", "vehicle_n").alias("avg_vehicles"),
@@ -62,7 +62,7 @@ def hourly_stats_day(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> Da
 def day_summary(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
     """One row for a day: records, critical readings, mean speed (integer),
     busiest sensor. One scan; an empty day gives 0, 0, 0, 'N/A'."""
-    per = A.measure_sums(f.filter(day_range(cols, day)), [cols.key], cols)
+    per = A.measure_sums(on_day(f, day, cols), [cols.key], cols)
     g = per.agg(
         F.sum("record_count").alias("n"),
         F.sum("critical_count").alias("c"),
@@ -80,8 +80,8 @@ def day_summary(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFra
 
 
 def busiest_sensor(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
-    per = f.filter(day_range(cols, day)).groupBy(cols.key) \
-           .agg(F.sum(cols.count).cast("long").alias("total_vehicles"))
+    per = A.measure_sums(on_day(f, day, cols), [cols.key], cols) \
+           .select(cols.key, F.col("vehicle_sum").alias("total_vehicles"))
     return top_n(per, [F.col("total_vehicles").desc(), F.col(cols.key).asc()], 1)
 
 

@@ -1,3 +1,4 @@
 from roadpulse.sinks.writers import (  # noqa: F401
-    export_csv, write_alerts, write_daily_report, write_facts, write_summary, write_text_report,
+    export_csv, write_alerts, write_daily_report, write_facts, write_hourly_rollup, write_summary,
+    write_text_report,
 )

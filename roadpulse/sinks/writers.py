@@ -55,3 +55,12 @@ def write_text_report(lines: DataFrame, path: str, order: list[str] | None = Non
     order = order or ["first_seen", "sensor_id", "line_no"]
     (lines.orderBy(*[F.col(c).asc_nulls_first() for c in order]).select("line")
           .write.mode("overwrite").text(path))
+
+
+def write_hourly_rollup(sums: DataFrame, path: str, date_col: str = "event_date") -> None:
+    """Upsert a (sensor, date, hour) ``measure_sums`` table: each date present
+    replaces its partition. Reports and views can read this instead of the
+    facts (the sums merge exactly)."""
+    (sums.repartition(date_col)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col).parquet(path))

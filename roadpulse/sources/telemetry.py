@@ -88,6 +88,14 @@ def day_range(cols: Cols, day) -> "F.Column":
     return (F.col(cols.time) >= start) & (F.col(cols.time) < F.date_add(F.lit(day), 1).cast("timestamp_ntz"))
 
 
+def on_day(df: DataFrame, day, cols: Cols = DEFAULT) -> DataFrame:
+    """Rows of one calendar day: a pushed-down time range on readings, or the
+    date column on a table of sums (which has no per-reading time)."""
+    if cols.time in df.columns:
+        return df.filter(day_range(cols, day))
+    return df.filter(F.col(cols.date) == F.lit(day))
+
+
 def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
     """Predicate for [as_of - days, as_of) on the raw time column."""
     end = F.lit(as_of_ts).cast("timestamp_ntz")

@@ -25,8 +25,9 @@ def test_stream_nightly_reports(spark, tmp):
 
     reports_path, csv = os.path.join(tmp, "reports"), os.path.join(tmp, "recs")
     day = dt.date(2024, 1, 15)
-    jobs.run_nightly(spark, facts, reports_path, csv, day)
-    jobs.run_nightly(spark, facts, reports_path, csv, day)          # re-run: idempotent
+    rollup = os.path.join(tmp, "rollup")
+    jobs.run_nightly(spark, facts, reports_path, csv, day, rollup)
+    jobs.run_nightly(spark, facts, reports_path, csv, day, rollup)  # re-run: idempotent
     rep = spark.read.parquet(reports_path)
     assert rep.count() == 3
     expected = daily.daily_report(stored)
@@ -34,8 +35,15 @@ def test_stream_nightly_reports(spark, tmp):
     assert sorted(map(tuple, rep.select(*cols).collect())) == sorted(map(tuple, expected.select(*cols).collect()))
     assert spark.read.option("header", True).csv(csv).count() == 3
 
-    out = os.path.join(tmp, "out")
+    assert spark.read.parquet(rollup).agg(F.sum("record_count")).first()[0] == 60
+    # Reports from the nightly rollup equal reports materialising their own.
+    out, out2 = os.path.join(tmp, "out"), os.path.join(tmp, "out2")
     jobs.run_reports(spark, facts, alerts, out, dt.datetime(2024, 1, 16), 7)
+    jobs.run_reports(spark, facts, alerts, out2, dt.datetime(2024, 1, 16), 7, rollup_path=rollup)
+    for name in ("summary_metrics",):
+        a = spark.read.parquet(os.path.join(out, name)).collect()
+        b = spark.read.parquet(os.path.join(out2, name)).collect()
+        assert sorted(map(str, a)) == sorted(map(str, b))
     pa = spark.read.option("header", True).csv(os.path.join(out, "peak_hour_analysis"))
     assert pa.count() == 3
     sm = spark.read.parquet(os.path.join(out, "summary_metrics"))
