@@ -122,9 +122,10 @@ def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: s
         _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id"),
                          alerts_path, "event_date")
         rejected = tagged.filter(F.col("reject_reason").isNotNull())
-        _overwrite_batch(rejected.withColumn("ingest_date", F.to_date("processing_time"))
-                                 .drop("event_date"),
-                         quarantine_path or quarantine_path_for(facts_path), "ingest_date")
+        if not rejected.isEmpty():     # cheap: the batch is persisted
+            _overwrite_batch(rejected.withColumn("ingest_date", F.to_date("processing_time"))
+                                     .drop("event_date"),
+                             quarantine_path or quarantine_path_for(facts_path), "ingest_date")
     finally:
         batch.unpersist()
 
