@@ -1,7 +1,8 @@
 """Compare registered Spark queries with their SQL oracles (DuckDB).
 
 Rows are compared as multisets after sorting columns by name, the same
-way the driver's correctness gate does; values must be equal exactly.
+way the driver's correctness gate does; values must be equal exactly, and
+each column's type must map to the oracle's.
 """
 
 from __future__ import annotations
@@ -40,14 +41,22 @@ def canon(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_SQL = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    sql_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    type_diff = {c: (t, sql_types.get(c)) for c, t in sdf.dtypes if SPARK_TO_SQL.get(t) != sql_types.get(c)}
     s_rows = [tuple(r) for r in sdf.collect()]
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     problems = []
+    if type_diff:
+        problems.append(f"types differ: {type_diff}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} sql={sorted(d_cols)}")
     if len(s_rows) != len(d_rows):
