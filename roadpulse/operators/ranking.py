@@ -61,6 +61,24 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], time: str, id_col: s
     return df.groupBy(*keys).agg(*[F.max_by(F.col(c), order).alias(c) for c in values])
 
 
+def argmax_per_group(df: DataFrame, keys: Sequence[str], measure: str, position: str, span: int,
+                     values: Sequence[str], totals: dict[str, str] | None = None) -> DataFrame:
+    """Per group, the row with the largest ``measure`` (ties -> smallest
+    ``position`` in 0..span-1), as an aggregation rather than a window.
+
+    ``measure * span + (span - 1 - position)`` is one exact long that orders
+    rows like (measure desc, position asc); each wanted column is
+    ``max_by(column, that key)``, and ``totals`` (output -> column) are summed
+    over the whole group in the same pass. All buffers are fixed-width, so
+    this is a hash aggregate with partial aggregation: at most one row per
+    group and task crosses the shuffle, and no sort or window is needed.
+    """
+    k = F.col(measure).cast("long") * span + (span - 1 - F.col(position).cast("long"))
+    return df.groupBy(*keys).agg(
+        *[F.max_by(F.col(c), k).alias(c) for c in values],
+        *[F.sum(c).alias(out) for out, c in (totals or {}).items()])
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """Global top-n (planned as TakeOrderedAndProject: per-task top-n, then merge)."""
     return df.orderBy(*order).limit(n)

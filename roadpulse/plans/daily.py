@@ -1,22 +1,22 @@
 """Nightly batch layer: hourly stats, peak hour, day totals, intervention, daily report.
 
 One lazy plan per report: facts -> per (date, sensor, hour) exact sums
-(partial + final aggregation, the only shuffle over raw rows) -> window over
-(date, sensor) on the aggregate for the peak hour and the day totals -> rule
-columns. Every report date is computed in one pass; ``as_of`` restricts the
+(partial + final aggregation, the only shuffle over raw rows) -> one more
+aggregation per (date, sensor) that picks the peak hour (``max_by`` on an
+exact key) and sums the day -> rule columns. Every report date is computed in one pass; ``as_of`` restricts the
 scan to one day when given (pushed to the parquet scan as a time range).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import params as P
 from roadpulse.functions import exprs as X
 from roadpulse.operators import aggregates as A
 from roadpulse.operators import rules as R
-from roadpulse.operators.ranking import top_per_group
+from roadpulse.operators.ranking import argmax_per_group
 from roadpulse.plans.registry import SUMS, register
 from roadpulse.sources.telemetry import DEFAULT, Cols, facts, on_day
 
@@ -59,14 +59,21 @@ def daily_totals(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
     )
 
 
-def _peak_order(cols: Cols):
-    # Highest hourly total first; ties go to the earliest hour.
-    return [F.col("vehicle_sum").desc(), F.col(cols.hour).asc()]
+PEAK_FIELDS = ("vehicle_sum", "vehicle_n", "speed_sum", "speed_n", "x100_sum", "x100_n", "critical_count")
+DAY_TOTALS = {"day_vehicles": "vehicle_sum", "day_speed_sum": "speed_sum", "day_speed_n": "speed_n",
+              "day_critical": "critical_count"}
+
+
+def peak_of(hourly: DataFrame, keys, cols: Cols = DEFAULT, totals: dict[str, str] | None = None) -> DataFrame:
+    """Per group of ``keys``: the peak hour (highest hourly vehicle total,
+    ties -> earliest hour) with that hour's exact sums, plus ``totals`` over
+    all hours, from a per-hour ``measure_sums`` table in one aggregation."""
+    return argmax_per_group(hourly, keys, "vehicle_sum", cols.hour, 24, [cols.hour, *PEAK_FIELDS], totals)
 
 
 def peak_hour_rows(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
     """Per (date, sensor) the peak hour's exact sums."""
-    return top_per_group(hourly_sums(f, as_of, cols), [cols.date, cols.key], _peak_order(cols))
+    return peak_of(hourly_sums(f, as_of, cols), [cols.date, cols.key], cols)
 
 
 def peak_hours(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> DataFrame:
@@ -98,18 +105,10 @@ def peak_rows_with_day_sums(f: DataFrame, as_of=None, cols: Cols = DEFAULT) -> D
     """Per (date, sensor): the peak hour's exact sums plus the day's sums
     (day_vehicles, day_speed_sum, day_speed_n, day_critical).
 
-    Day totals come from window sums over the same (date, sensor) partition
-    as the peak-hour ranking, so there is no second aggregation or join.
+    The peak row and the day totals come from one aggregation over the
+    hourly sums, so there is no window, sort or join.
     """
-    h = hourly_sums(f, as_of, cols)
-    part = Window.partitionBy(cols.date, cols.key)
-    return (h.withColumn("_rn", F.row_number().over(part.orderBy(*_peak_order(cols))))
-             .withColumn("day_vehicles", F.sum("vehicle_sum").over(part))
-             .withColumn("day_speed_sum", F.sum("speed_sum").over(part))
-             .withColumn("day_speed_n", F.sum("speed_n").over(part))
-             .withColumn("day_critical", F.sum("critical_count").over(part))
-             .filter(F.col("_rn") == 1)
-             .drop("_rn"))
+    return peak_of(hourly_sums(f, as_of, cols), [cols.date, cols.key], cols, DAY_TOTALS)
 
 
 def peak_hour_intervention() -> "F.Column":

@@ -7,7 +7,7 @@ rules and text formatting run on those aggregates, never on raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import params as P
@@ -16,6 +16,7 @@ from roadpulse.operators import aggregates as A
 from roadpulse.operators import rules as R
 from roadpulse.operators.joins import left_fill, resample_hourly
 from roadpulse.operators.reshape import pivot_wide
+from roadpulse.plans import daily
 from roadpulse.plans.registry import SUMS, register
 from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, day_range, facts, trailing_range
 
@@ -36,14 +37,9 @@ def peak_hour_analysis(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) ->
     ties -> earliest hour), totals, means, alerts from the alerts table, and
     the intervention decision with its recommendation tier."""
     hs = A.measure_sums(f, [cols.key, cols.hour], cols)
-    part = Window.partitionBy(cols.key)
-    peak = (hs.withColumn("_rn", F.row_number().over(part.orderBy(F.col("vehicle_sum").desc(), F.col(cols.hour))))
-              .withColumn("t_vehicles", F.sum("vehicle_sum").over(part))
-              .withColumn("t_speed_sum", F.sum("speed_sum").over(part))
-              .withColumn("t_speed_n", F.sum("speed_n").over(part))
-              .withColumn("t_x100_sum", F.sum("x100_sum").over(part))
-              .withColumn("t_x100_n", F.sum("x100_n").over(part))
-              .filter(F.col("_rn") == 1))
+    peak = daily.peak_of(hs, [cols.key], cols, {
+        "t_vehicles": "vehicle_sum", "t_speed_sum": "speed_sum", "t_speed_n": "speed_n",
+        "t_x100_sum": "x100_sum", "t_x100_n": "x100_n"})
     per_alerts = alerts.groupBy(cols.key).agg(F.count(F.lit(1)).alias("critical_alerts"))
     joined = left_fill(peak, per_alerts, [cols.key], {"critical_alerts": 0})
     cong = X.exact_mean("t_x100_sum", "t_x100_n", 100)
