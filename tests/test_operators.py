@@ -190,3 +190,13 @@ def test_plans_with_renamed_columns_match(spark, telemetry):
         a = sorted(tuple(_norm(v) for v in r) for r in case(f, fa, c.__class__()).collect())
         b = sorted(tuple(_norm(v) for v in r) for r in case(g, ga, c).collect())
         assert a == b and a, f"case {i}"
+
+
+def test_top_per_group_and_argmax_agree(spark):
+    from roadpulse.operators.ranking import argmax_per_group, top_per_group
+    rows = [("A", h, v) for h, v in [(3, 10), (5, 30), (7, 30), (9, 5)]] + [("B", 1, 7), ("B", 2, 9)]
+    df = spark.createDataFrame(rows, "k string, h int, v long")
+    top2 = top_per_group(df, ["k"], [F.col("v").desc(), F.col("h")], n=2, rank_col="rank")
+    assert sorted(tuple(r) for r in top2.collect()) == [("A", 5, 30, 1), ("A", 7, 30, 2), ("B", 1, 7, 2), ("B", 2, 9, 1)]
+    best = argmax_per_group(df, ["k"], "v", "h", 24, ["h", "v"], {"total": "v"})
+    assert sorted(tuple(r) for r in best.collect()) == [("A", 5, 30, 75), ("B", 2, 9, 16)]
