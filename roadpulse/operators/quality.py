@@ -38,18 +38,33 @@ def split_valid(df: DataFrame, required: Sequence[str] = REQUIRED) -> tuple[Data
 
 def profile(df: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Per key: row count, NULL counts per measure, first/last event, hours and
-    dates with data, critical rows. One scan, partial aggregation."""
-    return df.groupBy(cols.key).agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_if(F.col(cols.time).isNull()).alias("null_event_time"),
-        F.count_if(F.col(cols.count).isNull()).alias("null_vehicle_count"),
-        F.count_if(F.col(cols.speed).isNull()).alias("null_avg_speed"),
-        F.count_if(F.col(cols.congestion).isNull()).alias("null_congestion_index"),
-        F.min(cols.time).alias("first_event"),
-        F.max(cols.time).alias("last_event"),
+    dates with data, critical rows.
+
+    All counters are additive, so raw rows are first collapsed per (key,
+    date, hour) with partial aggregation; the distinct counts then run on
+    that small table (Spark's distinct-aggregate expansion never touches the
+    raw rows)."""
+    cells = df.groupBy(cols.key, cols.date, cols.hour).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(cols.time).isNull()).alias("nt"),
+        F.count_if(F.col(cols.count).isNull()).alias("nc"),
+        F.count_if(F.col(cols.speed).isNull()).alias("ns"),
+        F.count_if(F.col(cols.congestion).isNull()).alias("ni"),
+        F.min(cols.time).alias("lo"),
+        F.max(cols.time).alias("hi"),
+        F.count_if(F.coalesce(F.col(cols.flag), F.lit(False))).alias("cr"),
+    )
+    return cells.groupBy(cols.key).agg(
+        F.sum("n").alias("record_count"),
+        F.sum("nt").alias("null_event_time"),
+        F.sum("nc").alias("null_vehicle_count"),
+        F.sum("ns").alias("null_avg_speed"),
+        F.sum("ni").alias("null_congestion_index"),
+        F.min("lo").alias("first_event"),
+        F.max("hi").alias("last_event"),
         F.count_distinct(F.col(cols.date)).alias("dates_with_data"),
         F.count_distinct(F.col(cols.hour)).alias("hours_with_data"),
-        F.count_if(F.coalesce(F.col(cols.flag), F.lit(False))).alias("critical_count"),
+        F.sum("cr").alias("critical_count"),
     )
 
 
@@ -87,12 +102,16 @@ def ingestion_checks(facts: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT)
                            F.coalesce(F.col(cols.flag), F.lit(False)).alias("_flag"))
               .unionByName(alerts.select(F.lit(False).alias("_fact"), F.col(cols.key),
                                          F.lit(None).cast("int").alias(cols.hour), F.lit(False).alias("_flag"))))
-    g = tagged.agg(
-        F.count_if(F.col("_fact")).alias("fact_rows"),
-        F.count_if(~F.col("_fact")).alias("alert_rows"),
+    # Collapse raw rows per (source, key, hour) first; distinct counts then
+    # run on that small table.
+    cells = tagged.groupBy("_fact", cols.key, cols.hour).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_flag")).alias("f"))
+    g = cells.agg(
+        F.coalesce(F.sum(F.when(F.col("_fact"), F.col("n"))), F.lit(0)).alias("fact_rows"),
+        F.coalesce(F.sum(F.when(~F.col("_fact"), F.col("n"))), F.lit(0)).alias("alert_rows"),
         F.count_distinct(F.when(F.col("_fact"), F.col(cols.key))).alias("sensors_reporting"),
         F.count_distinct(F.when(F.col("_fact"), F.col(cols.hour))).alias("hours_reporting"),
-        F.count_if(F.col("_flag")).alias("flagged_rows"),
+        F.coalesce(F.sum("f"), F.lit(0)).alias("flagged_rows"),
     )
     return g.select(F.expr(
         "stack(5, "
