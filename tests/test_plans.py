@@ -86,3 +86,22 @@ def test_no_raw_rows_shuffled_by_key(spark, name):
         plan = plan.initialPlan()
     for ex in _hash_exchanges(plan, []):
         assert not _raw_feeds(_children(ex)[0]), f"{name}: raw rows moved by {ex.nodeName()}"
+
+
+def _find(node, simple_name, out):
+    if node.getClass().getSimpleName() == simple_name:
+        out.append(node)
+    for c in _children(node):
+        _find(c, simple_name, out)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_row_expansion_of_raw_rows(spark, name):
+    """Distinct counts and rollups expand rows (Expand); that must happen on
+    aggregated rows only, never on the raw scan."""
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    for node in _find(plan, "ExpandExec", []):
+        assert not _raw_feeds(_children(node)[0]), f"{name}: Expand over raw rows"
