@@ -149,5 +149,7 @@ def iso_text(ts: str | Column, sep: str = "T") -> Column:
 
 
 def parse_event_time(text: str | Column) -> Column:
-    """ISO text -> naive event time; unparseable text gives NULL (never throws)."""
-    return F.try_to_timestamp(col_of(text)).cast("timestamp_ntz")
+    """ISO text -> naive event time; unparseable text gives NULL (never throws).
+    Parsed straight to TIMESTAMP_NTZ, so no session time zone is involved
+    (a wall-clock time inside a daylight-saving gap is kept as written)."""
+    return col_of(text).try_cast("timestamp_ntz")

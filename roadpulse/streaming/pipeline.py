@@ -68,7 +68,9 @@ def enrich_stream(raw: DataFrame, value_col: str = "value") -> DataFrame:
     if not keep:
         d = d.withColumn("event_id", F.xxhash64(F.col("sensor_id"), F.col("timestamp"),
                                                 F.col("vehicle_count"), F.col("avg_speed")))
-    e = enrich(d.withColumn("event_time", F.col("event_time").cast("timestamp")))
+    # Hour and date come from the naive wall-clock time; only then does
+    # event_time become TIMESTAMP for the watermark.
+    e = enrich(d).withColumn("event_time", F.col("event_time").cast("timestamp"))
     return e.withColumn("processing_time", F.current_timestamp())
 
 

@@ -86,3 +86,14 @@ def test_integer_rounding_is_exact_for_large_sums(spark):
     assert r[0] == (2 * n + d) // (2 * d)
     assert r[1] == str((2 * n + d) // (2 * d))
     assert r[2] == n // d
+
+
+def test_parse_event_time_ignores_session_clock(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = spark.createDataFrame([("2024-03-10T02:30:00",)], "t string") \
+                   .select(X.parse_event_time("t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(2024, 3, 10, 2, 30)
