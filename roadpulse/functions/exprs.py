@@ -19,7 +19,7 @@ __all__ = [
     "critical_flag", "hour_of_day", "event_date", "date_text", "label",
     "hour_label", "div_half_up", "fixed_text", "exact_mean", "yes_no",
     "status_glyph", "hour_band", "hour_band_multiplier", "speed_band",
-    "iso_text", "ts_text", "parse_event_time",
+    "iso_text", "ts_text", "parse_event_time", "hour_bucket",
 ]
 
 
@@ -135,6 +135,16 @@ def speed_band(mean_speed: str | Column, limits: tuple[int, int] = P.SPEED_BAND_
             .otherwise(F.lit(P.SPEED_BANDS[2])))
 
 
+def hour_bucket(ts: str | Column, naive: bool = True) -> Column:
+    """Start of the hour containing ``ts``. Naive times are truncated on their
+    wall-clock fields (no session time zone involved); zoned times use
+    ``date_trunc``."""
+    t = col_of(ts)
+    if naive:
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+    return F.date_trunc("hour", t)
+
+
 def ts_text(ts: str | Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss[.ffffff]' text of a timestamp (fraction omitted at 0 us)."""
     return iso_text(ts, sep=" ")

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.functions import exprs as X
+
 
 def left_fill(left: DataFrame, right: DataFrame, on: Sequence[str], fill: dict[str, object]) -> DataFrame:
     """left join on ``on``; missing right measures become ``fill`` values."""
@@ -68,6 +70,9 @@ def resample_hourly(df: DataFrame, key: str, time: str, measure: str,
     """Per key: contiguous 1-hour buckets from its first to its last event,
     measure summed per bucket, empty buckets 0."""
     out_measure = out_measure or measure
-    bucket = F.date_trunc("hour", F.col(time)).cast("timestamp_ntz")
+    naive = dict(df.dtypes)[time] == "timestamp_ntz"
+    bucket = X.hour_bucket(time, naive)
+    if not naive:
+        bucket = bucket.cast("timestamp_ntz")
     summed = df.groupBy(key, bucket.alias(out_time)).agg(F.sum(measure).cast("long").alias(out_measure))
     return fill_gaps(summed, [key], out_time, {out_measure: 0}, "1 HOUR")

@@ -200,3 +200,16 @@ def test_top_per_group_and_argmax_agree(spark):
     assert sorted(tuple(r) for r in top2.collect()) == [("A", 5, 30, 1), ("A", 7, 30, 2), ("B", 1, 7, 2), ("B", 2, 9, 1)]
     best = argmax_per_group(df, ["k"], "v", "h", 24, ["h", "v"], {"total": "v"})
     assert sorted(tuple(r) for r in best.collect()) == [("A", 5, 30, 75), ("B", 2, 9, 16)]
+
+
+def test_resample_ignores_session_clock(spark, telemetry):
+    f = telemetry([(1, "A", "2024-03-10 01:10:00", 10, 40), (2, "A", "2024-03-10 02:30:00", 20, 40),
+                   (3, "A", "2024-03-10 03:15:00", 30, 40)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [(r.bucket.hour, r.vehicle_count) for r in
+               resample_hourly(f, "sensor_id", "event_time", "vehicle_count").orderBy("bucket").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(1, 10), (2, 20), (3, 30)]
