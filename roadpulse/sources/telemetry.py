@@ -98,7 +98,9 @@ def on_day(df: DataFrame, day, cols: Cols = DEFAULT) -> DataFrame:
 
 def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
     """Predicate for [as_of - days, as_of) on the raw time column."""
-    end = F.lit(as_of_ts).cast("timestamp_ntz")
+    # From ISO text: a naive Python datetime literal would be converted with
+    # the driver process's local time zone.
+    end = F.lit(as_of_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {int(days)} DAYS")
     return (F.col(cols.time) >= start) & (F.col(cols.time) < end)
 
