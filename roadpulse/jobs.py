@@ -48,7 +48,9 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
     raw = kafka_source(spark, kafka_servers, source) if kafka_servers else \
         read_wire_files(spark, source, max_files_per_trigger=max_files)
     enriched = enrich_stream(raw)
-    trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+    # One micro-batch a minute: each batch adds (date, batch) partitions to
+    # the facts table, so short triggers multiply partitions and small files.
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
     base = (checkpoint_base or shared_dir(spark, "stream")).rstrip("/")
     q1 = start_fact_sinks(enriched, facts_path, alerts_path, f"{base}/facts", trigger, "facts")
     q2 = start_windows(enriched, f"{base}/windows", path=windows_path, trigger=trigger, name="windows")
