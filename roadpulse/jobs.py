@@ -35,16 +35,21 @@ from roadpulse.sinks import (  # noqa: E402
     export_csv, write_daily_report, write_hourly_rollup, write_summary, write_text_report,
 )
 from roadpulse.sources.telemetry import day_range, read_alerts, read_facts  # noqa: E402
-from roadpulse.streaming import enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_windows  # noqa: E402
+from roadpulse.streaming import (  # noqa: E402
+    enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_store_sink, start_windows,
+)
 from roadpulse.streaming.pipeline import write_batch  # noqa: E402
 
 
-def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: str, windows_path: str,
+def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: str | None, windows_path: str,
                kafka_servers: str | None = None, available_now: bool = False, max_files: int | None = None,
                checkpoint_base: str | None = None):
-    """Start the facts/alerts sink and the window sink. Each query has its own
-    checkpoint (default: under the shared checkpoint root); restarting with
-    the same checkpoints resumes where the previous run committed."""
+    """Start the facts/alerts sink and the window sink. Without ``alerts_path``
+    facts, alerts and quarantine go to one exactly-once store at
+    ``facts_path`` (read it with ``read_facts`` / ``read_alerts``). Each query
+    has its own checkpoint (default: under the shared checkpoint root);
+    restarting with the same checkpoints resumes where the previous run
+    committed."""
     raw = kafka_source(spark, kafka_servers, source) if kafka_servers else \
         read_wire_files(spark, source, max_files_per_trigger=max_files)
     enriched = enrich_stream(raw)
@@ -52,7 +57,11 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
     # the facts table, so short triggers multiply partitions and small files.
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
     base = (checkpoint_base or shared_dir(spark, "stream")).rstrip("/")
-    q1 = start_fact_sinks(enriched, facts_path, alerts_path, f"{base}/facts", trigger, "facts")
+    if alerts_path is None:
+        # One exactly-once store for facts, alerts and quarantine (kind partition).
+        q1 = start_store_sink(enriched, facts_path, f"{base}/store", trigger, "store")
+    else:
+        q1 = start_fact_sinks(enriched, facts_path, alerts_path, f"{base}/facts", trigger, "facts")
     q2 = start_windows(enriched, f"{base}/windows", path=windows_path, trigger=trigger, name="windows")
     return [q1, q2]
 
@@ -137,7 +146,7 @@ def main(argv=None) -> None:
     s.add_argument("--source", required=True)
     s.add_argument("--kafka-servers")
     s.add_argument("--facts", required=True)
-    s.add_argument("--alerts", required=True)
+    s.add_argument("--alerts", help="separate alerts table; omit for one store at --facts")
     s.add_argument("--windows", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--checkpoints")

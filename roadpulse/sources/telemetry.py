@@ -105,15 +105,32 @@ def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
     return (F.col(cols.time) >= start) & (F.col(cols.time) < end)
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Stored facts table (parquet partitioned by event_date, optionally by
-    batch_id from the streaming sink). Day filters prune partitions.
-    Congestion in integer hundredths is derived from the stored index."""
+STORE_KIND = "kind"
+
+
+def _read_kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
     df = spark.read.parquet(path)
+    if STORE_KIND in df.columns:       # single store written by start_store_sink
+        df = df.filter(F.col(STORE_KIND) == kind).drop(STORE_KIND)
+        if kind != "quarantine":
+            df = df.drop("reject_reason")
+    return df
+
+
+def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """Stored facts: a table partitioned by event_date (and batch_id from the
+    foreachBatch sink), or the ``kind=fact`` rows of a single store. Day
+    filters prune partitions. Congestion in integer hundredths is derived
+    from the stored index."""
+    df = _read_kind(spark, path, "fact")
     if DEFAULT.x100 not in df.columns:
         df = df.withColumn(DEFAULT.x100, X.x100_from_index(DEFAULT.congestion))
     return df
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return _read_kind(spark, path, "alert")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return _read_kind(spark, path, "quarantine")

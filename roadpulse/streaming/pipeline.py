@@ -146,6 +146,36 @@ def start_fact_sinks(enriched: DataFrame, facts_path: str, alerts_path: str, che
     return w.start()
 
 
+def start_store_sink(enriched: DataFrame, store_path: str, checkpoint: str,
+                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """One exactly-once file-sink query for facts, alerts and quarantine.
+
+    Each reading becomes a ``kind=fact`` row (valid), plus a ``kind=alert``
+    copy when critical, or a ``kind=quarantine`` row with its reasons. The
+    rows go to one parquet store partitioned by (kind, event_date) whose
+    metadata log makes the output exactly-once. Partitions stay kinds x
+    dates however often the trigger fires. Read it with ``read_facts`` /
+    ``read_alerts`` / ``read_quarantine``; never point a second query (or a
+    new checkpoint) at the same store.
+    """
+    tagged = with_reject_reason(enriched)
+    valid = F.col("reject_reason").isNull()
+    critical = valid & F.coalesce(F.col("traffic_status"), F.lit(False))
+    kinds = F.array(F.when(valid, F.lit("fact")), F.when(critical, F.lit("alert")),
+                    F.when(~valid, F.lit("quarantine")))
+    rows = (tagged.select(*[c for c in FACT_COLUMNS if c != "event_date"], "processing_time", "reject_reason",
+                          F.coalesce(F.col("event_date"), F.to_date("processing_time")).alias("event_date"),
+                          F.explode(kinds).alias("kind"))
+                  .filter(F.col("kind").isNotNull()))
+    w = (rows.writeStream.format("parquet").outputMode("append")
+         .option("path", store_path).option("checkpointLocation", checkpoint)
+         .partitionBy("kind", "event_date"))
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(**trigger) if trigger else w
+    return w.start()
+
+
 def windowed(enriched: DataFrame, duration: str = P.WINDOW, delay: str = P.WATERMARK) -> DataFrame:
     """Watermarked tumbling windows per sensor (same operator as batch)."""
     return window_measures(enriched.withWatermark("event_time", delay), duration)

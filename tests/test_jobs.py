@@ -76,3 +76,22 @@ def test_backfill_ingest_is_rerunnable(spark, tmp):
     f = read_facts(spark, facts)
     assert f.count() == 60 and f.select("batch_id").distinct().first()[0] == jobs.BACKFILL_BATCH
     assert spark.read.parquet(alerts).count() == f.filter("traffic_status").count()
+
+
+def test_store_layout_end_to_end(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    store, windows = os.path.join(tmp, "store"), os.path.join(tmp, "windows")
+    for q in jobs.run_stream(spark, src, store, None, windows, available_now=True, max_files=1,
+                             checkpoint_base=os.path.join(tmp, "ck")):
+        q.awaitTermination(120)
+        assert q.exception() is None
+    reports_path, csv = os.path.join(tmp, "reports"), os.path.join(tmp, "recs")
+    jobs.run_nightly(spark, store, reports_path, csv, dt.date(2024, 1, 15))
+    assert spark.read.parquet(reports_path).count() == 3
+    out = os.path.join(tmp, "out")
+    jobs.run_reports(spark, store, store, out, dt.datetime(2024, 1, 16), 7)
+    sm = spark.read.parquet(os.path.join(out, "summary_metrics"))
+    assert sm.filter(F.col("metric") == "total_records").first().value == 60.0
+    alerts = read_facts(spark, store).filter("traffic_status").count()
+    assert sm.filter(F.col("metric") == "total_alerts").first().value == float(alerts)

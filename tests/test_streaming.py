@@ -216,3 +216,23 @@ def test_invalid_messages_go_to_quarantine(spark, tmp):
     assert q.count() == 3
     reasons = sorted(r.reject_reason for r in q.collect())
     assert reasons[0] == "nonpositive_avg_speed" and "null_event_time" in reasons[1]
+
+
+def test_single_store_sink(spark, tmp):
+    from roadpulse.sources import read_alerts, read_facts, read_quarantine
+    from roadpulse.streaming import start_store_sink
+    src = os.path.join(tmp, "in")
+    batches = in_order_batches()
+    batches[1] += ["{broken json"]
+    write_files(src, batches)
+    store, ck = os.path.join(tmp, "store"), os.path.join(tmp, "ck")
+    for _ in range(2):   # restart from the same checkpoint: nothing is written twice
+        stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+        run(start_store_sink(stream, store, ck, trigger={"availableNow": True}))
+    f = read_facts(spark, store)
+    assert f.count() == 60 and "kind" not in f.columns and "reject_reason" not in f.columns
+    assert read_alerts(spark, store).count() == f.filter("traffic_status").count() > 0
+    assert read_quarantine(spark, store).count() == 1
+    assert os.path.isdir(os.path.join(store, "_spark_metadata"))
+    kinds = sorted(d for d in os.listdir(store) if d.startswith("kind="))
+    assert kinds == ["kind=alert", "kind=fact", "kind=quarantine"]
