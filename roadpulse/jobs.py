@@ -69,14 +69,28 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
 BACKFILL_BATCH = -1
 
 
-def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: str,
-               quarantine_path: str | None = None, batch_id: int = BACKFILL_BATCH) -> None:
-    """Batch ingest of wire-message files (backfill): the same decode, enrich,
-    validate and write path as a streaming micro-batch. Partitions
-    (event_date, batch_id) present in the input are replaced, so re-running a
-    backfill is exact and streamed batches are untouched."""
-    write_batch(enrich_stream(spark.read.format("text").load(source)), batch_id,
-                facts_path, alerts_path, quarantine_path)
+def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: str | None,
+               quarantine_path: str | None = None, batch_id: int = BACKFILL_BATCH,
+               checkpoint: str | None = None) -> None:
+    """Backfill of wire-message files.
+
+    With ``alerts_path``: the same decode, enrich, validate and write path as
+    a ``foreachBatch`` micro-batch; partitions (event_date, batch_id) present
+    in the input are replaced, so re-running is exact and streamed batches
+    are untouched. Without it: ``facts_path`` is a new store of its own,
+    written by the exactly-once store sink over the files (run once,
+    ``availableNow``); read it together with the live store by passing
+    both paths to ``read_facts`` / ``read_alerts``."""
+    if alerts_path is not None:
+        write_batch(enrich_stream(spark.read.format("text").load(source)), batch_id,
+                    facts_path, alerts_path, quarantine_path)
+        return
+    ck = checkpoint or shared_dir(spark, f"backfill/{uuid.uuid4().hex}")
+    q = start_store_sink(enrich_stream(read_wire_files(spark, source)), facts_path, ck,
+                         {"availableNow": True}, None)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
 
 
 def run_nightly(spark: SparkSession, facts_path: str, reports_path: str, csv_path: str,
@@ -153,7 +167,7 @@ def main(argv=None) -> None:
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
     i.add_argument("--facts", required=True)
-    i.add_argument("--alerts", required=True)
+    i.add_argument("--alerts", help="foreachBatch layout; omit to write a new store at --facts")
     i.add_argument("--quarantine")
     n = sub.add_parser("nightly")
     n.add_argument("--facts", required=True)

@@ -108,7 +108,7 @@ def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
 STORE_KIND = "kind"
 
 
-def _read_kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def _read_one(spark: SparkSession, path: str, kind: str) -> DataFrame:
     df = spark.read.parquet(path)
     if STORE_KIND in df.columns:       # single store written by start_store_sink
         df = df.filter(F.col(STORE_KIND) == kind).drop(STORE_KIND)
@@ -117,9 +117,21 @@ def _read_kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return df
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
+def _read_kind(spark: SparkSession, path, kind: str) -> DataFrame:
+    """One table, or the union of several (a live store plus backfill
+    stores). Each path is read on its own so a file-sink store is listed
+    through its metadata log."""
+    paths = [p for p in (path.split(",") if isinstance(path, str) else path) if p]
+    out = _read_one(spark, paths[0], kind)
+    for p in paths[1:]:
+        out = out.unionByName(_read_one(spark, p, kind), allowMissingColumns=True)
+    return out
+
+
+def read_facts(spark: SparkSession, path) -> DataFrame:
     """Stored facts: a table partitioned by event_date (and batch_id from the
-    foreachBatch sink), or the ``kind=fact`` rows of a single store. Day
+    foreachBatch sink), or the ``kind=fact`` rows of a single store; several
+    paths (list or comma-separated) are read and unioned. Day
     filters prune partitions. Congestion in integer hundredths is derived
     from the stored index."""
     df = _read_kind(spark, path, "fact")
@@ -128,9 +140,9 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+def read_alerts(spark: SparkSession, path) -> DataFrame:
     return _read_kind(spark, path, "alert")
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+def read_quarantine(spark: SparkSession, path) -> DataFrame:
     return _read_kind(spark, path, "quarantine")

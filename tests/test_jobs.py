@@ -95,3 +95,19 @@ def test_store_layout_end_to_end(spark, tmp):
     assert sm.filter(F.col("metric") == "total_records").first().value == 60.0
     alerts = read_facts(spark, store).filter("traffic_status").count()
     assert sm.filter(F.col("metric") == "total_alerts").first().value == float(alerts)
+
+
+def test_live_store_plus_backfill_store(spark, tmp):
+    from roadpulse.sources import read_alerts
+    live_src, old_src = os.path.join(tmp, "live"), os.path.join(tmp, "old")
+    batches = in_order_batches()
+    write_files(live_src, batches[:2])
+    write_files(old_src, batches[2:])
+    live, back = os.path.join(tmp, "store_live"), os.path.join(tmp, "store_backfill")
+    for q in jobs.run_stream(spark, live_src, live, None, os.path.join(tmp, "w"), available_now=True,
+                             checkpoint_base=os.path.join(tmp, "ck")):
+        q.awaitTermination(120)
+    jobs.run_ingest(spark, old_src, back, None, checkpoint=os.path.join(tmp, "ck_backfill"))
+    both = read_facts(spark, [live, back])
+    assert both.count() == 60 and read_facts(spark, f"{live},{back}").count() == 60
+    assert read_alerts(spark, [live, back]).count() == both.filter("traffic_status").count()
