@@ -111,3 +111,19 @@ def test_live_store_plus_backfill_store(spark, tmp):
     both = read_facts(spark, [live, back])
     assert both.count() == 60 and read_facts(spark, f"{live},{back}").count() == 60
     assert read_alerts(spark, [live, back]).count() == both.filter("traffic_status").count()
+
+
+def test_cli_entry_points(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    store = os.path.join(tmp, "store")
+    jobs.main(["stream", "--source", src, "--facts", store, "--windows", os.path.join(tmp, "w"),
+               "--available-now", "--checkpoints", os.path.join(tmp, "ck")])
+    jobs.main(["nightly", "--facts", store, "--reports", os.path.join(tmp, "rep"), "--csv", os.path.join(tmp, "csv"),
+               "--as-of", "2024-01-15", "--rollup", os.path.join(tmp, "rollup")])
+    jobs.main(["reports", "--facts", store, "--alerts", store, "--out", os.path.join(tmp, "out"),
+               "--rollup", os.path.join(tmp, "rollup")])
+    jobs.main(["dashboard", "--facts", store, "--alerts", store, "--reports", os.path.join(tmp, "rep"),
+               "--out", os.path.join(tmp, "dash"), "--day", "2024-01-15"])
+    assert spark.read.parquet(os.path.join(tmp, "rep")).count() == 3
+    assert spark.read.parquet(os.path.join(tmp, "dash", "stats_summary")).first().total_records == 60
