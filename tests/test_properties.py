@@ -117,3 +117,22 @@ def test_time_id_key_orders_like_the_pair(spark, data):
     df = spark.createDataFrame(data, "t timestamp_ntz, i long")
     got = [(r.t, r.i) for r in df.withColumn("k", time_id_key(df, "t", "i")).orderBy("k").collect()]
     assert got == sorted(data)
+
+
+groups = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 23), st.integers(0, 5)),
+                  min_size=1, max_size=50, unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(groups)
+def test_argmax_per_group_equals_brute_force(spark, data):
+    from roadpulse.operators.ranking import argmax_per_group
+    df = spark.createDataFrame(data, "k string, h int, v long")
+    got = {r.k: (r.h, r.v, r.total) for r in argmax_per_group(df, ["k"], "v", "h", 24, ["h", "v"],
+                                                                   {"total": "v"}).collect()}
+    expected = {}
+    for k in {k for k, _, _ in data}:
+        rows = [(h, v) for kk, h, v in data if kk == k]
+        h, v = min(rows, key=lambda r: (-r[1], r[0]))      # largest v, then earliest h
+        expected[k] = (h, v, sum(v for _, v in rows))
+    assert got == expected
