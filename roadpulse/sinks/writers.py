@@ -27,6 +27,7 @@ def write_alerts(df: DataFrame, path: str, mode: str = "append") -> None:
 def write_daily_report(report: DataFrame, path: str) -> None:
     """Upsert report rows: each report_date present in ``report`` replaces that
     date's partition; other dates are untouched."""
+    # One row per sensor and day: one task (and file) per report date.
     (report.repartition("report_date")
            .write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
@@ -61,6 +62,7 @@ def write_hourly_rollup(sums: DataFrame, path: str, date_col: str = "event_date"
     """Upsert a (sensor, date, hour) ``measure_sums`` table: each date present
     replaces its partition. Reports and views can read this instead of the
     facts (the sums merge exactly)."""
-    (sums.repartition(date_col)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # No repartition by date: a day holds sensors x 24 rows, so the input's
+    # own (AQE-sized) partitions decide the files instead of one task a day.
+    (sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(path))
