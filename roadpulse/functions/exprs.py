@@ -151,11 +151,11 @@ def ts_text(ts: str | Column) -> Column:
 
 
 def iso_text(ts: str | Column, sep: str = "T") -> Column:
-    """ISO-8601 text of a naive timestamp; the fraction is omitted at 0 us."""
-    t = col_of(ts)
-    base = F.date_format(t, f"yyyy-MM-dd'{sep}'HH:mm:ss" if sep == "T" else f"yyyy-MM-dd{sep}HH:mm:ss")
-    frac = F.date_format(t, "SSSSSS")
-    return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
+    """ISO-8601 text of a naive timestamp; the fraction is omitted at 0 us.
+    One format call; the always-6-digit fraction is dropped only when it is
+    exactly zero."""
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" if sep == "T" else f"yyyy-MM-dd{sep}HH:mm:ss.SSSSSS"
+    return F.regexp_replace(F.date_format(col_of(ts), pattern), r"\.000000$", "")
 
 
 def parse_event_time(text: str | Column) -> Column:
