@@ -105,3 +105,13 @@ def test_no_row_expansion_of_raw_rows(spark, name):
         plan = plan.initialPlan()
     for node in _find(plan, "ExpandExec", []):
         assert not _raw_feeds(_children(node)[0]), f"{name}: Expand over raw rows"
+
+
+@pytest.mark.parametrize("name", ["latest_status", "daily_report", "peak_hour_analysis", "tumbling_5min",
+                                  "summary_metrics", "dq_profile", "hourly_resample", "hour_grid"])
+def test_aggregates_run_in_whole_stage_codegen(spark, name):
+    df = QUERIES[name](spark, SF001)
+    df.collect()   # the adaptive plan is final only after this DataFrame ran
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    aggregates = [ln for ln in final.split("\n") if "Aggregate(" in ln]
+    assert aggregates and all("*(" in ln for ln in aggregates), aggregates
