@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from roadpulse.plans import registry
 from tests.oracle_check import compare, duck
 from tests.conftest import SF0001, SF001
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+registry.load_all()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in registry.QUERIES}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
