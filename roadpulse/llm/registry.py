@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("packing", "secrets", "toxicity", "dartminhash", "decontam", "egojoin")
+MODULES = ("packing", "secrets", "toxicity", "dartminhash", "decontam", "egojoin", "phrases")
 
 
 def query(name: str, oracle: str | None = None):
