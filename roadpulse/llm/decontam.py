@@ -112,9 +112,9 @@ def _pairs(items):
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            rows = [(d, items.value.ids[i], len(items.value.shingles[i]), found)
+            rows = [(d, items.ids[i], len(items.shingles[i]), found)
                     for d, t in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for i, found in items.value.contained(t.as_py(), hashes)]
+                    for i, found in items.contained(t.as_py(), hashes)]
             cols = [pa.array([r[j] for r in rows], pa.int64()) for j in range(4)]
             cols.append(pa.array([r[3] / r[2] for r in rows], pa.float64()))
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "n_shingles", "n_found", "containment"])
@@ -125,7 +125,7 @@ def _clean(items, at: int):
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            keep = [not items.value.contained(t.as_py(), hashes) for t in batch.column(at)]
+            keep = [not items.contained(t.as_py(), hashes) for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -187,7 +187,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAI
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketches = _sketch_table(benchmark, k, least, sizes)
     if _small(sketches, broadcast_rows):
-        items = docs.sparkSession.sparkContext.broadcast(Items(sketches.collect(), least))
+        items = Items(sketches.collect(), least)
         return docs.mapInArrow(_pairs(items), PAIRS)
     lengths = [r.run for r in sketches.select("run").distinct().collect()]   # at most k values
     items = sketches.withColumn("item", F.monotonically_increasing_id())
@@ -208,7 +208,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = C
     kept; edge cases as in ``contained_items``."""
     sketches = _sketch_table(benchmark, k, least, sizes)
     if _small(sketches, broadcast_rows):
-        items = docs.sparkSession.sparkContext.broadcast(Items(sketches.collect(), least))
+        items = Items(sketches.collect(), least)
         return docs.mapInArrow(_clean(items, docs.columns.index("text")), docs.schema)
     found = contained_items(docs, benchmark, least, k, sizes, broadcast_rows).select(
         F.col("doc_id").alias("_contaminated")).distinct()
