@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("packing", "secrets", "toxicity", "dartminhash", "decontam", "egojoin", "phrases", "ctw")
+MODULES = ("packing", "secrets", "toxicity", "dartminhash", "decontam", "egojoin", "phrases", "ctw",
+           "htmltext")
 
 
 def query(name: str, oracle: str | None = None):
