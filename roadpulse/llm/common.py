@@ -39,6 +39,22 @@ def id_mod5(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int) -> DataFrame:
+    """(doc_id, fold, text, label) of about ``most`` labelled training
+    documents, chosen by a hash of doc_id; held-out ones never."""
+    known = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
+             .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (id_mod5() != 0))
+             .groupBy("doc_id").agg(F.max("label").alias("label")))
+    share = most / max(1, known.count())
+    if share < 1:
+        place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30))
+        known = known.filter(place < int(share * (1 << 30)))
+    # At most about ``most`` rows of two numbers: small enough to broadcast.
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), F.lit(2)).cast("int")
+    return materialize(rows.select("doc_id", fold.alias("fold"), "text", "label"))
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered up to ``room`` words."""
 

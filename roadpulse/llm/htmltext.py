@@ -216,7 +216,7 @@ def main_text(blocks: list[Block], template: set) -> str:
         rest = [b for b in rest if 2 * b.linked <= len(b.text)]   # lists of links
     slots = [b for b in rest if (b.path, b.text) not in template]
     # Text that most pages share may be the article itself, of copied pages.
-    if 2 * sum(len(b.text) for b in slots) < sum(len(b.text) for b in rest):
+    if 2 * sum(len(b.text) for b in slots) < sum(len(b.text) for b in inside and rest) or not slots:
         slots = rest
     return " ".join(b.text for b in slots)
 

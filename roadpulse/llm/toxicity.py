@@ -4,30 +4,30 @@ from __future__ import annotations
 
 import math
 import re
+from collections import namedtuple
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadpulse.llm.common import id_mod5, materialize
+from roadpulse.llm.common import id_mod5, labelled_sample, materialize
 from roadpulse.llm.registry import query, table
 
 SAMPLE_DOCS = 20_000     # labelled documents a model is fitted on, about
 LEXICON_WORDS = 4_000    # words of the learned lexicon, at most
 MIN_DOCS = 3             # documents a lexicon word occurs in
 MIN_LOG_ODDS = 1.5
+THRESHOLD = 0.5
 SEED = 17
 
 # Second-person pronouns of the corpus languages.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous "
                 "votre vos ti tú usted ustedes vosotros".split())
 LEET = str.maketrans("013457@$!", "oieastasi")
-FEATURES = ("n_hits", "hit_rate", "max_odds", "sum_odds", "odds_rate", "you_rate", "near_you",
-            "capitals", "punctuation", "symbols", "obfuscated", "masked_hits", "repeats", "log_words")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"[^\W\d_][\d@$!*._-]+[^\W\d_]")
@@ -85,15 +85,16 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
             math.log1p(len(words))]
 
 
-def _scan(lexicons: list[dict[str, float]]):
-    """Batches of (doc_id, fold, text) to features by the fold's lexicon."""
+def _scan(lexicons: list[dict[str, float]], fold: str | None, text: str, out: str):
+    """Appends the features by the fold's lexicon to every batch."""
     def run(batches):
         for batch in batches:
-            ids, fold = batch.column(0), batch.column(1)
-            rows = [features(t.as_py(), lexicons[f]) for t, f in zip(batch.column(2), fold.to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [ids, fold, batch.column(3), pa.array(rows, pa.list_(pa.float64()))],
-                ["doc_id", "fold", "label", "features"])
+            names = batch.schema.names
+            texts = batch.column(names.index(text))
+            folds = batch.column(names.index(fold)).to_pylist() if fold else [0] * len(texts)
+            rows = [features(t.as_py(), lexicons[f]) for t, f in zip(texts, folds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.float64()))],
+                                             [*names, out])
     return run
 
 
@@ -110,30 +111,16 @@ def _words(batches):
                                           pa.array(labels, pa.int32())], ["word", "fold", "label"])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(doc_id, fold, text, label) of about ``most`` labelled training
-    documents, chosen by a hash of doc_id; held-out ones never."""
-    known = (labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
-             .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (id_mod5() != 0))
-             .groupBy("doc_id").agg(F.max("label").alias("label")))
-    share = most / max(1, known.count())
-    if share < 1:
-        place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 30))
-        known = known.filter(place < int(share * (1 << 30)))
-    # At most about ``most`` rows of two numbers: small enough to broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED + 1)), F.lit(2)).cast("int")
-    return materialize(rows.select("doc_id", fold.alias("fold"), "text", "label"))
-
-
 def learn_lexicons(sample: DataFrame) -> list[dict[str, float]]:
     """Word -> log-odds of toxic documents: learned on fold 0, on fold 1, and
     on both."""
     size = {(r.fold, r.label): r.n for r in
             sample.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = (sample.mapInArrow(_words, "word string, fold int, label int").groupBy("word")
-              .agg(*[F.count(F.when((F.col("fold") == f) & (F.col("label") == y), 1)).alias(f"c{f}{y}")
-                     for f in (0, 1) for y in (0, 1)]))
+    counts = materialize(
+        sample.mapInArrow(_words, "word string, fold int, label int").groupBy("word")
+        .agg(*[F.count(F.when((F.col("fold") == f) & (F.col("label") == y), 1)).alias(f"c{f}{y}")
+               for f in (0, 1) for y in (0, 1)])
+        .filter(F.col("c01") + F.col("c11") >= MIN_DOCS))
     out = []
     for folds in ((0,), (1,), (0, 1)):
         clean, toxic = (sum(size.get((f, y), 0) for f in folds) for y in (0, 1))
@@ -146,8 +133,53 @@ def learn_lexicons(sample: DataFrame) -> list[dict[str, float]]:
     return out
 
 
+FLAT = namedtuple("FLAT", "score")
+MODEL = namedtuple("MODEL", "lexicon trees curve")
+
+
+def _vectors(rows: DataFrame, lexicons: list[dict[str, float]], fold: str | None, text: str) -> DataFrame:
+    """``rows`` with the feature vector ``_x``."""
+    schema = T.StructType([*rows.schema, T.StructField("_features", T.ArrayType(T.DoubleType()))])
+    return (rows.mapInArrow(_scan(lexicons, fold, text, "_features"), schema)
+            .withColumn("_x", array_to_vector("_features")).drop("_features"))
+
+
+def _margin(trees, rows: DataFrame) -> DataFrame:
+    return (trees.transform(rows).withColumn("_margin", vector_to_array("_raw")[1])
+            .drop("_x", "_raw", "_probability", "_prediction"))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS):
+    """Lexicon, trees and calibration from a bounded sample of labelled
+    documents, or a flat score where a class has fewer than five."""
+    sample = labelled_sample(docs, labels, "toxic", sample_docs, SEED)
+    known = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if min(known.get(0, 0), known.get(1, 0)) < 5:
+        return FLAT(float(known.get(1, 0) / max(1, sum(known.values()))))
+    by_fold = learn_lexicons(sample)
+    # Fold 0 is described by the lexicon of fold 1, and the other way round.
+    train = materialize(_vectors(sample, by_fold[1::-1], "fold", "text").drop("text").withColumn(
+        "part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED + 2)), F.lit(3))))
+    learner = GBTClassifier(featuresCol="_x", labelCol="label", predictionCol="_prediction", maxIter=25, maxDepth=4,
+                            stepSize=0.2, seed=SEED, minInstancesPerNode=5)
+    learner.setRawPredictionCol("_raw").setProbabilityCol("_probability")
+    trees = learner.fit(train.filter("part > 0").coalesce(4))
+    shown = _margin(trees, train.filter("part = 0")).select("_margin", F.col("label").cast("double"))
+    curve = IsotonicRegression(featuresCol="_margin", labelCol="label", predictionCol="_score").fit(shown.coalesce(4))
+    return MODEL(by_fold[2], trees, curve)
+
+
+def with_toxicity(docs: DataFrame, model, score: str, text: str = "text") -> DataFrame:
+    """``docs`` with a calibrated toxicity ``score`` from 0 to 1."""
+    if isinstance(model, FLAT):
+        return docs.withColumn(score, F.lit(model.score))
+    scored = model.curve.transform(_margin(model.trees, _vectors(docs, [model.lexicon], None, text)))
+    return (scored.withColumn(score, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_score"))))
+            .select(*docs.columns, score))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
-                   threshold: float = 0.5) -> DataFrame:
+                   threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document.
 
     A bounded sample of labelled documents (``sample_docs``; held-out ones,
@@ -159,40 +191,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE
 
     A null or empty text is scored like any other (no words). Without
     labels of both classes the score is the share of toxic labels, 0 if
-    there are none. Repeated rows get a row each, a null doc_id is carried,
-    an empty table gives no rows, other columns are not read.
+    there are none. Repeated rows get a row each, a null doc_id is carried
+    (and held out as the empty text would be), an empty table gives no rows,
+    other columns are not read.
     """
-    held = (id_mod5() == 0).alias("held_out")
     docs = docs.select("doc_id", "text")
-    sample = labelled_sample(docs, labels, "toxic", sample_docs)
-    known = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(known.get(0, 0), known.get(1, 0)) < 5:
-        flat = float(known.get(1, 0) / max(1, sum(known.values())))
-        return docs.select("doc_id", held, F.lit(flat).alias("score"), F.lit(int(flat >= threshold)).alias("predicted"))
-    by_fold = learn_lexicons(sample)
-    schema = "doc_id long, fold int, label int, features array<double>"
+    model = fit_toxicity(docs, labels, sample_docs)
+    return with_toxicity(docs, model, "score").select(
+        "doc_id", (id_mod5() == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def vectors(rows, lexicons):
-        wide = rows.mapInArrow(_scan(lexicons), schema)
-        cols = [F.col("features")[i].alias(name) for i, name in enumerate(FEATURES)]
-        return VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(
-            wide.select("doc_id", "fold", "label", *cols))
 
-    # Fold 0 is described by the lexicon of fold 1, and the other way round.
-    train = materialize(vectors(sample, by_fold[1::-1]).withColumn(
-        "part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED + 2)), F.lit(3))))
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=25, maxDepth=4, stepSize=0.2, seed=SEED,
-                          minInstancesPerNode=5).fit(train.filter("part > 0").coalesce(4))
-
-    def margin(rows):
-        return trees.transform(rows).withColumn("margin", vector_to_array("rawPrediction")[1])
-
-    curve = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(
-        margin(train.filter("part = 0")).select("margin", F.col("label").cast("double").alias("label")).coalesce(4))
-    rows = docs.select("doc_id", F.lit(2).alias("fold"), "text", F.lit(None).cast("int").alias("label"))
-    return (curve.transform(margin(vectors(rows, by_fold)).select("doc_id", "margin"))
-            .select("doc_id", held, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+def without_toxic(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents that score ``threshold`` or more, all
+    columns kept; edge cases as in ``score_toxicity``."""
+    scored = with_toxicity(docs, fit_toxicity(docs, labels, sample_docs), "_toxicity")
+    return scored.filter(F.col("_toxicity") < threshold).drop("_toxicity")
 
 
 @query("op10_boosted_toxicity")
