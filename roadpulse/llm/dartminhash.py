@@ -16,7 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import (WordHashes, connected_components, materialize, mix64, run_hashes)
@@ -205,6 +205,18 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
+def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE, bands: int = BANDS,
+                            rows: int = ROWS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component, its smallest
+    doc_id (of rows that share it, one with the smallest text hash), all
+    columns kept. Rows without doc_id stay."""
+    keep = near_duplicates(docs, least, k, bands, rows).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = kept.withColumn("_row", F.row_number().over(one)).filter("_row = 1").drop("_row")
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
 @query("op4_dart_minhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -147,17 +147,33 @@ def _verify(least: float):
     def run(batches):
         for batch in batches:
             rows = []
-            for d, i, words, k, t in zip(*(c.to_pylist() for c in batch.columns)):
+            for d, i, words, k, t, h in zip(*(c.to_pylist() for c in batch.columns)):
                 item = runs_of(words, k)
                 found = len(item & runs_of((t or "").lower().encode().split(), k))
                 if found >= least * len(item) - 1e-9:
-                    rows.append((d, i, len(item), found))
-            cols = [pa.array([r[j] for r in rows], pa.int64()) for j in range(4)]
-            cols.append(pa.array([r[3] / r[2] for r in rows], pa.float64()))
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "n_shingles", "n_found", "containment"])
+                    rows.append((d, i, len(item), found, h))
+            cols = [pa.array([r[j] for r in rows], pa.int64()) for j in range(5)]
+            cols.insert(4, pa.array([r[3] / r[2] for r in rows], pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                cols, ["doc_id", "item_id", "n_shingles", "n_found", "containment", "text_hash"])
     return run
 
 
+def _joined(docs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Verified pairs, with the hash of the document's text, by joins on the
+    sketch hashes."""
+    lengths = [r.run for r in sketches.select("run").distinct().collect()]   # at most k values
+    items = materialize(sketches.withColumn("item", F.monotonically_increasing_id()))
+    hits = (docs.mapInArrow(_probe(lengths), "doc_id long, hash long").distinct()
+            .join(items.select("item", "need", F.explode("hashes").alias("hash")), "hash")
+            .groupBy("doc_id", "item").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
+            .filter("hits >= need").select(F.col("doc_id").alias("d"), "item"))
+    rows = (hits.join(items.select("item", "item_id", "words", "run"), "item")
+            .join(docs, F.col("d").eqNullSafe(F.col("doc_id")))
+            .select("doc_id", "item_id", "words", "run", "text", F.xxhash64("text")))
+    return rows.mapInArrow(_verify(least), PAIRS + ", text_hash long")
+
+
 def _sketch_table(benchmark: DataFrame, k: int, least: float, sizes) -> DataFrame:
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     return materialize(rows.mapInArrow(_sketches(k, least, sizes), SKETCH).filter("n_shingles > 0"))
@@ -189,17 +205,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAI
     if _small(sketches, broadcast_rows):
         items = Items(sketches.collect(), least)
         return docs.mapInArrow(_pairs(items), PAIRS)
-    lengths = [r.run for r in sketches.select("run").distinct().collect()]   # at most k values
-    items = sketches.withColumn("item", F.monotonically_increasing_id())
-    items = materialize(items)
-    hits = (docs.mapInArrow(_probe(lengths), "doc_id long, hash long").distinct()
-            .join(items.select("item", "need", F.explode("hashes").alias("hash")), "hash")
-            .groupBy("doc_id", "item").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
-            .filter("hits >= need").select(F.col("doc_id").alias("d"), "item"))
-    rows = (hits.join(items.select("item", "item_id", "words", "run"), "item")
-            .join(docs, F.col("d").eqNullSafe(F.col("doc_id")))
-            .select("doc_id", "item_id", "words", "run", "text"))
-    return rows.mapInArrow(_verify(least), PAIRS)
+    return _joined(docs, sketches, least).drop("text_hash")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT, k: int = SHINGLE,
@@ -210,9 +216,11 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = C
     if _small(sketches, broadcast_rows):
         items = Items(sketches.collect(), least)
         return docs.mapInArrow(_clean(items, docs.columns.index("text")), docs.schema)
-    found = contained_items(docs, benchmark, least, k, sizes, broadcast_rows).select(
-        F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_contaminated")), "left_anti")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = _joined(rows, sketches, least).select(
+        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_found_id")) & (F.xxhash64("text") == F.col("_found_hash"))
+    return docs.join(found, same, "left_anti")
 
 
 SQL = r"""

@@ -101,6 +101,13 @@ def _keys(window: int, k: int, n_parts: int):
     return run
 
 
+def among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def recurring(keys: np.ndarray, tags: np.ndarray) -> np.ndarray:
     """Sorted keys that come with two tags or more."""
     order = np.lexsort((tags, keys))
@@ -115,7 +122,7 @@ def _select(shard: pa.Table) -> pa.Table:
                       np.concatenate([np.frombuffer(x, np.uint64) for x in shard["tags"].to_pylist()]))
     by_bucket = defaultdict(list)
     for b, mine in zip(shard["b"].to_pylist(), keys):
-        by_bucket[b].append(mine[np.isin(mine, found)])
+        by_bucket[b].append(mine[among(mine, found)])
     p = shard["p"][0].as_py()
     rows = [(b, np.unique(np.concatenate(x))) for b, x in by_bucket.items()]
     rows = [(b, x.tobytes()) for b, x in rows if len(x)]
@@ -130,7 +137,7 @@ def selected(words: list[bytes], hashes: WordHashes, known: np.ndarray, window:
     name, _ = names(hashes.of(words), window, k)
     start, length = segments(name)
     shard, key = code(name[start], n_parts)
-    on = np.isin((shard.astype(np.uint64) << np.uint64(32)) | key, known)
+    on = among((shard.astype(np.uint64) << np.uint64(32)) | key, known)
     return list(zip(name[start[on]].view(np.int64).tolist(), start[on].tolist(), length[on].tolist()))
 
 
@@ -142,7 +149,7 @@ def _notes(notes: pa.Table) -> tuple[np.ndarray, set]:
             known.append((np.uint64(p) << np.uint64(32)) | np.frombuffer(keys, np.uint32).astype(np.uint64))
         else:
             copies.add((doc_id, h1))
-    return np.concatenate(known), copies
+    return np.unique(np.concatenate(known)), copies
 
 
 def _digest(words: list[bytes]) -> str:
