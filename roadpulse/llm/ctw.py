@@ -47,7 +47,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
         shift[low] += np.log(y[low])
         y[low] += 1
     z = 1 / (y * y)
-    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
+    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z * (1 / 1188 - z * 691 / 360360))))) / y
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 

@@ -28,6 +28,9 @@ SEED = 17
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous "
                 "votre vos ti tú usted ustedes vosotros".split())
 LEET = str.maketrans("013457@$!", "oieastasi")
+# What ``features`` returns, in order.
+FEATURES = ("n_hits", "hit_rate", "max_odds", "sum_odds", "odds_rate", "you_rate", "near_you",
+            "capitals", "punctuation", "symbols", "obfuscated", "masked_hits", "repeats", "log_words")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"[^\W\d_][\d@$!*._-]+[^\W\d_]")

@@ -1,0 +1,217 @@
+"""Quality, toxicity and language-model scores."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from roadpulse.llm import ctw, quality, toxicity
+from roadpulse.llm.common import WordHashes
+from tests.conftest import SF001, SF0001
+from tests.llm.helpers import EDGE, docs_of, held
+
+LABELS = "doc_id long, quality int, toxic int, text string"
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], LABELS)
+
+
+# op2
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(2)
+    bags = [rng.normal(size=(n, 5)) for n in (1, 3, 7, 2)]
+    y = np.array([1.0, 0.0, 1.0, 0.0])
+    model = quality.fit(bags, y, epochs=2)
+    x, starts = np.concatenate(bags), np.array([0, 1, 4, 11])
+
+    def loss():
+        p = model.forward(x, starts)[-1]
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    for name, grad in model.gradients(x, starts, y).items():
+        at = tuple(rng.integers(n) for n in np.shape(grad))
+        w = model.w[name] = np.array(model.w[name], float)
+        old = w[at]
+        w[at] = old + 1e-5
+        up = loss()
+        w[at] = old - 1e-5
+        down = loss()
+        w[at] = old
+        assert abs((up - down) / 2e-5 - np.asarray(grad)[at]) < 1e-6
+
+
+def test_attention_finds_the_passage():
+    rng = np.random.default_rng(4)
+    bags, y = [], []
+    for i in range(400):
+        bag = rng.normal(size=(int(rng.integers(2, 9)), 6))
+        if i % 2:
+            bag[rng.integers(len(bag)), 0] += 6
+        bags.append(bag)
+        y.append(i % 2)
+    model = quality.fit(bags, np.array(y, float), epochs=30)
+    right = top = 0
+    for bag, label in zip(bags, y):
+        *_, a, _, _, p = model.forward(bag, np.array([0]))
+        assert abs(a.sum() - 1) < 1e-9
+        right += (p[0] > 0.5) == label
+        top += label and int(np.argmax(a)) == int(np.argmax(bag[:, 0]))
+    assert right >= 390 and top >= 190
+
+
+def test_passage_features_by_hand():
+    x = quality.passages("Ab  ab!\n" + "x " * 70, WordHashes(), 64)
+    assert x.shape == (2, quality.FEATURES)
+    assert x[0, 0] == 1 / (8 + 2 * 62) and x[1, 23] == 8 / 16          # letters a and x
+    assert x[0, -4:-2].tolist() == [1.0, 3 / 64] and x[1, -2] == 1.0     # words, distinct; repeated
+    assert (quality.passages(None, WordHashes()) == 0).all()
+
+
+def test_quality_of_held_out_documents(spark):
+    rows = quality.op2(spark, SF001).collect()
+    known = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
+    assert all(r.held_out == held(r.doc_id) and r.predicted == (r.score >= 0.3) for r in rows)
+    tested = [(r.predicted, known[r.doc_id]) for r in rows if r.held_out and r.doc_id in known]
+    assert sum(a == b for a, b in tested) >= 0.95 * len(tested)
+
+
+@pytest.mark.parametrize("score, column", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
+def test_scores_of_edge_cases(spark, score, column):
+    docs = docs_of(spark, EDGE)
+    for labels, flat in (([], 1.0 if column == "quality" else 0.0), ([(1, 1, 1), (2, 1, 1), (5, None, None)], 1.0)):
+        got = score(docs, labels_of(spark, labels)).collect()
+        assert sorted(map(str, (r.doc_id for r in got))) == sorted(map(str, (i for i, _ in EDGE)))
+        assert all(abs(r.score - flat) < 1e-6 and r.predicted == round(flat) for r in got)
+        assert all(r.held_out == held(r.doc_id) for r in got)
+    assert score(docs_of(spark, []), labels_of(spark, [(1, 1, 1)])).count() == 0
+
+
+# op10
+
+def test_masked_words_and_pronouns_count():
+    lexicon = {"idiot": 3.0}
+    plain, masked, gaps, clean = (dict(zip(toxicity.FEATURES, toxicity.features(t, lexicon))) for t in (
+        "you are an idiot here", "an 1d!ot here", "an i d i o t here", "you are fine here"))
+    assert plain["n_hits"] == 1 and plain["near_you"] == 1 and plain["max_odds"] == 3.0
+    assert masked["n_hits"] == 1 and masked["masked_hits"] == 1 and masked["obfuscated"] > 0
+    assert gaps["n_hits"] == 1 and gaps["masked_hits"] == 1
+    assert clean["n_hits"] == 0 and clean["you_rate"] > 0
+    assert dict(zip(toxicity.FEATURES, toxicity.features(None, lexicon)))["log_words"] == 0
+
+
+def test_toxicity_of_held_out_documents(spark):
+    rows = toxicity.op10(spark, "/root/testdata/sf0.1").collect()
+    known = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    tested = [(r.predicted, known[r.doc_id]) for r in rows if r.held_out and r.doc_id in known]
+    toxic = [p for p, y in tested if y]
+    clean = [p for p, y in tested if not y]
+    assert sum(toxic) >= 0.88 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_without_toxic_keeps_rows_and_columns(spark):
+    docs = docs_of(spark, EDGE)
+    kept = toxicity.without_toxic(docs, labels_of(spark, []))
+    assert kept.columns == docs.columns and kept.count() == len(EDGE)
+
+
+# op3
+
+def plain_ctw(train, text, depth):
+    """Context-tree weighting with dictionaries, one bit at a time."""
+    nodes = {}
+
+    def steps(data):
+        padded = [ctw.START] * depth + list(data) + [ctw.END]
+        for i in range(depth, len(padded)):
+            before = padded[i - depth:i][::-1]
+            bits = f"{padded[i]:08b}"
+            for k in range(8):
+                yield tuple(before), bits[:k], int(bits[k])
+
+    for data in train:
+        for before, done, bit in steps(data):
+            for d in range(depth + 1):
+                nodes.setdefault((before[:d], done), [0, 0])[bit] += 1
+    children = {}
+    for context, done in nodes:
+        if context:
+            children.setdefault((context[:-1], done), []).append((context, done))
+
+    def kt(n):
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.lgamma(sum(n) + 1) - math.log(math.pi)
+
+    weighted = {}
+    for node in sorted(nodes, key=lambda x: -len(x[0])):
+        own = kt(nodes[node])
+        if len(node[0]) == depth:
+            weighted[node] = own
+        else:
+            below = sum(weighted[c] for c in children[node])
+            weighted[node] = math.log(0.5) + np.logaddexp(own, below)
+    total = 0.0
+    for before, done, bit in steps(text):
+        p = None
+        for d in range(depth, -1, -1):
+            node = (before[:d], done)
+            if node not in nodes:
+                continue
+            n = nodes[node]
+            own = (n[bit] + 0.5) / (sum(n) + 1)
+            if p is None or d == depth:
+                p = own
+            else:
+                w = math.exp(math.log(0.5) + kt(n) - weighted[node])
+                p = w * own + (1 - w) * p
+        total += math.log10(0.5 if p is None else p)
+    return total
+
+
+def test_log_gamma():
+    x = np.array([0.5, 1, 1.5, 2, 3.7, 7.9, 8, 20.5, 1e6 + 0.5])
+    assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-13, atol=1e-13)
+
+
+def check_scores(spark, rows, **options):
+    train = [(t or "").encode().lower() for i, t in rows if not held(i, 1)]
+    counts = Counter(w for t in train for w in [*t.split(), None])
+    n, v = sum(counts.values()), len(counts)
+    got = ctw.score_texts(docs_of(spark, rows), **options).collect()
+    want = []
+    for i, t in rows:
+        data = (t or "").encode().lower()
+        words = [*data.split(), None]
+        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        want.append((str(i), held(i, 1), len(words), sum(counts[w] > 0 for w in words), n, base,
+                     plain_ctw(train, data, options["depth"]), len(data)))
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score, r.n_bytes)
+                 for r in got)
+    assert len(got) == len(want)
+    for a, b in zip(got, sorted(want)):
+        assert a[:5] == b[:5] and a[7] == b[7]
+        assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], rel=1e-5)
+
+
+def test_scores_equal_plain_context_trees(spark):
+    rows = [(i, t if t is None else t[:300]) for i, t in EDGE]
+    rows += [(r.doc_id + 100, r.text[:150]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").limit(40).collect()]
+    check_scores(spark, rows, depth=5, shard_bytes=500)
+    check_scores(spark, rows, depth=3)
+
+
+def test_scores_without_training_texts(spark):
+    only = next(i for i in range(100) if held(i, 1))
+    (r,) = ctw.score_texts(docs_of(spark, [(only, "Ab c")])).collect()
+    assert r.train_tokens == 0 and r.n_known == 0 and r.score == pytest.approx(-40 * math.log10(2), rel=1e-6)
+    assert ctw.score_texts(docs_of(spark, [])).count() == 0
+
+
+def test_probabilities_of_a_byte_sum_to_one():
+    data = [b"the cat sat on the mat", b"the dog ate the cat"]
+    gram, count = np.unique(np.concatenate([ctw.grams(t, 5) for t in data]), return_counts=True)
+    levels = ctw.tree(gram, count, 5, 0)
+    for context in (gram[3], gram[9], np.uint64(0x7A7A7A7A7A00)):
+        every = (context & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
+        assert np.exp(ctw.log_probabilities(every, 5, levels)).sum() == pytest.approx(1)
