@@ -18,6 +18,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +32,10 @@ AUTOMATON = 20_000           # windows compiled into one automaton, about
 BUCKET_BYTES = 16 << 20      # text of a bucket of documents, about
 LAST = (1 << 63) - 1         # a null doc_id sorts after all others
 
-KEYS = "p int, b int, keys binary, tags binary"
+KEYS = "p int, buckets binary, keys binary, tags binary"
 NOTES = "b int, p int, keys binary, doc_id long, h1 long"
-PARTS = ("kind string, b int, doc_id long, h1 long, text string, n_words long, kept_sha256 string, key long, "
-         "seg long, words binary, start long, n_found long")
+PARTS = ("kind string, b int, doc_id long, n_words long, kept_sha256 string, key long, seg long, words binary, "
+         "start long, n_found long, places binary")
 FIRSTS = "b int, seg long, at array<int>, doc array<long>, start array<long>"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -67,12 +68,13 @@ def code(name: np.ndarray, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keys(window: int, k: int, n_parts: int):
-    """Names of every batch by shard and bucket, with a tag of their text. A
-    name that may stand for equal windows of one text comes with two tags."""
+    """Names of every batch by shard, with their bucket and a tag of their
+    text. A name that may stand for equal windows of one text comes with two
+    tags."""
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            by_bucket = defaultdict(list)
+            parts = [(np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
             for b, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 words = (text.as_py() or "").encode().split()
                 if len(words) < window:
@@ -80,24 +82,22 @@ def _keys(window: int, k: int, n_parts: int):
                 name, runs = names(hashes.of(words), window, k)
                 name = np.unique(name)
                 value, count = np.unique(runs, return_counts=True)
-                twice = name[np.isin(name, value[count > 1])]
+                twice = name[among(name, value[count > 1])]
                 tag = np.uint64(tag & 0xFFFFFFFFFFFFFFFF)
-                by_bucket[b].append((name, np.full(len(name), tag)))
-                by_bucket[b].append((twice, np.full(len(twice), ~tag)))
-            rows = []
-            for b, parts in by_bucket.items():
-                name = np.concatenate([x for x, _ in parts])
-                tags = np.concatenate([x for _, x in parts])
-                shard, key = code(name, n_parts)
-                order = np.argsort(shard, kind="stable")
-                shard, key, tags = shard[order], key[order], tags[order]
-                ends = np.searchsorted(shard, np.arange(n_parts + 1))
-                rows += [(p, b, key[i:j].tobytes(), tags[i:j].tobytes())
-                         for p, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
+                n = len(name) + len(twice)
+                parts.append((np.full(n, b, np.int32), np.r_[name, twice],
+                              np.r_[np.full(len(name), tag), np.full(len(twice), ~tag)]))
+            bucket, name, tags = (np.concatenate([x[i] for x in parts]) for i in range(3))
+            shard, key = code(name, n_parts)
+            order = np.lexsort((bucket, shard))
+            bucket, shard, key, tags = bucket[order], shard[order], key[order], tags[order]
+            ends = np.searchsorted(shard, np.arange(n_parts + 1))
+            rows = [(p, *(x[i:j].tobytes() for x in (bucket, key, tags)))
+                    for p, (i, j) in enumerate(zip(ends[:-1], ends[1:])) if i < j]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())],
-                ["p", "b", "keys", "tags"])
+                [pa.array([r[0] for r in rows], pa.int32()),
+                 *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
+                ["p", "buckets", "keys", "tags"])
     return run
 
 
@@ -117,18 +117,17 @@ def recurring(keys: np.ndarray, tags: np.ndarray) -> np.ndarray:
 
 def _select(shard: pa.Table) -> pa.Table:
     """What recurs of a shard, told to the buckets that asked."""
-    keys = [np.frombuffer(x, np.uint32) for x in shard["keys"].to_pylist()]
-    found = recurring(np.concatenate(keys),
-                      np.concatenate([np.frombuffer(x, np.uint64) for x in shard["tags"].to_pylist()]))
-    by_bucket = defaultdict(list)
-    for b, mine in zip(shard["b"].to_pylist(), keys):
-        by_bucket[b].append(mine[among(mine, found)])
-    p = shard["p"][0].as_py()
-    rows = [(b, np.unique(np.concatenate(x))) for b, x in by_bucket.items()]
-    rows = [(b, x.tobytes()) for b, x in rows if len(x)]
-    n = len(rows)
-    return pa.table({"b": pa.array([r[0] for r in rows], pa.int32()), "p": pa.array([p] * n, pa.int32()),
-                     "keys": pa.array([r[1] for r in rows], pa.binary()),
+    bucket, key, tags = (np.concatenate([np.frombuffer(x, t) for x in shard[c].to_pylist()])
+                         for c, t in (("buckets", np.int32), ("keys", np.uint32), ("tags", np.uint64)))
+    on = among(key, recurring(key, tags))
+    asked = np.unique((bucket[on].astype(np.uint64) << np.uint64(32)) | key[on])
+    bucket, key = (asked >> np.uint64(32)).astype(np.int32), asked.astype(np.uint32)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else bucket
+    n = len(starts)
+    return pa.table({"b": pa.array(bucket[starts], pa.int32()),
+                     "p": pa.array([shard["p"][0].as_py()] * n, pa.int32()),
+                     "keys": pa.array([key[i:j].tobytes() for i, j in zip(starts, np.r_[starts[1:], len(key)])],
+                                      pa.binary()),
                      "doc_id": pa.nulls(n, pa.int64()), "h1": pa.nulls(n, pa.int64())})
 
 
@@ -156,35 +155,39 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def seg_id(words: bytes) -> int:
+    """Names a segment within its bucket."""
+    return xxhash.xxh3_64_intdigest(words) - (1 << 63)
+
+
 def _pick(window: int, k: int, n_parts: int):
     """A bucket's documents: finished ones, those with segments that may
     recur, and each different such segment with its first place."""
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         known, copies = _notes(notes)
-        hashes, rows, found = WordHashes(), [], {}
+        hashes, squeeze, rows, found = WordHashes(), zstandard.ZstdCompressor(), [], {}
         for b, doc_id, h1, text in zip(*(docs[c].to_pylist() for c in ("b", "doc_id", "h1", "text"))):
             words = (text or "").encode().split()
             place = LAST if doc_id is None else doc_id
-            if len(words) < window:
-                rows.append(("done", b, doc_id, h1, None, len(words), _digest(words), *[None] * 4, 0))
-                continue
-            if (place, h1) in copies:
-                rows.append(("done", b, doc_id, h1, None, len(words), _digest([]), *[None] * 4, len(words)))
-                continue
-            mine = selected(words, hashes, known, window, k, n_parts)
+            copy = len(words) >= window and (place, h1) in copies
+            mine = [] if copy or len(words) < window else selected(words, hashes, known, window, k, n_parts)
             if not mine:
-                rows.append(("done", b, doc_id, h1, None, len(words), _digest(words), *[None] * 4, 0))
+                kept = [] if copy else words
+                rows.append(("done", b, doc_id, len(words), _digest(kept), *[None] * 4, len(words) - len(kept), None))
                 continue
-            rows.append(("doc", b, doc_id, h1, text, len(words), *[None] * 6))
+            places = []
             for name, start, length in mine:
                 part = b" ".join(words[start:start + length + window - 1])
                 at, n = found.get(part, ((LAST, LAST, name), 0))
                 found[part] = (min(at, (place, start, name)), n + 1)
+                places.append((seg_id(part), start, length))
+            rows.append(("doc", b, doc_id, len(words), *[None] * 3, squeeze.compress(b" ".join(words)), None, None,
+                         np.array(places, "<i8").tobytes()))
         b = docs["b"][0].as_py() if len(docs) else None
-        rows += [("seg", b, place, None, None, None, None, name, xxhash.xxh3_64_intdigest(part) - (1 << 63), part,
-                  start, n) for part, ((place, start, name), n) in found.items()]
-        types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(),
-                 pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        rows += [("seg", b, place, None, None, name, seg_id(part), part, start, n, None)
+                 for part, ((place, start, name), n) in found.items()]
+        types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(),
+                 pa.int64(), pa.int64(), pa.binary())
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
                         names=[c.split()[0] for c in PARTS.split(", ")])
     return run
@@ -246,30 +249,26 @@ def _locate(window: int, size: int):
     return run
 
 
-def _remove(window: int, k: int, n_parts: int, with_text: bool):
+def _remove(window: int):
     """A bucket's documents without the words of windows found earlier."""
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         firsts = {seg: list(zip(at[::2], at[1::2], doc, start)) for seg, at, doc, start in
                   zip(*(notes[c].to_pylist() for c in ("seg", "at", "doc", "start")))}
-        hashes, rows = WordHashes(), []
-        for doc_id, text in zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist()):
-            words = text.encode().split()
+        open_up, rows = zstandard.ZstdDecompressor(), []
+        for doc_id, packed, places in zip(*(docs[c].to_pylist() for c in ("doc_id", "words", "places"))):
+            words = open_up.decompress(packed).split(b" ")
             place = LAST if doc_id is None else doc_id
-            name, _ = names(hashes.of(words), window, k)
             change = np.zeros(len(words) + 1, np.int64)
-            for s, n in zip(*(x.tolist() for x in segments(name))):
-                part = b" ".join(words[s:s + n + window - 1])
-                for i, j, doc, start in firsts.get(xxhash.xxh3_64_intdigest(part) - (1 << 63), ()):
+            for seg, s, _ in np.frombuffer(places, "<i8").reshape(-1, 3).tolist():
+                for i, j, doc, start in firsts.get(seg, ()):
                     if (doc, start) != (place, s + i):
                         change[s + i] += 1
                         change[s + j - 1 + window] -= 1
             keep = np.cumsum(change[:-1]) == 0
             kept = [w for w, on in zip(words, keep.tolist()) if on]
-            rows.append((doc_id, len(words), len(words) - len(kept), _digest(kept), b" ".join(kept).decode()))
-        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(
-            (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
-        return pa.table(cols[:4 + with_text],
-                        names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][:4 + with_text])
+            rows.append((doc_id, len(words), len(words) - len(kept), _digest(kept)))
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+            (pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=[c.split()[0] for c in RESULT.split(", ")])
     return run
 
 
@@ -293,19 +292,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = SHINGLE, doc_
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(shuffle_partitions(spark), -(-size // bucket_bytes))
     place = F.coalesce("doc_id", F.lit(LAST))
-    docs = docs.select(F.pmod(F.xxhash64(place), F.lit(n)).cast("int").alias("b"), "doc_id",
-                       F.xxhash64("text").alias("h1"), "text")
+    ids = materialize(docs.filter(F.col("text").isNotNull()).select(
+        place.alias("doc_id"), F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(7)).alias("h2"),
+        F.length("text").alias("n"), F.octet_length("text").alias("size")))
+    size = ids.agg(F.sum("size")).first()[0] or 0
+    n = max(shuffle_partitions(spark), -(-size // bucket_bytes))
+
+    def bucket(doc_id):
+        return F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int").alias("b")
 
+    docs = docs.select(bucket(place), "doc_id", F.xxhash64("text").alias("h1"), "text")
     keys = docs.select("b", "h1", "text").mapInArrow(_keys(window, k, n), KEYS)
     notes = keys.groupBy("p").applyInArrow(_select, NOTES)
-    whole = ["h1", F.xxhash64("text", F.lit(7)).alias("h2"), F.length("text").alias("n")]
-    ids = docs.filter(F.col("text").isNotNull()).select("b", place.alias("doc_id"), *whole)
     first = ids.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     copies = (ids.join(first.filter("first < last"), ["h1", "h2", "n"]).filter("doc_id > first")
-              .select("b", F.lit(-1).alias("p"), F.lit(None).cast("binary").alias("keys"), "doc_id", "h1").distinct())
+              .select(bucket("doc_id"), F.lit(-1).alias("p"), F.lit(None).cast("binary").alias("keys"), "doc_id", "h1"))
     notes = notes.unionByName(copies)
     parts = materialize(docs.groupBy("b").cogroup(notes.groupBy("b")).applyInArrow(_pick(window, k, n), PARTS))
 
@@ -314,8 +316,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = SHINGLE, doc_
     shard = F.pmod(F.xxhash64("key"), F.lit(n)).alias("shard")
     segs = parts.filter("kind = 'seg'").select(shard, "b", "seg", "key", "words", "doc_id", "start", "n_found")
     firsts = segs.groupBy("shard").applyInArrow(_locate(window, AUTOMATON), FIRSTS)
-    rest = parts.filter("kind = 'doc'").select("b", "doc_id", "text")
-    cleaned = rest.groupBy("b").cogroup(firsts.groupBy("b")).applyInArrow(_remove(window, k, n, False), RESULT)
+    rest = parts.filter("kind = 'doc'").select("b", "doc_id", "words", "places")
+    cleaned = rest.groupBy("b").cogroup(firsts.groupBy("b")).applyInArrow(_remove(window), RESULT)
     return done.unionByName(cleaned)
 
 
