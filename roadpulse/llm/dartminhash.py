@@ -25,6 +25,9 @@ from roadpulse.llm.registry import query, table
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+BLOCK = 256        # classes of a bucket compared in one task at once
+ROUNDS = 1         # rounds of best partners before the rest is compared
+MISS = 4.5         # standard deviations that an agreement may fall short by
 
 
 def weighted_shingles(text: str | None, hashes: WordHashes, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -110,9 +113,12 @@ def _bands(bands: int, rows: int, k: int):
                 some = [i for i, (e, _) in enumerate(sets) if len(e)]
                 if not some:
                     continue
-                got = band_hashes(signatures([sets[i] for i in some], bands * rows), bands, rows)
+                signed = signatures([sets[i] for i in some], bands * rows)
+                got = band_hashes(signed, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at:at + 200][some]), pa.array(list(got), pa.list_(pa.int64()))], ["rep", "bands"])
+                    [pa.array(ids[at:at + 200][some]), pa.array(list(got), pa.list_(pa.int64())),
+                     pa.array([x.astype(np.uint32).tobytes() for x in signed], pa.binary())],
+                    ["rep", "bands", "signature"])
     return run
 
 
@@ -136,6 +142,52 @@ def _verify(least: float, k: int):
     return run
 
 
+def _compare(need: int, best: bool):
+    """Within the rows of one pair of blocks of a bucket, pairs of different
+    components whose signatures agree in ``need`` coordinates or more: the
+    best one of each row, or all."""
+    columns = ("band", "i", "j", "home", "rep", "component")
+
+    def pairs(keys, signature):
+        band, i, j, home, rep, component = keys
+        x = np.frombuffer(b"".join(signature), np.uint32).reshape(len(rep), -1)
+        for at in range(0, len(rep), 64):
+            part = slice(at, at + 64)
+            apart = component[part, None] != component[None, :]
+            if i[0] != j[0]:
+                apart &= home[part, None] != home[None, :]
+            if not apart.any():
+                continue
+            agree = np.where(apart, (x[part, None, :] == x[None, :, :]).sum(2), -1)
+            if best:
+                other = agree.argmax(1)
+                top = agree[np.arange(len(other)), other]
+                on = top >= need
+                yield rep[part][on], rep[other[on]], top[on]
+            else:
+                a, b = np.nonzero((agree >= need) & (rep[part, None] < rep[None, :]))
+                yield rep[part][a], rep[b], agree[a, b]
+
+    def out(found):
+        cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["a", "b", "agree"])
+
+    def run(batches):
+        keys, signature = [np.zeros(0, np.int64)] * len(columns), []
+        for batch in batches:
+            keys = [np.r_[k, batch.column(c).to_numpy()] for k, c in zip(keys, columns)]
+            signature += batch.column("signature").to_pylist()
+            new = np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0)
+            cuts = np.r_[0, np.flatnonzero(new) + 1] if len(signature) else np.zeros(1, np.int64)
+            found = []
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                found += pairs([k[s:e] for k in keys], signature[s:e])
+            keys, signature = [k[cuts[-1]:] for k in keys], signature[cuts[-1]:]   # may go on in the next batch
+            yield out(found)
+        yield out(list(pairs(keys, signature)) if signature else [])
+    return run
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE, bands: int = BANDS,
                     rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, component_id, n_links, kept) of every document.
@@ -149,9 +201,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
 
     Candidates share a band of their DartMinHash signatures. In a bucket all
     classes are first compared with its smallest one. Whatever that leaves
-    in different components of one bucket is then compared pair by pair, so
-    a bucket of similar texts costs one comparison each and no candidate
-    that could join two components is left out.
+    in different components of one bucket meets in blocks of ``BLOCK``
+    classes: each class is compared with the one whose signature agrees most
+    (``ROUNDS`` times), and then with every class of another component whose
+    signature does not rule a link out (``MISS`` standard deviations below
+    the expected agreement). So a bucket of copies costs a few comparisons
+    each, and no candidate that could join two components is left out.
 
     Texts without words (null, empty) are exact copies of each other if
     equal, null and empty count as equal, and have no links. A null doc_id
@@ -166,11 +221,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
     members = materialize(docs.select("doc_id", *key))
     classes = materialize(members.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")))
     texts = docs.filter(F.col("doc_id").isNotNull())
-    signed = texts.mapInArrow(_bands(bands, rows, k), "rep long, bands array<long>")
+    signed = texts.mapInArrow(_bands(bands, rows, k), "rep long, bands array<long>, signature binary")
     reps = classes.filter("rep IS NOT NULL").select("rep").distinct()
-    buckets = materialize(signed.join(reps, "rep", "left_semi").select("rep", F.explode("bands").alias("band")))
-    shared = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    buckets = materialize(buckets.join(shared, "band"))
+    signed = materialize(signed.join(reps, "rep", "left_semi"))
+    buckets = signed.select("rep", F.explode("bands").alias("band"))
+    shared = (buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high"),
+                                          F.count(F.lit(1)).alias("n")).filter("low < high"))
+    buckets = materialize(buckets.join(shared, "band").select("band", "rep", "low", "n"))
     # Only the texts of classes that share a bucket are compared.
     texts = materialize(texts.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
 
@@ -180,18 +237,33 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
                 .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
         return both.select("a", "b", "ta", "tb").mapInArrow(_verify(least, k), "a long, b long").distinct()
 
-    star = buckets.filter("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialize(verified(star))
-    groups = materialize(connected_components(links))
-    named = (buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("band", "rep", F.coalesce("component", "rep").alias("component")))
-    open_bands = (named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                  .filter("lo < hi").select("band"))
-    left = materialize(named.join(open_bands, "band", "left_semi"))
-    other = left.select("band", F.col("rep").alias("rep2"), F.col("component").alias("component2"))
-    rest = (left.join(other, "band").filter("rep < rep2 AND component <> component2")
-            .select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    links = materialize(links.unionByName(verified(rest)))
+    star = materialize(buckets.filter("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct())
+    tried, links = star, materialize(verified(star))
+    size = bands * rows
+    need = max(1, math.floor(size * least - MISS * math.sqrt(size * least * (1 - least))))
+    for round_ in range(ROUNDS + 1):
+        groups = materialize(connected_components(links))
+        named = (buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+                 .select("band", "rep", "n", F.coalesce("component", "rep").alias("component")))
+        open_bands = (named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                      .filter("lo < hi").select("band"))
+        # A row meets its bucket block by block: once for every other block.
+        blocks = F.ceil(F.col("n") / BLOCK)
+        left = (named.join(open_bands, "band", "left_semi").join(signed.select("rep", "signature"), "rep")
+                .withColumn("home", F.pmod(F.xxhash64("rep"), blocks))
+                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+                .select("band", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home",
+                        "rep", "component", "signature"))
+        met = left.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        best = round_ < ROUNDS
+        found = met.mapInArrow(_compare(need, best), "a long, b long, agree long")
+        if best:
+            found = found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        new = (found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+               .join(tried, ["a", "b"], "left_anti"))
+        new = materialize(new)
+        tried = tried.unionByName(new)
+        links = materialize(links.unionByName(verified(new)))
     groups = connected_components(links)
     degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
