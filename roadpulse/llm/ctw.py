@@ -183,18 +183,42 @@ def _number(batches):
         yield batch.append_column("b", pa.array([b] * batch.num_rows, pa.int64()))
 
 
-def questions(texts: list[bytes], depth: int, hashes: WordHashes, n: int):
-    """(shard, distinct keys) of the grams and words of some texts."""
-    grams_of, words_of, part = [], [np.zeros(0, np.uint64)], []
+class Tally:
+    """Distinct keys with their counts, merged whenever ``room`` new keys
+    have come in, so that memory follows the distinct ones."""
+
+    def __init__(self, room: int = 1 << 20):
+        self.room, self.parts, self.size = room, [], 0
+        self.key, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(keys)
+        self.size += len(keys)
+        if self.size >= self.room:
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.parts:
+            key, count = np.unique(np.concatenate(self.parts), return_counts=True)
+            self.parts, self.size = [], 0
+            self.key, self.count = merged([self.key, key], [self.count, count])
+        return self.key, self.count
+
+
+def tallies(texts, depth: int, hashes: WordHashes) -> tuple[Tally, Tally]:
+    """Grams and words of some texts."""
+    of_grams, of_words = Tally(), Tally()
     for data in texts:
-        part.append(grams(data, depth))
-        words_of.append(np.unique(hashes.of(data.split())))
-        if sum(map(len, part)) > 1 << 21:
-            grams_of.append(np.unique(np.concatenate(part)))
-            part = []
-    key = np.unique(np.concatenate(grams_of + part)) if texts else words_of[0]
+        of_grams.add(grams(data, depth))
+        of_words.add(hashes.of(data.split()))
+    return of_grams, of_words
+
+
+def questions(of_grams: Tally, of_words: Tally, depth: int, n: int):
+    """(shard, distinct keys) of grams and words."""
+    key, _ = of_grams.settle()
     yield from ((p, k) for p, k, _ in _shards(key, key, subtree(key, depth), n, 0))
-    key = np.unique(np.concatenate(words_of))
+    key, _ = of_words.settle()
     yield from ((p, k) for p, k, _ in _shards(key, key, key, n, WORD_SHARDS))
 
 
@@ -226,25 +250,19 @@ def _count(depth: int, n: int):
     def run(batches):
         hashes = WordHashes()
         for b, batch in _numbered(batches):
-            texts = [_lower(t.as_py()) for t in batch.column(1)]
-            train = [t for t, on in zip(texts, batch.column(0).to_pylist()) if on]
-            keys, counts, part = [], [], []
-            words: dict = defaultdict(int)
-            for i, data in enumerate(train):
-                part.append(grams(data, depth))
-                for w in data.split():
-                    words[w] += 1
-                if i + 1 == len(train) or sum(map(len, part)) > 1 << 21:
-                    key, count = np.unique(np.concatenate(part), return_counts=True)
-                    keys.append(key)
-                    counts.append(count)
-                    part = []
-            key, count = merged(keys, counts)
+            on = batch.column(0).to_pylist()
+
+            def texts(train):
+                return (_lower(t.as_py()) for t, x in zip(batch.column(1), on) if x == train)
+
+            of_grams, of_words = tallies(texts(True), depth, hashes)
+            key, count = of_grams.settle()
             rows = [(p, -1, k, c) for p, k, c in _shards(key, count, subtree(key, depth), n, 0)]
-            key = hashes.of(list(words))
-            count = np.fromiter(words.values(), np.int64, len(words))
+            key, count = of_words.settle()
             rows += [(p, -1, k, c) for p, k, c in _shards(key, count, key, n, WORD_SHARDS)]
-            rows += [(p, b, k, k[:0]) for p, k in questions(texts, depth, hashes, n)]
+            for all_, held in zip((of_grams, of_words), tallies(texts(False), depth, hashes)):
+                all_.add(held.settle()[0])
+            rows += [(p, b, k, k[:0]) for p, k in questions(of_grams, of_words, depth, n)]
             yield _packed(rows)
     return run
 
@@ -331,10 +349,10 @@ def _score(depth: int, n: int, total: int, distinct: int, end_count: int):
     """A batch's documents by the answers to its questions."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, rows = WordHashes(), []
-        texts = [_lower(t) for t in docs["text"].to_pylist()]
+        texts = [_lower(t.as_py()) for t in docs["text"]]
         got = {p: (c, v) for p, c, v in zip(*(answers[c].to_pylist() for c in ("p", "check", "values")))}
         parts: dict = {False: [], True: []}
-        for p, key in questions(texts, depth, hashes, n):
+        for p, key in questions(*tallies(texts, depth, hashes), depth, n):
             if got.get(p, (None,))[0] != check(key):
                 raise RuntimeError("the documents' partitions changed between two passes; write them out first")
             parts[p >= WORD_SHARDS].append((key, np.frombuffer(got[p][1], "<i8" if p >= WORD_SHARDS else "<f4")))
