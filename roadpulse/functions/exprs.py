@@ -18,7 +18,7 @@ __all__ = [
     "col_of", "idiv", "congestion_x100", "congestion_from_x100", "x100_from_index",
     "critical_flag", "hour_of_day", "event_date", "date_text", "label",
     "hour_label", "div_half_up", "fixed_text", "exact_mean", "yes_no",
-    "status_glyph", "hour_band", "hour_band_multiplier", "speed_band",
+    "status_glyph", "hour_band", "speed_band",
     "iso_text", "ts_text", "parse_event_time", "hour_bucket",
 ]
 
@@ -46,8 +46,11 @@ def congestion_from_x100(x100: str | Column) -> Column:
 
 
 def x100_from_index(index: str | Column) -> Column:
-    """Integer hundredths of a 2-decimal congestion index given as a double."""
-    return F.round(col_of(index) * 100).cast("long")
+    """Integer hundredths of a congestion index given as a double, half-up.
+
+    An index that is not finite or does not fit gives NULL (never throws);
+    further decimals than two are rounded away before averaging."""
+    return F.round(col_of(index) * 100).try_cast("long")
 
 
 def critical_flag(speed: str | Column, threshold: int = P.CRITICAL_SPEED) -> Column:
@@ -112,19 +115,10 @@ def status_glyph(flag: str | Column) -> Column:
 def hour_band(hour: str | Column) -> Column:
     h = col_of(hour)
     expr = None
-    for name, _mult, hours in P.HOUR_BANDS:
+    for name, hours in P.HOUR_BANDS:
         cond = h.isin(*hours)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr.otherwise(F.lit(P.DEFAULT_BAND[0]))
-
-
-def hour_band_multiplier(hour: str | Column) -> Column:
-    h = col_of(hour)
-    expr = None
-    for _name, mult, hours in P.HOUR_BANDS:
-        cond = h.isin(*hours)
-        expr = F.when(cond, F.lit(mult)) if expr is None else expr.when(cond, F.lit(mult))
-    return expr.otherwise(F.lit(P.DEFAULT_BAND[1]))
+    return expr.otherwise(F.lit(P.DEFAULT_BAND))
 
 
 def speed_band(mean_speed: str | Column, limits: tuple[int, int] = P.SPEED_BAND_LIMITS) -> Column:

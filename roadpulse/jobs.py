@@ -2,10 +2,10 @@
 
 - ``stream``: wire messages -> facts + alerts tables, 5-minute windows.
 - ``ingest``: batch backfill of wire-message files through the same path.
-- ``nightly``: one closed day's report (upsert by report_date) and
-  recommendations CSV.
-- ``reports``: whole-history peak-hour table (CSV), trailing-days export (CSV,
-  partitioned), and the long-format summary metrics table.
+- ``nightly``: one closed day's report and recommendations CSV, each
+  replacing that day alone.
+- ``reports``: whole-history peak-hour table (CSV), summaries, and the
+  trailing days' statistics, alerts, resample, heatmap and export.
 - ``dashboard``: the serving views (latest status, dense hourly stats, recent
   alerts and reports, day summary, checks) as small tables.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
 import os
 import sys
 import uuid
@@ -31,39 +32,75 @@ from roadpulse.operators.quality import ingestion_checks  # noqa: E402
 from roadpulse.plans import daily, reports, serving  # noqa: E402
 from roadpulse.session import get_session, shared_dir  # noqa: E402
 from roadpulse.operators import aggregates as A  # noqa: E402
+from roadpulse.operators.joins import resample_hourly  # noqa: E402
 from roadpulse.sinks import (  # noqa: E402
-    export_csv, write_daily_report, write_hourly_rollup, write_summary, write_text_report,
+    export_csv, write_daily_report, write_hourly_rollup, write_recommendations, write_summary, write_text_report,
 )
-from roadpulse.sources.telemetry import day_range, read_alerts, read_facts  # noqa: E402
+from roadpulse.sources.telemetry import Cols, newest, on_day, read_alerts, read_facts, trailing  # noqa: E402
 from roadpulse.streaming import (  # noqa: E402
-    enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_store_sink, start_windows,
+    dedup_events, enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_store_sink, start_windows,
+    window_update_sink,
 )
-from roadpulse.streaming.pipeline import write_batch  # noqa: E402
+from roadpulse.streaming.pipeline import start_latest_status, valid_only, write_batch  # noqa: E402
 
 
 def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: str | None, windows_path: str,
                kafka_servers: str | None = None, available_now: bool = False, max_files: int | None = None,
-               checkpoint_base: str | None = None):
+               checkpoint_base: str | None = None, dedup: bool = False, update_windows: bool = False,
+               status_path: str | None = None, every: str = "1 minute", starting_offsets: str = "latest",
+               max_offsets: int | None = None):
     """Start the facts/alerts sink and the window sink. Without ``alerts_path``
     facts, alerts and quarantine go to one exactly-once store at
     ``facts_path`` (read it with ``read_facts`` / ``read_alerts``). Each query
-    has its own checkpoint (default: under the shared checkpoint root);
-    restarting with the same checkpoints resumes where the previous run
-    committed."""
-    raw = kafka_source(spark, kafka_servers, source) if kafka_servers else \
-        read_wire_files(spark, source, max_files_per_trigger=max_files)
+    has its own checkpoint (default: a folder of this store under the shared
+    checkpoint root); restarting with the same checkpoints resumes where the
+    previous run committed.
+
+    ``dedup`` drops replayed readings within the watermark before they are
+    stored and before final windows; ``update_windows`` logs each changed
+    window every batch (read with ``latest_windows``) instead of final
+    windows, which Spark can't chain after ``dedup``, so replays count
+    there; ``status_path`` keeps the latest status table. Windows and status
+    see valid readings only."""
+    raw = kafka_source(spark, kafka_servers, source, starting_offsets, max_offsets_per_trigger=max_offsets) \
+        if kafka_servers else read_wire_files(spark, source, max_files_per_trigger=max_files)
     enriched = enrich_stream(raw)
+    stored = dedup_events(enriched) if dedup else enriched
     # One micro-batch a minute: each batch adds (date, batch) partitions to
     # the facts table, so short triggers multiply partitions and small files.
-    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
-    base = (checkpoint_base or shared_dir(spark, "stream")).rstrip("/")
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    own = hashlib.md5(facts_path.rstrip("/").encode()).hexdigest()
+    base = (checkpoint_base or shared_dir(spark, f"stream/{own}")).rstrip("/")
     if alerts_path is None:
         # One exactly-once store for facts, alerts and quarantine (kind partition).
-        q1 = start_store_sink(enriched, facts_path, f"{base}/store", trigger, "store")
+        queries = [start_store_sink(stored, facts_path, f"{base}/store", trigger, "store")]
+    else:
+        queries = [start_fact_sinks(stored, facts_path, alerts_path, f"{base}/facts", trigger, "facts")]
+    if update_windows:
+        queries.append(start_windows(valid_only(enriched), f"{base}/window_log", output_mode="update",
+                                     on_batch=window_update_sink(windows_path), trigger=trigger, name="windows"))
     else:
-        q1 = start_fact_sinks(enriched, facts_path, alerts_path, f"{base}/facts", trigger, "facts")
-    q2 = start_windows(enriched, f"{base}/windows", path=windows_path, trigger=trigger, name="windows")
-    return [q1, q2]
+        queries.append(start_windows(valid_only(stored), f"{base}/windows", path=windows_path, trigger=trigger,
+                                     name="windows", delay=None if dedup else P.WATERMARK))
+    if status_path:
+        queries.append(start_latest_status(enriched, status_path, f"{base}/status", trigger, "status"))
+    return queries
+
+
+def await_all(spark: SparkSession, queries: list) -> None:
+    """Wait until every query has ended; the first failure of any of them
+    stops the others and is raised."""
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 BACKFILL_BATCH = -1
@@ -75,15 +112,17 @@ def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: s
     """Backfill of wire-message files.
 
     With ``alerts_path``: the same decode, enrich, validate and write path as
-    a ``foreachBatch`` micro-batch; partitions (event_date, batch_id) present
-    in the input are replaced, so re-running is exact and streamed batches
-    are untouched. Without it: ``facts_path`` is a new store of its own,
+    a ``foreachBatch`` micro-batch, as a writer named after ``source``: its
+    partitions present in the input are replaced, so re-running one source
+    is exact, and rows of other sources and of streams are untouched.
+    Without it: ``facts_path`` is a new store of its own,
     written by the exactly-once store sink over the files (run once,
     ``availableNow``); read it together with the live store by passing
     both paths to ``read_facts`` / ``read_alerts``."""
     if alerts_path is not None:
         write_batch(enrich_stream(spark.read.format("text").load(source)), batch_id,
-                    facts_path, alerts_path, quarantine_path)
+                    facts_path, alerts_path, quarantine_path,
+                    writer=f"files-{hashlib.md5(source.rstrip('/').encode()).hexdigest()}")
         return
     ck = checkpoint or shared_dir(spark, f"backfill/{uuid.uuid4().hex}")
     q = start_store_sink(enrich_stream(read_wire_files(spark, source)), facts_path, ck,
@@ -94,18 +133,19 @@ def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: s
 
 
 def run_nightly(spark: SparkSession, facts_path: str, reports_path: str, csv_path: str,
-                as_of: dt.date = P.AS_OF_DATE, rollup_path: str | None = None) -> None:
+                as_of: dt.date, rollup_path: str | None = None) -> None:
     """Report one closed day. The day's facts (one pruned partition) are
     summed per (sensor, hour) once; the report, the recommendations and the
     optional hourly rollup upsert all derive from those sums."""
     facts = read_facts(spark, facts_path)
-    facts = facts.filter((F.col("event_date") == F.lit(as_of)) & day_range(daily.DEFAULT, as_of))
+    facts = on_day(facts, as_of)
     c = daily.DEFAULT
     hourly = _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "nightly")
-    write_daily_report(daily.daily_report(hourly), reports_path)
-    export_csv(daily.intervention_report(hourly), csv_path)
+    write_daily_report(daily.daily_report(hourly), reports_path, as_of)
+    write_recommendations(daily.intervention_report(hourly), csv_path, as_of)
     if rollup_path:
         write_hourly_rollup(hourly, rollup_path)
+    _discard(spark, hourly)
 
 
 def _materialise(spark: SparkSession, df, name: str):
@@ -113,42 +153,73 @@ def _materialise(spark: SparkSession, df, name: str):
     read it back: later jobs reuse it and its lineage ends here."""
     path = shared_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._folder = path
+    return out
+
+
+def _discard(spark: SparkSession, df) -> None:
+    """Delete a table that ``_materialise`` wrote, at the end of its job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str,
-                as_of_ts: dt.datetime = P.AS_OF_TS, days: int = P.TRAILING_DAYS,
+                as_of_ts: dt.datetime, days: int = P.TRAILING_DAYS,
                 rollup_path: str | None = None) -> None:
-    """Whole-history reports. The analysis table and both summaries read an
-    hourly rollup (the nightly job's, or one materialised here in a single
-    pass over the facts), so the facts are scanned once for all three; only
-    the raw trailing export reads the facts again (pruned to its days)."""
+    """Whole-history reports, and the trailing report of the last ``days``.
+
+    The analysis table and the summaries read an hourly rollup (the nightly
+    job's, if it holds as many readings as the facts; or one materialised
+    here in a single pass over the facts). The trailing statistics, alerts,
+    resample, heatmap, summary and raw export read the last days alone, by
+    pruned partitions."""
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
     c = daily.DEFAULT
-    hourly = spark.read.parquet(rollup_path) if rollup_path else \
-        _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "reports")
+    own = None
+    if rollup_path:
+        hourly = spark.read.parquet(rollup_path)
+        held = hourly.agg(F.sum("record_count")).first()[0] or 0
+        if held != facts.count():
+            raise ValueError(f"the rollup at {rollup_path} holds {held} readings, the facts another number")
+    else:
+        hourly = own = _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "reports")
     export_csv(reports.analysis_table(reports.peak_hour_analysis(hourly, alerts)),
                os.path.join(out, "peak_hour_analysis"))
     write_summary(reports.summary_metrics(hourly, alerts), os.path.join(out, "summary_metrics"))
     write_text_report(reports.summary_lines(hourly, alerts), os.path.join(out, "summary_text"))
-    export_csv(reports.trailing_days(facts, as_of_ts, days), os.path.join(out, "trailing_export"),
-               partition_by="hour_of_day", order_by=["event_time"])
+    write_text_report(reports.analytical_lines(hourly, alerts), os.path.join(out, "analytical_summary"))
+    last, last_alerts = trailing(facts, as_of_ts, days), trailing(alerts, as_of_ts, days)
+    write_text_report(reports.summary_lines(last, last_alerts), os.path.join(out, "trailing_summary"))
+    for name, df in (("trailing_statistics", reports.sensor_statistics(last, last_alerts)),
+                     ("trailing_alert_counts", reports.alert_counts(last_alerts)),
+                     ("trailing_alerts", reports.trailing_alerts(alerts, as_of_ts, days)),
+                     ("trailing_resample", resample_hourly(last, c.key, c.time, c.count)),
+                     ("trailing_heatmap", reports.heatmap_pivot(last))):
+        df.write.mode("overwrite").parquet(os.path.join(out, name))
+    export_csv(reports.trailing_days(facts, as_of_ts, days).withColumn(c.date, F.to_date(c.time)),
+               os.path.join(out, "trailing_export"), partition_by=c.date, order_by=[c.time])
+    if own is not None:
+        _discard(spark, own)
 
 
 def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, reports_path: str | None,
-                  out: str, day: dt.date = P.AS_OF_DATE) -> None:
+                  out: str, day: dt.date) -> None:
     """Materialise the dashboard's five views as small tables (re-run on a
     timer instead of a request per browser poll)."""
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
     views = {
         "current_status": serving.latest_status(facts),
         "hourly_stats": serving.hour_grid(facts, day),
-        "critical_alerts": serving.recent(alerts, P.RECENT_ALERTS),
+        "critical_alerts": serving.recent(newest(spark, alerts_path, alerts, P.RECENT_ALERTS, "alert"),
+                                          P.RECENT_ALERTS),
         "stats_summary": serving.day_summary(facts, day),
         "checks": ingestion_checks(facts, alerts),
     }
     if reports_path:
-        views["daily_reports"] = serving.stored_recent_reports(spark.read.parquet(reports_path))
+        stored = newest(spark, reports_path, spark.read.parquet(reports_path), P.RECENT_REPORTS,
+                        cols=Cols(date="report_date"))
+        views["daily_reports"] = serving.stored_recent_reports(stored)
     for name, df in views.items():
         df.write.mode("overwrite").parquet(os.path.join(out, name))
 
@@ -164,6 +235,14 @@ def main(argv=None) -> None:
     s.add_argument("--windows", required=True)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--checkpoints")
+    s.add_argument("--dedup", action="store_true", help="drop replayed readings within the watermark")
+    s.add_argument("--update-windows", action="store_true", help="log every changed window each batch")
+    s.add_argument("--status", help="keep a table of the latest status per sensor here")
+    s.add_argument("--rocksdb", action="store_true", help="streaming state off the heap")
+    s.add_argument("--every", default="1 minute", help="trigger interval")
+    s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--max-offsets", type=int, help="messages of a micro-batch at most")
+    s.add_argument("--max-files", type=int, help="files of a micro-batch at most")
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
     i.add_argument("--facts", required=True)
@@ -173,13 +252,13 @@ def main(argv=None) -> None:
     n.add_argument("--facts", required=True)
     n.add_argument("--reports", required=True)
     n.add_argument("--csv", required=True)
-    n.add_argument("--as-of", type=dt.date.fromisoformat, default=P.AS_OF_DATE)
+    n.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
     n.add_argument("--rollup")
     r = sub.add_parser("reports")
     r.add_argument("--facts", required=True)
     r.add_argument("--alerts", required=True)
     r.add_argument("--out", required=True)
-    r.add_argument("--as-of", type=dt.datetime.fromisoformat, default=P.AS_OF_TS)
+    r.add_argument("--as-of", type=dt.datetime.fromisoformat, required=True)
     r.add_argument("--days", type=int, default=P.TRAILING_DAYS)
     r.add_argument("--rollup")
     d = sub.add_parser("dashboard")
@@ -187,14 +266,13 @@ def main(argv=None) -> None:
     d.add_argument("--alerts", required=True)
     d.add_argument("--reports")
     d.add_argument("--out", required=True)
-    d.add_argument("--day", type=dt.date.fromisoformat, default=P.AS_OF_DATE)
+    d.add_argument("--day", type=dt.date.fromisoformat, required=True)
     a = ap.parse_args(argv)
-    spark = get_session(f"roadpulse-{a.job}")
+    spark = get_session(f"roadpulse-{a.job}", rocksdb_state=getattr(a, "rocksdb", False))
     if a.job == "stream":
-        qs = run_stream(spark, a.source, a.facts, a.alerts, a.windows, a.kafka_servers, a.available_now,
-                        checkpoint_base=a.checkpoints)
-        for q in qs:
-            q.awaitTermination()
+        await_all(spark, run_stream(
+            spark, a.source, a.facts, a.alerts, a.windows, a.kafka_servers, a.available_now, a.max_files,
+            a.checkpoints, a.dedup, a.update_windows, a.status, a.every, a.starting_offsets, a.max_offsets))
     elif a.job == "ingest":
         run_ingest(spark, a.source, a.facts, a.alerts, a.quarantine)
     elif a.job == "nightly":

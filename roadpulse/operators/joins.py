@@ -25,6 +25,9 @@ def left_fill(left: DataFrame, right: DataFrame, on: Sequence[str], fill: dict[s
     return joined
 
 
+STRETCH = "30 DAYS"   # positions of a gap expanded at once; a multiple of any interval step used
+
+
 def fill_gaps(agg: DataFrame, key_cols: Sequence[str], pos: str, fill: dict[str, object],
               step: int | str = 1, lo=None, hi=None) -> DataFrame:
     """Dense positions per key from an aggregate with one row per (key, pos).
@@ -51,6 +54,11 @@ def fill_gaps(agg: DataFrame, key_cols: Sequence[str], pos: str, fill: dict[str,
     start = p if lo is None else F.when(prv.isNull(), F.lit(lo)).otherwise(p)
     end = F.when(nxt.isNotNull(), nxt - delta).otherwise(p if hi is None else F.lit(hi))
     bounded = agg.withColumn("_start", start).withColumn("_end", end)
+    if isinstance(step, str):
+        # In two steps, so that no row holds a long gap as one array.
+        stretch = F.expr(f"INTERVAL {STRETCH}")
+        bounded = (bounded.withColumn("_start", F.explode(F.sequence("_start", "_end", stretch)))
+                   .withColumn("_end", F.least(F.col("_end"), F.col("_start") + stretch - delta)))
     spread = bounded.withColumn("_pos", F.explode(seq(F.col("_start"), F.col("_end"))))
     measures = [c for c in agg.columns if c not in (*key_cols, pos)]
     return spread.select(

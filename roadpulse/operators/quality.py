@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.sources.telemetry import DEFAULT, Cols
 
+MAX_CONGESTION = 1e9
 REQUIRED = ("sensor_id", "event_time", "vehicle_count", "avg_speed")
 
 
@@ -16,14 +17,19 @@ def with_reject_reason(df: DataFrame, required: Sequence[str] = REQUIRED,
                        reason_col: str = "reject_reason") -> DataFrame:
     """Add ``reject_reason``: ';'-joined list of violated checks, NULL when valid.
 
-    Checks: each required column non-NULL (NOT NULL constraint), and a
-    non-negative count and positive speed when present.
+    Checks: each required column non-NULL (NOT NULL constraint), a
+    non-negative count, a positive speed, and a congestion index that is
+    finite, not negative and small enough to sum, where present.
     """
     checks = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in required]
     if "vehicle_count" in df.columns:
         checks.append(F.when(F.col("vehicle_count") < 0, F.lit("negative_vehicle_count")))
     if "avg_speed" in df.columns:
         checks.append(F.when(F.col("avg_speed") <= 0, F.lit("nonpositive_avg_speed")))
+    if "congestion_index" in df.columns:
+        index = F.col("congestion_index")
+        fits = ~F.isnan(index) & (index >= 0) & (index < MAX_CONGESTION)
+        checks.append(F.when(index.isNotNull() & ~fits, F.lit("bad_congestion_index")))
     reason = F.concat_ws(";", *checks)
     return df.withColumn(reason_col, F.when(reason != "", reason))
 

@@ -43,7 +43,7 @@ def time_id_key(df: DataFrame, time: str, id_col: str) -> Column:
     else:
         micros = F.unix_micros(F.col(time).cast("timestamp"))
     return (micros.cast(_DEC) * F.lit(_ID_SPAN).cast(_DEC)
-            + (F.col(id_col).cast(_DEC) + F.lit(_ID_SHIFT).cast(_DEC)))
+            + (F.coalesce(F.col(id_col), F.lit(-(1 << 63))).cast(_DEC) + F.lit(_ID_SHIFT).cast(_DEC)))
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], time: str, id_col: str,

@@ -1,34 +1,5 @@
-"""Fixed values and default parameters.
-
-Fixed values (must equal the behaviour being reproduced; stated plainly):
-
-- critical reading: avg_speed < 10 (strict)
-- intervention when: avg congestion > 5.0, or critical alerts > 10, or
-  avg speed < 15
-- recommendation tiers (when intervention is required): alerts > 30 ->
-  URGENT, else congestion > 7.0 -> HIGH, else MEDIUM; otherwise LOW
-- speed bands on mean speed: < 15, < 25, else
-- hour bands: rush 7-9 and 17-19 (x1.8), midday 10-16 (x1.2),
-  night >= 22 or <= 5 (x0.4), other hours (x1.0)
-- tumbling window 5 minutes, watermark 10 minutes
-- serving limits: 50 recent alerts, 20 recent daily reports, 5 latest events,
-  5 latest hours
-- reason texts, joined by " | ":
-  "High congestion index: %.2f", "Multiple alerts: %d",
-  "Low average speed: %.1f km/h"; none -> "Normal traffic flow"
-- peak-hour analysis table headers, in order: Junction, Peak Hour,
-  Peak Vehicles, Total Vehicles, Avg Speed (km/h), Avg Congestion Index,
-  Critical Alerts, Intervention Required, Recommendation
-- text summary labels: "Report Period: ", "Total Records: ",
-  "Total Critical Alerts: ", and per sensor "  Total Vehicles: ",
-  "  Average Speed: " (then " km/h"), "  Average Congestion Index: ",
-  "  Critical Alerts: "
-- recommendation texts:
-  "URGENT: Deploy traffic police immediately"
-  "HIGH: Deploy traffic police during peak hours"
-  "MEDIUM: Monitor closely, consider deployment"
-  "LOW: Continue monitoring"
-"""
+"""Fixed values (thresholds, texts, labels: must equal the behaviour being
+reproduced) and default run parameters."""
 
 from __future__ import annotations
 
@@ -69,13 +40,28 @@ SENSOR_ALERTS = "  Critical Alerts: "
 ANALYSIS_HEADERS = ("Junction", "Peak Hour", "Peak Vehicles", "Total Vehicles", "Avg Speed (km/h)",
                     "Avg Congestion Index", "Critical Alerts", "Intervention Required", "Recommendation")
 
-# Hour bands: (name, multiplier, hours). Order is the evaluation order.
+# Hour bands: (name, hours). Order is the evaluation order.
 HOUR_BANDS = (
-    ("rush", 1.8, (7, 8, 9, 17, 18, 19)),
-    ("midday", 1.2, (10, 11, 12, 13, 14, 15, 16)),
-    ("night", 0.4, (22, 23, 0, 1, 2, 3, 4, 5)),
+    ("rush", (7, 8, 9, 17, 18, 19)),
+    ("midday", (10, 11, 12, 13, 14, 15, 16)),
+    ("night", (22, 23, 0, 1, 2, 3, 4, 5)),
 )
-DEFAULT_BAND = ("normal", 1.0)
+DEFAULT_BAND = "normal"
+
+# Analytical summary: fixed labels, in order of appearance.
+ANALYTICAL_TITLE = "ANALYTICAL REPORT SUMMARY"
+ANALYTICAL_PERIOD = "Data Period: "
+ANALYTICAL_OVERALL = "OVERALL STATISTICS"
+ANALYTICAL_RECORDS = "Total Traffic Records: "
+ANALYTICAL_ALERTS = "Total Critical Alerts (Speed < 10 km/h): "
+ANALYTICAL_SENSORS = "Junctions Monitored: "
+ANALYTICAL_DATES = "Date Range: "
+ANALYTICAL_BY_SENSOR = "JUNCTION-WISE ANALYSIS"
+ANALYTICAL_PEAK = "   Peak Hour: "
+ANALYTICAL_SPEED = "   Average Speed: "
+ANALYTICAL_CONGESTION = "   Congestion Index: "
+ANALYTICAL_SENSOR_ALERTS = "   Critical Alerts: "
+ANALYTICAL_DECISION = "   Intervention: "
 
 SPEED_BANDS = ("slow", "moderate", "free_flow")
 

@@ -130,3 +130,36 @@ FROM g, LATERAL (VALUES ('fact_rows', fact_rows, fact_rows > 0),
 def q_ingestion_checks(spark, sf_dir):
     f = facts(spark, sf_dir)
     return Q.ingestion_checks(f, alerts_of(f))
+
+
+def corrupted_messages(spark, sf_dir) -> DataFrame:
+    """The wire messages with six in ten of them damaged, by event id: cut
+    off, a time that is none, speed 0, a count below 0, an index below 0, an
+    index beyond any sum."""
+    kind = F.pmod(F.col("event_id"), F.lit(10))
+
+    def swap(name, value):
+        return F.regexp_replace("value", f'"{name}":[^,}}]*', f'"{name}":{value}')
+
+    damaged = (F.when(kind == 1, F.substring("value", 1, 12)).when(kind == 2, swap("timestamp", '"no time"'))
+               .when(kind == 3, swap("avg_speed", "0")).when(kind == 4, swap("vehicle_count", "-5"))
+               .when(kind == 5, swap("congestion_index", "-1.5")).when(kind == 6, swap("congestion_index", "1e300"))
+               .otherwise(F.col("value")))
+    return wire_messages(spark, sf_dir).withColumn("value", damaged)
+
+
+@register("quarantine_damaged", oracle="""
+SELECT event_id,
+       CASE event_id % 10
+            WHEN 1 THEN 'null_sensor_id;null_event_time;null_vehicle_count;null_avg_speed'
+            WHEN 2 THEN 'null_event_time'
+            WHEN 3 THEN 'nonpositive_avg_speed'
+            WHEN 4 THEN 'negative_vehicle_count'
+            WHEN 5 THEN 'bad_congestion_index'
+            WHEN 6 THEN 'bad_congestion_index' END AS reject_reason,
+       event_id % 10 NOT BETWEEN 1 AND 6 AS stored
+FROM telemetry""")
+def q_quarantine_damaged(spark, sf_dir):
+    """Every damaged message is set apart with its reasons, no other is."""
+    d = Q.with_reject_reason(decode_wire(corrupted_messages(spark, sf_dir), keep=("event_id",)))
+    return d.select("event_id", "reject_reason", F.col("reject_reason").isNull().alias("stored"))

@@ -18,7 +18,7 @@ from roadpulse.operators.joins import left_fill, resample_hourly
 from roadpulse.operators.reshape import pivot_wide
 from roadpulse.plans import daily
 from roadpulse.plans.registry import SUMS, register
-from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, day_range, facts, trailing_range
+from roadpulse.sources.telemetry import DEFAULT, Cols, alerts_of, facts, on_day, trailing
 
 TRAILING_SQL = (f"event_time >= TIMESTAMP '{P.AS_OF_TS.isoformat(sep=' ')}' - INTERVAL {P.TRAILING_DAYS} DAY "
                 f"AND event_time < TIMESTAMP '{P.AS_OF_TS.isoformat(sep=' ')}'")
@@ -72,16 +72,19 @@ def volume_by_hour(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
             .select(cols.hour, cols.key, F.col("vehicle_sum").alias("total_vehicles"))
 
 
-def volume_pivot(f: DataFrame, sensors=None, cols: Cols = DEFAULT) -> DataFrame:
-    """hour x sensor volume table; one column per sensor of the given list."""
-    sensors = list(sensors or P.sensor_ids())
-    return pivot_wide(f, [cols.hour], cols.key, sensors, F.sum(cols.count).cast("long"))
+def volume_pivot(f: DataFrame, sensors, cols: Cols = DEFAULT) -> DataFrame:
+    """hour x sensor volume table: one column per sensor of the given list and
+    ``other`` for all that are not listed, so a row's sum is the hour's total."""
+    s = A.measure_sums(f, [cols.hour, cols.key], cols)
+    named = s.withColumn("_column", F.when(F.col(cols.key).isin(*sensors), F.col(cols.key)).otherwise(F.lit("other")))
+    return pivot_wide(named, [cols.hour], "_column", [*sensors, "other"], F.sum("vehicle_sum").cast("long"))
 
 
 def heatmap_pivot(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """sensor x hour 0-23 mean vehicle count (columns h0..h23)."""
     hours = list(range(24))
-    return pivot_wide(f, [cols.key], cols.hour, hours, F.avg(cols.count), [f"h{h}" for h in hours])
+    s = A.measure_sums(f, [cols.key, cols.hour], cols)
+    return pivot_wide(s, [cols.key], cols.hour, hours, F.first(A.avg_vehicles()), [f"h{h}" for h in hours])
 
 
 def sensor_statistics(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
@@ -112,11 +115,9 @@ def speed_band_by_sensor(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
 
 def hour_band_profile(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
     """Per sensor and hour band (rush / midday / night / normal)."""
-    banded = f.withColumn("hour_band", X.hour_band(cols.hour)) \
-              .withColumn("multiplier", X.hour_band_multiplier(cols.hour))
-    s = A.measure_sums(banded, [cols.key, "hour_band", "multiplier"], cols)
+    s = A.measure_sums(f.withColumn("hour_band", X.hour_band(cols.hour)), [cols.key, "hour_band"], cols)
     return s.select(
-        F.col(cols.key), F.col("hour_band"), F.col("multiplier"),
+        F.col(cols.key), F.col("hour_band"),
         F.col("record_count"), F.col("vehicle_sum").alias("total_vehicles"),
         A.avg_vehicles().alias("avg_vehicles"),
     )
@@ -242,11 +243,11 @@ def scan_columns(cols: Cols = DEFAULT) -> list[str]:
 
 
 def trailing_days(f: DataFrame, as_of=P.AS_OF_TS, days: int = P.TRAILING_DAYS, cols: Cols = DEFAULT) -> DataFrame:
-    return f.filter(trailing_range(cols, as_of, days)).select(*scan_columns(cols))
+    return trailing(f, as_of, days, cols).select(*scan_columns(cols))
 
 
 def day_scan(f: DataFrame, day=P.AS_OF_DATE, cols: Cols = DEFAULT) -> DataFrame:
-    return f.filter(day_range(cols, day)).select(*scan_columns(cols))
+    return on_day(f, day, cols).select(*scan_columns(cols))
 
 
 def history_scan(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
@@ -256,6 +257,53 @@ def history_scan(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
             .orderBy(cols.time, cols.id)
 
 
+def alerts_history(alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """All alerts in event-time order (order only for export)."""
+    return alerts.select(cols.id, cols.key, cols.time, X.date_text(cols.time).alias("date"),
+                         cols.count, cols.speed, cols.congestion).orderBy(cols.time, cols.id)
+
+
+def trailing_alerts(alerts: DataFrame, as_of=P.AS_OF_TS, days: int = P.TRAILING_DAYS,
+                    cols: Cols = DEFAULT) -> DataFrame:
+    """Alerts of the trailing days, newest first."""
+    return (trailing(alerts, as_of, days, cols).select(cols.id, cols.key, cols.time, cols.count, cols.speed,
+                                                       cols.congestion)
+            .orderBy(F.col(cols.time).desc(), F.col(cols.id).desc()))
+
+
+def analytical_lines(f: DataFrame, alerts: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """The analytical summary as ordered lines (first_seen, sensor_id,
+    line_no, line): title, period and totals, then per sensor the peak hour,
+    means, alerts, decision and recommendation. Sort by the first three
+    columns to print."""
+    count = lambda c: F.format_number(F.col(c), 0)
+    total = _summary_rollup(f, alerts, cols).filter(F.col("_g") == 1)
+    head = total.select(
+        F.lit(None).cast("timestamp_ntz").alias("first_seen"), F.lit(None).cast("string").alias(cols.key),
+        F.posexplode(F.array(
+            F.lit(P.ANALYTICAL_TITLE),
+            F.concat(F.lit(P.ANALYTICAL_PERIOD), X.ts_text("first_seen"), F.lit(" to "), X.ts_text("last_seen")),
+            F.lit(P.ANALYTICAL_OVERALL),
+            F.concat(F.lit(P.ANALYTICAL_RECORDS), count("total_records")),
+            F.concat(F.lit(P.ANALYTICAL_ALERTS), count("critical_alerts")),
+            F.concat(F.lit(P.ANALYTICAL_SENSORS), F.col("sensors").cast("string")),
+            F.concat(F.lit(P.ANALYTICAL_DATES), F.col("dates_with_data").cast("string"), F.lit(" day(s)")),
+            F.lit(P.ANALYTICAL_BY_SENSOR))).alias("line_no", "line"))
+    first = A.measure_sums(f, [cols.key], cols).select(cols.key, F.col("first_event").alias("first_seen"))
+    block = peak_hour_analysis(f, alerts, cols).join(first, cols.key).select(
+        "first_seen", cols.key,
+        F.posexplode(F.array(
+            F.col("junction"),
+            F.concat(F.lit(P.ANALYTICAL_PEAK), "peak_hour", F.lit(" ("), F.col("peak_vehicles").cast("string"),
+                     F.lit(" vehicles)")),
+            F.concat(F.lit(P.ANALYTICAL_SPEED), "avg_speed", F.lit(" km/h")),
+            F.concat(F.lit(P.ANALYTICAL_CONGESTION), "avg_congestion_index"),
+            F.concat(F.lit(P.ANALYTICAL_SENSOR_ALERTS), F.col("critical_alerts").cast("string")),
+            F.concat(F.lit(P.ANALYTICAL_DECISION), "intervention_required"),
+            F.concat(F.lit("   "), "recommendation"))).alias("line_no", "line"))
+    return head.unionByName(block)
+
+
 # --- registered queries ------------------------------------------------------
 
 def _fa(spark, sf_dir):
@@ -316,16 +364,18 @@ def q_volume_by_hour(spark, sf_dir):
     return volume_by_hour(facts(spark, sf_dir))
 
 
+PIVOTED = P.sensor_ids()
 _pivot_cols = ",\n       ".join(
-    f"CAST(SUM(vehicle_count) FILTER (WHERE sensor_id = '{s}') AS BIGINT) AS \"{s}\"" for s in P.sensor_ids())
+    f"CAST(SUM(vehicle_count) FILTER (WHERE sensor_id = '{s}') AS BIGINT) AS \"{s}\"" for s in PIVOTED)
 
 
 @register("volume_pivot", oracle=f"""
 SELECT hour_of_day,
-       {_pivot_cols}
+       {_pivot_cols},
+       CAST(SUM(vehicle_count) FILTER (WHERE sensor_id NOT IN {tuple(PIVOTED)}) AS BIGINT) AS other
 FROM facts GROUP BY hour_of_day""")
 def q_volume_pivot(spark, sf_dir):
-    return volume_pivot(facts(spark, sf_dir))
+    return volume_pivot(facts(spark, sf_dir), PIVOTED)
 
 
 _heat_cols = ",\n       ".join(f"AVG(vehicle_count) FILTER (WHERE hour_of_day = {h}) AS h{h}" for h in range(24))
@@ -397,17 +447,15 @@ def q_speed_band_by_sensor(spark, sf_dir):
     return speed_band_by_sensor(facts(spark, sf_dir))
 
 
-_band_case = " ".join(f"WHEN hour_of_day IN {tuple(hours)} THEN '{name}'" for name, _m, hours in P.HOUR_BANDS)
-_mult_case = " ".join(f"WHEN '{name}' THEN {m}" for name, m, _h in P.HOUR_BANDS)
+_band_case = " ".join(f"WHEN hour_of_day IN {tuple(hours)} THEN '{name}'" for name, hours in P.HOUR_BANDS)
 
 
 @register("hour_band_profile", oracle=f"""
 WITH b AS (
-    SELECT *, CASE {_band_case} ELSE '{P.DEFAULT_BAND[0]}' END AS hour_band
+    SELECT *, CASE {_band_case} ELSE '{P.DEFAULT_BAND}' END AS hour_band
     FROM facts
 )
 SELECT sensor_id, hour_band,
-       CAST(CASE hour_band {_mult_case} ELSE {P.DEFAULT_BAND[1]} END AS DOUBLE) AS multiplier,
        COUNT(*) AS record_count,
        CAST(SUM(vehicle_count) AS BIGINT) AS total_vehicles,
        CAST(SUM(vehicle_count) AS DOUBLE) / COUNT(vehicle_count) AS avg_vehicles
@@ -520,3 +568,66 @@ UNION ALL SELECT first_seen, sensor_id, 3, '{P.SENSOR_CONGESTION}'
 UNION ALL SELECT first_seen, sensor_id, 4, '{P.SENSOR_ALERTS}' || CAST(alerts_n AS VARCHAR) FROM st""")
 def q_summary_text(spark, sf_dir):
     return summary_lines(*_fa(spark, sf_dir))
+
+
+@register("alerts_history", oracle="""
+SELECT event_id, sensor_id, event_time, strftime(event_time, '%Y-%m-%d') AS date, vehicle_count, avg_speed,
+       congestion_index
+FROM alerts ORDER BY event_time, event_id""")
+def q_alerts_history(spark, sf_dir):
+    return alerts_history(alerts_of(facts(spark, sf_dir)))
+
+
+@register("trailing_alerts", oracle=f"""
+SELECT event_id, sensor_id, event_time, vehicle_count, avg_speed, congestion_index
+FROM alerts WHERE {TRAILING_SQL} ORDER BY event_time DESC, event_id DESC""")
+def q_trailing_alerts(spark, sf_dir):
+    return trailing_alerts(alerts_of(facts(spark, sf_dir)))
+
+
+_TRAILING_STATS = STATS_SQL.replace("FROM facts GROUP", f"FROM facts WHERE {TRAILING_SQL} GROUP").replace(
+    "FROM alerts GROUP", f"FROM alerts WHERE {TRAILING_SQL} GROUP")
+
+
+@register("trailing_sensor_statistics", oracle=_TRAILING_STATS + "\nSELECT * FROM stats ORDER BY first_seen, sensor_id")
+def q_trailing_sensor_statistics(spark, sf_dir):
+    f = trailing(facts(spark, sf_dir), P.AS_OF_TS, P.TRAILING_DAYS)
+    return sensor_statistics(f, alerts_of(f))
+
+
+@register("trailing_alert_counts", oracle=f"""
+SELECT sensor_id, COUNT(*) AS alert_count FROM alerts WHERE {TRAILING_SQL} GROUP BY sensor_id
+ORDER BY alert_count DESC, sensor_id""")
+def q_trailing_alert_counts(spark, sf_dir):
+    return alert_counts(alerts_of(trailing(facts(spark, sf_dir), P.AS_OF_TS, P.TRAILING_DAYS)))
+
+
+@register("analytical_summary_text", oracle=ANALYSIS_SQL.strip().replace("SELECT sensor_id,\n       replace(", """, an AS (
+SELECT sensor_id,
+       replace(""", 1) + f"""
+), fs AS (
+    SELECT sensor_id, MIN(event_time) AS first_seen FROM facts GROUP BY sensor_id
+), s AS (
+    SELECT an.*, first_seen FROM an JOIN fs USING (sensor_id)
+), e AS ({EXTENT_SQL}
+)
+SELECT CAST(NULL AS TIMESTAMP) AS first_seen, CAST(NULL AS VARCHAR) AS sensor_id, 0 AS line_no,
+       '{P.ANALYTICAL_TITLE}' AS line
+UNION ALL SELECT NULL, NULL, 1, '{P.ANALYTICAL_PERIOD}' || {_TS_SQL.format(c="first_event")} || ' to '
+       || {_TS_SQL.format(c="last_event")} FROM e
+UNION ALL SELECT NULL, NULL, 2, '{P.ANALYTICAL_OVERALL}'
+UNION ALL SELECT NULL, NULL, 3, '{P.ANALYTICAL_RECORDS}' || format('{{:,}}', total_records) FROM e
+UNION ALL SELECT NULL, NULL, 4, '{P.ANALYTICAL_ALERTS}' || format('{{:,}}', (SELECT COUNT(*) FROM alerts))
+UNION ALL SELECT NULL, NULL, 5, '{P.ANALYTICAL_SENSORS}' || CAST(sensors AS VARCHAR) FROM e
+UNION ALL SELECT NULL, NULL, 6, '{P.ANALYTICAL_DATES}' || CAST(dates_with_data AS VARCHAR) || ' day(s)' FROM e
+UNION ALL SELECT NULL, NULL, 7, '{P.ANALYTICAL_BY_SENSOR}'
+UNION ALL SELECT first_seen, sensor_id, 0, junction FROM s
+UNION ALL SELECT first_seen, sensor_id, 1, '{P.ANALYTICAL_PEAK}' || peak_hour || ' (' || peak_vehicles || ' vehicles)'
+       FROM s
+UNION ALL SELECT first_seen, sensor_id, 2, '{P.ANALYTICAL_SPEED}' || avg_speed || ' km/h' FROM s
+UNION ALL SELECT first_seen, sensor_id, 3, '{P.ANALYTICAL_CONGESTION}' || avg_congestion_index FROM s
+UNION ALL SELECT first_seen, sensor_id, 4, '{P.ANALYTICAL_SENSOR_ALERTS}' || critical_alerts FROM s
+UNION ALL SELECT first_seen, sensor_id, 5, '{P.ANALYTICAL_DECISION}' || intervention_required FROM s
+UNION ALL SELECT first_seen, sensor_id, 6, '   ' || recommendation FROM s""")
+def q_analytical_summary_text(spark, sf_dir):
+    return analytical_lines(*_fa(spark, sf_dir))

@@ -120,8 +120,24 @@ def stored_recent_reports(reports: DataFrame, n: int = P.RECENT_REPORTS) -> Data
                  [F.col("report_date").desc(), F.col("sensor_id").asc()], n)
 
 
+def status_board(f: DataFrame, cols: Cols = DEFAULT) -> DataFrame:
+    """Latest status per sensor as the board shows it: label and state."""
+    return latest_status(f, cols).select(
+        cols.key, X.label(cols.key).alias("junction"), cols.time, cols.speed,
+        X.status_glyph(cols.flag).alias("status"))
+
+
 # --- registered queries ------------------------------------------------------
 
+@register("status_board", oracle="""
+SELECT sensor_id, replace(sensor_id, '_', ' ') AS junction, event_time, avg_speed,
+       CASE WHEN traffic_status THEN 'critical' ELSE 'normal' END AS status
+FROM facts
+QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY event_time DESC, event_id DESC) = 1""")
+def q_status_board(spark, sf_dir):
+    return status_board(facts(spark, sf_dir))
+
+
 @register("latest_status", oracle="""
 SELECT event_id, sensor_id, event_time, vehicle_count, avg_speed, congestion_index, traffic_status
 FROM facts

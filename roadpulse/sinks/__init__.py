@@ -1,4 +1,5 @@
 from roadpulse.sinks.writers import (  # noqa: F401
-    export_csv, write_alerts, write_daily_report, write_facts, write_hourly_rollup, write_summary,
+    export_csv, write_alerts, write_daily_report, write_facts, write_hourly_rollup, write_recommendations,
+    write_summary,
     write_text_report,
 )

@@ -24,21 +24,34 @@ def write_alerts(df: DataFrame, path: str, mode: str = "append") -> None:
       .write.mode(mode).partitionBy("event_date").parquet(path)
 
 
-def write_daily_report(report: DataFrame, path: str) -> None:
-    """Upsert report rows: each report_date present in ``report`` replaces that
-    date's partition; other dates are untouched."""
-    # One row per sensor and day: one task (and file) per report date.
-    (report.repartition("report_date")
-           .write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy("report_date")
-           .parquet(path))
+def write_daily_report(report: DataFrame, path: str, day=None) -> None:
+    """Upsert report rows. With ``day`` exactly that date's partition is
+    replaced, also by no rows; without it each report_date present in
+    ``report`` replaces its partition. Other dates are untouched."""
+    if day is not None:
+        _replace_date(report, path, day).parquet(f"{path}/report_date={day.isoformat()}")
+        return
+    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("report_date").parquet(path))
+
+
+def _replace_date(df: DataFrame, path: str, day):
+    """Writer of one date's folder: the rows of that date without it."""
+    return df.filter(F.col("report_date") == F.lit(day)).drop("report_date").write.mode("overwrite")
+
+
+def write_recommendations(report: DataFrame, path: str, day) -> None:
+    """One closed day's recommendations as CSV under report_date=<day>; other
+    days' files stay, a day without rows replaces what it had."""
+    _replace_date(report, path, day).option("header", True).csv(f"{path}/report_date={day.isoformat()}")
 
 
 def export_csv(df: DataFrame, path: str, partition_by: str | None = None,
                order_by: list[str] | None = None) -> None:
-    """CSV with header. ``order_by`` sorts within each output partition only."""
-    out = df.sortWithinPartitions(*order_by) if order_by else df
+    """CSV with header. ``order_by`` sorts each output file."""
+    # The writer sorts by its partition column unless the rows already are.
+    order = ([partition_by] if partition_by else []) + (order_by or [])
+    out = df.sortWithinPartitions(*order) if order_by else df
     w = out.write.mode("overwrite").option("header", True)
     if partition_by:
         w = w.partitionBy(partition_by)

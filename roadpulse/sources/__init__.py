@@ -1,5 +1,5 @@
 from roadpulse.sources.telemetry import (  # noqa: F401
-    Cols, alerts_of, enrich, facts, load_table, on_day, read_alerts, read_facts, read_quarantine,
-    telemetry_from_events,
+    Cols, alerts_of, enrich, facts, load_table, newest, on_day, read_alerts, read_facts, read_quarantine,
+    telemetry_from_events, trailing,
 )
 from roadpulse.sources.wire import decode_wire, encode_wire  # noqa: F401

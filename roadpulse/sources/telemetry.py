@@ -7,6 +7,7 @@ filter (and, on a table partitioned by ``event_date``, prunes partitions).
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,11 +90,24 @@ def day_range(cols: Cols, day) -> "F.Column":
 
 
 def on_day(df: DataFrame, day, cols: Cols = DEFAULT) -> DataFrame:
-    """Rows of one calendar day: a pushed-down time range on readings, or the
-    date column on a table of sums (which has no per-reading time)."""
-    if cols.time in df.columns:
-        return df.filter(day_range(cols, day))
-    return df.filter(F.col(cols.date) == F.lit(day))
+    """Rows of one calendar day: a pushed-down time range on readings and,
+    where the date is a column, its value, which prunes the partitions of a
+    stored table; on a table of sums (no per-reading time) the date alone."""
+    same_date = F.col(cols.date) == F.lit(day)
+    if cols.time not in df.columns:
+        return df.filter(same_date)
+    df = df.filter(day_range(cols, day))
+    return df.filter(same_date) if cols.date in df.columns else df
+
+
+def trailing(df: DataFrame, as_of_ts, days: int, cols: Cols = DEFAULT) -> DataFrame:
+    """Rows of [as_of - days, as_of), with the matching range of the date
+    column, where there is one, for partition pruning."""
+    out = df.filter(trailing_range(cols, as_of_ts, days))
+    if cols.date not in df.columns:
+        return out
+    first = (as_of_ts - dt.timedelta(days=days)).date()
+    return out.filter((F.col(cols.date) >= F.lit(first)) & (F.col(cols.date) <= F.lit(as_of_ts.date())))
 
 
 def trailing_range(cols: Cols, as_of_ts, days: int) -> "F.Column":
@@ -113,7 +127,7 @@ def _read_one(spark: SparkSession, path: str, kind: str) -> DataFrame:
     if STORE_KIND in df.columns:       # single store written by start_store_sink
         df = df.filter(F.col(STORE_KIND) == kind).drop(STORE_KIND)
         if kind != "quarantine":
-            df = df.drop("reject_reason")
+            df = df.drop("reject_reason", "raw_message")
     return df
 
 
@@ -129,8 +143,8 @@ def _read_kind(spark: SparkSession, path, kind: str) -> DataFrame:
 
 
 def read_facts(spark: SparkSession, path) -> DataFrame:
-    """Stored facts: a table partitioned by event_date (and batch_id from the
-    foreachBatch sink), or the ``kind=fact`` rows of a single store; several
+    """Stored facts: a table partitioned by event_date (and writer, batch_id
+    from the foreachBatch sink), or the ``kind=fact`` rows of a single store; several
     paths (list or comma-separated) are read and unioned. Day
     filters prune partitions. Congestion in integer hundredths is derived
     from the stored index."""
@@ -146,3 +160,32 @@ def read_alerts(spark: SparkSession, path) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, path) -> DataFrame:
     return _read_kind(spark, path, "quarantine")
+
+
+def newest(spark: SparkSession, path, df: DataFrame, n: int, kind: str | None = None,
+           cols: Cols = DEFAULT) -> DataFrame:
+    """``df`` (read from ``path``) cut to its newest dates that hold ``n`` rows
+    or more, found by walking the date partitions from the newest on. Times
+    never precede their date, so the latest ``n`` rows are all in there."""
+    dates = partition_dates(spark, path, kind, cols.date)
+    found = 0
+    for day in sorted(dates, reverse=True):
+        found += df.filter(F.col(cols.date) == F.lit(day)).limit(n - found).count()
+        if found >= n:
+            return df.filter(F.col(cols.date) >= F.lit(day))
+    return df
+
+
+def partition_dates(spark: SparkSession, path, kind: str | None = None, column: str = DEFAULT.date) -> set:
+    """Dates that a stored table has partitions of (folder names only)."""
+    out = set()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for one in [p for p in (path.split(",") if isinstance(path, str) else path) if p]:
+        for folder in (f"{one}/{STORE_KIND}={kind}", one):
+            root = jvm.org.apache.hadoop.fs.Path(folder)
+            fs = root.getFileSystem(conf)
+            if fs.exists(root):
+                names = [x.getPath().getName() for x in fs.listStatus(root)]
+                out |= {dt.date.fromisoformat(x.split("=", 1)[1]) for x in names
+                        if x.startswith(f"{column}=") and not x.endswith("__HIVE_DEFAULT_PARTITION__")}
+    return out

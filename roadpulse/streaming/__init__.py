@@ -1,4 +1,5 @@
 from roadpulse.streaming.pipeline import (  # noqa: F401
     dedup_events, enrich_stream, kafka_source, latest_status_stream, read_wire_files,
-    latest_windows, start_fact_sinks, start_store_sink, start_windows, watermark_drops, window_update_sink,
+    latest_windows, start_fact_sinks, start_latest_status, start_store_sink, start_windows, valid_only,
+    watermark_drops, window_update_sink,
 )

@@ -3,8 +3,11 @@ watermarked 5-minute windows, and latest status per sensor.
 
 - One parse per micro-batch: facts and alerts are written by the same
   ``foreachBatch`` from one persisted batch.
-- Exactly-once output: each batch writes partitions (event_date, batch_id)
-  with dynamic overwrite, so a replayed batch replaces its own files.
+- Exactly-once output: each batch writes partitions (event_date, writer,
+  batch_id) with dynamic overwrite, so a replayed batch replaces its own
+  files and no other writer's. The writer is the streaming query's id, which
+  its checkpoint holds; a new checkpoint is a new writer.
+- Messages that can't be decoded keep their text in the quarantine.
 - Sink errors propagate (the query fails and the batch is replayed).
 - Every stateful operator is bounded: windows by the watermark, latest
   status by the number of sensors.
@@ -12,10 +15,8 @@ watermarked 5-minute windows, and latest status per sensor.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import logging
-from collections import OrderedDict
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from roadpulse.sources.wire import decode_wire
 
 log = logging.getLogger("roadpulse.streaming")
 
+RAW = "raw_message"   # text of a message, kept with rejected rows
+
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest", fail_on_data_loss: bool = False,
@@ -64,10 +67,12 @@ def enrich_stream(raw: DataFrame, value_col: str = "value") -> DataFrame:
     fields (a row identifier and tie-breaker; dedup uses the exact key).
     """
     keep = ("event_id",) if "event_id" in raw.columns else ()
-    d = decode_wire(raw, value_col=value_col, keep=keep)
+    raw = raw.withColumn(RAW, F.col(value_col).cast("string"))
+    d = decode_wire(raw, value_col=value_col, keep=(*keep, RAW))
     if not keep:
-        d = d.withColumn("event_id", F.xxhash64(F.col("sensor_id"), F.col("timestamp"),
-                                                F.col("vehicle_count"), F.col("avg_speed")))
+        fields = [F.col(c) for c in ("sensor_id", "timestamp", "vehicle_count", "avg_speed")]
+        broken = F.coalesce(*[c.cast("string") for c in fields]).isNull()
+        d = d.withColumn("event_id", F.when(broken, F.xxhash64(RAW)).otherwise(F.xxhash64(*fields)))
     # Hour and date come from the naive wall-clock time; only then does
     # event_time become TIMESTAMP for the watermark.
     e = enrich(d).withColumn("event_time", F.col("event_time").cast("timestamp"))
@@ -84,9 +89,19 @@ def dedup_events(enriched: DataFrame, delay: str = P.WATERMARK,
     return enriched.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-# Observed row counts of the most recent micro-batches (bounded).
-BATCH_COUNTS: "OrderedDict[int, dict]" = OrderedDict()
-BATCH_COUNTS_KEPT = 1000
+def valid_only(enriched: DataFrame) -> DataFrame:
+    """Rows that pass the quarantine checks; rejected readings must not reach
+    windows or the latest status."""
+    return with_reject_reason(enriched).filter(F.col("reject_reason").isNull()).drop("reject_reason", RAW)
+
+
+def writer_of(batch: DataFrame) -> str:
+    """Id of the streaming query that a foreachBatch frame belongs to: the
+    same after a restart from its checkpoint, another for a new checkpoint."""
+    writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not writer:
+        raise ValueError("not a streaming batch: name the writer")
+    return writer
 
 
 def quarantine_path_for(facts_path: str) -> str:
@@ -96,38 +111,38 @@ def quarantine_path_for(facts_path: str) -> str:
 
 def _overwrite_batch(df: DataFrame, path: str, part: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(part, "batch_id").parquet(path))
+       .partitionBy(part, "writer", "batch_id").parquet(path))
 
 
 def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: str,
-                quarantine_path: str | None = None) -> None:
+                quarantine_path: str | None = None, writer: str | None = None) -> None:
     """One micro-batch: valid rows -> facts (all) and alerts (critical); rows
-    failing the NOT NULL / range checks -> quarantine with their reasons.
-    Every write replaces only this batch's partitions, so a replay is exact."""
+    failing the NOT NULL / range checks -> quarantine with their reasons and
+    text. Every write replaces only the partitions of this writer and batch,
+    so a replay is exact and other writers' rows stay."""
+    writer = writer or writer_of(batch)
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
-        tagged = with_reject_reason(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        tagged = (with_reject_reason(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                  .withColumn("writer", F.lit(writer)))
         valid = tagged.filter(F.col("reject_reason").isNull())
         # Row counts ride along with the facts write (no second job over the batch).
         counts = Observation(f"facts_batch_{batch_id}")
-        _overwrite_batch(valid.select(*FACT_COLUMNS, "processing_time", "batch_id")
+        _overwrite_batch(valid.select(*FACT_COLUMNS, "processing_time", "writer", "batch_id")
                               .observe(counts, F.count(F.lit(1)).alias("rows"),
                                        F.count_if(F.coalesce(F.col("traffic_status"), F.lit(False)))
                                         .alias("critical")),
                          facts_path, "event_date")
-        BATCH_COUNTS[batch_id] = counts.get
-        while len(BATCH_COUNTS) > BATCH_COUNTS_KEPT:
-            BATCH_COUNTS.popitem(last=False)
-        log.info("batch %s: %s", batch_id, BATCH_COUNTS[batch_id])
-        _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "batch_id"),
+        log.info("batch %s: %s", batch_id, counts.get)
+        _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "writer", "batch_id"),
                          alerts_path, "event_date")
         rejected = tagged.filter(F.col("reject_reason").isNotNull())
         if not rejected.isEmpty():     # cheap: the batch is persisted
-            _overwrite_batch(rejected.withColumn("ingest_date", F.to_date("processing_time"))
-                                     .drop("event_date"),
-                             quarantine_path or quarantine_path_for(facts_path), "ingest_date")
+            # By the event's own date where it has one: a rerun on another day
+            # replaces the same partitions.
+            _overwrite_batch(rejected, quarantine_path or quarantine_path_for(facts_path), "event_date")
     finally:
         batch.unpersist()
 
@@ -165,7 +180,7 @@ def start_store_sink(enriched: DataFrame, store_path: str, checkpoint: str,
                     F.when(~valid, F.lit("quarantine")))
     rows = (tagged.select(*[c for c in FACT_COLUMNS if c != "event_date"], "processing_time", "reject_reason",
                           F.coalesce(F.col("event_date"), F.to_date("processing_time")).alias("event_date"),
-                          F.explode(kinds).alias("kind"))
+                          F.when(~valid, F.col(RAW)).alias(RAW), F.explode(kinds).alias("kind"))
                   .filter(F.col("kind").isNotNull()))
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("path", store_path).option("checkpointLocation", checkpoint)
@@ -176,15 +191,16 @@ def start_store_sink(enriched: DataFrame, store_path: str, checkpoint: str,
     return w.start()
 
 
-def windowed(enriched: DataFrame, duration: str = P.WINDOW, delay: str = P.WATERMARK) -> DataFrame:
-    """Watermarked tumbling windows per sensor (same operator as batch)."""
-    return window_measures(enriched.withWatermark("event_time", delay), duration)
+def windowed(enriched: DataFrame, duration: str = P.WINDOW, delay: str | None = P.WATERMARK) -> DataFrame:
+    """Watermarked tumbling windows per sensor (same operator as batch); no
+    ``delay``: the stream has its watermark already (``dedup_events``)."""
+    return window_measures(enriched.withWatermark("event_time", delay) if delay else enriched, duration)
 
 
 def start_windows(enriched: DataFrame, checkpoint: str, path: str | None = None,
                   output_mode: str = "append", on_batch: Callable | None = None,
                   trigger: dict | None = None, duration: str = P.WINDOW,
-                  delay: str = P.WATERMARK, name: str | None = None) -> StreamingQuery:
+                  delay: str | None = P.WATERMARK, name: str | None = None) -> StreamingQuery:
     """Start the window aggregate.
 
     ``append`` emits each window once, when the watermark passes its end, to
@@ -217,9 +233,24 @@ def latest_status_stream(enriched: DataFrame) -> DataFrame:
                            "congestion_index", "traffic_status"])
 
 
+def start_latest_status(enriched: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                        name: str | None = None) -> StreamingQuery:
+    """Keep a table of the latest valid reading per sensor: the whole small
+    result (a row per sensor) replaces the table every batch."""
+    w = (latest_status_stream(valid_only(enriched)).writeStream.outputMode("complete")
+         .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path))
+         .option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(**trigger) if trigger else w
+    return w.start()
+
+
 def watermark_drops(query: StreamingQuery) -> int:
-    """Rows dropped as too late, summed over stateful operators, all progress
-    reports kept by the query (counted after partial aggregation)."""
+    """Rows dropped as too late, summed over the stateful operators of the
+    progress reports that the session still keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``); for the whole life of
+    a long-running query add up the reports of a StreamingQueryListener."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
@@ -233,21 +264,23 @@ WINDOW_KEY = ["window_start", "sensor_id"]
 
 def window_update_sink(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch callback for update-mode windows: every emitted version of
-    a window is appended under partition (window_date, batch_id); replaying a
-    batch overwrites its own partition. Read with ``latest_windows``."""
+    a window is appended under partition (window_date, writer, batch_id) with
+    the time it was written; replaying a batch overwrites its own partition,
+    another checkpoint's versions stay. Read with ``latest_windows``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("window_date", F.to_date("window_start"))
-              .withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("window_date", "batch_id").parquet(path))
+        _overwrite_batch(batch.withColumn("window_date", F.to_date("window_start"))
+                         .withColumn("written_at", F.current_timestamp())
+                         .withColumn("writer", F.lit(writer_of(batch)))
+                         .withColumn("batch_id", F.lit(batch_id).cast("long")), path, "window_date")
     return write
 
 
 def latest_windows(spark: SparkSession, path: str) -> DataFrame:
-    """Current value of each (window, sensor): the version from the highest
-    batch id (grouped max_by, partially aggregated)."""
+    """Current value of each (window, sensor): the version written last
+    (grouped max_by, partially aggregated)."""
     versions = spark.read.parquet(path)
-    values = [c for c in versions.columns if c not in (*WINDOW_KEY, "window_date", "batch_id")]
+    values = [c for c in versions.columns
+              if c not in (*WINDOW_KEY, "window_date", "writer", "batch_id", "written_at")]
     return (versions.groupBy(*WINDOW_KEY)
-                    .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
+                    .agg(F.max_by(F.struct(*values), F.struct("written_at", "batch_id")).alias("_v"))
                     .select(*WINDOW_KEY, "_v.*"))

@@ -51,12 +51,11 @@ def test_labels(spark):
 
 def test_hour_bands_cover_every_hour(spark):
     df = spark.range(24).select(F.col("id").cast("int").alias("h"))
-    got = {r.h: (r.b, r.m) for r in df.select("h", X.hour_band("h").alias("b"),
-                                                X.hour_band_multiplier("h").alias("m")).collect()}
-    assert got[7] == ("rush", 1.8) and got[19] == ("rush", 1.8)
-    assert got[10] == ("midday", 1.2) and got[16] == ("midday", 1.2)
-    assert got[22] == ("night", 0.4) and got[5] == ("night", 0.4) and got[0] == ("night", 0.4)
-    assert got[6] == ("normal", 1.0) and got[20] == ("normal", 1.0) and got[21] == ("normal", 1.0)
+    got = {r.h: r.b for r in df.select("h", X.hour_band("h").alias("b")).collect()}
+    assert got[7] == "rush" and got[19] == "rush"
+    assert got[10] == "midday" and got[16] == "midday"
+    assert got[22] == "night" and got[5] == "night" and got[0] == "night"
+    assert got[6] == "normal" and got[20] == "normal" and got[21] == "normal"
 
 
 def test_speed_bands_thresholds(spark):

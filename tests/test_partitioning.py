@@ -8,18 +8,20 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from roadpulse.plans import registry
 from tests.conftest import SF001
 from tests.oracle_check import canon
 
-QUERIES = entry.queries()
+registry.load_all()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
 def split_dir(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("split"))
-    (spark.read.parquet(f"{SF001}/events.parquet")
-          .repartition(16, F.xxhash64("event_id"))
-          .write.mode("overwrite").parquet(os.path.join(d, "events.parquet")))
+    for table, key in (("events", "event_id"), ("lineitem", "l_orderkey")):
+        (spark.read.parquet(f"{SF001}/{table}.parquet").repartition(16, F.xxhash64(key))
+              .write.mode("overwrite").parquet(os.path.join(d, f"{table}.parquet")))
     return d
 
 

@@ -89,12 +89,17 @@ def test_late_rows_are_dropped(spark, tmp):
 def test_fact_sinks_exactly_once_on_replay(spark, tmp):
     src = os.path.join(tmp, "in")
     write_files(src, in_order_batches())
-    facts, alerts = os.path.join(tmp, "facts"), os.path.join(tmp, "alerts")
-    for attempt in range(2):   # second run: fresh checkpoint replays every batch
+    facts, alerts, ck = (os.path.join(tmp, x) for x in ("facts", "alerts", "ck"))
+
+    def once():
         stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
-        q = start_fact_sinks(stream, facts, alerts, os.path.join(tmp, f"ck{attempt}"),
-                             trigger={"availableNow": True})
-        run(q)
+        run(start_fact_sinks(stream, facts, alerts, ck, trigger={"availableNow": True}))
+
+    once()
+    # A batch that was written but not committed is replayed after a restart.
+    for name in ("2", ".2.crc"):
+        os.remove(os.path.join(ck, "commits", name))
+    once()
     f = spark.read.parquet(facts)
     assert f.count() == 60
     assert spark.read.parquet(alerts).count() == f.filter("traffic_status").count() > 0
@@ -164,16 +169,111 @@ def test_update_mode_log_gives_final_windows(spark, tmp):
     assert versions.select("batch_id").distinct().count() >= 2
 
 
-def test_fact_sink_batch_counts(spark, tmp):
-    from roadpulse.streaming.pipeline import BATCH_COUNTS
+def test_new_checkpoints_and_backfills_erase_nothing(spark, tmp):
+    from roadpulse import jobs
+    batches = in_order_batches()
+    facts, alerts = os.path.join(tmp, "f"), os.path.join(tmp, "a")
+    for i in range(2):   # two streams of their own, then two backfills, one of them twice
+        write_files(os.path.join(tmp, f"in{i}"), batches[i:i + 1])
+        stream = enrich_stream(read_wire_files(spark, os.path.join(tmp, f"in{i}")))
+        run(start_fact_sinks(stream, facts, alerts, os.path.join(tmp, f"ck{i}"), trigger={"availableNow": True}))
+    assert spark.read.parquet(facts).count() == 40
+    write_files(os.path.join(tmp, "old"), batches[2:])
+    for source in ("old", "in0", "old"):
+        jobs.run_ingest(spark, os.path.join(tmp, source), facts, alerts)
+    stored = spark.read.parquet(facts)
+    assert stored.count() == 80 and stored.select("writer").distinct().count() == 4
+    assert spark.read.parquet(alerts).count() == stored.filter("traffic_status").count()
+
+
+def test_latest_windows_survive_a_new_checkpoint(spark, tmp):
+    from roadpulse.streaming import latest_windows, window_update_sink
+    out = os.path.join(tmp, "wlog")
+    for i, count in enumerate((50, 90)):
+        src = os.path.join(tmp, f"in{i}")
+        # The first run has more batches, so its batch ids go higher.
+        write_files(src, [[message("J1", BASE + dt.timedelta(seconds=k), count, 20)] for k in range(3 - 2 * i)])
+        stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
+        run(start_windows(stream, checkpoint=os.path.join(tmp, f"ck{i}"), output_mode="update",
+                          on_batch=window_update_sink(out), trigger={"availableNow": True}))
+    assert [r.max_vehicle_count for r in latest_windows(spark, out).collect()] == [90]
+
+
+def test_poison_messages_through_the_job(spark, tmp):
+    """Numbers that do not fit and broken text reach the quarantine with their
+    text; windows, status and facts see the valid readings only."""
+    from roadpulse import jobs
+    from roadpulse.sources import read_facts, read_quarantine
+    src = os.path.join(tmp, "in")
+    batches = in_order_batches()
+    good = json.loads(batches[0][0])
+    bad = ["{broken json", "", json.dumps(good | {"timestamp": "no time"}), json.dumps(good | {"avg_speed": 0}),
+           json.dumps(good | {"congestion_index": -1}), json.dumps(good | {"congestion_index": 1e300}),
+           json.dumps(good | {"congestion_index": float("nan")}), json.dumps(good | {"congestion_index": float("inf")}),
+           json.dumps(good | {"vehicle_count": -999})]
+    batches[1] += bad
+    write_files(src, batches)
+    store, windows, status = (os.path.join(tmp, x) for x in ("store", "windows", "status"))
+    jobs.await_all(spark, jobs.run_stream(
+        spark, src, store, None, windows, available_now=True, max_files=1, update_windows=True,
+        status_path=status, checkpoint_base=os.path.join(tmp, "ck")))
+    facts = read_facts(spark, store)
+    assert facts.count() == 60 and "raw_message" not in facts.columns
+    rejected = read_quarantine(spark, store).collect()
+    assert {r.raw_message for r in rejected} >= {x for x in bad if x}
+    assert all(r.reject_reason for r in rejected)
+    from roadpulse.streaming import latest_windows
+    got = latest_windows(spark, windows)
+    assert got.filter("min_speed <= 0 OR sensor_id IS NULL OR max_vehicle_count < 0").count() == 0
+    assert got.agg(F.sum("record_count")).first()[0] == 60
+    assert sorted(tuple(r) for r in spark.read.parquet(status).select("sensor_id", "event_id").collect()) == sorted(
+        (r.sensor_id, r.event_id) for r in latest_status(facts).collect())
+
+
+def test_replays_through_the_job(spark, tmp):
+    from roadpulse import jobs
+    from roadpulse.sources import read_facts
+    src = os.path.join(tmp, "in")
+    batches = in_order_batches()
+    batches.insert(1, batches[0][-6:])              # replayed readings
+    write_files(src, batches)
+    store, windows = os.path.join(tmp, "store"), os.path.join(tmp, "windows")
+    jobs.await_all(spark, jobs.run_stream(spark, src, store, None, windows, available_now=True, max_files=1,
+                                          dedup=True, checkpoint_base=os.path.join(tmp, "ck")))
+    assert read_facts(spark, store).count() == 60
+    expected = {(r.window_start, r.sensor_id): r.record_count for r in window_measures(
+        enrich_stream(spark.read.text(src)).dropDuplicates(["sensor_id", "event_time"]), "5 minutes").collect()}
+    got = spark.read.parquet(windows).collect()
+    assert got and all(r.record_count == expected[r.window_start, r.sensor_id] for r in got)
+
+
+def test_a_failing_query_ends_the_job(spark, tmp):
+    import pytest
+    from roadpulse import jobs
+
+    def fail(df, batch_id):
+        raise RuntimeError("window sink is gone")
+
     src = os.path.join(tmp, "in")
     write_files(src, in_order_batches())
-    BATCH_COUNTS.clear()
-    stream = enrich_stream(read_wire_files(spark, src, max_files_per_trigger=1))
-    run(start_fact_sinks(stream, os.path.join(tmp, "f"), os.path.join(tmp, "a"), os.path.join(tmp, "ck"),
-                         trigger={"availableNow": True}))
-    assert sum(c["rows"] for c in BATCH_COUNTS.values()) == 60
-    assert sorted(BATCH_COUNTS) == [0, 1, 2]
+    good = start_fact_sinks(enrich_stream(read_wire_files(spark, src)), os.path.join(tmp, "f"), os.path.join(tmp, "a"),
+                            os.path.join(tmp, "ck1"), trigger={"processingTime": "1 second"})
+    bad = start_windows(enrich_stream(read_wire_files(spark, src)), os.path.join(tmp, "ck2"), output_mode="update",
+                        on_batch=fail, trigger={"processingTime": "1 second"})
+    with pytest.raises(Exception, match="window sink is gone"):
+        jobs.await_all(spark, [good, bad])
+    assert not good.isActive
+
+
+def test_stores_have_checkpoints_of_their_own(spark, tmp):
+    from roadpulse import jobs
+    from roadpulse.sources import read_facts
+    src = os.path.join(tmp, "in")
+    write_files(src, in_order_batches())
+    for name in ("one", "two"):
+        jobs.await_all(spark, jobs.run_stream(spark, src, os.path.join(tmp, name), None, os.path.join(tmp, name + "_w"),
+                                              available_now=True))
+        assert read_facts(spark, os.path.join(tmp, name)).count() == 60
 
 
 def test_windows_with_rocksdb_state(spark, tmp):
