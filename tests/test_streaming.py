@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import os
 import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -270,7 +271,7 @@ def test_stores_have_checkpoints_of_their_own(spark, tmp):
     from roadpulse.sources import read_facts
     src = os.path.join(tmp, "in")
     write_files(src, in_order_batches())
-    for name in ("one", "two"):
+    for name in (uuid.uuid4().hex, uuid.uuid4().hex):   # the default checkpoints outlive a test's folder
         jobs.await_all(spark, jobs.run_stream(spark, src, os.path.join(tmp, name), None, os.path.join(tmp, name + "_w"),
                                               available_now=True))
         assert read_facts(spark, os.path.join(tmp, name)).count() == 60
