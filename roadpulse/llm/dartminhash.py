@@ -289,6 +289,35 @@ def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int =
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
-@query("op4_dart_minhash_near_dedup")
+SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, MIN(doc_id) OVER (PARTITION BY coalesce(text, '')) AS class_id,
+           regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
+), classes AS (
+    SELECT doc_id AS id, w, least(5, len(w)) AS k FROM texts WHERE doc_id = class_id AND len(w) > 0
+), runs AS (
+    SELECT id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM classes
+), shingles AS (
+    SELECT id, array_to_string(w[i:i + k - 1], ' ') AS s, COUNT(*) AS n FROM runs GROUP BY ALL
+), sizes AS (
+    SELECT id, SUM(n) AS n FROM shingles GROUP BY id
+), common AS (
+    SELECT a.id AS a, b.id AS b, SUM(least(a.n, b.n)) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.id <> b.id
+    GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common o JOIN sizes x ON a = x.id JOIN sizes y ON b = y.id
+    WHERE o.n >= 0.8 * (x.n + y.n - o.n)
+), reach(node, other) AS (
+    SELECT DISTINCT class_id, class_id FROM texts
+    UNION SELECT node, b FROM reach JOIN links ON other = a
+), components AS (
+    SELECT node, MIN(other) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, class_id, component_id, doc_id = component_id AS kept
+FROM texts JOIN components ON class_id = node
+"""
+
+
+@query("op4_dart_minhash_near_dedup", SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")

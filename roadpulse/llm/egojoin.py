@@ -276,6 +276,29 @@ def similar_vectors(rows: DataFrame, least: float = SIMILARITY, grid_dims: int =
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
 
 
-@query("op9_epsilon_grid_order")
+SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+      AND list_max(embedding) < 'infinity' AND list_min(embedding) > '-infinity'
+      AND (list_max(embedding) > 0 OR list_min(embedding) < 0)
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(node, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT node, b FROM reach JOIN links ON other = a
+), components AS (
+    SELECT node, MIN(other) AS component_id FROM reach GROUP BY node
+), degree AS (
+    SELECT a, COUNT(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, COALESCE(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN components c ON e.vec_id = c.node LEFT JOIN degree d ON e.vec_id = d.a
+"""
+
+
+@query("op9_epsilon_grid_order", SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"))

@@ -321,6 +321,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = SHINGLE, doc_
     return done.unionByName(cleaned)
 
 
-@query("op7_repeated_phrases")
+SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, len(w) AS n, unnest(w) AS word FROM words
+), starts AS (
+    SELECT doc_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+                                                       ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS words FROM places
+), windows AS (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) AS nth
+    FROM starts WHERE pos <= n - 19
+), gone AS (
+    SELECT DISTINCT doc_id, pos + unnest(range(20)) AS pos FROM windows WHERE nth > 1
+), kept AS (
+    SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS text, COUNT(*) AS n
+    FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+       sha256(COALESCE(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op7_repeated_phrases", SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
