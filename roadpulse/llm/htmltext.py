@@ -221,6 +221,13 @@ def main_text(blocks: list[Block], template: set) -> str:
     return " ".join(b.text for b in slots)
 
 
+def _told_apart(blocks: list[Block]) -> tuple[str, ...]:
+    """What copies of a page have in common: the texts of its article, or all
+    texts that are not set apart where no article holds any."""
+    kept = [b for b in blocks if not b.apart]
+    return tuple(b.text for b in [b for b in kept if b.main] or kept)
+
+
 def _extract(chunk: int, support: float, least_pages: int):
     def run(group: pa.Table) -> pa.Table:
         rows = list(zip(*(group[c].to_pylist() for c in ("page_id", "url", "html"))))
@@ -230,8 +237,7 @@ def _extract(chunk: int, support: float, least_pages: int):
             mine = rows[k::parts]
             read = [read_page(h or "") for _, _, h in mine]
             # Copies of a page are no evidence of a template.
-            different = {tuple(b.text for b in blocks if b.main and not b.apart): tokens
-                         for tokens, blocks in read}
+            different = {_told_apart(blocks): tokens for tokens, blocks in read}
             template = template_texts(list(different.values()), support, least_pages)
             out += [(i, u, main_text(blocks, template)) for (i, u, _), (_, blocks) in zip(mine, read)]
         return pa.table({"page_id": pa.array([r[0] for r in out], pa.int64()),

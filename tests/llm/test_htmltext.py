@@ -72,6 +72,18 @@ def test_template_classes():
     assert "roams" not in {t for _, t in htmltext.template_texts(moved)}
 
 
+def texts_of(spark, pages, **settings):
+    """Texts by page_id of the operator on ``pages`` of one host."""
+    rows = [(i, f"http://h.example/{i}", p, "x", "y") for i, p in enumerate(pages)]
+    return {r.page_id: r.text for r in htmltext.extract_main_text(spark.createDataFrame(rows, PAGES), **settings).collect()}
+
+
+def test_templates_of_pages_without_article(spark):
+    stories = [f"Story {i} {'w ' * i}end".strip() for i in range(9)]
+    got = texts_of(spark, [page(i, f"<p>{s}</p>") for i, s in enumerate(stories)])
+    assert got == dict(enumerate(stories))
+
+
 def test_copied_pages_keep_their_article(spark):
     same = "<html><body><article><h1>Copy</h1><p>the same article on every page</p></article></body></html>"
     rows = [(i, "http://h.example/" + str(i), same + " " * i, "x", "y") for i in range(300)]
