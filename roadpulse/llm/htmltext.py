@@ -34,12 +34,15 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|(?=<)|\Z)"
     r"|</?[a-zA-Z][^<>]*(?:>|(?=<)|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/<>\"'][^\s=/<>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr img".split())
 CLOSED_BY_SAME = frozenset("p li dt dd option tr td th".split())
-# Elements, roles and name parts that mark what is not main text.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements, roles and names that mark what is not main text. A class or id is
+# such a name as a whole: words of NAMES, alone or with those of PARTS, or a
+# class that begins with one of PREFIXES.
 ASIDE = frozenset("head nav footer aside form button input dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
                   "form".split())
@@ -48,6 +51,10 @@ NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner sp
                   "notices alert gdpr popup modal overlay comment comments respond replies disqus footer share sharing "
                   "social related recommended newsletter subscribe signup login search widget toolbar "
                   "masthead pagination pager skip".split())
+PARTS = frozenset("area bar block box button buttons container content form icons inner item items left links list "
+                  "main outer page panel post posts primary right secondary section site slot top unit wrap "
+                  "wrapper".split())
+PREFIXES = ("adsbygoogle", "advertis", "breadcrumb", "disqus", "gdpr", "navbar", "sidebar")
 SITE_NAMES = frozenset("header topbar".split())
 
 
@@ -66,22 +73,32 @@ def _apart(tag: str, rest: str, in_article: bool) -> tuple[bool, str]:
     """Whether an element is set apart, and its class name for the path."""
     if not rest:
         return tag in ASIDE or (tag == "header" and not in_article), ""
-    words, label, apart = set(), "", tag in ASIDE or (tag == "header" and not in_article)
+    label, apart = "", tag in ASIDE or (tag == "header" and not in_article)
+    seen = set()
     for name, *values in ATTRIBUTE.findall(rest):
-        value = "".join(values).lower()
         name = name.lower()
+        if name in seen:   # the first of a name counts
+            continue
+        seen.add(name)
+        value = "".join(values).lower()
         if name == "role":
-            apart |= value in ROLES
+            apart |= not ROLES.isdisjoint(value.split())
         elif name == "hidden":
             apart = True
-        else:
-            words.update(re.split(r"[^a-z]+", value))
-            if name == "class":
-                label = value
-    apart |= not words.isdisjoint(NAMES) or (not in_article and not words.isdisjoint(SITE_NAMES))
+        elif name == "class":
+            label = value
+            apart |= any(v.startswith(PREFIXES) or _named_apart(v, in_article) for v in value.split())
+        elif name == "id" and tag not in HEADINGS:   # a heading's id is made of its text
+            apart |= _named_apart(value, in_article)
     return apart, label
 
 
+def _named_apart(name: str, in_article: bool) -> bool:
+    words = {w for w in re.split(r"[^a-z]+", name) if w}
+    marks = words & (NAMES if in_article else NAMES | SITE_NAMES)
+    return bool(marks) and words <= marks | PARTS
+
+
 def read_page(page: str) -> tuple[list[tuple], list[Block]]:
     """Tokens of a page in order, (path, None) for a tag and (path, text) for
     a text block, and the blocks. Unclosed elements end with the element

@@ -45,6 +45,25 @@ def test_pages(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("element", [
+    '<p style="overflow:hidden">', '<p aria-hidden="false">', '<p data-x="a hidden b">', "<p data-hidden=1>",
+    '<p title="x id=login">', '<p class="has-sidebar">', '<section id="related-work">', '<h2 id="search-methods">',
+    '<h2 id="comments">', '<section id="social-contract">', '<p data-id="nav" data-class=\'menu\' data-role="search">',
+    '<p><a href="/hidden-gems">', '<p><a href=/p?id=login>'])
+def test_text_that_only_looks_set_apart(element):
+    assert text_of(f"<article><p>a</p>{element}kept</article>") == "a kept"
+    assert text_of(f"<article {element.split(maxsplit=1)[-1]}kept</article>" if element.startswith("<p ") else
+                   f"<main>{element}kept</main>") == "kept"
+
+
+@pytest.mark.parametrize("element", [
+    "<div HIDDEN>", '<div hidden="">', "<div title='x > y' hidden>", '<div class="wide related-posts">',
+    "<div class=share-buttons>", "<div id='comments'>", '<div id="cookie-notice">', '<div class="sidebar__inner-2">',
+    '<div role="none search">', '<div class="ad-slot ad-300">'])
+def test_elements_set_apart(element):
+    assert text_of(f"<article><p>kept</p>{element}gone</div></article>") == "kept"
+
+
 @settings(max_examples=300, deadline=None, database=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<b>", "</b>", "<div class='ad'>", "</div>", "<article>", "</article>",
                                  "<script>", "</script>", "x", " ", "&amp;", "<", ">", "'", '"', "<a href=\"", "<!--",
