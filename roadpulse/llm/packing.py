@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from array import array
 
@@ -26,11 +28,17 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 def vocabulary(path: str | None = None) -> tiktoken.Encoding:
     """Byte-level BPE of ``byte_bpe_50k``: the ranks of the same vocabulary
-    give the ids that the tokenizers file gives (tests compare the two)."""
-    with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+    and the added tokens of the tokenizers file beside them give the ids that
+    the tokenizers file gives (tests compare the two)."""
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    added, beside = {}, path.removesuffix(".tiktoken") + ".json"
+    if beside != path and os.path.exists(beside):
+        with open(beside, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={})
+                             special_tokens=added)
 
 
 class SumOfSquares:
@@ -99,7 +107,7 @@ def _pack(size: int, keep: float, vocab_path: str | None, with_ids: bool):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = array("I", bpe.encode_ordinary(text.as_py() or "")).tobytes() + end
+                ids = array("I", bpe.encode(text.as_py() or "", allowed_special="all")).tobytes() + end
                 total = len(ids) // 4
                 for start in range(0, total, size):
                     piece = (doc_id, start, total, ids[4 * start:4 * (start + size)])
@@ -158,7 +166,9 @@ def pack_documents(docs: DataFrame, seq_len: int = SEQ_LEN, keep_fill: float = K
     last one into lengths that are powers of two. Memory is one batch plus
     the open windows; nothing is shuffled.
 
-    A null or empty text is its end id alone. A null doc_id is carried.
+    Added tokens of the vocabulary (``<|endoftext|>``) that stand in a text
+    are one id each, as the tokenizers file has it. A null or empty text is
+    its end id alone. A null doc_id is carried.
     Repeated rows are packed once each. Other columns are not read; an empty
     table gives no rows. ``with_ids`` adds the ids themselves.
     """

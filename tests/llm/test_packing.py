@@ -64,6 +64,17 @@ def test_empty_table_and_ids(spark):
     assert sum((r.ids for r in sorted(rows, key=lambda r: r.start)), []) == expected(EDGE[0][1])
 
 
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "x  <|endoftext|>\n\n y", "é<|endoftext|>😀",
+    "<|endoftext| >", "<|endof<|endoftext|>text|>", "it<|endoftext|>'s", " \n " * 3 + "<|endoftext|>" + " \n " * 3])
+def test_added_tokens(spark, text):
+    """The ids are those of the tokenizers file as it is."""
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids + [1]
+    piece, = packing.pack_documents(docs_of(spark, [(1, text)]), seq_len=64, keep_fill=0, with_ids=True).collect()
+    assert piece.ids == ids and piece.doc_tokens == piece.length == len(ids)
+    assert piece.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def test_placement_minimises_the_sum_of_squares():
     rng = np.random.default_rng(3)
     size, packer = 30, packing.SumOfSquares(30)
