@@ -12,17 +12,19 @@ the article, without those of menus, notices and the like.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from roadpulse.llm.registry import query, table
 
-CHUNK = 128            # pages of a host whose template is deduced together
+CHUNK = 128            # pages of a host that are read together
 HOT_SHARE = 100_000    # hosts with more than 1 / HOT_SHARE of all pages are split
 SUPPORT = 0.6          # share of the pages a template class occurs on
 LEAST_PAGES = 6        # different pages that text must recur on to be template
@@ -245,33 +247,140 @@ def _told_apart(blocks: list[Block]) -> tuple[str, ...]:
     return tuple(b.text for b in [b for b in kept if b.main] or kept)
 
 
-def _extract(chunk: int, support: float, least_pages: int):
-    def run(group: pa.Table) -> pa.Table:
-        rows = list(zip(*(group[c].to_pylist() for c in ("page_id", "url", "html"))))
-        parts = -(-len(rows) // chunk)
-        out = []
-        for k in range(parts):
-            mine = rows[k::parts]
-            read = [read_page(h or "") for _, _, h in mine]
-            # Copies of a page are no evidence of a template.
-            different = {_told_apart(blocks): tokens for tokens, blocks in read}
-            template = template_texts(list(different.values()), support, least_pages)
-            out += [(i, u, main_text(blocks, template)) for (i, u, _), (_, blocks) in zip(mine, read)]
-        return pa.table({"page_id": pa.array([r[0] for r in out], pa.int64()),
-                         "url": pa.array([r[1] for r in out], pa.string()),
-                         "text": pa.array([r[2] for r in out], pa.string()),
-                         "n_chars": pa.array([len(r[2]) for r in out], pa.int64())})
+def _hash(*parts) -> int:
+    """64 bits of ``parts``, as a signed integer."""
+    data = repr(parts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True)
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(schema), schema.types)],
+                                schema=schema)
+
+
+COPIES = pa.schema([("host", pa.string()), ("part", pa.int64()), ("copies", pa.int64()), ("page", pa.int64())])
+COUNTS = pa.schema([("host", pa.string()), ("token", pa.int64()), ("is_text", pa.bool_()), ("pages", pa.int64()),
+                    ("times", pa.int64()), ("vector", pa.int64())])
+ORDERS = pa.schema([("host", pa.string()), ("class", pa.int64()), ("token", pa.int64()), ("root", pa.bool_()),
+                    ("low", pa.int64()), ("high", pa.int64())])
+TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+
+
+def _ddl(schema: pa.Schema) -> str:
+    return from_arrow_schema(schema).simpleString().removeprefix("struct<").removesuffix(">")
+
+
+def _copies(group: pa.Table) -> pa.Table:
+    """Per different page of a part, the hash of what its copies have in
+    common and the hash of the copy that stands for them."""
+    host, part = group["host"][0].as_py(), group["part"][0].as_py()
+    found: dict[int, int] = {}
+    for page in set(group["html"].to_pylist()) - {None}:
+        if common := _told_apart(read_page(page)[1]):
+            copies, mine = _hash(common), _hash(page)
+            found[copies] = min(mine, found.get(copies, mine))
+    return _rows([(host, part, *f) for f in found.items()], COPIES)
+
+
+def _standing(group: pa.Table, known: pa.Table):
+    """(hash, ids and texts of the tokens) of each page of a part that stands for its copies."""
+    standing = set(known["page"].to_pylist()) - {None}
+    if standing:
+        for page in set(group["html"].to_pylist()) - {None}:
+            mine = _hash(page)
+            if mine in standing:
+                yield mine, [(_hash(t), t[1] is not None) for t in read_page(page)[0]]
+
+
+def _counts(support: float):
+    """Per token of a part: the pages it is on, its occurrences, and the
+    part's share in the hash of its occurrence vector."""
+    def run(group: pa.Table, known: pa.Table) -> pa.Table:
+        total: dict[tuple, list[int]] = {}
+        seen = 0
+        for page, tokens in _standing(group, known):
+            seen += 1
+            for token, n in Counter(tokens).items():
+                of = total.setdefault(token, [0, 0, 0])
+                of[0] += 1
+                of[1] += n
+                of[2] ^= _hash(page, n)
+        if not seen:
+            return COUNTS.empty_table()
+        host, whole = known["host"][0].as_py(), known["n"][0].as_py()
+        if seen == whole:   # no other part has pages of the host
+            total = {t: of for t, of in total.items() if of[0] >= support * whole}
+        return _rows([(host, *t, *of) for t, of in total.items()], COUNTS)
     return run
 
 
+def _orders(group: pa.Table, known: pa.Table) -> pa.Table:
+    """Least and greatest hash, over the pages of a part, of the order that a
+    class keeps (token 0), and of the root token that stands before each text
+    (0 before texts of the root)."""
+    class_of, root, texts = {}, set(), set()
+    for token, cls, is_root, is_text in zip(*(known[c].to_pylist() for c in ("token", "class", "root", "is_text"))):
+        if token is not None:
+            class_of[token] = cls
+            if is_root:
+                root.add(token)
+            if is_text:
+                texts.add(token)
+    found: dict[tuple, list[int]] = {}
+
+    def note(key, *values):
+        of = found.setdefault(key, [values[0], values[0]])
+        of[:] = min(of[0], *values), max(of[1], *values)
+
+    for _, tokens in _standing(group, known) if class_of else ():
+        last, mine = 0, defaultdict(list)
+        for token, _ in tokens:
+            cls = class_of.get(token)
+            if cls is None:
+                continue
+            mine[cls].append(token)
+            if token in root:
+                last = token
+            if token in texts:
+                note((cls, token, token in root), 0 if token in root else last)
+        for cls, order in mine.items():
+            once = order[:len(set(order))]
+            if once * (len(order) // len(once)) == order:
+                note((cls, 0, once[0] in root), _hash(once))
+            else:
+                note((cls, 0, once[0] in root), 0, 1)   # no order
+    return _rows([(known["host"][0].as_py(), *k, *of) for k, of in found.items()], ORDERS)
+
+
+def _extract(group: pa.Table, known: pa.Table) -> pa.Table:
+    template = set(known["token"].to_pylist())
+    out = []
+    for i, u, page in zip(*(group[c].to_pylist() for c in ("page_id", "url", "html"))):
+        blocks = read_page(page or "")[1]
+        mine = {t for t in {(b.path, b.text) for b in blocks} if _hash(t) in template} if template else template
+        text = main_text(blocks, mine)
+        out.append((i, u, text, len(text)))
+    return _rows(out, TEXTS)
+
+
 def extract_main_text(pages: DataFrame, chunk: int = CHUNK, support: float = SUPPORT,
                       least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every page.
 
-    Templates are deduced per host from chunks of up to ``chunk`` of its
-    pages; every page is in one chunk. Hosts with more than a 1 /
-    ``HOT_SHARE`` of all pages (so fewer than that many hosts) are dealt out
-    by page_id, so that no task holds a whole large host.
+    A host has one template, that of ``template_texts`` on all its different
+    pages: of copies (pages with the same article texts, or without an article
+    the same texts that are not set apart) the one with the smallest hash is
+    evidence, pages without text are none. A host with fewer than
+    ``least_pages`` different pages has no template: its pages keep all that
+    no tag, role or name sets apart. The result does not depend on the order
+    or the partitions of the table.
+
+    Pages of a host are read together, up to ``chunk`` of them; hosts with
+    more than a 1 / ``HOT_SHARE`` of all pages (so fewer than that many hosts)
+    are dealt out by page_id, so that no task holds a whole large host. Their
+    parts only count: occurrence vectors are hashed and added up per host and
+    token, orders are compared per host and class, and the valid texts go back
+    to the parts. The pages are shuffled once.
 
     Null and empty pages have an empty text. Pages without url are a host of
     their own, null page_ids are carried, repeated rows give a row each,
@@ -289,8 +398,35 @@ def extract_main_text(pages: DataFrame, chunk: int = CHUNK, support: float = SUP
     parts = spark.createDataFrame(hot, "host string, parts long")
     dealt = (pages.join(F.broadcast(parts), "host", "left")
              .withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts"))
-    return dealt.groupBy("host", "part").applyInArrow(
-        _extract(chunk, support, least_pages), "page_id long, url string, text string, n_chars long")
+    by_part = dealt.groupBy("host", "part")
+
+    def ask(known: DataFrame, answer, schema: pa.Schema) -> DataFrame:
+        return by_part.cogroup(known.groupBy("host", "part")).applyInArrow(answer, _ddl(schema))
+
+    def to_parts(known: DataFrame) -> DataFrame:
+        number = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
+        return known.join(F.broadcast(parts), "host", "left").withColumn("part", number).drop("parts")
+
+    standing = (by_part.applyInArrow(_copies, _ddl(COPIES)).groupBy("host", "copies")
+                .agg(F.min(F.struct("page", "part")).alias("first")).select("host", "first.part", "first.page"))
+    sizes = standing.groupBy("host").agg(F.count("page").alias("n")).filter(F.col("n") >= least_pages)
+    standing = standing.join(sizes, "host")
+    tokens = (ask(standing, _counts(support), COUNTS).groupBy("host", "token")
+              .agg(F.first("is_text").alias("is_text"), F.sum("pages").alias("pages"), F.sum("times").alias("times"),
+                   F.bit_xor("vector").alias("class"))
+              .join(sizes, "host").filter(F.col("pages") >= support * F.col("n"))
+              # The class of tokens that stand once on every page is around all others.
+              .select("host", "token", "is_text", "class",
+                      ((F.col("pages") == F.col("n")) & (F.col("times") == F.col("n"))).alias("root")))
+    known = to_parts(tokens).unionByName(standing.drop("n"), allowMissingColumns=True)
+    orders = (ask(known, _orders, ORDERS).groupBy("host", "class", "token", "root")
+              .agg((F.min("low") == F.max("high")).alias("same")))
+    whole, of_class = F.col("token") == 0, Window.partitionBy("host", "class")
+    template = (orders.withColumn("ordered", F.bool_and(F.col("same") | ~whole).over(of_class))
+                .withColumn("nested", F.bool_and(F.col("same") | whole).over(of_class))
+                .withColumn("rooted", F.bool_or(F.col("same") & whole & F.col("root")).over(Window.partitionBy("host")))
+                .filter(~whole & F.col("ordered") & (F.col("nested") | ~F.col("rooted"))).select("host", "token"))
+    return ask(to_parts(template), _extract, TEXTS)
 
 
 @query("op8_equivalence_class_templates")

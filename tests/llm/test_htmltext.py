@@ -103,6 +103,39 @@ def test_templates_of_pages_without_article(spark):
     assert got == dict(enumerate(stories))
 
 
+def expected_texts(pages):
+    """The template of all different pages of a host at once, without Spark."""
+    read = [htmltext.read_page(p) for p in pages]
+    first = {}
+    for p, (tokens, blocks) in sorted(zip(pages, read), key=lambda x: htmltext._hash(x[0])):
+        if common := htmltext._told_apart(blocks):
+            first.setdefault(common, tokens)
+    template = htmltext.template_texts(list(first.values()))
+    return {i: htmltext.main_text(blocks, template) for i, (_, blocks) in enumerate(read)}
+
+
+def test_template_is_of_the_whole_host(spark):
+    """Few different pages among many copies, and more pages than are read
+    together, in any order."""
+    stories = [f"<p>Story {i} {'w ' * i}</p>" + "<p>by turns</p><i>x</i><div>more</div>" * (i % 3) for i in range(40)]
+    pages = [page(i, s, "<div>Most</div>" if i % 3 else "") for i, s in enumerate(stories)]
+    pages[4:7] = [page(0, "<p>copy</p>")] * 3
+    pages += [pages[9]] * 60
+    got = texts_of(spark, pages, chunk=4)
+    assert got == expected_texts(pages)
+    assert got[0] == "Story 0" and got[4] == "copy" and got[99] == got[9] == "Story 9 " + " ".join("w" * 9)
+    turned = texts_of(spark, pages[::-1], chunk=5)
+    assert [turned[99 - i] for i in range(100)] == [got[i] for i in range(100)]
+
+
+@settings(max_examples=6, deadline=None, database=None)
+@given(st.lists(st.lists(st.sampled_from(["<p>a</p>", "<p>b</p>", "<h2>c</h2>", "<p class=x>d</p>", "<p>e", "<p>a</p><p>b</p>"]),
+                         max_size=8).map("".join), min_size=7, max_size=24))
+def test_template_of_any_host(spark, bodies):
+    pages = [page(i, f"{b}<p>{i}</p>") for i, b in enumerate(bodies)]
+    assert texts_of(spark, pages, chunk=3) == expected_texts(pages)
+
+
 def test_copied_pages_keep_their_article(spark):
     same = "<html><body><article><h1>Copy</h1><p>the same article on every page</p></article></body></html>"
     rows = [(i, "http://h.example/" + str(i), same + " " * i, "x", "y") for i in range(300)]
