@@ -228,16 +228,15 @@ def _nested(pages: list[list[tuple]], root: set, texts: set) -> bool:
 
 
 def main_text(blocks: list[Block], template: set) -> str:
-    """The blocks of the main text, joined by one space."""
+    """The blocks of the main text, joined by one space: those that are no
+    template, or all if they are. Copies of a page are one page in the
+    evidence, so their common article is no template."""
     inside = [b for b in blocks if b.main]
     rest = [b for b in inside or blocks if not b.apart]
     if not inside:
         rest = [b for b in rest if 2 * b.linked <= len(b.text)]   # lists of links
     slots = [b for b in rest if (b.path, b.text) not in template]
-    # Text that most pages share may be the article itself, of copied pages.
-    if 2 * sum(len(b.text) for b in slots) < sum(len(b.text) for b in inside and rest) or not slots:
-        slots = rest
-    return " ".join(b.text for b in slots)
+    return " ".join(b.text for b in slots or rest)
 
 
 def _told_apart(blocks: list[Block]) -> tuple[str, ...]:

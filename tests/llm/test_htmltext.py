@@ -136,6 +136,17 @@ def test_template_of_any_host(spark, bodies):
     assert texts_of(spark, pages, chunk=3) == expected_texts(pages)
 
 
+def test_long_notice_in_short_articles(spark):
+    """A template longer than the article goes, on copied pages too; a page
+    that has nothing else keeps it."""
+    notice = "<p>All views are those of their authors, and none of them is advice on anything at all.</p>"
+    pages = [f"<article><h1>Short {i}</h1>{notice}</article>" for i in range(9)]
+    pages += [pages[3]] * 4 + [f"<article>{notice}</article>"]
+    got = texts_of(spark, pages)
+    assert [got[i] for i in range(13)] == [f"Short {i}" for i in [*range(9), 3, 3, 3, 3]]
+    assert got[13] == "All views are those of their authors, and none of them is advice on anything at all."
+
+
 def test_copied_pages_keep_their_article(spark):
     same = "<html><body><article><h1>Copy</h1><p>the same article on every page</p></article></body></html>"
     rows = [(i, "http://h.example/" + str(i), same + " " * i, "x", "y") for i in range(300)]
