@@ -100,12 +100,31 @@ def base_spans(text: Column) -> Column:
         _plain(_found(text, HEX, 2), "hex")))
 
 
+def _outside(run: Column, base: Column, least: int) -> Column:
+    """The parts of ``run`` of ``least`` characters or more that no base span
+    covers, as (start, text)."""
+    touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def part(start, end):
+        return F.when(end - start >= least, F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(empty)
+
+    def step(acc, b):
+        return F.struct(F.greatest(acc["pos"], b["end"]).alias("pos"),
+                        F.concat(acc["parts"], part(acc["pos"], b["start"])).alias("parts"))
+
+    parts = F.aggregate(touching, F.struct(run["start"].alias("pos"), empty.alias("parts")), step,
+                        lambda acc: F.concat(acc["parts"], part(acc["pos"], run["end"])))
+    return F.transform(parts, lambda x: F.struct(
+        x["start"].alias("start"),
+        F.substring(run["text"], x["start"] - run["start"] + 1, x["end"] - x["start"]).alias("text")))
+
+
 def entropy_spans(text: Column, base: Column, window: int = WINDOW, thresholds=THRESHOLDS,
                   allow=ALLOW) -> Column:
-    """Spans of dense character runs that no base span touches."""
-    runs = _found(text, CANDIDATE, 3)
+    """Spans of dense character runs, and of what base spans leave of a run."""
+    runs = F.flatten(F.transform(_found(text, CANDIDATE, 3), lambda s: _outside(s, base, window)))
     runs = F.filter(runs, lambda s: ~F.greatest(F.lit(False), F.lit(False), *[s["text"].rlike(p) for p in allow]))
-    runs = F.filter(runs, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     *classes, (_, rest) = thresholds
 
     def least(s):
@@ -140,7 +159,8 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``assign``, ``access`` and ``hex`` are the key patterns; ``entropy`` are
     further runs of at least ``WINDOW`` key characters in which some window
     is as dense as random text of its character class, unless the allow-list
-    names the run or a base span overlaps it.
+    names the run. Where base spans cover a part of a run, each rest of it is
+    a run of its own.
 
     A null or empty text has no spans (counts 0, hash of the empty string).
     A null doc_id is carried, repeated rows give a row each, other columns
