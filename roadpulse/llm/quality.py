@@ -18,7 +18,7 @@ from roadpulse.llm.registry import query, table
 
 PASSAGE = 64             # words
 SAMPLE_DOCS = 8_000      # labelled documents a model is fitted on, about
-SAMPLE_PASSAGES = 128    # passages of one of them, evenly spread, at most
+SAMPLE_PASSAGES = 250_000   # passages of all of them; beyond that, fewer documents
 THRESHOLD = 0.3
 HIDDEN, GATE = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 40, 128, 0.01, 1e-4
@@ -142,16 +142,23 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int =
     return model
 
 
-def _bags(size: int, most: int):
+def _whole(sizes: list[tuple[int, int, int]], most: int) -> list[int]:
+    """The places of the first documents of (place, label, passages) that
+    have ``most`` passages together, and the first one of each label."""
+    kept, labels, total = [], set(), 0
+    for place, label, n in sorted(sizes):
+        total += n
+        if total <= most or label not in labels:
+            labels.add(label)
+            kept.append(place)
+    return kept
+
+
+def _bags(size: int):
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            out = []
-            for t in batch.column(0):
-                x = passages(t.as_py(), hashes, size)
-                if len(x) > most:
-                    x = x[np.linspace(0, len(x) - 1, most).astype(int)]
-                out.append(x.astype("<f4").tobytes())
+            out = [passages(t.as_py(), hashes, size).astype("<f4").tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], ["bag", "label"])
     return run
 
@@ -177,14 +184,15 @@ def _score(weights: dict, size: int, threshold: float):
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, passage: int = PASSAGE,
-                  threshold: float = THRESHOLD) -> DataFrame:
+                  threshold: float = THRESHOLD, sample_passages: int = SAMPLE_PASSAGES) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_passages, top_passage,
     top_weight) of every document.
 
     The model is fitted on about ``sample_docs`` labelled documents, chosen
-    by a hash of doc_id, held-out ones (crc32(doc_id) mod 5 = 0) never, of a
-    very long one ``SAMPLE_PASSAGES`` evenly spread passages. Scoring reads
-    the whole text; ``top_passage`` has the most attention.
+    by a hash of doc_id, held-out ones (crc32(doc_id) mod 5 = 0) never, and on
+    all passages of each. If they have more than ``sample_passages`` together,
+    fewer documents are taken, by a hash again, one of each label at least.
+    Scoring reads the whole text; ``top_passage`` has the most attention.
 
     A null or empty text is one passage of zeros. Without labels of both
     classes the score is the share of label 1 (1 without labels). Repeated
@@ -193,7 +201,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sample = labelled_sample(docs, labels, "quality", sample_docs, SEED)
-    rows = sample.select("text", "label").mapInArrow(_bags(passage, SAMPLE_PASSAGES), "bag binary, label int").collect()
+    place = F.xxhash64("doc_id", F.lit(SEED + 2))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+"))
+    sizes = [tuple(r) for r in sample.select(place, "label", F.greatest(F.lit(1), F.ceil(words / passage))).collect()]
+    kept = _whole(sizes, sample_passages)
+    if len(kept) < len(sizes):
+        sample = sample.filter(place.isin(kept))
+    rows = sample.select("text", "label").mapInArrow(_bags(passage), "bag binary, label int").collect()
     y = np.array([r.label for r in rows], np.float64)
     if len(set(y)) == 2:
         weights = fit([np.frombuffer(r.bag, "<f4").reshape(-1, FEATURES).astype(np.float64) for r in rows], y).w

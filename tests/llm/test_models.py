@@ -78,6 +78,29 @@ def test_quality_of_held_out_documents(spark):
     assert sum(a == b for a, b in tested) >= 0.95 * len(tested)
 
 
+def test_quality_is_fitted_on_whole_documents(spark, monkeypatch):
+    """Every passage of a sampled document, the one that made its label too."""
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda bags, y, **k: seen.append(bags) or fit(bags, y, **{"epochs": 1, **k}))
+    ids = [i for i in range(20) if not held(i)]
+    docs = docs_of(spark, [(i, " ".join(f"w{i}x{j}" for j in range(64 * (130 + i)))) for i in ids])
+    labels = labels_of(spark, [(i, i % 2, 0) for i in ids])
+    assert quality.score_quality(docs, labels).count() == len(ids)
+    assert sorted(map(len, seen.pop())) == [130 + i for i in ids]
+    # Too many passages for memory: fewer documents, whole ones, of both labels.
+    for most in (600, 1):
+        quality.score_quality(docs, labels, sample_passages=most).count()
+        few = list(map(len, seen.pop()))
+        assert 2 <= len(few) < len(ids) and set(few) <= {130 + i for i in ids} and len({n % 2 for n in few}) == 2
+        assert most == 1 or sum(few) <= most
+
+
+def test_whole_documents_of_a_sample():
+    sizes = [(5, 1, 10), (-3, 0, 4), (7, 0, 1), (9, 1, 1)]
+    assert quality._whole(sizes, 16) == [-3, 5, 7, 9]
+    assert quality._whole(sizes, 14) == [-3, 5] and quality._whole(sizes, 4) == [-3, 5] and quality._whole([], 9) == []
+
+
 @pytest.mark.parametrize("score, column", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_scores_of_edge_cases(spark, score, column):
     docs = docs_of(spark, EDGE)
