@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = ("packing", "secrets", "toxicity", "dartminhash", "decontam", "egojoin", "phrases", "ctw",
-           "htmltext", "quality")
+           "htmltext", "quality", "hypershuffle", "recompression", "spimi")
 
 
 def query(name: str, oracle: str | None = None):
