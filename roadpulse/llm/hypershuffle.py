@@ -75,7 +75,7 @@ def communication_matrix(counts: list[int], sizes: list[int], seed: int) -> np.n
     return out
 
 
-def _dealt(matrix: np.ndarray, seed: int, names: tuple[str, str]):
+def _dealt(matrix: np.ndarray, seed: int):
     """The local permutation: the rows of a partition, by their place in it,
     get the shards of its row of the matrix in random order; and a random
     key each. The last column is (partition << 33) + place."""
@@ -98,21 +98,10 @@ def _dealt(matrix: np.ndarray, seed: int, names: tuple[str, str]):
                 shard[here] = of(int(part))[place[here] & ((1 << PLACE_BITS) - 1)]
             key = mix64(mix64(place.astype(np.uint64)) + np.uint64(seed)) >> np.uint64(1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shard), pa.array(key.astype(np.int64))],
-                                             [*batch.schema.names[:-1], *names])
+                                             [*batch.schema.names[:-1], "s", "key"])
     return run
 
 
-def _free(names: list[str], *wanted: str) -> list[str]:
-    """Names that no column has yet."""
-    taken, out = {n.lower() for n in names}, []
-    for name in wanted:
-        while name.lower() in taken:
-            name = "_" + name
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def shuffled_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS,
                     shard: str = "shard", slot: str = "slot") -> DataFrame:
     """``rows`` with ``shard`` and ``slot``: a uniformly random permutation of
@@ -136,28 +125,30 @@ def shuffled_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, buc
     """
     if shards < 1:
         raise ValueError("at least one shard")
-    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() not in (shard.lower(), slot.lower())])
-    s, key, place, bucket, before = _free([*rows.columns, shard, slot], "s", "key", "place", "bucket", "before")
-    stored = materialize(rows.withColumn(place, F.monotonically_increasing_id()))
-    by_part = dict(stored.groupBy(F.shiftright(place, PLACE_BITS)).count().collect())
+    kept = [c for c in rows.columns if c.lower() not in (shard.lower(), slot.lower())]
+    # Columns go by number until the end: any name may stand in the input.
+    numbered = rows.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)])
+    stored = materialize(numbered.withColumn("place", F.monotonically_increasing_id()))
+    by_part = dict(stored.groupBy(F.shiftright("place", PLACE_BITS)).count().collect())
     counts = [by_part.get(p, 0) for p in range(max(by_part, default=0) + 1)]
     total = sum(counts)
     matrix = communication_matrix(counts, shard_sizes(total, shards), seed)
     buckets = max(1, -(-total // shards // bucket_rows))
-    at = F.floor(F.col(key) / F.lit(2.0 ** 63 / buckets)).cast("long")   # keys in order, buckets in order
+    at = F.floor(F.col("key") / F.lit(2.0 ** 63 / buckets)).cast("long")   # keys in order, buckets in order
 
     def deal(part: DataFrame) -> DataFrame:
-        fields = T.StructType([*part.schema.fields[:-1], T.StructField(s, T.IntegerType()), T.StructField(key, T.LongType())])
-        return part.mapInArrow(_dealt(matrix, seed, (s, key)), fields).withColumn(bucket, F.least(at, F.lit(buckets - 1)))
+        fields = T.StructType([*part.schema.fields[:-1], T.StructField("s", T.IntegerType()),
+                               T.StructField("key", T.LongType())])
+        return part.mapInArrow(_dealt(matrix, seed), fields).withColumn("bucket", F.least(at, F.lit(buckets - 1)))
 
     # Where buckets start: the same deal over the places alone.
-    sizes = deal(stored.select(place)).groupBy(s, bucket).agg(F.count(F.lit(1)).alias("n"))
-    in_order = Window.partitionBy(s).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(s, bucket, F.coalesce(F.sum("n").over(in_order), F.lit(0)).cast("long").alias(before))
-    order = Window.partitionBy(s, bucket).orderBy(key)
-    return (deal(stored).join(starts, [s, bucket])
-            .withColumn(slot, (F.row_number().over(order) - 1 + F.col(before)).cast("long"))
-            .withColumnRenamed(s, shard).select(*[F.col(f"`{c}`") for c in rows.columns], shard, slot))
+    sizes = deal(stored.select("place")).groupBy("s", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    in_order = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("s", "bucket", F.coalesce(F.sum("n").over(in_order), F.lit(0)).cast("long").alias("before"))
+    order = Window.partitionBy("s", "bucket").orderBy("key")
+    return (deal(stored).join(starts, ["s", "bucket"])
+            .select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], F.col("s").alias(shard),
+                    (F.row_number().over(order) - 1 + F.col("before")).cast("long").alias(slot)))
 
 
 @query("op11_hypergeometric_shards")

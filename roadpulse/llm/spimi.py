@@ -21,10 +21,11 @@ import heapq
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,8 +37,9 @@ LEAST_DOCS = 30
 TOP_TERMS = 50
 SMOOTHING = 5
 SCALE = 1_000_000_000
-BLOCK_POSTINGS = 200_000   # a block is full
-RUN_POSTINGS = 50_000      # postings in one row of a run
+BLOCK_POSTINGS = 400_000   # a block is full
+PART_POSTINGS = 8_192      # postings in one row of a run
+MERGE_POSTINGS = 200_000   # postings of merged parts summed up at once, about
 FAN_IN = 64                # runs merged at once
 SLICE = 4 << 20            # bytes of a text split into words at once
 PAIRS = 2_000_000          # pairs of postings expanded at once
@@ -45,6 +47,8 @@ CELLS = 8_000_000          # sums of pairs held at once
 SHARD_POSTINGS = 200_000   # kept postings of a language compared in one task, about
 
 RUN = "shard int, run long, part int, keys array<binary>, sources array<binary>, counts array<long>, docs array<long>"
+RUN_COLUMNS = ["shard", "run", "part", "keys", "sources", "counts", "docs"]
+POSTING = ["key", "source", "count", "docs"]
 KEPT = "lang binary, term binary, sources array<binary>, counts array<long>"
 
 # A-Z become a-z, all other characters that are no part of a term a blank.
@@ -64,25 +68,17 @@ def _slices(text: bytes) -> Iterator[list[bytes]]:
     yield text[at:].split() if at else text.split()
 
 
-def _run_rows(postings, shard_of, run: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a run: sorted postings (key, source, count, docs) by shard."""
-    def row(shard, part, some):
-        cols = list(zip(*some))
-        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([run], pa.int64()), pa.array([part], pa.int32()),
-             *[pa.array([c], pa.list_(k)) for c, k in zip(cols, kinds)]],
-            ["shard", "run", "part", "keys", "sources", "counts", "docs"])
+def _sorted(postings: pa.Table) -> pa.Table:
+    return postings.take(pc.sort_indices(postings, [("key", "ascending"), ("source", "ascending")]))
 
-    for shard, mine in groupby(postings, shard_of):
-        part, some = 0, []
-        for posting in mine:
-            some.append(posting[-4:])
-            if len(some) == RUN_POSTINGS:
-                yield row(shard, part, some)
-                part, some = part + 1, []
-        if some:
-            yield row(shard, part, some)
+
+def _run_rows(postings: pa.Table, shard: int, run: int, first: int = 0) -> Iterator[pa.RecordBatch]:
+    """Sorted postings of a shard as rows of a run, ``PART_POSTINGS`` each."""
+    for part, at in enumerate(range(0, len(postings), PART_POSTINGS), first):
+        some = postings.slice(at, PART_POSTINGS).combine_chunks()
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), c.chunk(0)) for c in some.columns]
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([run], pa.int64()),
+                                          pa.array([part], pa.int32()), *lists], RUN_COLUMNS)
 
 
 def _spill(shards: int, block_postings: int):
@@ -94,17 +90,25 @@ def _spill(shards: int, block_postings: int):
 
         def spilled():
             nonlocal run_id
-            rows = []
+            block = []
             for (lang, source), terms in count.items():
-                in_docs = docs[lang, source]
-                for term, n in terms.items():
-                    key = lang + b"\0" + term
-                    rows.append((zlib.crc32(key) % shards, key, source, n, in_docs[term]))
-            rows.sort()
-            yield from _run_rows(rows, lambda r: r[0], run_id)
-            run_id += 1
+                keys = [lang + b"\0" + term for term in terms]
+                block.append(pa.table([
+                    pa.array(keys, pa.binary()), pa.array([source], pa.binary()).take(pa.array(np.zeros(len(keys), int))),
+                    pa.array(np.fromiter(terms.values(), np.int64, len(keys))),
+                    pa.array(np.fromiter(map(docs[lang, source].__getitem__, terms), np.int64, len(keys))),
+                    pa.array(np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % shards)], [*POSTING, "shard"]))
             count.clear()
             docs.clear()
+            if block:
+                whole = pa.concat_tables(block)
+                shard = whole.column("shard").to_numpy()
+                order = np.argsort(shard, kind="stable")
+                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+                for k in range(shards):
+                    mine = whole.take(pa.array(order[cuts[k]:cuts[k + 1]])).select(POSTING)
+                    yield from _run_rows(_sorted(mine), k, run_id)
+            run_id += 1
 
         held = 0
         for batch in batches:
@@ -125,46 +129,72 @@ def _spill(shards: int, block_postings: int):
     return run
 
 
-def _merged(table_: pa.Table) -> Iterator[tuple[bytes, bytes, int, int]]:
-    """The postings of all runs in a table, merged with a heap; those of one
-    key and source are added up."""
+def _merged(runs: pa.Table) -> Iterator[pa.Table]:
+    """The postings of all runs of a shard in order, those of one key and
+    source added up; a key's postings come in one table.
+
+    A heap holds the next part of every run by its first key. Parts are taken
+    in that order; what lies before the first key of all parts still to come
+    is complete."""
     parts = defaultdict(list)
-    for k, (r, p) in enumerate(zip(table_.column("run").to_pylist(), table_.column("part").to_pylist())):
+    columns = [runs.column(c) for c in RUN_COLUMNS[3:]]
+    for k, (r, p) in enumerate(zip(runs.column("run").to_pylist(), runs.column("part").to_pylist())):
         parts[r].append((p, k))
-
-    def postings(rows):
-        for _, k in sorted(rows):
-            yield from zip(*(table_.column(c)[k].as_py() for c in ("keys", "sources", "counts", "docs")))
-
-    held = None
-    for key, source, n, docs in heapq.merge(*map(postings, parts.values())):
-        if held and held[0] == key and held[1] == source:
-            held = (key, source, held[2] + n, held[3] + docs)
-        else:
-            if held:
-                yield held
-            held = (key, source, n, docs)
-    if held:
-        yield held
-
-
-def _merge_runs(keys, table_: pa.Table) -> pa.Table:
+    waiting = [iter([k for _, k in sorted(mine)]) for mine in parts.values()]
+    heap: list[tuple[bytes, int, int]] = []
+
+    def push(run: int) -> None:
+        if (k := next(waiting[run], None)) is not None:
+            heapq.heappush(heap, (columns[0][k].values[0].as_py(), run, k))
+
+    for run in range(len(waiting)):
+        push(run)
+    held, rows, enough = [], 0, MERGE_POSTINGS
+    while heap:
+        _, run, k = heapq.heappop(heap)
+        push(run)
+        held.append(pa.table([c[k].values for c in columns], POSTING))
+        rows += len(held[-1])
+        if heap and rows < enough:
+            continue
+        got = _sorted(pa.concat_tables(held)).combine_chunks()
+        keys, source, n, docs = (c.chunk(0) for c in got.columns)
+        upto = len(got) if not heap else int(pc.sum(pc.less(keys, pa.scalar(heap[0][0], keys.type))).as_py() or 0)
+        held, rows = [got.slice(upto)], len(got) - upto
+        enough = max(MERGE_POSTINGS, 2 * rows)
+        if upto:
+            other = pc.or_(pc.not_equal(keys[1:upto], keys[:upto - 1]), pc.not_equal(source[1:upto], source[:upto - 1]))
+            first = np.r_[0, np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1]
+            yield pa.table([keys.take(pa.array(first)), source.take(pa.array(first)),
+                            *[pa.array(np.add.reduceat(c.to_numpy()[:upto], first)) for c in (n, docs)]], POSTING)
+
+
+def _merge_runs(keys: tuple[pa.Scalar, ...], runs: pa.Table) -> pa.Table:
     """One run of several."""
     shard, wave = (k.as_py() for k in keys)
-    rows = list(_run_rows(_merged(table_), lambda _: shard, wave))
+    rows = []
+    for postings in _merged(runs):
+        rows += _run_rows(postings, shard, wave, len(rows))
     return pa.Table.from_batches(rows)
 
 
 def _frequencies(least_docs: int):
     """Terms of a shard that enough documents of their language hold, with
     their count by source; and of the empty term the documents by source."""
-    def run(table_: pa.Table) -> pa.Table:
+    def run(runs: pa.Table) -> pa.Table:
         rows = []
-        for key, mine in groupby(_merged(table_), lambda p: p[0]):
-            mine = list(mine)
-            lang, _, term = key.rpartition(b"\0")
-            if not term or sum(p[3] for p in mine) >= least_docs:
-                rows.append((lang, term, [p[1] for p in mine], [p[2] for p in mine]))
+        for postings in _merged(runs):
+            keys = postings.column("key").combine_chunks()
+            if isinstance(keys, pa.ChunkedArray):
+                keys = keys.chunk(0)
+            counts, docs = (postings.column(c).to_numpy() for c in ("count", "docs"))
+            first = np.r_[0, np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1]
+            last = np.r_[first[1:], len(keys)]
+            enough = np.add.reduceat(docs, first) >= least_docs
+            group = pc.equal(pc.binary_slice(keys.take(pa.array(first)), -1), b"\0").to_numpy(zero_copy_only=False)
+            for a, b in zip(first[enough | group].tolist(), last[enough | group].tolist()):
+                lang, _, term = keys[a].as_py().rpartition(b"\0")
+                rows.append((lang, term, postings.column("source")[a:b].to_pylist(), counts[a:b]))
         kinds = (pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
         cols = list(zip(*rows)) or [()] * 4
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], ["lang", "term", "sources", "counts"])
