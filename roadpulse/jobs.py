@@ -34,7 +34,7 @@ from roadpulse.session import get_session, shared_dir  # noqa: E402
 from roadpulse.operators import aggregates as A  # noqa: E402
 from roadpulse.operators.joins import resample_hourly  # noqa: E402
 from roadpulse.sinks import (  # noqa: E402
-    export_csv, write_daily_report, write_hourly_rollup, write_recommendations, write_summary, write_text_report,
+    Published, export_csv, publish_daily_report, read_daily_reports, write_daily_report, write_hourly_rollup, write_recommendations, write_summary, write_text_report,
 )
 from roadpulse.sources.telemetry import Cols, newest, on_day, read_alerts, read_facts, trailing  # noqa: E402
 from roadpulse.streaming import (  # noqa: E402
@@ -42,13 +42,15 @@ from roadpulse.streaming import (  # noqa: E402
     window_update_sink,
 )
 from roadpulse.streaming.pipeline import start_latest_status, valid_only, write_batch  # noqa: E402
+from roadpulse.streaming.served import start_late_split, start_served_status, window_table_sink  # noqa: E402
 
 
 def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: str | None, windows_path: str,
                kafka_servers: str | None = None, available_now: bool = False, max_files: int | None = None,
                checkpoint_base: str | None = None, dedup: bool = False, update_windows: bool = False,
                status_path: str | None = None, every: str = "1 minute", starting_offsets: str = "latest",
-               max_offsets: int | None = None):
+               max_offsets: int | None = None, served: bool = False, late_path: str | None = None,
+               ledger: str | None = None):
     """Start the facts/alerts sink and the window sink. Without ``alerts_path``
     facts, alerts and quarantine go to one exactly-once store at
     ``facts_path`` (read it with ``read_facts`` / ``read_alerts``). Each query
@@ -61,7 +63,13 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
     window every batch (read with ``latest_windows``) instead of final
     windows, which Spark can't chain after ``dedup``, so replays count
     there; ``status_path`` keeps the latest status table. Windows and status
-    see valid readings only."""
+    see valid readings only.
+
+    With ``served`` the status and the updated windows are published tables
+    (``served_status``, ``window_table``), readable at any time and bounded to
+    read, instead of a folder overwritten in place and a growing log.
+    ``late_path`` stores the readings that come too late for their window;
+    ``ledger`` keeps a row of counts per query and batch."""
     raw = kafka_source(spark, kafka_servers, source, starting_offsets, max_offsets_per_trigger=max_offsets) \
         if kafka_servers else read_wire_files(spark, source, max_files_per_trigger=max_files)
     enriched = enrich_stream(raw)
@@ -75,25 +83,33 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
         # One exactly-once store for facts, alerts and quarantine (kind partition).
         queries = [start_store_sink(stored, facts_path, f"{base}/store", trigger, "store")]
     else:
-        queries = [start_fact_sinks(stored, facts_path, alerts_path, f"{base}/facts", trigger, "facts")]
+        queries = [start_fact_sinks(stored, facts_path, alerts_path, f"{base}/facts", trigger, "facts", ledger=ledger)]
     if update_windows:
         queries.append(start_windows(valid_only(enriched), f"{base}/window_log", output_mode="update",
-                                     on_batch=window_update_sink(windows_path), trigger=trigger, name="windows"))
+                                     on_batch=(window_table_sink if served else window_update_sink)(windows_path),
+                                     trigger=trigger, name="windows"))
     else:
         queries.append(start_windows(valid_only(stored), f"{base}/windows", path=windows_path, trigger=trigger,
                                      name="windows", delay=None if dedup else P.WATERMARK))
     if status_path:
-        queries.append(start_latest_status(enriched, status_path, f"{base}/status", trigger, "status"))
+        start = start_served_status if served else start_latest_status
+        queries.append(start(enriched, status_path, f"{base}/status", trigger, "status"))
+    if late_path:
+        queries.append(start_late_split(enriched, late_path, f"{base}/late", ledger=ledger, trigger=trigger, name="late"))
     return queries
 
 
+POLL_S = 0.5
+
+
 def await_all(spark: SparkSession, queries: list) -> None:
-    """Wait until every query has ended; the first failure of any of them
-    stops the others and is raised."""
+    """Wait until every one of these queries has ended; the first failure of
+    any of them stops the others and is raised. Other queries of the session,
+    running or failed, don't matter."""
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+            for q in queries:
+                q.awaitTermination(POLL_S / len(queries))   # raises what ended the query
         for q in queries:
             if q.exception() is not None:
                 raise q.exception()
@@ -133,15 +149,17 @@ def run_ingest(spark: SparkSession, source: str, facts_path: str, alerts_path: s
 
 
 def run_nightly(spark: SparkSession, facts_path: str, reports_path: str, csv_path: str,
-                as_of: dt.date, rollup_path: str | None = None) -> None:
+                as_of: dt.date, rollup_path: str | None = None, published: bool = False) -> None:
     """Report one closed day. The day's facts (one pruned partition) are
     summed per (sensor, hour) once; the report, the recommendations and the
-    optional hourly rollup upsert all derive from those sums."""
+    optional hourly rollup upsert all derive from those sums. With
+    ``published`` the reports are a published table: the day is replaced after
+    its key (date, sensor) was found unique, and stays readable meanwhile."""
     facts = read_facts(spark, facts_path)
     facts = on_day(facts, as_of)
     c = daily.DEFAULT
     hourly = _materialise(spark, A.measure_sums(facts, [c.key, c.date, c.hour]), "nightly")
-    write_daily_report(daily.daily_report(hourly), reports_path, as_of)
+    (publish_daily_report if published else write_daily_report)(daily.daily_report(hourly), reports_path, as_of)
     write_recommendations(daily.intervention_report(hourly), csv_path, as_of)
     if rollup_path:
         write_hourly_rollup(hourly, rollup_path)
@@ -217,8 +235,9 @@ def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, report
         "checks": ingestion_checks(facts, alerts),
     }
     if reports_path:
-        stored = newest(spark, reports_path, spark.read.parquet(reports_path), P.RECENT_REPORTS,
-                        cols=Cols(date="report_date"))
+        stored = read_daily_reports(spark, reports_path)
+        if not Published(spark, reports_path).versions():
+            stored = newest(spark, reports_path, stored, P.RECENT_REPORTS, cols=Cols(date="report_date"))
         views["daily_reports"] = serving.stored_recent_reports(stored)
     for name, df in views.items():
         df.write.mode("overwrite").parquet(os.path.join(out, name))
@@ -238,6 +257,9 @@ def main(argv=None) -> None:
     s.add_argument("--dedup", action="store_true", help="drop replayed readings within the watermark")
     s.add_argument("--update-windows", action="store_true", help="log every changed window each batch")
     s.add_argument("--status", help="keep a table of the latest status per sensor here")
+    s.add_argument("--served", action="store_true", help="status and updated windows as published tables")
+    s.add_argument("--late", help="store readings that come too late for their window here")
+    s.add_argument("--ledger", help="keep counts of every batch here")
     s.add_argument("--rocksdb", action="store_true", help="streaming state off the heap")
     s.add_argument("--every", default="1 minute", help="trigger interval")
     s.add_argument("--starting-offsets", default="latest")
@@ -254,6 +276,7 @@ def main(argv=None) -> None:
     n.add_argument("--csv", required=True)
     n.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
     n.add_argument("--rollup")
+    n.add_argument("--published", action="store_true", help="reports as a published table")
     r = sub.add_parser("reports")
     r.add_argument("--facts", required=True)
     r.add_argument("--alerts", required=True)
@@ -272,11 +295,12 @@ def main(argv=None) -> None:
     if a.job == "stream":
         await_all(spark, run_stream(
             spark, a.source, a.facts, a.alerts, a.windows, a.kafka_servers, a.available_now, a.max_files,
-            a.checkpoints, a.dedup, a.update_windows, a.status, a.every, a.starting_offsets, a.max_offsets))
+            a.checkpoints, a.dedup, a.update_windows, a.status, a.every, a.starting_offsets, a.max_offsets,
+            a.served, a.late, a.ledger))
     elif a.job == "ingest":
         run_ingest(spark, a.source, a.facts, a.alerts, a.quarantine)
     elif a.job == "nightly":
-        run_nightly(spark, a.facts, a.reports, a.csv, a.as_of, a.rollup)
+        run_nightly(spark, a.facts, a.reports, a.csv, a.as_of, a.rollup, a.published)
     elif a.job == "dashboard":
         run_dashboard(spark, a.facts, a.alerts, a.reports, a.out, a.day)
     else:

@@ -115,8 +115,11 @@ def recent_daily_reports(f: DataFrame, n: int = P.RECENT_REPORTS, cols: Cols = D
 
 
 def stored_recent_reports(reports: DataFrame, n: int = P.RECENT_REPORTS) -> DataFrame:
-    """Same listing over a stored report table (double mean rounded to 2 dp)."""
-    return top_n(reports.withColumn("avg_daily_speed", F.round("avg_daily_speed", 2)),
+    """Same listing over a stored report table, the mean as numeric(10,2). A
+    mean of up to 10^10 integers that is no tie lies further from one than 13
+    decimals show, so rounding those half-up is exact."""
+    exact = F.round(F.col("avg_daily_speed").cast("decimal(28,13)"), 2).cast("double")
+    return top_n(reports.withColumn("avg_daily_speed", exact),
                  [F.col("report_date").desc(), F.col("sensor_id").asc()], n)
 
 

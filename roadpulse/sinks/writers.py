@@ -9,10 +9,11 @@ never coalesced to one file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.schema import ALERT_COLUMNS, FACT_COLUMNS
+from roadpulse.sinks.published import Published
 
 
 def write_facts(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -79,3 +80,32 @@ def write_hourly_rollup(sums: DataFrame, path: str, date_col: str = "event_date"
     # own (AQE-sized) partitions decide the files instead of one task a day.
     (sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(date_col).parquet(path))
+
+
+REPORT_KEY = ["report_date", "sensor_id"]
+
+
+def upsert_daily_report(report: DataFrame, path: str) -> None:
+    """Upsert report rows by (report_date, sensor_id) into a published table:
+    rows of ``report`` replace stored rows of their key, other sensors of the
+    same date stay, only dates that ``report`` has are rewritten, and readers
+    see the old table until all of it is written and no key is there twice
+    (``AuditFailed`` otherwise)."""
+    Published(report.sparkSession, path).upsert(report, REPORT_KEY, F.col("report_date"))
+
+
+def publish_daily_report(report: DataFrame, path: str, day) -> None:
+    """Replace one closed day of a published report table, also by no rows,
+    under the same audit."""
+    rows = report.filter(F.col("report_date") == F.lit(day))
+    Published(report.sparkSession, path).replace(rows, F.col("report_date"), REPORT_KEY, [day.isoformat()])
+
+
+def read_daily_reports(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """A stored report table: a published one (the newest version, of dates
+    from ``since`` on) or one of date folders."""
+    table = Published(spark, path)
+    if table.versions():
+        return table.read(None if since is None else lambda s: s >= since.isoformat())
+    stored = spark.read.parquet(path)
+    return stored if since is None else stored.filter(F.col("report_date") >= F.lit(since))

@@ -115,11 +115,13 @@ def _overwrite_batch(df: DataFrame, path: str, part: str) -> None:
 
 
 def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: str,
-                quarantine_path: str | None = None, writer: str | None = None) -> None:
+                quarantine_path: str | None = None, writer: str | None = None, ledger: str | None = None,
+                name: str | None = None) -> None:
     """One micro-batch: valid rows -> facts (all) and alerts (critical); rows
     failing the NOT NULL / range checks -> quarantine with their reasons and
     text. Every write replaces only the partitions of this writer and batch,
-    so a replay is exact and other writers' rows stay."""
+    so a replay is exact and other writers' rows stay. The counts go to the
+    batch ledger last, if there is one: a batch it holds is stored."""
     writer = writer or writer_of(batch)
     batch = batch.persist()
     try:
@@ -135,25 +137,32 @@ def write_batch(batch: DataFrame, batch_id: int, facts_path: str, alerts_path: s
                                        F.count_if(F.coalesce(F.col("traffic_status"), F.lit(False)))
                                         .alias("critical")),
                          facts_path, "event_date")
-        log.info("batch %s: %s", batch_id, counts.get)
+        held = counts.get
+        log.info("batch %s: %s", batch_id, held)
         _overwrite_batch(valid.filter(F.col("traffic_status")).select(*ALERT_COLUMNS, "writer", "batch_id"),
                          alerts_path, "event_date")
         rejected = tagged.filter(F.col("reject_reason").isNotNull())
-        if not rejected.isEmpty():     # cheap: the batch is persisted
+        bad = rejected.count()         # cheap: the batch is persisted
+        if bad:
             # By the event's own date where it has one: a rerun on another day
             # replaces the same partitions.
             _overwrite_batch(rejected, quarantine_path or quarantine_path_for(facts_path), "event_date")
+        if ledger:
+            from roadpulse.streaming.served import Ledger
+            Ledger(batch.sparkSession, ledger).record(writer, batch_id, name, {
+                "row_count": held["rows"] + bad, "facts": held["rows"], "critical": held["critical"], "rejected": bad})
     finally:
         batch.unpersist()
 
 
 def start_fact_sinks(enriched: DataFrame, facts_path: str, alerts_path: str, checkpoint: str,
                      trigger: dict | None = None, name: str | None = None,
-                     quarantine_path: str | None = None) -> StreamingQuery:
+                     quarantine_path: str | None = None, ledger: str | None = None) -> StreamingQuery:
     """Append valid events to the facts table, critical ones to the alerts
     table, and invalid ones (with reasons) to the quarantine table."""
     w = (enriched.writeStream
-         .foreachBatch(lambda df, bid: write_batch(df, bid, facts_path, alerts_path, quarantine_path))
+         .foreachBatch(lambda df, bid: write_batch(df, bid, facts_path, alerts_path, quarantine_path,
+                                                     ledger=ledger, name=name))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
