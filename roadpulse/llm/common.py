@@ -122,4 +122,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         before = state
     members = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return members.unionByName(roots)
+    out = members.unionByName(roots)
+    out._llm_path = e._llm_path   # what ``discard`` deletes
+    return out

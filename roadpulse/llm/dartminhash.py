@@ -13,21 +13,22 @@ all, not k per element (Christiani 2020).
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import (WordHashes, connected_components, materialize, mix64, run_hashes)
+from roadpulse.llm.common import (WordHashes, connected_components, discard, materialize, mix64, run_hashes)
 from roadpulse.llm.registry import query, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
-BLOCK = 256        # classes of a bucket compared in one task at once
-ROUNDS = 1         # rounds of best partners before the rest is compared
-MISS = 4.5         # standard deviations that an agreement may fall short by
+BLOCK_BYTES = 4 << 20   # text compared in one task, about: one or two such blocks
 
 
 def weighted_shingles(text: str | None, hashes: WordHashes, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -115,76 +116,77 @@ def _bands(bands: int, rows: int, k: int):
                     continue
                 signed = signatures([sets[i] for i in some], bands * rows)
                 got = band_hashes(signed, bands, rows)
+                size = pc.binary_length(batch.column(1)[at:at + 200]).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at:at + 200][some]), pa.array(list(got), pa.list_(pa.int64())),
-                     pa.array([x.astype(np.uint32).tobytes() for x in signed], pa.binary())],
-                    ["rep", "bands", "signature"])
+                     size.take(pa.array(some))], ["rep", "bands", "size"])
     return run
 
 
-def similarity(a: str | None, b: str | None, hashes: WordHashes, k: int = SHINGLE) -> float:
-    """Weighted Jaccard similarity of two texts' shingles."""
-    (ea, wa), (eb, wb) = (weighted_shingles(t, hashes, k) for t in (a, b))
-    _, ia, ib = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
-    both = int(np.minimum(wa[ia], wb[ib]).sum())
-    return both / max(1, int(wa.sum() + wb.sum()) - both)
-
-
-def _verify(least: float, k: int):
-    def run(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            ok = [similarity(x.as_py(), y.as_py(), hashes, k) >= least
-                  for x, y in zip(batch.column(2), batch.column(3))]
-            mask = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
-    return run
-
-
-def _compare(need: int, best: bool):
-    """Within the rows of one pair of blocks of a bucket, pairs of different
-    components whose signatures agree in ``need`` coordinates or more: the
-    best one of each row, or all."""
-    columns = ("band", "i", "j", "home", "rep", "component")
-
-    def pairs(keys, signature):
-        band, i, j, home, rep, component = keys
-        x = np.frombuffer(b"".join(signature), np.uint32).reshape(len(rep), -1)
-        for at in range(0, len(rep), 64):
-            part = slice(at, at + 64)
-            apart = component[part, None] != component[None, :]
-            if i[0] != j[0]:
-                apart &= home[part, None] != home[None, :]
-            if not apart.any():
-                continue
-            agree = np.where(apart, (x[part, None, :] == x[None, :, :]).sum(2), -1)
-            if best:
-                other = agree.argmax(1)
-                top = agree[np.arange(len(other)), other]
-                on = top >= need
-                yield rep[part][on], rep[other[on]], top[on]
+def _packed(batches):
+    """Texts as zstd frames: what moves when texts are compared."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([pack.compress(t) for t in batch.column(1).to_pylist()], pa.binary())],
+            ["rep", "text"])
+
+
+class _Block:
+    """The weighted shingles of some texts, for exact similarities of one text
+    to many at once."""
+
+    def __init__(self, texts: list[bytes], k: int):
+        unpack, hashes = zstandard.ZstdDecompressor(), WordHashes()
+        sets = [weighted_shingles(unpack.decompress(t).decode("utf-8", "replace"), hashes, k) for t in texts]
+        self.ends = np.cumsum([len(e) for e, _ in sets])
+        vocabulary, self.at = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True)
+        self.weight = np.concatenate([w for _, w in sets])
+        self.total = np.array([w.sum() for _, w in sets])
+        self.row = np.zeros(len(vocabulary), np.int64)   # weights of one text
+
+    def similarities(self, x: int, first: int, last: int) -> np.ndarray:
+        """Weighted Jaccard similarities of text ``x`` and texts ``first``
+        up to ``last``; every text has a shingle."""
+        low = lambda k: self.ends[k - 1] if k else 0
+        mine, theirs = slice(low(x), self.ends[x]), slice(low(first), self.ends[last - 1])
+        self.row[self.at[mine]] = self.weight[mine]
+        least = np.minimum(self.row[self.at[theirs]], self.weight[theirs])
+        both = np.add.reduceat(least, np.r_[low(first), self.ends[first:last - 1]] - low(first))
+        self.row[self.at[mine]] = 0
+        return both / (self.total[x] + self.total[first:last] - both)
+
+
+def _linked(least: float, k: int):
+    """Links that join components, within the rows of one group: of its
+    centre and all others, or of all pairs of its blocks ``i`` and ``j``.
+    Texts of one component, as given or found here, are not compared."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("home", "ascending"), ("rep", "ascending")])
+        rep, component, home = (rows.column(c).to_numpy() for c in ("rep", "component", "home"))
+        centre = rows.column("centre").to_numpy()
+        n = len(rep)
+        names, of = np.unique(component, return_inverse=True)
+        found: list[tuple[int, int]] = []
+        if n > 1 and len(names) > 1:
+            block = _Block(rows.column("text").to_pylist(), k)
+            cut = int(np.searchsorted(home, home[0], "right"))   # end of the first block
+            if centre.any():
+                todo = [(int(x), 0, n) for x in np.flatnonzero(centre)]
+            elif cut < n:
+                todo = [(x, cut, n) for x in range(cut)]
             else:
-                a, b = np.nonzero((agree >= need) & (rep[part, None] < rep[None, :]))
-                yield rep[part][a], rep[b], agree[a, b]
-
-    def out(found):
-        cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["a", "b", "agree"])
-
-    def run(batches):
-        keys, signature = [np.zeros(0, np.int64)] * len(columns), []
-        for batch in batches:
-            keys = [np.r_[k, batch.column(c).to_numpy()] for k, c in zip(keys, columns)]
-            signature += batch.column("signature").to_pylist()
-            new = np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0)
-            cuts = np.r_[0, np.flatnonzero(new) + 1] if len(signature) else np.zeros(1, np.int64)
-            found = []
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                found += pairs([k[s:e] for k in keys], signature[s:e])
-            keys, signature = [k[cuts[-1]:] for k in keys], signature[cuts[-1]:]   # may go on in the next batch
-            yield out(found)
-        yield out(list(pairs(keys, signature)) if signature else [])
+                todo = [(x, x + 1, n) for x in range(n - 1)]
+            for x, first, last in todo:
+                apart = of[first:last] != of[x]
+                if not apart.any():
+                    continue
+                near = np.flatnonzero(apart & (block.similarities(x, first, last) >= least)) + first
+                for y in near.tolist():
+                    if of[y] != of[x]:
+                        found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+                        of[of == of[y]] = of[x]
+        return pa.table([pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)], ["a", "b"])
     return run
 
 
@@ -199,17 +201,22 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
     links, ``n_links`` counts the verified links of the class that were
     needed to find it, and ``kept`` marks one document of each component.
 
-    Candidates share a band of their DartMinHash signatures. In a bucket all
-    classes are first compared with its smallest one. Whatever that leaves
-    in different components of one bucket meets in blocks of ``BLOCK``
-    classes: each class is compared with the one whose signature agrees most
-    (``ROUNDS`` times), and then with every class of another component whose
-    signature does not rule a link out (``MISS`` standard deviations below
-    the expected agreement). So a bucket of copies costs a few comparisons
-    each, and no candidate that could join two components is left out.
+    Candidates share a band of their DartMinHash signatures. Classes are first
+    compared with the smallest class of each of their buckets. Buckets that
+    this leaves in several components (each set of classes once) then meet
+    whole, in pairs of blocks of about ``BLOCK_BYTES`` of text: every pair of
+    classes in different components is compared exactly, so no candidate that
+    could join two components is left out. Pairs never leave a task: a group
+    returns the links that join its components, at most one per row.
+
+    What moves is one compressed text per class and smallest class, and one
+    per open bucket and block that it meets. Comparing a bucket of n classes
+    that do not link takes n^2 / 2 similarities, about half a microsecond each
+    for short texts.
 
     Texts without words (null, empty) are exact copies of each other if
-    equal, null and empty count as equal, and have no links. A null doc_id
+    equal, null and empty count as equal, and have no links. Texts of any
+    length are compared whole; a text larger than a block is one of its own. A null doc_id
     is carried: its row is a class of its own with null ids and kept.
     Repeated rows share a class; one doc_id with several texts takes part
     with each row. Other columns are not read; an empty table gives no rows.
@@ -221,60 +228,63 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
     members = materialize(docs.select("doc_id", *key))
     classes = materialize(members.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")))
     texts = docs.filter(F.col("doc_id").isNotNull())
-    signed = texts.mapInArrow(_bands(bands, rows, k), "rep long, bands array<long>, signature binary")
+    signed = texts.mapInArrow(_bands(bands, rows, k), "rep long, bands array<long>, size long")
     reps = classes.filter("rep IS NOT NULL").select("rep").distinct()
     signed = materialize(signed.join(reps, "rep", "left_semi"))
-    buckets = signed.select("rep", F.explode("bands").alias("band"))
-    shared = (buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high"),
-                                          F.count(F.lit(1)).alias("n")).filter("low < high"))
-    buckets = materialize(buckets.join(shared, "band").select("band", "rep", "low", "n"))
+    buckets = signed.select("rep", "size", F.explode("bands").alias("band"))
+    shared = (buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high"))
+    buckets = materialize(buckets.join(shared, "band").select("band", "rep", "size", "low"))
     # Only the texts of classes that share a bucket are compared.
-    texts = materialize(texts.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose texts are similar enough."""
-        both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-                .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"))
-        return both.select("a", "b", "ta", "tb").mapInArrow(_verify(least, k), "a long, b long").distinct()
-
-    star = materialize(buckets.filter("rep > low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct())
-    tried, links = star, materialize(verified(star))
-    size = bands * rows
-    need = max(1, math.floor(size * least - MISS * math.sqrt(size * least * (1 - least))))
-    for round_ in range(ROUNDS + 1):
-        groups = materialize(connected_components(links))
-        named = (buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-                 .select("band", "rep", "n", F.coalesce("component", "rep").alias("component")))
-        open_bands = (named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                      .filter("lo < hi").select("band"))
-        # A row meets its bucket block by block: once for every other block.
-        blocks = F.ceil(F.col("n") / BLOCK)
-        left = (named.join(open_bands, "band", "left_semi").join(signed.select("rep", "signature"), "rep")
-                .withColumn("home", F.pmod(F.xxhash64("rep"), blocks))
-                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-                .select("band", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "home",
-                        "rep", "component", "signature"))
-        met = left.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-        best = round_ < ROUNDS
-        found = met.mapInArrow(_compare(need, best), "a long, b long, agree long")
-        if best:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        new = (found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-               .join(tried, ["a", "b"], "left_anti"))
-        new = materialize(new)
-        tried = tried.unionByName(new)
-        links = materialize(links.unionByName(verified(new)))
+    texts = (texts.select("doc_id", F.col("text").cast("binary")).mapInArrow(_packed, "rep long, text binary")
+             .join(buckets.select("rep").distinct(), "rep", "left_semi"))
+    texts = materialize(texts)
+
+    def linked(met: DataFrame) -> DataFrame:
+        """Links (a, b) found in groups of rows (key, i, j, home, rep, component, centre)."""
+        return (met.join(texts, "rep").groupBy("key", "i", "j").applyInArrow(_linked(least, k), "a long, b long")
+                .distinct())
+
+    # The smallest class of a bucket, its text in every block of the others.
+    star = buckets.filter("rep > low").groupBy("low", "rep").agg(F.max("size").alias("size"))
+    blocks = star.groupBy("low").agg(F.ceil(F.sum("size") / BLOCK_BYTES).alias("blocks"))
+    row = ["key", F.col("home").alias("i"), F.col("home").alias("j"), "home", "rep", F.col("rep").alias("component"), "centre"]
+    others = (star.join(blocks, "low").withColumn("home", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+              .select(F.col("low").alias("key"), "home", "rep", F.lit(False).alias("centre")))
+    centres = (blocks.withColumn("home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+               .select(F.col("low").alias("key"), "home", F.col("low").alias("rep"), F.lit(True).alias("centre")))
+    links = materialize(linked(others.unionByName(centres).select(*row)))
+
+    # Buckets of three classes or more that are not one component: each set of
+    # classes once, block by block.
     groups = connected_components(links)
-    degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    named = materialize(buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+                        .select("band", "rep", "size", F.coalesce("component", "rep").alias("component")))
+    opened = (named.groupBy("band").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("bytes"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"),
+        F.bit_xor(F.xxhash64("rep", F.lit(3))).alias("s2")).filter("lo < hi AND n > 2")
+        .groupBy("n", "s1", "s2", "bytes").agg(F.min("band").alias("band")))
+    opened = opened.select("band", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("blocks"))
+    met = (named.join(opened, "band").withColumn("home", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+           .select(F.col("band").alias("key"), F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"),
+                   "home", "rep", "component", F.lit(False).alias("centre")))
+    all_links = materialize(links.unionByName(linked(met)).distinct())
+
+    final = connected_components(all_links)
+    degree = (all_links.select(F.col("a").alias("node")).unionByName(all_links.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
-    named = (classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-             .join(degree.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("h1", "h2", "n", "rep", F.coalesce("component", "rep").alias("component_id"),
-                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    return (members.join(named, ["h1", "h2", "n"])
-            .select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("class_id"),
-                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "n_links",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+    of = (classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+          .join(degree.withColumnRenamed("node", "rep"), "rep", "left")
+          .select("h1", "h2", "n", "rep", F.coalesce("component", "rep").alias("component_id"),
+                  F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    out = materialize(members.join(of, ["h1", "h2", "n"])
+                      .select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("class_id"),
+                              F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "n_links",
+                              F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+    for table_ in (members, classes, signed, buckets, texts, links, groups, named, all_links, final):
+        discard(table_)
+    return out
 
 
 def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE, bands: int = BANDS,
@@ -284,8 +294,8 @@ def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int =
     columns kept. Rows without doc_id stay."""
     keep = near_duplicates(docs, least, k, bands, rows).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_row", F.row_number().over(one)).filter("_row = 1").drop("_row")
+    one, place = Window.partitionBy("doc_id").orderBy(F.xxhash64("text")), f"place_{uuid.uuid4().hex}"
+    kept = kept.withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1).drop(place)
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
