@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,32 @@ THRESHOLDS = (("^[0-9A-F]+$|^[0-9a-f]+$", 3.0), ("", 3.7))
 # numbers and dates, UUIDs, placeholders.
 ALLOW = (r"^[A-Za-z+/_-]+$", r"^[0-9+/_-]+$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
          r"(?i)example|placeholder|changeme|dummy|xxxxx|00000|12345678")
-SPAN = "struct<start:int,rank:int,end:int,kind:string>"
+# Places in code points, and in bytes of the UTF-8 text.
+SPAN = "struct<start:int,rank:int,end:int,kind:string,first:int,last:int>"
+HITS = "array<struct<start:int,rank:int,end:int,text:string,key:int,first:int,last:int>>"
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _running(values: Column, join) -> Column:
+    """Running totals of an array under ``join`` (a sum, a maximum): in round
+    k each place takes in the one 2^k before it, so n values take n log n
+    steps and no array grows element by element."""
+    def rounds(v):
+        n = F.ceil(F.log2(F.greatest(F.size(v), F.lit(1)))).cast("int")
+
+        def once(a, k):
+            back = F.call_function("shiftleft", F.lit(1), k)
+            return F.transform(a, lambda x, i: F.when(i >= back, join(F.get(a, i - back), x)).otherwise(x))
+        return F.aggregate(F.sequence(F.lit(0), n), v, once)
+    return _let(values, rounds)
+
+
+def _sums(values: Column) -> Column:
+    return _running(values, lambda a, b: a + b)
 
 
 def _found(text: Column, pattern: str, rank: int, group: int = 0, least: int = 0) -> Column:
@@ -38,25 +64,26 @@ def _found(text: Column, pattern: str, rank: int, group: int = 0, least: int = 0
     named = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
     parts = F.zip_with(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), named,
                        lambda x, key: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"),
+                                               F.octet_length(x["gap"]).alias("gap_bytes"),
+                                               F.octet_length(x["hit"]).alias("hit_bytes"),
                                                x["hit"].alias("text"), F.length(key).alias("key")))
     parts = F.filter(parts, lambda x: x["hit"].isNotNull())
 
-    def step(acc, x):
-        start = acc["pos"] + x["gap"]
-        end = start + x["hit"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
-                        x["text"].alias("text"), x["key"].alias("key"))
-        return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def placed(p, ends, lasts):
+        return F.transform(p, lambda x, i: F.struct(
+            (F.get(ends, i) - x["hit"]).alias("start"), F.lit(rank).alias("rank"), F.get(ends, i).alias("end"),
+            x["text"].alias("text"), x["key"].alias("key"), (F.get(lasts, i) - x["hit_bytes"]).alias("first"),
+            F.get(lasts, i).alias("last")))
 
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,text:string,key:int>>")
-    spans = F.aggregate(parts, F.struct(F.lit(0).alias("pos"), empty.alias("spans")), step,
-                        lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), F.filter(spans, lambda s: s["key"] >= least)).otherwise(empty)
+    spans = _let(parts, lambda p: _let(_sums(F.transform(p, lambda x: x["gap"] + x["hit"])), lambda ends: _let(
+        _sums(F.transform(p, lambda x: x["gap_bytes"] + x["hit_bytes"])), lambda lasts: placed(p, ends, lasts))))
+    return F.when(text.rlike(pattern), F.filter(spans, lambda s: s["key"] >= least)).otherwise(F.array().cast(HITS))
 
 
 def _plain(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"),
-                                                 s["end"].alias("end"), F.lit(kind).alias("kind")))
+                                                 s["end"].alias("end"), F.lit(kind).alias("kind"),
+                                                 s["first"].alias("first"), s["last"].alias("last")))
 
 
 def _dense(text: Column, window: int, least: Column) -> Column:
@@ -100,30 +127,45 @@ def base_spans(text: Column) -> Column:
         _plain(_found(text, HEX, 2), "hex")))
 
 
-def _outside(run: Column, base: Column, least: int) -> Column:
-    """The parts of ``run`` of ``least`` characters or more that no base span
-    covers, as (start, text)."""
-    touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+def _piece(text: Column, first: Column, size: Column) -> Column:
+    """Bytes of a text as text: only the piece itself is read."""
+    return F.substring(text.cast("binary"), first + 1, size).cast("string")
+
+
+def _outside(runs: Column, base: Column, least: int) -> Column:
+    """The parts of the runs, ``least`` characters or more, that no base span
+    covers, as (start, first, text). A sweep over the sorted ends of runs and
+    spans counts how many of each are open."""
+    def ends(spans, of_base, of_run):
+        return F.flatten(F.transform(spans, lambda s: F.array(
+            F.struct(s["start"].alias("at"), F.lit(of_base).alias("base"), F.lit(of_run).alias("run"),
+                     F.lit(of_run).alias("begun")),
+            F.struct(s["end"].alias("at"), F.lit(-of_base).alias("base"), F.lit(-of_run).alias("run"),
+                     F.lit(0).alias("begun")))))
 
-    def part(start, end):
-        return F.when(end - start >= least, F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(empty)
+    def added(a, b):
+        return F.struct(b["at"].alias("at"), *[(a[c] + b[c]).alias(c) for c in ("base", "run", "begun")])
 
-    def step(acc, b):
-        return F.struct(F.greatest(acc["pos"], b["end"]).alias("pos"),
-                        F.concat(acc["parts"], part(acc["pos"], b["start"])).alias("parts"))
+    def parts(e):
+        return F.filter(F.transform(e, lambda x, i: F.struct(
+            F.get(runs, x["begun"] - 1).alias("run"), x["at"].alias("start"),
+            F.when((x["base"] == 0) & (x["run"] == 1), F.get(e, i + 1)["at"] - x["at"]).otherwise(0).alias("size"))),
+            lambda x: x["size"] >= least)
 
-    parts = F.aggregate(touching, F.struct(run["start"].alias("pos"), empty.alias("parts")), step,
-                        lambda acc: F.concat(acc["parts"], part(acc["pos"], run["end"])))
-    return F.transform(parts, lambda x: F.struct(
-        x["start"].alias("start"),
-        F.substring(run["text"], x["start"] - run["start"] + 1, x["end"] - x["start"]).alias("text")))
+    def named(x):
+        at = x["start"] - x["run"]["start"]   # runs are ASCII
+        return F.struct(x["start"].alias("start"), (x["run"]["first"] + at).alias("first"),
+                        _piece(x["run"]["text"], at, x["size"]).alias("text"))
+
+    swept = F.transform(_let(_running(F.array_sort(F.concat(ends(base, 1, 0), ends(runs, 0, 1))), added), parts), named)
+    whole = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), s["first"].alias("first"), s["text"].alias("text")))
+    return F.when(F.size(base) == 0, whole).otherwise(swept)
 
 
 def entropy_spans(text: Column, base: Column, window: int = WINDOW, thresholds=THRESHOLDS,
                   allow=ALLOW) -> Column:
     """Spans of dense character runs, and of what base spans leave of a run."""
-    runs = F.flatten(F.transform(_found(text, CANDIDATE, 3), lambda s: _outside(s, base, window)))
+    runs = _let(_found(text, CANDIDATE, 3), lambda found: _outside(found, base, window))
     runs = F.filter(runs, lambda s: ~F.greatest(F.lit(False), F.lit(False), *[s["text"].rlike(p) for p in allow]))
     *classes, (_, rest) = thresholds
 
@@ -133,12 +175,13 @@ def entropy_spans(text: Column, base: Column, window: int = WINDOW, thresholds=T
             out = F.when(s["text"].rlike(pattern), F.lit(bits)).otherwise(out)
         return out
 
-    found = F.transform(runs, lambda s: F.struct(s["start"].alias("at"),
+    found = F.transform(runs, lambda s: F.struct(s["start"].alias("at"), s["first"].alias("byte"),
                                                  _dense(s["text"], window, least(s)).alias("part")))
     found = F.filter(found, lambda x: x["part"]["first"].isNotNull())
     return F.transform(found, lambda x: F.struct(
         (x["at"] + x["part"]["first"]).alias("start"), F.lit(3).alias("rank"),
-        (x["at"] + x["part"]["last"]).alias("end"), F.lit("entropy").alias("kind")))
+        (x["at"] + x["part"]["last"]).alias("end"), F.lit("entropy").alias("kind"),
+        (x["byte"] + x["part"]["first"]).alias("first"), (x["byte"] + x["part"]["last"]).alias("last")))
 
 
 def with_spans(docs: DataFrame, text: str = "text", base: str = "_base_spans",
@@ -162,7 +205,9 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     names the run. Where base spans cover a part of a run, each rest of it is
     a run of its own.
 
-    A null or empty text has no spans (counts 0, hash of the empty string).
+    A text of any length is scanned whole; its matches are placed by running
+    totals, in time n log n of their number. Matches of different kinds may
+    overlap and each count. A null or empty text has no spans (counts 0, hash of the empty string).
     A null doc_id is carried, repeated rows give a row each, other columns
     are not read, an empty table gives no rows.
     """
@@ -181,18 +226,20 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
     """``docs`` with every span of ``find_secrets`` replaced by ``mark`` (spans
     that overlap, by one mark); texts without spans, null ones too, stay as
     they are, and so do all other columns."""
-    base, spans = "_redact_base_spans", "_redact_spans"
+    base, spans = (f"{name}_{uuid.uuid4().hex}" for name in ("base", "spans"))
     marked = with_spans(docs, text, base, spans)
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc, s):
-        apart = (s["start"] >= acc["pos"]) | (F.size(acc["out"]) == 0)
-        piece = F.array(F.substring(F.col(text), acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
-                        F.when(apart, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+    def pieces(s, ends):
+        """What stands before each span that begins a mark, and the mark."""
+        before = lambda i: F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0))
+        return F.transform(s, lambda x, i: F.when((i == 0) | (x["first"] >= before(i)), F.concat(
+            _piece(F.col(text), before(i), x["first"] - before(i)), F.lit(mark))).otherwise(F.lit("")))
+
+    def cleaned(ends):
+        end = F.element_at(ends, -1)
+        return F.concat(F.array_join(pieces(F.col(spans), ends), ""), _piece(F.col(text), end, F.octet_length(text) - end))
 
-    clean = F.aggregate(spans, start, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(F.col(text), acc["pos"] + 1, F.length(text))))
+    clean = _let(_running(F.transform(spans, lambda x: x["last"]), F.greatest), cleaned)
     return marked.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text))).drop(base, spans)
 
 
