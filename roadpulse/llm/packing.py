@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import re
 import zlib
 from array import array
 
@@ -12,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from roadpulse.llm.registry import query, table
 SEQ_LEN = 2048
 END_ID = 1
 KEEP_FILL = 0.98
+LONG_RUN = 10_000   # characters with or without white space in a row that the fast encoder gets at most
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -41,6 +44,35 @@ def vocabulary(path: str | None = None) -> tiktoken.Encoding:
                              special_tokens=added)
 
 
+def has_long_run(text: str, least: int = LONG_RUN) -> bool:
+    """Whether ``least`` white-space characters, or ``least`` others, follow
+    each other in a text."""
+    if len(text) < least:
+        return False
+    words = text.split()
+    if max(map(len, words), default=0) >= least:
+        return True
+    blanks = len(text) - sum(map(len, words))
+    return blanks - len(words) >= least - 2 and re.search(rf"\s{{{least}}}", text) is not None
+
+
+class Encoder:
+    """Ids of a text as the tokenizers file gives them. The same ranks in the
+    other library are several times as fast, but its pattern fails on very
+    long runs: texts that hold one are encoded by the file itself."""
+
+    def __init__(self, path: str | None = None):
+        self.path, self.fast, self.whole = path, vocabulary(path), None
+
+    def __call__(self, text: str) -> list[int]:
+        if not has_long_run(text):
+            return self.fast.encode(text, allowed_special="all")
+        if self.whole is None:
+            path = self.path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+            self.whole = tokenizers.Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+
 class SumOfSquares:
     """Online packing: each piece goes to the fill level that minimises the
     sum over levels of (number of open windows at that level) squared."""
@@ -79,7 +111,7 @@ class SumOfSquares:
 
 def _pack(size: int, keep: float, vocab_path: str | None, with_ids: bool):
     def run(batches):
-        bpe = vocabulary(vocab_path)
+        encode = Encoder(vocab_path)
         packer = SumOfSquares(size)
         next_seq = TaskContext.get().partitionId() << 40
         end = np.array([END_ID], "<u4").tobytes()
@@ -107,7 +139,7 @@ def _pack(size: int, keep: float, vocab_path: str | None, with_ids: bool):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = array("I", bpe.encode(text.as_py() or "", allowed_special="all")).tobytes() + end
+                ids = array("I", encode(text.as_py() or "")).tobytes() + end
                 total = len(ids) // 4
                 for start in range(0, total, size):
                     piece = (doc_id, start, total, ids[4 * start:4 * (start + size)])
@@ -167,8 +199,10 @@ def pack_documents(docs: DataFrame, seq_len: int = SEQ_LEN, keep_fill: float = K
     the open windows; nothing is shuffled.
 
     Added tokens of the vocabulary (``<|endoftext|>``) that stand in a text
-    are one id each, as the tokenizers file has it. A null or empty text is
-    its end id alone. A null doc_id is carried.
+    are one id each, as the tokenizers file has it. Texts of any length are
+    packed whole, also those of one long run of blanks, letters or marks
+    (``vocab_path`` needs the tokenizers file beside it for these). A null or empty text is
+    its end id alone. Pieces that fit equally well go to the fullest window. A null doc_id is carried.
     Repeated rows are packed once each. Other columns are not read; an empty
     table gives no rows. ``with_ids`` adds the ids themselves.
     """

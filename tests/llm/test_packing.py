@@ -97,3 +97,26 @@ def test_placement_minimises_the_sum_of_squares():
 def test_piece_sizes(spark, length):
     rows = [(1, " a" * (length - 1))]
     check(packing.pack_documents(docs_of(spark, rows)).collect(), rows)
+
+
+@pytest.mark.parametrize("text", [
+    " " * 1_000_000, "a" + " " * 300_000 + "b", "\n" * 200_000, " \n\t" * 90_000, "x" * 300_000, "!" * 200_000,
+    "é" * 100_000, "one <|endoftext|>" + " " * 20_000 + "<|endoftext|> two", "\u00a0" * 50_000 + " x"])
+def test_long_runs(spark, text):
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids + [1]
+    pieces = packing.pack_documents(docs_of(spark, [(1, text)]), with_ids=True).collect()
+    assert sum((p.ids for p in sorted(pieces, key=lambda p: p.start)), []) == ids
+
+
+def test_the_largest_runs():
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder()
+    for text in (" " * 5_000_000, "z" * 2_000_000):
+        assert encode(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text,long", [
+    ("", False), ("ab " * 10, False), ("a" * 9, False), ("a" * 10, True), (" " * 9, False), (" " * 10, True),
+    ("x" + " \n" * 5, True), ("x y" + " " * 9 + "z", False), ("x y" + "\u3000" * 10 + "z", True)])
+def test_what_is_a_long_run(text, long):
+    assert packing.has_long_run(text, 10) == long
