@@ -38,16 +38,16 @@ TOP_TERMS = 50
 SMOOTHING = 5
 SCALE = 1_000_000_000
 BLOCK_POSTINGS = 400_000   # a block is full
-PART_POSTINGS = 8_192      # postings in one row of a run
+PART_POSTINGS = 2_048      # postings in one row of a run
 MERGE_POSTINGS = 200_000   # postings of merged parts summed up at once, about
-FAN_IN = 64                # runs merged at once
+FAN_IN = 256               # runs merged at once
 SLICE = 4 << 20            # bytes of a text split into words at once
 PAIRS = 2_000_000          # pairs of postings expanded at once
 CELLS = 8_000_000          # sums of pairs held at once
 SHARD_POSTINGS = 200_000   # kept postings of a language compared in one task, about
 
-RUN = "shard int, run long, part int, keys array<binary>, sources array<binary>, counts array<long>, docs array<long>"
-RUN_COLUMNS = ["shard", "run", "part", "keys", "sources", "counts", "docs"]
+RUN = "shard int, run long, part int, first binary, postings binary"
+RUN_COLUMNS = ["shard", "run", "part", "first", "postings"]
 POSTING = ["key", "source", "count", "docs"]
 KEPT = "lang binary, term binary, sources array<binary>, counts array<long>"
 
@@ -73,12 +73,17 @@ def _sorted(postings: pa.Table) -> pa.Table:
 
 
 def _run_rows(postings: pa.Table, shard: int, run: int, first: int = 0) -> Iterator[pa.RecordBatch]:
-    """Sorted postings of a shard as rows of a run, ``PART_POSTINGS`` each."""
+    """Sorted postings of a shard as rows of a run, ``PART_POSTINGS`` each,
+    packed: sorted keys share most of their bytes."""
     for part, at in enumerate(range(0, len(postings), PART_POSTINGS), first):
         some = postings.slice(at, PART_POSTINGS).combine_chunks()
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), c.chunk(0)) for c in some.columns]
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([run], pa.int64()),
-                                          pa.array([part], pa.int32()), *lists], RUN_COLUMNS)
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_table(some)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([run], pa.int64()), pa.array([part], pa.int32()),
+             pa.array([some.column("key")[0].as_py()], pa.binary()),
+             pa.array([out.getvalue().to_pybytes()], pa.binary())], RUN_COLUMNS)
 
 
 def _spill(shards: int, block_postings: int):
@@ -137,7 +142,7 @@ def _merged(runs: pa.Table) -> Iterator[pa.Table]:
     in that order; what lies before the first key of all parts still to come
     is complete."""
     parts = defaultdict(list)
-    columns = [runs.column(c) for c in RUN_COLUMNS[3:]]
+    first, packed = runs.column("first"), runs.column("postings")
     for k, (r, p) in enumerate(zip(runs.column("run").to_pylist(), runs.column("part").to_pylist())):
         parts[r].append((p, k))
     waiting = [iter([k for _, k in sorted(mine)]) for mine in parts.values()]
@@ -145,7 +150,7 @@ def _merged(runs: pa.Table) -> Iterator[pa.Table]:
 
     def push(run: int) -> None:
         if (k := next(waiting[run], None)) is not None:
-            heapq.heappush(heap, (columns[0][k].values[0].as_py(), run, k))
+            heapq.heappush(heap, (first[k].as_py(), run, k))
 
     for run in range(len(waiting)):
         push(run)
@@ -153,7 +158,7 @@ def _merged(runs: pa.Table) -> Iterator[pa.Table]:
     while heap:
         _, run, k = heapq.heappop(heap)
         push(run)
-        held.append(pa.table([c[k].values for c in columns], POSTING))
+        held.append(pa.ipc.open_stream(packed[k].as_buffer()).read_all())
         rows += len(held[-1])
         if heap and rows < enough:
             continue
@@ -164,9 +169,9 @@ def _merged(runs: pa.Table) -> Iterator[pa.Table]:
         enough = max(MERGE_POSTINGS, 2 * rows)
         if upto:
             other = pc.or_(pc.not_equal(keys[1:upto], keys[:upto - 1]), pc.not_equal(source[1:upto], source[:upto - 1]))
-            first = np.r_[0, np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1]
-            yield pa.table([keys.take(pa.array(first)), source.take(pa.array(first)),
-                            *[pa.array(np.add.reduceat(c.to_numpy()[:upto], first)) for c in (n, docs)]], POSTING)
+            starts = np.r_[0, np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1]
+            yield pa.table([keys.take(pa.array(starts)), source.take(pa.array(starts)),
+                            *[pa.array(np.add.reduceat(c.to_numpy()[:upto], starts)) for c in (n, docs)]], POSTING)
 
 
 def _merge_runs(keys: tuple[pa.Scalar, ...], runs: pa.Table) -> pa.Table:
