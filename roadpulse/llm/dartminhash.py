@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import (WordHashes, connected_components, discard, materialize, mix64, run_hashes)
@@ -29,6 +29,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 BLOCK_BYTES = 4 << 20   # text compared in one task, about: one or two such blocks
+SIEVE_BITS, SIEVE_HASHES = 1 << 26, 3
 
 
 def weighted_shingles(text: str | None, hashes: WordHashes, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -123,13 +124,36 @@ def _bands(bands: int, rows: int, k: int):
     return run
 
 
-def _packed(batches):
-    """Texts as zstd frames: what moves when texts are compared."""
-    pack = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([pack.compress(t) for t in batch.column(1).to_pylist()], pa.binary())],
-            ["rep", "text"])
+def _places(rep: str, bits: int) -> Column:
+    """A class's places in a sieve of so many bits."""
+    return F.array(*[F.pmod(F.xxhash64(rep, F.lit(j)), F.lit(bits)) for j in range(SIEVE_HASHES)])
+
+
+def _sieve(reps: DataFrame) -> tuple[np.ndarray, int]:
+    """A Bloom filter of classes, ``SIEVE_BITS`` bits at most however many
+    there are (then it lets more through), as 64-bit words."""
+    bits = min(SIEVE_BITS, 1 << max(10, math.ceil(math.log2(12 * reps.count() + 1))))
+    place = F.explode(_places("rep", bits)).alias("place")
+    words = (reps.select(place).groupBy(F.expr("place div 64").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).collect())
+    out = np.zeros(bits // 64, np.int64)
+    for r in words:
+        out[r.word] = r.bits
+    return out.view(np.uint64), bits
+
+
+def _packed(sieve: np.ndarray):
+    """Texts of classes that pass the sieve, as zstd frames: what moves when
+    texts are compared."""
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            at = np.array(batch.column(2).to_pylist(), np.int64).reshape(-1, SIEVE_HASHES).astype(np.uint64)
+            hit = ((sieve[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(1)
+            rep, text = (batch.column(k).filter(pa.array(hit)) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [rep, pa.array([pack.compress(t.as_buffer()) for t in text], pa.binary())], ["rep", "text"])
+    return run
 
 
 class _Block:
@@ -210,7 +234,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
     returns the links that join its components, at most one per row.
 
     What moves is one compressed text per class and smallest class, and one
-    per open bucket and block that it meets. Comparing a bucket of n classes
+    per open bucket and block that it meets. Texts of classes that share no
+    bucket do not move: a Bloom filter of at most 8 MB, which goes to every
+    task, holds most of them back before the join that decides. Comparing a bucket of n classes
     that do not link takes n^2 / 2 similarities, about half a microsecond each
     for short texts.
 
@@ -235,9 +261,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
     shared = (buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high"))
     buckets = materialize(buckets.join(shared, "band").select("band", "rep", "size", "low"))
     # Only the texts of classes that share a bucket are compared.
-    texts = (texts.select("doc_id", F.col("text").cast("binary")).mapInArrow(_packed, "rep long, text binary")
-             .join(buckets.select("rep").distinct(), "rep", "left_semi"))
-    texts = materialize(texts)
+    compared = materialize(buckets.select("rep").distinct())
+    sieve, bits = _sieve(compared)
+    texts = materialize(texts.select("doc_id", F.col("text").cast("binary"), _places("doc_id", bits))
+                        .mapInArrow(_packed(sieve), "rep long, text binary").join(compared, "rep", "left_semi"))
 
     def linked(met: DataFrame) -> DataFrame:
         """Links (a, b) found in groups of rows (key, i, j, home, rep, component, centre)."""
@@ -282,7 +309,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE
                       .select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("class_id"),
                               F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "n_links",
                               F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
-    for table_ in (members, classes, signed, buckets, texts, links, groups, named, all_links, final):
+    for table_ in (members, classes, signed, buckets, compared, texts, links, groups, named, all_links, final):
         discard(table_)
     return out
 
