@@ -144,13 +144,14 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int =
 
 def _whole(sizes: list[tuple[int, int, int]], most: int) -> list[int]:
     """The places of the first documents of (place, label, passages) that
-    have ``most`` passages together, and the first one of each label."""
+    have ``most`` passages together, and the first one of each label. A
+    document that does not fit is left out and the next ones are tried."""
     kept, labels, total = [], set(), 0
     for place, label, n in sorted(sizes):
-        total += n
-        if total <= most or label not in labels:
+        if total + n <= most or label not in labels:
             labels.add(label)
             kept.append(place)
+            total += n
     return kept
 
 
@@ -159,7 +160,7 @@ def _bags(size: int):
         hashes = WordHashes()
         for batch in batches:
             out = [passages(t.as_py(), hashes, size).astype("<f4").tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], ["bag", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), *batch.columns[1:]], ["bag", "label", "place"])
     return run
 
 
@@ -194,7 +195,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
     fewer documents are taken, by a hash again, one of each label at least.
     Scoring reads the whole text; ``top_passage`` has the most attention.
 
-    A null or empty text is one passage of zeros. Without labels of both
+    The fit does not depend on how the tables are partitioned; ties of the
+    hash are taken in the order of the bags. Texts of any length are scored
+    whole. A null or empty text is one passage of zeros. Without labels of both
     classes the score is the share of label 1 (1 without labels). Repeated
     rows get a row each, a null doc_id is carried, an empty table gives no
     rows, other columns are not read.
@@ -205,9 +208,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+"))
     sizes = [tuple(r) for r in sample.select(place, "label", F.greatest(F.lit(1), F.ceil(words / passage))).collect()]
     kept = _whole(sizes, sample_passages)
+    sample = sample.withColumn("place", place)
     if len(kept) < len(sizes):
-        sample = sample.filter(place.isin(kept))
-    rows = sample.select("text", "label").mapInArrow(_bags(passage), "bag binary, label int").collect()
+        chosen = sample.sparkSession.createDataFrame([(p,) for p in kept], "place long")   # sample_docs rows at most
+        sample = sample.join(F.broadcast(chosen), "place", "left_semi")
+    rows = sample.select("text", "label", "place").mapInArrow(_bags(passage), "bag binary, label int, place long").collect()
+    rows.sort(key=lambda r: (r.place, r.bag))   # however the sample was dealt
     y = np.array([r.label for r in rows], np.float64)
     if len(set(y)) == 2:
         weights = fit([np.frombuffer(r.bag, "<f4").reshape(-1, FEATURES).astype(np.float64) for r in rows], y).w

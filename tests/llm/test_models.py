@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roadpulse.llm import ctw, quality, toxicity
 from roadpulse.llm.common import WordHashes
@@ -238,3 +239,31 @@ def test_probabilities_of_a_byte_sum_to_one():
     for context in (gram[3], gram[9], np.uint64(0x7A7A7A7A7A00)):
         every = (context & ~np.uint64(0xFF)) | np.arange(256, dtype=np.uint64)
         assert np.exp(ctw.log_probabilities(every, 5, levels)).sum() == pytest.approx(1)
+
+
+def test_one_long_document_does_not_empty_the_sample():
+    sizes = [(0, 0, 300_000), (1, 1, 5), (2, 0, 5), (3, 1, 5)]
+    assert quality._whole(sizes, 250_000) == [0, 1]
+    sizes = [(0, 0, 5), (1, 1, 300_000), (2, 0, 5), (3, 1, 5), (4, 1, 5)]
+    assert quality._whole(sizes, 400_000) == [0, 1, 2, 3, 4]
+    assert quality._whole([(0, 0, 5), (1, 0, 300_000), (2, 1, 5), (3, 1, 5)], 250_000) == [0, 2, 3]
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    docs, labels = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("documents", "labels"))
+    one = {r.doc_id: r.score for r in quality.score_quality(docs, labels, sample_docs=60).collect()}
+    other = {r.doc_id: r.score for r in quality.score_quality(docs.repartition(5), labels.repartition(3), sample_docs=60).collect()}
+    assert one.keys() == other.keys() and max(abs(one[i] - other[i]) for i in one) < 1e-9
+
+
+def test_toxicity_keeps_columns_of_any_name(spark):
+    docs, labels = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("documents", "labels"))
+    names = ("_toxicity", "_x", "_features", "_margin", "_score", "row")
+    odd = docs
+    for n in names:
+        odd = odd.withColumn(n, F.lit(n))
+    kept = toxicity.without_toxic(odd, labels)
+    assert kept.columns == odd.columns
+    got = kept.collect()
+    assert got and all(r[n] == n for r in got for n in names)
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in toxicity.without_toxic(docs, labels).collect())
