@@ -29,7 +29,7 @@ LEAF = 256             # vectors of an interval compared at once
 PCA_SAMPLE = 10_000    # vectors the principal dimensions are fitted on, about
 
 GROUP = ["label", "dim"]
-BLOCKS = ("label int, dim int, part long, block long, reps array<long>, copies array<long>, vectors binary, "
+BLOCKS = ("label string, dim int, part long, block long, reps array<long>, copies array<long>, vectors binary, "
           "low array<double>, high array<double>")
 
 
@@ -83,7 +83,7 @@ def _cut(basis: np.ndarray, dims: int, size: int, dtype: str):
             n_blocks += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(out, (
-                    pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()),
+                    pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()),
                     pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())))],
                 ["label", "dim", "part", "block", "reps", "copies", "vectors", "low", "high"])
 
@@ -200,7 +200,7 @@ def _suffixed(df: DataFrame, suffix: str, keep: list[str]) -> DataFrame:
 
 def similar_vectors(rows: DataFrame, least: float = SIMILARITY, grid_dims: int = GRID_DIMS, block: int = BLOCK,
                     pca_sample: int = PCA_SAMPLE) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row.
+    """(vec_id, n_links, component_id, kept) of every vector.
 
     Rows of equal, known label are linked where their cosine is ``least`` or
     more. Equal vectors are compared once, with their number as weight.
@@ -213,7 +213,9 @@ def similar_vectors(rows: DataFrame, least: float = SIMILARITY, grid_dims: int =
     Vectors that are null, empty, all zero, or hold a null or non-finite
     component, and rows without label or vec_id, link with nothing:
     n_links 0, component_id their own vec_id, kept. Vectors of different
-    lengths do not link. Rows that share a vec_id are one node. Other
+    lengths do not link. Repeated rows (equal vec_id, label and vector) are one
+    vector and give one row; a vec_id with several different vectors gives a
+    row for each, which are one node. Labels of any type are compared as text. Other
     columns are not read; an empty table gives no rows.
     """
     spark = rows.sparkSession
@@ -223,14 +225,17 @@ def similar_vectors(rows: DataFrame, least: float = SIMILARITY, grid_dims: int =
     usable = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
               & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < infinity), F.lit(False)))
               & F.exists("embedding", lambda x: x != 0))
-    rows = rows.select(F.col("vec_id").cast("long"), F.col("label").cast("int"), "embedding")
+    rows = rows.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), "embedding")
     keyed = rows.select(
         "vec_id", F.coalesce(usable, F.lit(False)).alias("usable"), "label",
         F.size("embedding").alias("dim"), F.xxhash64("embedding").alias("h1"),
         F.xxhash64("embedding", F.lit(7)).alias("h2"), "embedding")
     key = [*GROUP, "h1", "h2"]
+    ids = keyed.drop("embedding").distinct()   # repeated rows are one vector
+    copies = ids.filter("usable").groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
     classes = materialize(keyed.filter("usable").groupBy(*key).agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")))
+        F.min("vec_id").alias("rep"), F.first("embedding").alias("embedding")).join(copies, key)
+        .select(*key, "rep", "copies", "embedding"))
     share = pca_sample / max(1, classes.count())
     place = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 30))
     sample = classes.filter(place < int(min(1.0, share) * (1 << 30))).select("embedding")
@@ -270,7 +275,7 @@ def similar_vectors(rows: DataFrame, least: float = SIMILARITY, grid_dims: int =
              .select(*key, F.lit(True).alias("usable"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                      F.coalesce("component", "rep").alias("component_id")))
-    return (keyed.drop("embedding").join(named, [*key, "usable"], "left")
+    return (ids.join(named, [*key, "usable"], "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))

@@ -298,3 +298,45 @@ def test_recursion_equals_the_plain_product():
     assert (egojoin.forest(i, j, len(x)) == root).all()
     a, b, root = egojoin.join_blocks((x[:350], copies[:350]), (x[350:], copies[350:]), False, basis, 4, 0.93, leaf=32)
     assert (a == hit[:350, 350:] @ copies[350:]).all() and (b == copies[:350] @ hit[:350, 350:]).all()
+
+
+def test_repeated_vectors_and_labels_of_any_type(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (3, [1.0, 0.0], "b"),
+            (4, [0.0, 1.0], "3000000000"), (5, [0.0, 2.0], "3000000000"), (6, [0.0, 2.0], None)]
+    want = {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+    got = egojoin.similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    got = got.collect()
+    assert len(got) == 6 and {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+    big = spark.createDataFrame([(4, [0.0, 1.0], 3_000_000_000), (5, [0.0, 2.0], 3_000_000_000)],
+                                "vec_id long, embedding array<double>, label long")
+    assert [r.n_links for r in egojoin.similar_vectors(big).collect()] == [1, 1]
+
+
+def test_columns_named_like_an_operator_s_own(spark):
+    text = texts(3, 1)[0][0]
+    docs = spark.createDataFrame([(1, text, 5, "a", 1.0), (2, text + " end", 6, "b", 2.0), (3, "other", 7, "c", 3.0)],
+                                 "doc_id long, text string, _row int, _found_id string, _found_hash double")
+    kept = dartminhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(r._row for r in kept.collect()) == [5, 7]
+    items = spark.createDataFrame([(9, " ".join(text.split()[:20]))], "item_id long, text string")
+    for rows in (decontam.BROADCAST_ROWS, 0):
+        clean = decontam.without_contaminated(docs, items, broadcast_rows=rows)
+        assert clean.columns == docs.columns and [r.doc_id for r in clean.collect()] == [3]
+
+
+def test_blocks_of_a_bucket_lose_no_link(spark, monkeypatch):
+    """Many texts that share buckets but seldom link, in small blocks."""
+    rng = random.Random(8)
+    base = texts(6, 1, 80, 3000)[0][0].split()
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rng.choice([1, 3, 6, 12])):
+            words[rng.randrange(80)] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    want = near_copies(rows)
+    assert 3 < len({c for _, c in want.values()}) < 80
+    for size in (dartminhash.BLOCK_BYTES, 4000):
+        monkeypatch.setattr(dartminhash, "BLOCK_BYTES", size)
+        got = dartminhash.near_duplicates(docs_of(spark, rows)).collect()
+        assert {r.doc_id: (r.class_id, r.component_id) for r in got} == want
