@@ -11,6 +11,7 @@ number of sketch hits that a contained item can fall to by chance.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -217,9 +218,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = C
         items = Items(sketches.collect(), least)
         return docs.mapInArrow(_clean(items, docs.columns.index("text")), docs.schema)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    id_, hash_ = (f"found_{name}_{uuid.uuid4().hex}" for name in ("id", "hash"))
     found = _joined(rows, sketches, least).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_found_id")) & (F.xxhash64("text") == F.col("_found_hash"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
     return docs.join(found, same, "left_anti")
 
 

@@ -208,8 +208,10 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more, all
     columns kept; edge cases as in ``score_toxicity``."""
-    scored = with_toxicity(docs, fit_toxicity(docs, labels, sample_docs), "_toxicity")
-    return scored.filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    # Whole rows in one column: the names of theirs cannot meet the model's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    scored = with_toxicity(rows, fit_toxicity(docs, labels, sample_docs), "toxicity")
+    return scored.filter(F.col("toxicity") < threshold).select("row.*")
 
 
 @query("op10_boosted_toxicity")
