@@ -6,6 +6,7 @@
   replacing that day alone.
 - ``reports``: whole-history peak-hour table (CSV), summaries, and the
   trailing days' statistics, alerts, resample, heatmap and export.
+- ``archive``: closed days of a streamed table as a few large files.
 - ``dashboard``: the serving views (latest status, dense hourly stats, recent
   alerts and reports, day summary, checks) as small tables.
 
@@ -42,7 +43,10 @@ from roadpulse.streaming import (  # noqa: E402
     window_update_sink,
 )
 from roadpulse.streaming.pipeline import start_latest_status, valid_only, write_batch  # noqa: E402
-from roadpulse.streaming.served import start_late_split, start_served_status, window_table_sink  # noqa: E402
+from roadpulse.sinks.archive import archive_days, drop_archived  # noqa: E402
+from roadpulse.streaming.served import (  # noqa: E402
+    refresh_status, served_status, start_late_split, start_served_status, window_table_sink,
+)
 
 
 def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: str | None, windows_path: str,
@@ -222,12 +226,16 @@ def run_reports(spark: SparkSession, facts_path: str, alerts_path: str, out: str
 
 
 def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, reports_path: str | None,
-                  out: str, day: dt.date) -> None:
+                  out: str, day: dt.date, status_path: str | None = None) -> None:
     """Materialise the dashboard's five views as small tables (re-run on a
-    timer instead of a request per browser poll)."""
+    timer instead of a request per browser poll). With ``status_path`` the
+    latest status is a published table that merges the batches that came
+    since the last run; without it the whole history is scanned."""
     facts, alerts = read_facts(spark, facts_path), read_alerts(spark, alerts_path)
+    if status_path:
+        refresh_status(spark, facts_path, status_path)
     views = {
-        "current_status": serving.latest_status(facts),
+        "current_status": served_status(spark, status_path) if status_path else serving.latest_status(facts),
         "hourly_stats": serving.hour_grid(facts, day),
         "critical_alerts": serving.recent(newest(spark, alerts_path, alerts, P.RECENT_ALERTS, "alert"),
                                           P.RECENT_ALERTS),
@@ -243,6 +251,14 @@ def run_dashboard(spark: SparkSession, facts_path: str, alerts_path: str, report
         df.write.mode("overwrite").parquet(os.path.join(out, name))
 
 
+def run_archive(spark: SparkSession, facts_path: str, archive_path: str, before: dt.date) -> list[str]:
+    """Pack the closed days before ``before`` of a streamed table, and delete
+    the partitions of days packed a day ago or earlier."""
+    days = archive_days(spark, facts_path, archive_path, before)
+    drop_archived(spark, facts_path, archive_path)
+    return days
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     sub = ap.add_subparsers(dest="job", required=True)
@@ -290,6 +306,11 @@ def main(argv=None) -> None:
     d.add_argument("--reports")
     d.add_argument("--out", required=True)
     d.add_argument("--day", type=dt.date.fromisoformat, required=True)
+    d.add_argument("--status", help="published status table, kept up batch by batch")
+    c = sub.add_parser("archive")
+    c.add_argument("--facts", required=True, help="a table of facts or alerts by event_date, writer and batch_id")
+    c.add_argument("--archive", required=True)
+    c.add_argument("--before", type=dt.date.fromisoformat, required=True)
     a = ap.parse_args(argv)
     spark = get_session(f"roadpulse-{a.job}", rocksdb_state=getattr(a, "rocksdb", False))
     if a.job == "stream":
@@ -302,7 +323,9 @@ def main(argv=None) -> None:
     elif a.job == "nightly":
         run_nightly(spark, a.facts, a.reports, a.csv, a.as_of, a.rollup, a.published)
     elif a.job == "dashboard":
-        run_dashboard(spark, a.facts, a.alerts, a.reports, a.out, a.day)
+        run_dashboard(spark, a.facts, a.alerts, a.reports, a.out, a.day, a.status)
+    elif a.job == "archive":
+        run_archive(spark, a.facts, a.archive, a.before)
     else:
         run_reports(spark, a.facts, a.alerts, a.out, a.as_of, a.days, a.rollup)
 

@@ -159,7 +159,8 @@ class Published:
     # --- writes --------------------------------------------------------------
 
     def upsert(self, new: DataFrame, keys: list[str], slice_of, order: list[str] | None = None,
-               writer: str | None = None, batch_id: int | None = None, meta: dict | None = None) -> dict:
+               writer: str | None = None, batch_id: int | None = None, meta: dict | None = None,
+               merged: dict[str, int] | None = None) -> dict:
         """Merge rows by key: a new row replaces the stored row of its key,
         other keys stay. With ``order`` the row that is greatest in those
         columns stays. Only slices that ``new`` has rows of are read and
@@ -171,23 +172,24 @@ class Published:
             if writer is not None and base["writers"].get(writer, -1) >= batch_id:
                 return base
             touched = {r[0] for r in new.select(slice_of.cast("string")).distinct().collect()}
-            merged = new
+            both = new
             if touched & set(base["slices"]):
                 stored = self.read(touched.__contains__, base).select(*new.columns)
                 if order is None:
-                    merged = stored.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+                    both = stored.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
                 else:
-                    merged = stored.unionByName(new)
+                    both = stored.unionByName(new)
             if order is not None:
                 rest = [c for c in new.columns if c not in keys]
-                merged = (merged.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+                both = (both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
                           .select(*keys, "_r.*").select(*new.columns))
-            aside = self.write_aside(merged, slice_of)
+            aside = self.write_aside(both, slice_of)
             schema = T.StructType([T.StructField(f.name, f.dataType) for f in new.schema.fields])
             if order is None:
                 self.audit(aside, schema, keys)
             try:
-                return self.publish(base, {**dict.fromkeys(touched), **aside}, schema, writer, batch_id, meta)
+                return self.publish({**base, "writers": {**base["writers"], **(merged or {})}},
+                                    {**dict.fromkeys(touched), **aside}, schema, writer, batch_id, meta)
             except Conflict:
                 continue
         raise Conflict(f"{self.path}: other writers were faster {RETRIES} times")

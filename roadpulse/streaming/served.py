@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from roadpulse import params as P
+from roadpulse.operators.ranking import latest_per_key
+from roadpulse.sinks.archive import read_batches, stored_batches
 from roadpulse.sinks.published import Published
 from roadpulse.streaming.pipeline import (
     WINDOW_KEY, latest_status_stream, valid_only, writer_of,
@@ -44,12 +46,15 @@ def _start(df: DataFrame, mode: str, on_batch: Callable, checkpoint: str, trigge
 
 # --- latest status ------------------------------------------------------------
 
-def merge_status(rows: DataFrame, path: str, writer: str, batch_id: int, buckets: int = STATUS_BUCKETS) -> None:
+def merge_status(rows: DataFrame, path: str, writer: str | None, batch_id: int | None,
+                 buckets: int = STATUS_BUCKETS, merged: dict[str, int] | None = None) -> None:
     """Merge latest readings into the status table: per sensor the later one
     (ties: larger event id) stays, also against what another checkpoint
-    wrote. Only buckets of the sensors in ``rows`` are rewritten."""
+    wrote. Only buckets of the sensors in ``rows`` are rewritten. ``merged``
+    are the last batches of several writers that ``rows`` hold."""
     bucket = F.pmod(F.xxhash64("sensor_id"), F.lit(buckets))
-    Published(rows.sparkSession, path).upsert(rows, ["sensor_id"], bucket, ["event_time", "event_id"], writer, batch_id)
+    Published(rows.sparkSession, path).upsert(rows, ["sensor_id"], bucket, ["event_time", "event_id"], writer, batch_id,
+                                              merged=merged)
 
 
 def start_served_status(enriched: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -71,6 +76,24 @@ def served_status(spark: SparkSession, path: str) -> DataFrame:
     return Published(spark, path).read()
 
 
+def refresh_status(spark: SparkSession, facts_path: str, path: str, buckets: int = STATUS_BUCKETS) -> DataFrame | None:
+    """Bring a status table up to a streamed facts table (partitions
+    event_date, writer, batch_id): only batches it has not merged are listed
+    and read, whatever the times of their readings. The rows read, None if
+    there was nothing new. A batch counts as merged by its writer's batch id."""
+    table = Published(spark, path)
+    seen = table.manifest()["writers"]
+    fresh = {k: f for k, f in stored_batches(spark, facts_path).items() if k[2] > seen.get(k[1], -2)}
+    if not fresh:
+        return None
+    rows = read_batches(spark, facts_path, sorted(fresh.values()))
+    columns = ["sensor_id", "event_id", "event_time", "vehicle_count", "avg_speed", "congestion_index", "traffic_status"]
+    latest = latest_per_key(rows, "sensor_id", "event_time", "event_id", [c for c in columns if c != "sensor_id"])
+    last = {w: max(b for _, x, b in fresh if x == w) for _, w, _ in fresh}
+    merge_status(latest.select(*columns), path, None, None, buckets, last)
+    return rows
+
+
 # --- windows ------------------------------------------------------------------
 
 def append_windows(changed: DataFrame, path: str, writer: str, batch_id: int, fold_every: int = FOLD_EVERY) -> None:
