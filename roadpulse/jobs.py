@@ -39,8 +39,8 @@ from roadpulse.sinks import (  # noqa: E402
 )
 from roadpulse.sources.telemetry import Cols, newest, on_day, read_alerts, read_facts, trailing  # noqa: E402
 from roadpulse.streaming import (  # noqa: E402
-    dedup_events, enrich_stream, kafka_source, read_wire_files, start_fact_sinks, start_store_sink, start_windows,
-    window_update_sink,
+    dedup_events, enrich_stream, kafka_source, read_wire_files, start_cutoff, start_fact_sinks, start_store_sink,
+    start_windows, window_update_sink,
 )
 from roadpulse.streaming.pipeline import start_latest_status, valid_only, write_batch  # noqa: E402
 from roadpulse.sinks.archive import archive_days, drop_archived  # noqa: E402
@@ -54,7 +54,7 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
                checkpoint_base: str | None = None, dedup: bool = False, update_windows: bool = False,
                status_path: str | None = None, every: str = "1 minute", starting_offsets: str = "latest",
                max_offsets: int | None = None, served: bool = False, late_path: str | None = None,
-               ledger: str | None = None):
+               ledger: str | None = None, files_from_start: bool = True):
     """Start the facts/alerts sink and the window sink. Without ``alerts_path``
     facts, alerts and quarantine go to one exactly-once store at
     ``facts_path`` (read it with ``read_facts`` / ``read_alerts``). Each query
@@ -73,16 +73,24 @@ def run_stream(spark: SparkSession, source: str, facts_path: str, alerts_path: s
     (``served_status``, ``window_table``), readable at any time and bounded to
     read, instead of a folder overwritten in place and a growing log.
     ``late_path`` stores the readings that come too late for their window;
-    ``ledger`` keeps a row of counts per query and batch."""
-    raw = kafka_source(spark, kafka_servers, source, starting_offsets, max_offsets_per_trigger=max_offsets) \
-        if kafka_servers else read_wire_files(spark, source, max_files_per_trigger=max_files)
+    ``ledger`` keeps a row of counts per query and batch.
+
+    Without ``files_from_start`` a file source starts at the latest: files
+    older than the job's first start are left out, and one that vanishes after
+    it was listed is skipped."""
+    own = hashlib.md5(facts_path.rstrip("/").encode()).hexdigest()
+    base = (checkpoint_base or shared_dir(spark, f"stream/{own}")).rstrip("/")
+    if kafka_servers:
+        raw = kafka_source(spark, kafka_servers, source, starting_offsets, max_offsets_per_trigger=max_offsets)
+    elif files_from_start:
+        raw = read_wire_files(spark, source, max_files_per_trigger=max_files)
+    else:
+        raw = read_wire_files(spark, source, max_files, start_cutoff(spark, base), tolerate_loss=True)
     enriched = enrich_stream(raw)
     stored = dedup_events(enriched) if dedup else enriched
     # One micro-batch a minute: each batch adds (date, batch) partitions to
     # the facts table, so short triggers multiply partitions and small files.
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    own = hashlib.md5(facts_path.rstrip("/").encode()).hexdigest()
-    base = (checkpoint_base or shared_dir(spark, f"stream/{own}")).rstrip("/")
     if alerts_path is None:
         # One exactly-once store for facts, alerts and quarantine (kind partition).
         queries = [start_store_sink(stored, facts_path, f"{base}/store", trigger, "store")]
@@ -274,6 +282,7 @@ def main(argv=None) -> None:
     s.add_argument("--update-windows", action="store_true", help="log every changed window each batch")
     s.add_argument("--status", help="keep a table of the latest status per sensor here")
     s.add_argument("--served", action="store_true", help="status and updated windows as published tables")
+    s.add_argument("--new-files", action="store_true", help="files from the first start on; vanished ones are skipped")
     s.add_argument("--late", help="store readings that come too late for their window here")
     s.add_argument("--ledger", help="keep counts of every batch here")
     s.add_argument("--rocksdb", action="store_true", help="streaming state off the heap")
@@ -317,7 +326,7 @@ def main(argv=None) -> None:
         await_all(spark, run_stream(
             spark, a.source, a.facts, a.alerts, a.windows, a.kafka_servers, a.available_now, a.max_files,
             a.checkpoints, a.dedup, a.update_windows, a.status, a.every, a.starting_offsets, a.max_offsets,
-            a.served, a.late, a.ledger))
+            a.served, a.late, a.ledger, not a.new_files))
     elif a.job == "ingest":
         run_ingest(spark, a.source, a.facts, a.alerts, a.quarantine)
     elif a.job == "nightly":

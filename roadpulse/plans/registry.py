@@ -89,4 +89,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so its queries register."""
-    from roadpulse.plans import daily, ingest, reports, serving, shipments, stored  # noqa: F401
+    from roadpulse.plans import daily, ingest, reports, rolling, serving, shipments, stored  # noqa: F401

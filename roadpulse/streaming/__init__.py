@@ -1,6 +1,6 @@
 from roadpulse.streaming.pipeline import (  # noqa: F401
     dedup_events, enrich_stream, kafka_source, latest_status_stream, read_wire_files,
-    latest_windows, start_fact_sinks, start_latest_status, start_store_sink, start_windows, valid_only,
+    latest_windows, start_fact_sinks, start_latest_status, start_cutoff, start_store_sink, start_windows, valid_only,
     watermark_drops, window_update_sink,
 )
 from roadpulse.streaming.served import (  # noqa: F401

@@ -15,6 +15,7 @@ watermarked 5-minute windows, and latest status per sensor.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Callable
 
@@ -50,12 +51,39 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
     return r.load()
 
 
-def read_wire_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Wire messages from newline-delimited JSON text files (one message per line)."""
+def read_wire_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                    since: dt.datetime | None = None, tolerate_loss: bool = False) -> DataFrame:
+    """Wire messages from newline-delimited JSON text files (one message per
+    line). ``since`` leaves out files modified before it (``start_cutoff``:
+    start at the latest); with ``tolerate_loss`` a file that vanishes after it
+    was listed is skipped instead of ending the query."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+    if tolerate_loss:
+        r = r.option("ignoreMissingFiles", True)
+    df = r.load(path)
+    if since is None:
+        return df
+    modified = F.unix_micros("_metadata.file_modification_time")
+    return df.filter(modified >= F.lit(int(since.timestamp() * 1_000_000))).select("value")
+
+
+def start_cutoff(spark: SparkSession, checkpoint: str, now: dt.datetime | None = None) -> dt.datetime:
+    """The moment a stream first started, kept beside its checkpoint: written
+    by the first start, read by every later one."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/start_cutoff")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        out = fs.create(at, False)
+        out.write(bytearray((now or dt.datetime.now(dt.timezone.utc)).isoformat().encode()))
+        out.close()
+    stream = fs.open(at)
+    try:
+        return dt.datetime.fromisoformat(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def enrich_stream(raw: DataFrame, value_col: str = "value") -> DataFrame:
