@@ -22,14 +22,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from roadpulse.llm.common import materialize
 from roadpulse.llm.registry import query, table
 
-CHUNK = 128            # pages of a host that are read together
-HOT_SHARE = 100_000    # hosts with more than 1 / HOT_SHARE of all pages are split
+CHUNK = 128            # pages of a host that are read together at most
+CHUNK_BYTES = 16 << 20  # and their bytes, about
+FEW_HOSTS = 100_000    # so many large hosts, of a few bytes each, go to every task
 SUPPORT = 0.6          # share of the pages a template class occurs on
 LEAST_PAGES = 6        # different pages that text must recur on to be template
 
-RAW = "script|style|noscript|textarea|template|iframe|svg|select|object|canvas|math|title"
+# Elements whose content is no markup, up to their end tag.
+RAW = "script|style|noscript|textarea|template|iframe|title"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>?.*?(?:</(?P=raw)\s*>|\Z)"
@@ -39,13 +42,24 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/<>\"'][^\s=/<>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr img".split())
+                   "span strike strong sub sup time tt u var wbr img svg math".split())
+FOREIGN = frozenset("svg math".split())   # in these, <x/> is empty and all is inline
 CLOSED_BY_SAME = frozenset("p li dt dd option tr td th".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements, roles and names that mark what is not main text. A class or id is
 # such a name as a whole: words of NAMES, alone or with those of PARTS, or a
 # class that begins with one of PREFIXES.
-ASIDE = frozenset("head nav footer aside form button input dialog menu".split())
+ASIDE = frozenset("head nav footer aside form button input select dialog menu".split())
+OPTIONS = frozenset("option optgroup hr".split())   # what an open select may hold
+# Elements that label what follows them: recurring ones belong to the article
+# if a slot follows.
+LABELS = HEADINGS | frozenset("dt th caption figcaption summary legend".split())
+# Elements that hold text rather than other elements; in an article only the
+# names of notices and adverts set them apart.
+TEXT_LEVEL = frozenset("p li blockquote pre td th dd dt figcaption".split())
+NOTICES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies "
+                    "consent notice notices gdpr".split())
+READERS = frozenset("reviews responses reactions".split())   # around nested articles
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
                   "form".split())
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
@@ -60,6 +74,13 @@ PREFIXES = ("adsbygoogle", "advertis", "breadcrumb", "disqus", "gdpr", "navbar",
 SITE_NAMES = frozenset("header topbar".split())
 
 
+HTML_TOP = frozenset(["", "html", "body"])
+
+
+def in_select(stack: list) -> bool:
+    return any(s[0] == "select" for s in stack)
+
+
 class Block:
     """A text block: its element path, whether it is set apart from the main
     text, whether an article or main element holds it, and how much of it is
@@ -89,15 +110,20 @@ def _apart(tag: str, rest: str, in_article: bool) -> tuple[bool, str]:
             apart = True
         elif name == "class":
             label = value
-            apart |= any(v.startswith(PREFIXES) or _named_apart(v, in_article) for v in value.split())
+            apart |= any(v.startswith(PREFIXES) or _named_apart(v, in_article, tag) for v in value.split())
         elif name == "id" and tag not in HEADINGS:   # a heading's id is made of its text
-            apart |= _named_apart(value, in_article)
+            apart |= _named_apart(value, in_article, tag)
     return apart, label
 
 
-def _named_apart(name: str, in_article: bool) -> bool:
+def _named_apart(name: str, in_article: bool, tag: str) -> bool:
     words = {w for w in re.split(r"[^a-z]+", name) if w}
-    marks = words & (NAMES if in_article else NAMES | SITE_NAMES)
+    if not in_article:
+        marks = words & (NAMES | SITE_NAMES)
+    elif tag in TEXT_LEVEL:
+        marks = words & NOTICES
+    else:
+        marks = words & (NAMES | READERS)
     return bool(marks) and words <= marks | PARTS
 
 
@@ -142,7 +168,8 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
         if tag is None:
             continue
         tag = tag.lower()
-        inline = tag in INLINE
+        foreign = tag in FOREIGN or (stack[-1][0] not in HTML_TOP and any(s[0] in FOREIGN for s in stack))
+        inline = tag in INLINE or foreign
         if not inline:
             settle()
         if m["end"]:
@@ -152,8 +179,12 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
                 in_link -= stack.pop()[0] == "a"
             tokens.append((f"{stack[-1][1]}</{tag}", None))
             continue
-        if tag in VOID:
+        if tag in VOID or (foreign and m["rest"].rstrip().endswith("/")):
             continue
+        if not inline and tag not in OPTIONS and in_select(stack):
+            # A select that was left open ends where other markup begins.
+            while in_select(stack):
+                in_link -= stack.pop()[0] == "a"
         if not inline:
             # A block ends an open paragraph, an item the item before it.
             for i in range(len(stack) - 1, 0, -1):
@@ -166,7 +197,7 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
         _, path, apart, main = stack[-1]
         own, label = _apart(tag, m["rest"], main)
         starts_main = tag in ("article", "main") and not own
-        if starts_main and apart and "comment" not in path:
+        if starts_main and apart and "comment" not in path and not any(s[0] == "article" for s in stack):
             apart = False   # an element before it was left open
         path = f"{path}/{tag}.{label}" if label else f"{path}/{tag}"
         stack.append((tag, path, apart or own, main or starts_main))
@@ -230,12 +261,22 @@ def _nested(pages: list[list[tuple]], root: set, texts: set) -> bool:
 def main_text(blocks: list[Block], template: set) -> str:
     """The blocks of the main text, joined by one space: those that are no
     template, or all if they are. Copies of a page are one page in the
-    evidence, so their common article is no template."""
+    evidence, so their common article is no template. Recurring headings and
+    labels of an article stay if a slot follows them: they name its parts."""
     inside = [b for b in blocks if b.main]
     rest = [b for b in inside or blocks if not b.apart]
     if not inside:
         rest = [b for b in rest if 2 * b.linked <= len(b.text)]   # lists of links
-    slots = [b for b in rest if (b.path, b.text) not in template]
+    if not template:
+        return " ".join(b.text for b in rest)
+    kept, named = [], False   # from the end: whether a slot follows, past other labels
+    for b in reversed(rest):
+        slot = (b.path, b.text) not in template
+        label = bool(inside) and b.path.rsplit("/", 1)[-1].split(".", 1)[0] in LABELS
+        if slot or (label and named):
+            kept.append(b)
+        named = slot or (label and named)
+    slots = kept[::-1]
     return " ".join(b.text for b in slots or rest)
 
 
@@ -374,9 +415,9 @@ def extract_main_text(pages: DataFrame, chunk: int = CHUNK, support: float = SUP
     no tag, role or name sets apart. The result does not depend on the order
     or the partitions of the table.
 
-    Pages of a host are read together, up to ``chunk`` of them; hosts with
-    more than a 1 / ``HOT_SHARE`` of all pages (so fewer than that many hosts)
-    are dealt out by page_id, so that no task holds a whole large host. Their
+    Pages of a host are read together, up to ``chunk`` of them and about
+    ``CHUNK_BYTES``; larger hosts are dealt out by page_id and url, so that no
+    task holds a whole large host. Their
     parts only count: occurrence vectors are hashed and added up per host and
     token, orders are compared per host and class, and the valid texts go back
     to the parts. The pages are shuffled once.
@@ -390,12 +431,11 @@ def extract_main_text(pages: DataFrame, chunk: int = CHUNK, support: float = SUP
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), F.lit("")))
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"),
                          host.alias("host"))
-    counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    large = max(chunk, total // HOT_SHARE)
-    hot = [(r.host, -(-r.n // large)) for r in counts.filter(F.col("n") > large).collect()]
-    parts = spark.createDataFrame(hot, "host string, parts long")
-    dealt = (pages.join(F.broadcast(parts), "host", "left")
+    counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html")).alias("bytes"))
+    split = F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.coalesce("bytes", F.lit(0)) / CHUNK_BYTES))
+    parts = materialize(counts.select("host", split.cast("long").alias("parts")).filter("parts > 1"))
+    small = F.broadcast if parts.count() <= FEW_HOSTS else (lambda df: df)
+    dealt = (pages.join(small(parts), "host", "left")
              .withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts"))
     by_part = dealt.groupBy("host", "part")
 
@@ -404,7 +444,7 @@ def extract_main_text(pages: DataFrame, chunk: int = CHUNK, support: float = SUP
 
     def to_parts(known: DataFrame) -> DataFrame:
         number = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
-        return known.join(F.broadcast(parts), "host", "left").withColumn("part", number).drop("parts")
+        return known.join(small(parts), "host", "left").withColumn("part", number).drop("parts")
 
     standing = (by_part.applyInArrow(_copies, _ddl(COPIES)).groupBy("host", "copies")
                 .agg(F.min(F.struct("page", "part")).alias("first")).select("host", "first.part", "first.page"))

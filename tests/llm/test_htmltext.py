@@ -74,6 +74,20 @@ def test_any_markup_is_read(parts):
     assert [t for t in tokens if t[1] is not None] == [(b.path, b.text) for b in blocks]
 
 
+@pytest.mark.parametrize("body, text", [
+    ('<p>first part</p><svg class="i"/><p>second part</p>', "first part second part"),
+    ('<p>a <svg viewBox="0 0 1 1"><title>Close</title><path d="M0 0"/><circle r=1 /></svg> b</p><p>c</p>', "a b c"),
+    ("<p>a</p><svg><path d=x><p>b</p>", "a b"), ("Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be", "Let x=1 be"),
+    ("<p>a</p><object data=x><p>in place of it</p></object><p>b</p>", "a in place of it b"),
+    ("<p>a</p><select><option>one<option>two<p>b</p>", "a b"), ("<p>a</p><select><option>one</select><p>b</p>", "a b"),
+    ('<p class="search">kept</p><p class="related main">too</p><p class="ad">gone</p>', "kept too"),
+    ("<p>a</p><section id='reviews'><article><p>liked it</p></article></section>", "a"),
+    ("<table><tr><th>k<td>v</table>", "k v")])
+def test_elements_inside_an_article(body, text):
+    assert text_of(f"<article>{body}</article>") == text
+    assert text_of(f"<nav>n</nav><article>{body}</article><footer>f</footer>") == text
+
+
 def page(i, body, extra=""):
     return f"<html><body><div>Welcome</div><div class=c>{body}<p>By staff</p></div>{extra}<div>Contact us</div></body></html>"
 
@@ -174,3 +188,47 @@ def test_real_pages(spark):
         inside = re.split("</article>|<footer", pages[r.page_id].split("<article>", 1)[1])[0]
         inside = re.sub("</?b>", "", re.sub("</?(p|h1|br)[^>]*>", " ", inside))
         assert r.text == " ".join(html.unescape(inside).split()) and r.n_chars == len(r.text)
+
+
+def test_recurring_headings_of_articles_stay(spark):
+    """Recipes of one host: the headings of their parts recur, a notice at the
+    end does too."""
+    notice = "<p>Views are those of their authors.</p><h3>More recipes</h3>"
+    pages = [f"<article><h1>Cake {i}</h1><h2>Ingredients</h2><ul><li>{i} eggs<li>{i * 7} g flour</ul>"
+             f"<h2>Method</h2><p>Bake {i} minutes.</p>{notice}</article>" for i in range(8)]
+    got = texts_of(spark, pages)
+    assert got == {i: f"Cake {i} Ingredients {i} eggs {i * 7} g flour Method Bake {i} minutes." for i in range(8)}
+
+
+WORDS = st.lists(st.sampled_from(["alpha", "b&c", "é", "3 < 4", "γ", "word", "\"quoted\""]), min_size=1, max_size=6).map(" ".join)
+BOILERPLATE = st.sampled_from([
+    "<nav><ul><li><a href=/>Home</a></ul></nav>", "<div class='sidebar'><p>side</p></div>", "<!-- <p>no</p> -->",
+    "<script>var x = '<p>no</p>';</script>", "<form><label>q</label><select><option>1</select></form>", "<style>p{}</style>",
+    "<aside>aside</aside>", "<div role=complementary>c</div>", "<div hidden>h</div>", "<section class=comments><article>no</article></section>",
+    "<svg class=i><title>t</title><path d='M0'/></svg>", "<button>Go</button>", "<div class='ad-slot'>buy</div>"])
+
+
+@settings(max_examples=200, deadline=None, database=None)
+@given(st.lists(st.tuples(st.sampled_from(["p", "h2", "li", "blockquote", "div", "pre", "td"]), WORDS, st.lists(BOILERPLATE, max_size=2)),
+                max_size=8), st.booleans())
+def test_generated_pages(parts, closed):
+    """Pages written from known article texts; nothing of the module makes the
+    expected text."""
+    body, want = [], []
+    for tag, words, around in parts:
+        piece = f"<{tag}>{html.escape(words)}</{tag}>"
+        piece = {"li": f"<ul>{piece}</ul>", "td": f"<table><tr>{piece}</table>"}.get(tag, piece)
+        body.append("".join(around) + piece)
+        want.append(words)
+    whole = (f"<html><head><title>T</title></head><body><header>site</header><main><article>{''.join(body)}"
+             + ("</article></main>" if closed else "") + "<footer>foot</footer></body></html>")
+    assert text_of(whole) == " ".join(want)
+
+
+def test_large_hosts_are_split_by_bytes(spark, monkeypatch):
+    pages = [page(i, f"<p>Story {i} {'w ' * i}</p>") for i in range(30)]
+    whole = texts_of(spark, pages)
+    for few in (htmltext.FEW_HOSTS, 0):
+        monkeypatch.setattr(htmltext, "FEW_HOSTS", few)
+        monkeypatch.setattr(htmltext, "CHUNK_BYTES", 500)
+        assert texts_of(spark, pages) == whole
