@@ -28,7 +28,8 @@ CONTAINMENT = 0.8
 # shingles than its sketch length is searched by all of them.
 SIZES = ((64, 16), (512, 24), (math.inf, 32))
 SLACK = 5                    # standard deviations below the expected hits
-BROADCAST_ROWS = 1_000_000   # sketch rows sent to every task at most; more are joined
+BROADCAST_ROWS = 1_000_000   # hashes and words of items sent to every task at most; more are joined
+BROADCAST_BYTES = 64 << 20   # and their bytes
 SKETCH = "item_id long, words array<binary>, run int, n_shingles int, need int, hashes array<long>"
 
 
@@ -181,9 +182,12 @@ def _sketch_table(benchmark: DataFrame, k: int, least: float, sizes) -> DataFram
 
 
 def _small(sketches: DataFrame, most: int) -> bool:
-    """The sketches and the words of the items are bounded by ``most``."""
-    size = sketches.agg(F.sum(F.size("hashes") + F.size("words"))).first()[0]
-    return (size or 0) <= most
+    """The sketches and the words of the items are ``most`` numbers and words
+    and ``BROADCAST_BYTES`` at most."""
+    letters = F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + F.octet_length(w))
+    numbers, size = sketches.agg(F.sum(F.size("hashes") + F.size("words")),
+                                 F.sum(8 * F.size("hashes") + letters)).first()
+    return (numbers or 0) <= most and (size or 0) <= BROADCAST_BYTES
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAINMENT, k: int = SHINGLE,
@@ -192,8 +196,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, least: float = CONTAI
     which a document contains ``least`` or more of the distinct ``k``-word
     shingles (lower-case words), verified on the words themselves.
 
-    Sketches of up to ``broadcast_rows`` hashes and words are sent to every
-    task, and documents are streamed past them without a shuffle; larger
+    Sketches of up to ``broadcast_rows`` hashes and words and
+    ``BROADCAST_BYTES`` are sent to every task, and documents are streamed past them without a shuffle; larger
     ones are joined on the hash.
 
     Items without words are found nowhere; an item of fewer than ``k`` words

@@ -184,24 +184,10 @@ def _score(weights: dict, size: int, threshold: float):
     return run
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, passage: int = PASSAGE,
-                  threshold: float = THRESHOLD, sample_passages: int = SAMPLE_PASSAGES) -> DataFrame:
-    """(doc_id, held_out, score, predicted, n_passages, top_passage,
-    top_weight) of every document.
-
-    The model is fitted on about ``sample_docs`` labelled documents, chosen
-    by a hash of doc_id, held-out ones (crc32(doc_id) mod 5 = 0) never, and on
-    all passages of each. If they have more than ``sample_passages`` together,
-    fewer documents are taken, by a hash again, one of each label at least.
-    Scoring reads the whole text; ``top_passage`` has the most attention.
-
-    The fit does not depend on how the tables are partitioned; ties of the
-    hash are taken in the order of the bags. Texts of any length are scored
-    whole. A null or empty text is one passage of zeros. Without labels of both
-    classes the score is the share of label 1 (1 without labels). Repeated
-    rows get a row each, a null doc_id is carried, an empty table gives no
-    rows, other columns are not read.
-    """
+def fit_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, passage: int = PASSAGE,
+                sample_passages: int = SAMPLE_PASSAGES) -> dict[str, np.ndarray]:
+    """Weights of the attention model (see ``Attention``), learned as
+    ``score_quality`` says."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sample = labelled_sample(docs, labels, "quality", sample_docs, SEED)
     place = F.xxhash64("doc_id", F.lit(SEED + 2))
@@ -221,6 +207,29 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
         flat = float(np.clip(y.mean() if len(y) else 1.0, 1e-9, 1 - 1e-9))
         weights = fit([np.zeros((1, FEATURES))], np.array([1.0]), epochs=0).w
         weights["d"] = np.log(flat / (1 - flat))
+    return weights
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, passage: int = PASSAGE,
+                  threshold: float = THRESHOLD, sample_passages: int = SAMPLE_PASSAGES) -> DataFrame:
+    """(doc_id, held_out, score, predicted, n_passages, top_passage,
+    top_weight) of every document.
+
+    The model is fitted on about ``sample_docs`` labelled documents, chosen
+    by a hash of doc_id, held-out ones (crc32(doc_id) mod 5 = 0) never, and on
+    all passages of each. If they have more than ``sample_passages`` together,
+    fewer documents are taken, by a hash again, one of each label at least.
+    Scoring reads the whole text; ``top_passage`` has the most attention.
+
+    The fit does not depend on how the tables are partitioned; ties of the
+    hash are taken in the order of the bags. Texts of any length are scored
+    whole. A null or empty text is one passage of zeros. Without labels of both
+    classes the score is the share of label 1 (1 without labels). Repeated
+    rows get a row each, a null doc_id is carried, an empty table gives no
+    rows, other columns are not read.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    weights = fit_quality(docs, labels, sample_docs, passage, sample_passages)
     return docs.select("doc_id", (id_mod5() == 0).alias("held_out"), "text").mapInArrow(
         _score(weights, passage, threshold),
         "doc_id long, held_out boolean, score double, predicted int, n_passages long, top_passage long, "

@@ -1,6 +1,7 @@
 """Quality, toxicity and language-model scores."""
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -267,3 +268,91 @@ def test_toxicity_keeps_columns_of_any_name(spark):
     got = kept.collect()
     assert got and all(r[n] == n for r in got for n in names)
     assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in toxicity.without_toxic(docs, labels).collect())
+
+
+def plain_passages(text, size=quality.PASSAGE):
+    """Features of a text's passages, byte by byte and word by word."""
+    data = (text or "").encode()
+    words = data.split()
+    if not words:
+        return [[0.0] * quality.FEATURES]
+    of, word, inside = [], -1, False     # passage of every byte: that of the word at or before it
+    for b in data:
+        blank = b in b" \t\n\v\f\r"
+        word += not blank and not inside
+        inside = not blank
+        of.append(max(word, 0) // size)
+    out = []
+    for p in range(-(-len(words) // size)):
+        mine = [b for b, q in zip(data, of) if q == p]
+        groups = [0.0] * quality.GROUPS.shape[1]
+        for b in mine:
+            groups[int(np.argmax(quality.GROUPS[b]))] += 1 / len(mine)
+        part = words[p * size:(p + 1) * size]
+        mean = sum(map(len, part)) / len(part)
+        spread = math.sqrt(max(0.0, sum(len(w) ** 2 for w in part) / len(part) - mean * mean))
+        before = words[p * size - 1] if p else None
+        same = sum(w == v for v, w in zip([before, *part], part))
+        out.append([*groups, mean / 10, spread / 10, len(part) / size, len(set(part)) / len(part), same / len(part),
+                    math.log1p(len(words)) / 10])
+    return out
+
+
+def plain_score(w, text):
+    """Encoder, gated attention and classifier with loops over numbers."""
+    def sigmoid(v):
+        return 1 / (1 + math.exp(-max(-40.0, min(40.0, v))))
+
+    hidden, energy = [], []
+    for x in plain_passages(text):
+        x = [(v - m) / s for v, m, s in zip(x, w["mean"], w["std"])]
+        h = [math.tanh(sum(v * w["W"][i][j] for i, v in enumerate(x)) + w["b"][j]) for j in range(quality.HIDDEN)]
+        gate = [math.tanh(sum(v * w["V"][i][j] for i, v in enumerate(h))) * sigmoid(sum(v * w["U"][i][j] for i, v in enumerate(h)))
+                for j in range(quality.GATE)]
+        hidden.append(h)
+        energy.append(sum(g * v for g, v in zip(gate, w["w"])))
+    top = max(energy)
+    weight = [math.exp(e - top) for e in energy]
+    z = [sum(a * h[j] for a, h in zip(weight, hidden)) / sum(weight) for j in range(quality.HIDDEN)]
+    return sigmoid(sum(a * b for a, b in zip(z, w["c"])) + float(w["d"]))
+
+
+def test_quality_scores_equal_a_plain_twin(spark):
+    docs, labels = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("documents", "labels"))
+    weights = quality.fit_quality(docs, labels, sample_docs=80)
+    got = {r.doc_id: r for r in quality.score_quality(docs, labels, sample_docs=80).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for i, t in list(texts.items())[:60]:
+        if len(t or "") <= 20_000:    # the loops are slow; longer texts are in other tests
+            want = plain_score(weights, t)
+            assert abs(got[i].score - want) < 1e-9 and got[i].predicted == (want >= 0.3)
+
+
+def plain_margin(tree, x):
+    """Walk one decision tree given as Spark's debug text."""
+    lines = [line for line in tree.split("\n") if line.strip()][1:]
+    depth = lambda s: len(s) - len(s.lstrip())
+    at = 0
+    while not lines[at].strip().startswith("Predict"):
+        feature, sign, value = re.match(r"\s*(?:If|Else) \(feature (\d+) (<=|>) ([-\d.E]+)\)", lines[at]).groups()
+        if (x[int(feature)] <= float(value)) == (sign == "<="):
+            at += 1
+        else:
+            at = next(k for k in range(at + 1, len(lines)) if depth(lines[k]) == depth(lines[at])
+                      and lines[k].strip().startswith("Else")) + 1
+    return float(lines[at].split(":")[1])
+
+
+def test_toxicity_scores_equal_a_plain_twin(spark):
+    """Features of the fitted lexicon, every tree walked by its printed rules,
+    the calibration interpolated by hand."""
+    docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.with_toxicity(docs.select("doc_id", "text"), model, "score").collect()}
+    trees, weights = [t.toDebugString for t in model.trees.trees], model.trees.treeWeights
+    bounds, values = list(model.curve.boundaries), list(model.curve.predictions)
+    for r in docs.limit(40).collect():
+        x = toxicity.features(r.text, model.lexicon)
+        margin = sum(w * plain_margin(t, x) for w, t in zip(weights, trees))
+        want = min(1.0, max(0.0, float(np.interp(margin, bounds, values))))
+        assert abs(got[r.doc_id] - want) < 1e-6
