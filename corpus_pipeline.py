@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import dartminhash, decontam, packing, secrets, toxicity
-from roadpulse.llm.common import materialize
+from roadpulse.llm.common import discard, materialize
 from roadpulse.llm.registry import table
 
 
@@ -62,8 +62,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over the whole output of the one before it."""
-    docs = table(spark, sf_dir, "documents")
+    """Every stage over the whole output of the one before it. A stage's table
+    is deleted once the next one is written; the result reads the last."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
