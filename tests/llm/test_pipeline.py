@@ -14,7 +14,7 @@ ROOT = Path(__file__).parents[2]
 
 def test_registered_queries():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
 
