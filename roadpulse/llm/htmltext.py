@@ -74,7 +74,7 @@ PREFIXES = ("adsbygoogle", "advertis", "breadcrumb", "disqus", "gdpr", "navbar",
 SITE_NAMES = frozenset("header topbar".split())
 
 
-HTML_TOP = frozenset(["", "html", "body"])
+FOREIGN_TAG, SELECT_TAG = re.compile(r"<(?:svg|math)\b", re.I), re.compile(r"<select\b", re.I)
 
 
 def in_select(stack: list) -> bool:
@@ -160,6 +160,7 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
             linked += len(piece.strip())
 
     block_at = stack[0]
+    any_foreign, any_select = (x.search(page) is not None for x in (FOREIGN_TAG, SELECT_TAG))
     at = 0
     for m in TOKEN.finditer(page):
         say(page[at:m.start()])
@@ -168,7 +169,7 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
         if tag is None:
             continue
         tag = tag.lower()
-        foreign = tag in FOREIGN or (stack[-1][0] not in HTML_TOP and any(s[0] in FOREIGN for s in stack))
+        foreign = any_foreign and (tag in FOREIGN or any(s[0] in FOREIGN for s in stack))
         inline = tag in INLINE or foreign
         if not inline:
             settle()
@@ -181,7 +182,7 @@ def read_page(page: str) -> tuple[list[tuple], list[Block]]:
             continue
         if tag in VOID or (foreign and m["rest"].rstrip().endswith("/")):
             continue
-        if not inline and tag not in OPTIONS and in_select(stack):
+        if any_select and not inline and tag not in OPTIONS and in_select(stack):
             # A select that was left open ends where other markup begins.
             while in_select(stack):
                 in_link -= stack.pop()[0] == "a"
