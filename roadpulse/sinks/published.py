@@ -121,10 +121,13 @@ class Published:
         old, kept = known[:-self.keep], known[-self.keep:]
         if not old:
             return
-        named = {f for n in kept for s in self.manifest(n)["slices"].values() for f in s}
+        held = [self._folders(n) for n in kept]
+        if None in held:
+            return    # other writers have gone on and forget for us
+        named = set().union(*held)
         roots = {f.split("/")[1] for f in named}
         for n in old:
-            for folder in {f for s in self.manifest(n)["slices"].values() for f in s} - named:
+            for folder in (self._folders(n) or set()) - named:
                 root = folder.split("/")[1]
                 self._fs.delete(self._Path(f"{self.path}/{folder if root in roots else f'data/{root}'}"), True)
             self._fs.delete(self._Path(f"{self.path}/_versions/{n:012d}.json"), False)
@@ -133,6 +136,16 @@ class Published:
             if name not in roots and at < before:
                 self._fs.delete(self._Path(f"{self.path}/data/{name}"), True)
 
+    def _folders(self, version: int) -> set[str] | None:
+        """The data folders of a version; None if another writer, who forgets
+        old versions too, was faster."""
+        try:
+            return {f for s in self.manifest(version)["slices"].values() for f in s}
+        except Exception:
+            if version in self.versions():
+                raise
+            return None
+
     # --- data ----------------------------------------------------------------
 
     def read(self, slices: Callable[[str], bool] | None = None, manifest: dict | None = None,

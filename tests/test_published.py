@@ -128,6 +128,33 @@ def test_deltas_fold_and_replays_change_nothing(spark, tmp):
     assert set(os.listdir(f"{tmp}/log/data")) == held      # data of forgotten versions went
 
 
+def test_versions_that_another_writer_forgot(spark, tmp, monkeypatch):
+    table = Published(spark, f"{tmp}/log", keep=2)
+    for k in range(4):
+        table.append(log_rows(spark, k), "w", k)
+    known = table.versions()
+    assert known == [3, 4]
+    look = Published.versions
+
+    def stale(gone):
+        """The first look of a publish still shows versions that went."""
+        seen = []
+
+        def versions(self):
+            seen.append(1)
+            return sorted({*gone, *look(self)}) if len(seen) == 1 else look(self)
+        return versions
+
+    manifest = table.manifest()
+    for gone in ([1, 2], [8, 9]):     # forgotten ones went; versions to keep went
+        with monkeypatch.context() as m:
+            m.setattr(Published, "versions", stale(gone))
+            table._forget(manifest)
+        assert table.versions() == known and table.read().count() == 12
+    table.append(log_rows(spark, 4), "w", 4)
+    assert table.versions() == [4, 5] and table.read().count() == 15
+
+
 def test_a_log_without_keys_keeps_every_row(spark, tmp):
     table = Published(spark, f"{tmp}/log")
     for k in range(5):
